@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from uelumen.llm import bpe, decontaminate, quality, secrets, simhash
+from uelumen.llm import bpe, chat, decontaminate, extract, quality, secrets, simhash, tokenfile, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,10 +18,29 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_and_read(_read(spark, sf_dir, "pages"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op4_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfile.write_and_read(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op5_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(_read(spark, sf_dir, "pages"))
+
+
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    control = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema)
+    return chat.digests(chat.format_packs(rows.union(control)))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_read(spark, sf_dir, "documents"))
 
@@ -37,7 +56,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
+        "op2_warc": op2_warc,
         "op3_decontaminate": op3_decontaminate,
+        "op4_tokenfile": op4_tokenfile,
+        "op5_extract": op5_extract,
+        "op6_chat": op6_chat,
         "op7_secrets": op7_secrets,
         "op8_quality": op8_quality,
         "op10_bpe": op10_bpe,
