@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from uelumen.llm import bpe, chat, decontaminate, extract, quality, secrets, simhash, tokenfile, warc
+from uelumen.llm import bpe, chat, decontaminate, extract, quality, secrets, simhash, tokenfile, toxicity, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +49,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_read(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), digest=True, ids=False)
 
@@ -63,6 +67,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_chat": op6_chat,
         "op7_secrets": op7_secrets,
         "op8_quality": op8_quality,
+        "op9_toxicity": op9_toxicity,
         "op10_bpe": op10_bpe,
     }
 
