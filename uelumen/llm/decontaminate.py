@@ -3,12 +3,15 @@
 A text is reduced to words of letters and digits in lower case; capitalised words inside a sentence become the slot
 ``¹`` (name), digit runs the slot ``#`` (number), and a unit after a number the slot ``²``. Every ``SIZE`` words form
 a template window, of which at least ``PLAIN`` words must be no slot. Documents and benchmark items are hash-joined on
-their windows; hits of one document and item at the same offset form an alignment, which counts from ``RUN`` windows
-(13 words) or all windows of a shorter item. Slot consistency then decides: over the alignment each slot value of the item
-must stand for one value of the document and the reverse, as in a copy (``verbatim``) or a re-parameterised question.
+their windows, and hits of one document and item at the same offset form an alignment. It counts if it has ``RUN`` windows in
+a row (13 words), or as many as the item itself has. Slot consistency then decides: over the alignment each slot
+value of the item must stand for one value of the document and the reverse, as in a copy (``verbatim``) or a
+re-parameterised question.
 
-The windows of the benchmark are broadcast only if ``BROADCAST_ROWS`` bounds them; a larger benchmark is joined by a
-shuffle on the window hash.
+A run of k windows holds one at every k-th place, so only every k-th window of a document is looked up, k being the
+shortest run that an item asks for; a hit is then extended word by word. The windows of the benchmark are broadcast in blocks
+of at most about ``BROADCAST_ROWS``, each of which passes over the documents once; nothing of a document is shuffled before it
+has a hit.
 
 Defined results: null text is empty; items of fewer than ``SIZE`` words have no window and match nothing; repeated
 rows of a document give one row of the result; empty tables give an empty result; texts are read whole.
@@ -31,53 +34,70 @@ _UNIT = "|".join(UNITS.split())
 
 
 def words_of(text: Column) -> Column:
-    """Cleaned text with names marked by a leading ``¹``; one space between words."""
-    t = F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), "[¹²#]", " ")
+    """Cleaned text with names marked by a leading ``¹``."""
+    t = F.coalesce(text.cast("string"), F.lit(""))
+    t = F.when(t.contains("#") | t.contains("¹") | t.contains("²"), F.regexp_replace(t, "[¹²#]", " ")).otherwise(t)
     t = F.regexp_replace(t, r"(^|\s)(\p{Lu})", "$1¹$2")
     t = F.regexp_replace(t, r"(^[\s]*|[.!?][^\p{L}\p{N}\s¹]*\s+|\n\s*)¹", "$1")
-    return F.trim(F.lower(F.regexp_replace(F.regexp_replace(t, r"[^\p{L}\p{N}\s¹]+", ""), r"\s+", " ")))
+    return F.lower(F.regexp_replace(t, r"[^\p{L}\p{N}\s¹]+", ""))
 
 
 def template_of(cleaned: Column) -> Column:
     """The same words with slots in place of names, numbers and units."""
-    t = F.regexp_replace(cleaned, r"¹[^ ]+", "¹")
-    t = F.regexp_replace(t, r"\p{N}+", "#")
-    return F.regexp_replace(t, rf"#( ?)({_UNIT})( |$)", "#$1²$3")
-
-
-def windows(table: DataFrame, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` with pos, h (the template hash) and slots (template and raw words, where there is a slot)."""
-    split = table.withColumn("ul_raw", words_of(F.col("ul_text"))).withColumn("ul_tpl", template_of(F.col("ul_raw")))
-    split = split.select(*keep, F.split("ul_raw", " ").alias("raw"), F.split("ul_tpl", " ").alias("tpl"), F.col("ul_tpl").rlike("[¹²#]").alias("slotted"))
-    split = split.filter(F.size("tpl") >= SIZE)
-    parts = [f"get(tpl, i + {k})" for k in range(SIZE)]
-    both = ", ".join(f"struct(get(tpl, i + {k}) AS t, get(raw, i + {k}) AS r)" for k in range(SIZE))
-    made = f"transform(sequence(0, size(tpl) - {SIZE}), i -> struct(xxhash64({', '.join(parts)}) AS h, if(slotted, filter(array({both}), x -> x.t rlike '[¹²#]'), null) AS slots))"
-    return (
-        split.select(*keep, F.posexplode(F.expr(made)).alias("pos", "w"))
-        .select(*keep, "pos", F.col("w.h").alias("h"), F.col("w.slots").alias("slots"))
-        .filter(f"slots IS NULL OR size(slots) <= {SIZE - PLAIN}")
-    )
+    t = F.regexp_replace(cleaned, r"¹[^\s]+", "¹")
+    t = F.regexp_replace(t, r"[\p{Nd}\p{No}\p{Nl}&&[^¹]]+", "#")
+    t = F.regexp_replace(t, rf"#(\s?)({_UNIT})(\s|$)", "#$1²$3")
+    return F.when(cleaned.rlike(r"[\p{N}]"), t).otherwise(cleaned)
+
+
+def _split(table: DataFrame, keep: list[str]) -> DataFrame:
+    """Columns ``keep`` with ``tpl`` and ``raw``, the words of the template and of the text."""
+    cut = table.withColumn("ul_raw", words_of(F.col("ul_text"))).select(*keep, "ul_raw", template_of(F.col("ul_raw")).alias("ul_tpl"))
+    words = lambda c: F.array_remove(F.split(c, r"\s+"), "")
+    return cut.select(*keep, words("ul_tpl").alias("tpl"), words("ul_raw").alias("raw")).filter(F.size("tpl") >= SIZE)
+
+
+def _hash(tpl: str, at: str) -> str:
+    return "xxhash64(" + ", ".join(f"get({tpl}, {at} + {k})" for k in range(SIZE)) + ")"
+
+
+_RUN_OF = "aggregate({0}, struct(-2 AS last, 0 AS run, 0 AS best), (s, j) -> struct(j AS last, if(j = s.last + 1, s.run + 1, 1) AS run, greatest(s.best, if(j = s.last + 1, s.run + 1, 1)) AS best)).best"
+_SLOT = "({0} = '¹' OR {0} = '²' OR contains({0}, '#'))"
+
+
+def items_of(benchmark: DataFrame) -> DataFrame:
+    """Benchmark items: words, places of their windows with enough plain words (``places``), the run they ask for (``need``)."""
+    items = _split(whole_row(benchmark, item_id=F.col("item_id"), ul_text=F.col("text")).drop("ul_row"), ["item_id"])
+    items = items.withColumn("slot", F.expr(f"transform(tpl, w -> if({_SLOT.format('w')}, 1, 0))"))
+    plain = f"filter(sequence(0, size(tpl) - {SIZE}), j -> aggregate(sequence(j, j + {SIZE - 1}), 0, (n, q) -> n + slot[q]) <= {SIZE - PLAIN})"
+    items = items.withColumn("places", F.expr(plain)).filter("size(places) > 0")
+    return items.withColumn("need", F.least(F.expr(_RUN_OF.format("places")), F.lit(RUN))).select("item_id", F.col("tpl").alias("itpl"), F.col("raw").alias("iraw"), "places", "need")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, *, rows: bool = False) -> DataFrame:
-    """doc_id, item_id, n_windows (of the longest alignment), verbatim; with ``rows`` keyed by the input's ul_id."""
-    bench = windows(whole_row(benchmark, item_id=F.col("item_id"), ul_text=F.col("text")).drop("ul_row"), ["item_id"])
-    bench = stage_table(bench.withColumnRenamed("pos", "ipos").withColumnRenamed("slots", "islots"), "bench")
-    sizes = bench.groupBy("item_id").agg((F.count("*")).alias("n_item"))
-    bounded = bench.count() <= BROADCAST_ROWS
+    """doc_id, item_id, n_windows (in the longest run), verbatim; with ``rows`` keyed by the input's ul_id."""
+    items = stage_table(items_of(benchmark), "items")
+    total, stride = items.agg(F.sum(F.size("places")), F.min("need")).first()
+    blocks = max(1, -(-(total or 0) // BROADCAST_ROWS))
     source = docs if rows else whole_row(docs, doc_id=F.col("doc_id"), ul_text=F.col("text")).drop("ul_row").withColumn("ul_id", F.monotonically_increasing_id())
-    own = windows(source.select("ul_id", "doc_id", "ul_text"), ["ul_id", "doc_id"])
-    hits = own.join(F.broadcast(bench) if bounded else bench, "h")
-    runs = hits.groupBy("ul_id", "doc_id", "item_id", (F.col("pos") - F.col("ipos")).alias("shift")).agg(
-        F.count("*").alias("n_windows"),
-        F.array_distinct(F.flatten(F.collect_list(F.expr("transform(islots, (x, k) -> struct(x.t AS t, x.r AS mine, get(slots, k).r AS theirs))")))).alias("pairs"),
-    )
+    own = _split(source.select("ul_id", "doc_id", "ul_text"), ["ul_id", "doc_id"])
+    looked = f"transform(sequence(0, size(tpl) - {SIZE}, {stride or 1}), i -> {_hash('tpl', 'i')})"
+    own = own.select("ul_id", "doc_id", "tpl", "raw", F.posexplode(F.expr(looked)).alias("step", "h"))
+    found = None
+    for block in range(blocks):
+        part = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block)
+        bench = part.select("*", F.explode("places").alias("ipos")).withColumn("h", F.expr(_hash("itpl", "ipos")))
+        hits = own.join(F.broadcast(bench), "h").withColumn("shift", F.col("step") * (stride or 1) - F.col("ipos"))
+        hits = hits.dropDuplicates(["ul_id", "item_id", "itpl", "shift"])
+        found = hits if found is None else found.unionByName(hits)
+    same = f"filter(places, j -> forall(sequence(j, j + {SIZE - 1}), q -> q + shift >= 0 AND get(tpl, q + shift) <=> get(itpl, q)))"
+    runs = found.withColumn("at", F.expr(same)).withColumn("n_windows", F.expr(_RUN_OF.format("at")).cast("long")).filter("n_windows >= need")
+    covered = f"array_distinct(flatten(transform(at, j -> sequence(j, j + {SIZE - 1}))))"
+    pairs = f"array_distinct(transform(filter({covered}, q -> {_SLOT.format('itpl[q]')}), q -> struct(itpl[q] AS t, iraw[q] AS mine, get(raw, q + shift) AS theirs)))"
+    runs = runs.withColumn("pairs", F.expr(pairs))
     consistent = "size(pairs) = size(array_distinct(transform(pairs, x -> struct(x.t, x.mine)))) AND size(pairs) = size(array_distinct(transform(pairs, x -> struct(x.t, x.theirs))))"
-    runs = runs.join(F.broadcast(sizes) if bounded else sizes, "item_id").filter(f"n_windows >= least(n_item, {RUN})").filter(consistent)
-    verbatim = F.expr("forall(pairs, x -> x.mine = x.theirs)")
-    keys = ["ul_id"] if rows else ["doc_id", "item_id"]
-    return runs.withColumn("verbatim", verbatim).groupBy(*keys).agg(F.max("n_windows").alias("n_windows"), F.bool_or("verbatim").alias("verbatim"))
+    runs = runs.filter(consistent).withColumn("verbatim", F.expr("forall(pairs, x -> x.mine = x.theirs)"))
+    return runs.groupBy(*(["ul_id"] if rows else ["doc_id", "item_id"])).agg(F.max("n_windows").alias("n_windows"), F.bool_or("verbatim").alias("verbatim"))
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -91,20 +111,20 @@ def _sql_words(text: str) -> str:
     t = f"regexp_replace(coalesce({text}, ''), '[¹²#]', ' ', 'g')"
     t = rf"regexp_replace({t}, '(^|\s)(\p{{Lu}})', '\1¹\2', 'g')"
     t = rf"regexp_replace({t}, '(^[\s]*|[.!?][^\p{{L}}\p{{N}}\s¹]*\s+|\n\s*)¹', '\1', 'g')"
-    t = rf"regexp_replace({t}, '[^\p{{L}}\p{{N}}\s¹]+', '', 'g')"
-    return rf"trim(lower(regexp_replace({t}, '\s+', ' ', 'g')))"
+    return rf"lower(regexp_replace({t}, '[^\p{{L}}\p{{N}}\s¹]+', '', 'g'))"
 
 
 def _sql_template(cleaned: str) -> str:
-    t = rf"regexp_replace({cleaned}, '¹[^ ]+', '¹', 'g')"
-    t = rf"regexp_replace({t}, '\p{{N}}+', '#', 'g')"
-    return rf"regexp_replace({t}, '#( ?)({_UNIT})( |$)', '#\1²\3', 'g')"
+    t = rf"regexp_replace({cleaned}, '¹[^\s]+', chr(1), 'g')"
+    t = rf"replace(regexp_replace({t}, '\p{{N}}+', '#', 'g'), chr(1), '¹')"
+    return rf"regexp_replace({t}, '#(\s?)({_UNIT})(\s|$)', '#\1²\3', 'g')"
 
 
 def _sql_windows(name: str, key: str, table: str) -> str:
+    words = r"list_filter(string_split_regex({0}, '\s+'), lambda w: w <> '')"
     return rf"""
 {name}_a AS (SELECT {key}, row_number() OVER () AS rid, {_sql_words('text')} AS c FROM {table}),
-{name}_b AS (SELECT {key}, rid, string_split(c, ' ') AS raw, string_split({_sql_template('c')}, ' ') AS tpl FROM {name}_a),
+{name}_b AS (SELECT {key}, rid, {words.format('c')} AS raw, {words.format(_sql_template('c'))} AS tpl FROM {name}_a),
 {name}_c AS (SELECT {key}, rid, raw, tpl, unnest(range(1, len(tpl) - {SIZE - 2})) AS p FROM {name}_b WHERE len(tpl) >= {SIZE}),
 {name} AS (SELECT {key}, rid, p, array_to_string(tpl[p : p + {SIZE - 1}], ' ') AS h,
   list_filter(range(p, p + {SIZE}), lambda k: regexp_matches(tpl[k], '[¹²#]')) AS sl, raw, tpl FROM {name}_c)"""
@@ -113,14 +133,17 @@ def _sql_windows(name: str, key: str, table: str) -> str:
 ORACLE_SQL = f"""
 WITH {_sql_windows('d', 'doc_id', 'documents')}, {_sql_windows('b', 'item_id', 'benchmark')},
 d_ok AS (SELECT * FROM d WHERE len(sl) <= {SIZE - PLAIN}), b_ok AS (SELECT * FROM b WHERE len(sl) <= {SIZE - PLAIN}),
-sizes AS (SELECT item_id, count(*) AS n_item FROM b_ok GROUP BY item_id),
-hits AS (SELECT d_ok.doc_id, d_ok.rid, b_ok.item_id, d_ok.p - b_ok.p AS shift,
+b_run AS (SELECT rid, count(*) AS n FROM (SELECT rid, p - row_number() OVER (PARTITION BY rid ORDER BY p) AS g FROM b_ok) GROUP BY rid, g),
+needs AS (SELECT rid AS brid, least(max(n), {RUN}) AS need FROM b_run GROUP BY rid),
+hits AS (SELECT d_ok.doc_id, d_ok.rid, d_ok.p, b_ok.item_id, b_ok.rid AS brid, d_ok.p - b_ok.p AS shift,
   list_transform(b_ok.sl, lambda k: {{'t': b_ok.tpl[k], 'mine': b_ok.raw[k], 'theirs': d_ok.raw[k + d_ok.p - b_ok.p]}}) AS pairs
   FROM d_ok JOIN b_ok USING (h)),
-runs AS (SELECT doc_id, rid, item_id, shift, count(*) AS n_windows, list_distinct(flatten(list(pairs))) AS pairs FROM hits GROUP BY ALL)
+isl AS (SELECT *, p - row_number() OVER (PARTITION BY rid, brid, shift ORDER BY p) AS g FROM hits),
+best AS (SELECT rid, brid, shift, max(n) AS n_windows FROM (SELECT rid, brid, shift, g, count(*) AS n FROM isl GROUP BY ALL) GROUP BY ALL),
+runs AS (SELECT doc_id, rid, item_id, brid, shift, list_distinct(flatten(list(pairs))) AS pairs FROM hits GROUP BY ALL)
 SELECT doc_id, item_id, max(n_windows) AS n_windows, bool_or(len(list_filter(pairs, lambda x: x.mine <> x.theirs)) = 0) AS verbatim
-FROM runs JOIN sizes USING (item_id)
-WHERE n_windows >= least(n_item, {RUN})
+FROM runs JOIN best USING (rid, brid, shift) JOIN needs USING (brid)
+WHERE n_windows >= need
   AND len(pairs) = len(list_distinct(list_transform(pairs, lambda x: {{'t': x.t, 'v': x.mine}})))
   AND len(pairs) = len(list_distinct(list_transform(pairs, lambda x: {{'t': x.t, 'v': x.theirs}})))
 GROUP BY doc_id, item_id
