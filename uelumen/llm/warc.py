@@ -2,8 +2,8 @@
 
 Writing: each capture becomes one WARC/1.1 record. Of captures with equal payloads that with the largest id is a
 ``response``, the others are ``revisit`` records without payload that name it. The records are written by Spark's own writer
-into files of about ``FILE_BYTES`` payload, so any store that Spark writes to will do, and a lost task is simply
-repeated.
+into gzip files of about ``FILE_BYTES`` payload, so any store that Spark writes to will do, and a lost task is simply
+repeated. Offsets are those of the uncompressed archive.
 
 Reading: each file is parsed by Content-Length in one task and yields a *run*, its index entries sorted by URL key and
 timestamp. Entries are dealt by key range (URL key, timestamp, id, so one hot URL is split too) and every range is merged from its runs
@@ -17,6 +17,7 @@ empty table gives an empty archive.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 from collections.abc import Iterator
 
@@ -85,7 +86,7 @@ def write(captures: DataFrame, path: str, *, min_revisit: int = 0, file_bytes: i
     mean = captures.agg(F.avg(F.octet_length("payload"))).first()[0] or 0.0
     rows = max(1, int(file_bytes / (mean + 600)))
     made = records(captures, min_revisit=min_revisit)
-    made.select(F.col("record").cast("string").alias("value")).write.option("maxRecordsPerFile", rows).option("lineSep", "\n").text(path)
+    made.select(F.col("record").cast("string").alias("value")).write.option("maxRecordsPerFile", rows).option("lineSep", "\n").option("compression", "gzip").text(path)
 
 
 def parse(file: str, data: bytes) -> Iterator[tuple]:
@@ -171,7 +172,7 @@ _ARROW = pa.schema([(n, pa.int64() if k == "long" else pa.string()) for n, k in
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for file, data in zip(batch.column("path").to_pylist(), batch.column("content")):
-            entries = sorted(parse(file.rsplit("/", 1)[-1], data.as_py()), key=_order)
+            entries = sorted(parse(file.rsplit("/", 1)[-1], gzip.decompress(data.as_py())), key=_order)
             for i in range(0, len(entries), 10_000):
                 yield _batch(entries[i : i + 10_000], _ARROW)
 
