@@ -14,6 +14,12 @@ one-flip member are all within three bits of that member, so a colliding group b
 its pairs; nothing is capped. Variants travel as sorted blocks by the leading bits of a bijective mix, about 11 bytes
 each, to buckets whose number follows the count of fingerprints (``PER_BUCKET`` variants each).
 
+:func:`keep_one` wants groups of at least 0.8 similarity on five-word shingles, which moves more than three bits of a
+64-bit fingerprint. Beside the fingerprint of the whole text it therefore takes ``SAMPLES`` fingerprints of samples of
+``SAMPLE`` shingles (the smallest under a hash of each sample), of which two such texts share one with probability
+0.9999. Equal sample fingerprints make candidates, joined to the smallest fingerprint that has the same, and each
+candidate is verified on the whole texts.
+
 Defined results: null text is empty; a text of fewer words than a shingle is one shingle, one without words has
 fingerprint zero and links like any other; repeated rows and equal texts share a fingerprint, so they share a
 component; a null doc_id counts only if a component has no other; an empty table gives an empty result.
@@ -35,6 +41,7 @@ from uelumen.llm.components import components, local_stars
 
 PER_BUCKET = 2_000_000
 LEAST_BITS = 6
+SAMPLES, SAMPLE, SHINGLE, SIMILAR = 20, 4, 5, 0.8
 BLOCK = 4096
 MIX = np.uint64(0x9E3779B97F4A7C15)
 ONE_FLIP = np.array([1 << i for i in range(64)], np.uint64)
@@ -57,18 +64,44 @@ def fingerprint(text: bytes, size: int = 3) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view(np.uint64)[0])
 
 
+_SEEDS = np.random.default_rng(1).integers(1, 2**63, size=(SAMPLES, 1), dtype=np.uint64) | np.uint64(1)
+
+
+def shingles(text: bytes) -> np.ndarray:
+    """Distinct hashes of the five-word shingles (a shorter text is one)."""
+    words = text.lower().split()
+    parts = map(b" ".join, zip(*(words[i:] for i in range(SHINGLE)))) if len(words) >= SHINGLE else [b" ".join(words)]
+    return np.unique(np.array([xxhash.xxh64_intdigest(p, 42) for p in parts], np.uint64))
+
+
+def samples(text: bytes) -> list[int]:
+    """A fingerprint of each sample of the shingles, as signed longs that also tell the sample."""
+    own = shingles(text)
+    mixed = (own ^ (own >> np.uint64(31))) * _SEEDS
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * MIX
+    take = min(SAMPLE, len(own))
+    chosen = own[np.argpartition(mixed, take - 1, axis=1)[:, :take]]
+    bits = np.unpackbits(np.ascontiguousarray(chosen).view(np.uint8).reshape(SAMPLES, take, 8), axis=2, bitorder="little").sum(axis=1)
+    fps = np.packbits(2 * bits > take, axis=1, bitorder="little").view(np.uint64).ravel()
+    # half the bits of an even sample tie: what was chosen decides, so that the fingerprint tells samples apart
+    return ((fps ^ chosen.sum(axis=1, dtype=np.uint64)) * _SEEDS.ravel()).view(np.int64).tolist()
+
+
 def fingerprints(docs: DataFrame, *, size: int = 3, rows: bool = False) -> DataFrame:
-    """doc_id and ``fp`` (the 64 bits as a signed long) of each row; with ``rows`` the row too, as ``ul_row``."""
+    """doc_id and ``fp`` (the 64 bits as a signed long) of each row; with ``rows`` the row too, as ``ul_row``, and its sample fingerprints."""
     source = whole_row(docs, doc_id=F.col("doc_id"), ul_text=F.col("text"))
     source = source if rows else source.drop("ul_row")
 
     def kernel(batch: pa.RecordBatch) -> dict:
         out = {n: batch.column(n) for n in batch.schema.names if n != "ul_text"}
         bits = np.array([fingerprint(t, size) for t in text_bytes(batch.column("ul_text"))], np.uint64)
-        return out | {"fp": pa.array(bits.view(np.int64))}
+        out["fp"] = pa.array(bits.view(np.int64))
+        if rows:
+            out["samples"] = pa.array([samples(t) for t in text_bytes(batch.column("ul_text"))], pa.list_(pa.int64()))
+        return out
 
     carried = ", ".join(f"{c.name} {c.dataType.simpleString()}" for c in source.schema if c.name != "ul_text")
-    return map_texts(source, kernel, f"{carried}, fp long")
+    return map_texts(source, kernel, f"{carried}, fp long" + ", samples array<long>" * rows)
 
 
 def mix(v: np.ndarray) -> np.ndarray:
@@ -160,14 +193,37 @@ def links(fps: DataFrame) -> DataFrame:
     return blocks.groupBy("bucket").applyInArrow(collide, "a long, b long")
 
 
-def cluster(table: DataFrame) -> DataFrame:
-    """(fp, component_id) for each fingerprint of a staged table with doc_id and fp."""
+def cluster(table: DataFrame, more: DataFrame | None = None) -> DataFrame:
+    """(fp, component_id) for each fingerprint of a staged table with doc_id and fp, ``more`` being further edges."""
     smallest = stage_table(table.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fps")
-    roots = components(links(smallest.select("fp"))).withColumnRenamed("node", "fp")
+    edges = links(smallest.select("fp"))
+    roots = components(edges if more is None else edges.union(more)).withColumnRenamed("node", "fp")
     rooted = smallest.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     rooted = stage_table(rooted, "roots")
     whole = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return rooted.join(whole, "root").select("fp", "component_id")
+    return rooted.join(whole, "root").select("root", "fp", "component_id")
+
+
+def _alike(batch: pa.RecordBatch) -> dict:
+    keep = []
+    for a, b in zip(text_bytes(batch.column("ta")), text_bytes(batch.column("tb"))):
+        x, y = shingles(a), shingles(b)
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        keep.append(both >= SIMILAR * (len(x) + len(y) - both))
+    mask = pa.array(keep, pa.bool_())
+    return {n: batch.column(n).filter(mask) for n in ("a", "b")}
+
+
+def sampled_links(table: DataFrame) -> DataFrame:
+    """Verified edges between fingerprints that share a sample fingerprint, from a table with ul_id, fp, samples and ul_row.text."""
+    one = table.groupBy("fp").agg(F.min("ul_id").alias("ul_id"))
+    rows = stage_table(table.join(one.select("ul_id"), "ul_id", "left_semi").select("fp", "samples", F.col("ul_row.text").alias("text")), "texts")
+    keys = rows.select("fp", F.explode("samples").alias("key"))
+    hubs = keys.groupBy("key").agg(F.min("fp").alias("hub"), F.max("fp").alias("top")).filter("hub < top").select("key", "hub")
+    pairs = keys.join(hubs, "key").filter("fp <> hub").select(F.col("fp").alias("a"), F.col("hub").alias("b")).distinct()
+    text = rows.select("fp", "text")
+    joined = pairs.join(text.select(F.col("fp").alias("a"), F.col("text").alias("ta")), "a").join(text.select(F.col("fp").alias("b"), F.col("text").alias("tb")), "b")
+    return stage_table(map_texts(joined, _alike, "a long, b long"), "sampled")
 
 
 def near_duplicates(docs: DataFrame, *, size: int = 3) -> DataFrame:
@@ -177,9 +233,9 @@ def near_duplicates(docs: DataFrame, *, size: int = 3) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, *, size: int = 3) -> DataFrame:
-    """One row of each component, in the columns of ``docs``: that of the smallest doc_id, one of equals."""
+    """One row of each group, in the columns of ``docs``: that of the smallest doc_id, one of equals."""
     table = fingerprints(docs, size=size, rows=True).withColumn("ul_id", F.monotonically_increasing_id())
     table = stage_table(table, "fingerprints")
-    joined = table.select("ul_id", "doc_id", "fp").join(cluster(table), "fp")
-    best = joined.groupBy("component_id").agg(F.min_by("ul_id", F.struct(F.col("doc_id").isNull(), "doc_id", "ul_id")).alias("ul_id"))
+    joined = table.select("ul_id", "doc_id", "fp").join(cluster(table, sampled_links(table)), "fp")
+    best = joined.groupBy("root").agg(F.min_by("ul_id", F.struct(F.col("doc_id").isNull(), "doc_id", "ul_id")).alias("ul_id"))
     return table.join(best.select("ul_id"), "ul_id", "left_semi").select("ul_row.*")
