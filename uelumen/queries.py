@@ -213,11 +213,11 @@ def sequence_features(spark, sf_dir):
 @query(_WINDOWED + ", bad AS (SELECT sample_id, min(t) AS t FROM x WHERE n % 501 = 0 GROUP BY sample_id) SELECT sample_id || ':event_code:UNKNOWN_CATEGORY' AS invalid_feature_id, 'l_unknown' AS rejected_value FROM bad")
 def invalid_feature(spark, sf_dir):
     rows = _silver(spark, sf_dir)
-    events = sequences.to_gold_events(rows.withColumn("ul_n", F.col("source.offset")), carry=["ul_n"])
+    events = sequences.to_gold_events(rows.withColumn("offset_no", F.col("source.offset")), carry=["offset_no"])
     made = sequences.windows(events).withColumn("ids", F.transform("events", lambda e: F.concat(e["event_id"], F.lit("@"), e["source_order_key"])))
     iso = lambda i: times.normalise(F.get("events", F.lit(i))["event_time_epoch_ms"].cast("string"))
     made = made.withColumn("sample_id", sequences.sample_id(F.col("ue_key"), iso(0), iso(31), F.col("ids")))
-    broken = made.withColumn("events", F.transform("events", lambda e: F.when(e["ul_n"] % 501 == 0, e.withField("event_id", F.lit("l_unknown"))).otherwise(e)))
+    broken = made.withColumn("events", F.transform("events", lambda e: F.when(e["offset_no"] % 501 == 0, e.withField("event_id", F.lit("l_unknown"))).otherwise(e)))
     coded = sequences.encode(broken).filter("fault IS NOT NULL")
     return coded.select(F.concat_ws(":", "sample_id", "fault.feature_name", "fault.reason").alias("invalid_feature_id"), F.col("fault.rejected_value").alias("rejected_value"))
 
