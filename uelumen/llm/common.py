@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -12,7 +14,26 @@ from py4j.protocol import Py4JError, Py4JNetworkError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_written: dict[str, SparkSession] = {}
+_written: dict[str, tuple[SparkSession, str]] = {}
+_scope = [""]
+
+
+@contextlib.contextmanager
+def scope(name: str, spark: SparkSession) -> Iterator[None]:
+    """Stage tables written inside belong to ``name``; those that an earlier use of the name has left are deleted first."""
+    release_stage_tables(name)
+    forget_shuffles(spark)
+    _scope.append(name)
+    try:
+        yield
+    finally:
+        _scope.pop()
+
+
+def forget_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of jobs that nothing refers to any more; it does so when the driver collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -32,7 +53,7 @@ def stage_table(df: DataFrame, label: str, partition_by: Iterable[str] = ()) ->
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/uelumen-{uuid.uuid4().hex}/{label}"
-    _written[path] = spark
+    _written[path] = spark, _scope[-1]
     writer = df.write
     if keys := list(partition_by):
         writer = writer.partitionBy(*keys)
@@ -43,14 +64,16 @@ def stage_table(df: DataFrame, label: str, partition_by: Iterable[str] = ()) ->
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder, deleted with the stage tables."""
     path = f"{scratch_root(spark)}/uelumen-{uuid.uuid4().hex}/{label}"
-    _written[path] = spark
+    _written[path] = spark, _scope[-1]
     return path
 
 
-def release_stage_tables() -> None:
-    """Delete every stage table written so far; call it once nothing reads them any more."""
-    for path in list(_written):
-        spark = _written.pop(path)
+def release_stage_tables(name: str | None = None) -> None:
+    """Delete every stage table written so far, or those of a scope; call it once nothing reads them any more."""
+    for path, (spark, own) in list(_written.items()):
+        if name is not None and own != name:
+            continue
+        del _written[path]
         try:
             jvm = spark.sparkContext._jvm
             target = jvm.org.apache.hadoop.fs.Path(path).getParent()

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from uelumen.llm.common import map_texts, stage_table, text_bytes, whole_row
+from uelumen.llm.common import forget_shuffles, map_texts, stage_table, text_bytes, whole_row
 from uelumen.llm.components import components, local_stars
 
 PER_BUCKET = 2_000_000
@@ -216,12 +216,13 @@ def _alike(batch: pa.RecordBatch) -> dict:
 
 def sampled_links(table: DataFrame) -> DataFrame:
     """Verified edges between fingerprints that share a sample fingerprint, from a table with ul_id, fp, samples and ul_row.text."""
-    one = table.groupBy("fp").agg(F.min("ul_id").alias("ul_id"))
-    rows = stage_table(table.join(one.select("ul_id"), "ul_id", "left_semi").select("fp", "samples", F.col("ul_row.text").alias("text")), "texts")
-    keys = rows.select("fp", F.explode("samples").alias("key"))
+    keys = table.select("fp", F.explode("samples").alias("key")).distinct()
     hubs = keys.groupBy("key").agg(F.min("fp").alias("hub"), F.max("fp").alias("top")).filter("hub < top").select("key", "hub")
-    pairs = keys.join(hubs, "key").filter("fp <> hub").select(F.col("fp").alias("a"), F.col("hub").alias("b")).distinct()
-    text = rows.select("fp", "text")
+    pairs = stage_table(keys.join(hubs, "key").filter("fp <> hub").select(F.col("fp").alias("a"), F.col("hub").alias("b")).distinct(), "pairs")
+    asked = pairs.select(F.col("a").alias("fp")).union(pairs.select(F.col("b").alias("fp"))).distinct()
+    chosen = table.groupBy("fp").agg(F.min("ul_id").alias("ul_id")).join(asked, "fp", "left_semi").select("ul_id")
+    text = table.select("ul_id", "fp", F.col("ul_row.text").alias("text")).join(chosen, "ul_id", "left_semi").select("fp", "text")
+    text = stage_table(text, "texts")
     joined = pairs.join(text.select(F.col("fp").alias("a"), F.col("text").alias("ta")), "a").join(text.select(F.col("fp").alias("b"), F.col("text").alias("tb")), "b")
     return stage_table(map_texts(joined, _alike, "a long, b long"), "sampled")
 
@@ -236,6 +237,10 @@ def keep_one(docs: DataFrame, *, size: int = 3) -> DataFrame:
     """One row of each group, in the columns of ``docs``: that of the smallest doc_id, one of equals."""
     table = fingerprints(docs, size=size, rows=True).withColumn("ul_id", F.monotonically_increasing_id())
     table = stage_table(table, "fingerprints")
-    joined = table.select("ul_id", "doc_id", "fp").join(cluster(table, sampled_links(table)), "fp")
+    more = sampled_links(table)
+    forget_shuffles(docs.sparkSession)  # those of the texts, before the variants come
+    joined = table.select("ul_id", "doc_id", "fp").join(cluster(table, more), "fp")
     best = joined.groupBy("root").agg(F.min_by("ul_id", F.struct(F.col("doc_id").isNull(), "doc_id", "ul_id")).alias("ul_id"))
+    best = stage_table(best, "best")
+    forget_shuffles(docs.sparkSession)  # those of the variants, before the rows are dealt
     return table.join(best.select("ul_id"), "ul_id", "left_semi").select("ul_row.*")
