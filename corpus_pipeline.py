@@ -10,32 +10,37 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from uelumen.llm import bpe, decontaminate, quality, secrets, simhash
-from uelumen.llm.common import stage_table
+from uelumen.llm.common import scope, stage_table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass, without the lines that repeat across documents of their host."""
-    return quality.filter_documents(docs)
+    with scope("pipeline", spark):  # the tables of the stage before are no longer read
+        return quality.filter_documents(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group."""
-    return simhash.keep_one(docs)
+    with scope("pipeline", spark):  # the tables of the stage before are no longer read
+        return simhash.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    return decontaminate.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    with scope("pipeline", spark):  # the tables of the stage before are no longer read
+        return decontaminate.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their secrets masked."""
-    return secrets.redact(docs)
+    with scope("pipeline", spark):  # the tables of the stage before are no longer read
+        return secrets.redact(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids and the hashes of ids and decoded text."""
-    return bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json"), digest=True)
+    with scope("pipeline", spark):  # the tables of the stage before are no longer read
+        return bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json"), digest=True)
 
 
 STAGES = [
