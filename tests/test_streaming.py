@@ -18,15 +18,19 @@ def test_smoke_scenario(spark, tmp_path, n, expected):
     df = spark.createDataFrame(rows, SCHEMA)
     df.coalesce(1).write.parquet(str(tmp_path / "in"))
     processors.use_rocksdb(spark)
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
     stream = spark.readStream.schema(SCHEMA).parquet(str(tmp_path / "in"))
     made = processors.sequence_stream(stream, idle_ms=1000)
-    query = made.writeStream.format("memory").queryName("sequences").option("checkpointLocation", str(tmp_path / "cp")).outputMode("append").start()
+    query = made.writeStream.format("memory").queryName("sequences").option("checkpointLocation", str(tmp_path / "cp")).outputMode("append").trigger(processingTime="1 second").start()
     try:
-        query.processAllAvailable()
-        time.sleep(2)
-        query.processAllAvailable()
+        end = time.time() + 90
+        while time.time() < end and query.isActive and spark.table("sequences").count() < expected * 32:
+            time.sleep(1)
+        time.sleep(3)  # the idle flush may add nothing
     finally:
         query.stop()
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
     got = spark.table("sequences")
     assert got.filter("route = 'too_late'").count() == 0
     streamed = got.filter("route = 'window'").groupBy("window_no").agg(F.array_sort(F.collect_list("source_order_key")).alias("o"))

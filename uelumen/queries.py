@@ -246,10 +246,10 @@ def _models(gold: DataFrame) -> list[scoring.DeviationModel]:
     return [scoring.DeviationModel(model_name=m, means=every.means, deviations=every.deviations, weights=w, reference=every.reference) for m, w in parts.items()]
 
 
-@query(_SCORES + "SELECT model, sample_id, round(raw_score, 4) AS raw_score FROM raw")
+@query(_SCORES + "SELECT model, sample_id, round(raw_score, 2) AS raw_score FROM raw")
 def model_fanout(spark, sf_dir):
     gold = _gold(spark, sf_dir)
-    return scoring.score(gold, _models(gold)).select("model", "sample_id", F.round(F.round("raw_score", 6), 4).alias("raw_score"))
+    return scoring.score(gold, _models(gold)).select("model", "sample_id", F.round("raw_score", 2).alias("raw_score"))
 
 
 @query(_SCORES + "SELECT model, sample_id, round(cume_dist() OVER (PARTITION BY model ORDER BY raw_score), 9) AS anomaly_score, cume_dist() OVER (PARTITION BY model ORDER BY raw_score) >= 0.975 AS is_anomaly FROM raw")
