@@ -33,7 +33,8 @@ from tokenizers import Tokenizer
 
 from uelumen.llm.common import map_texts, text_bytes
 
-CACHE = 300_000
+CACHE = 200_000
+CHUNK = 2 << 20
 END = "</w>"
 LAST = 1 << 60
 
@@ -209,7 +210,17 @@ class Bpe:
         return self.word.findall(run.lower())
 
     def encode_all(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each UTF-8 text as little-endian unsigned 32-bit integers."""
+        """The ids of each UTF-8 text as little-endian unsigned 32-bit integers; ``CHUNK`` bytes of text at a time."""
+        out: list[bytes] = []
+        at = size = 0
+        for i, text in enumerate(texts):
+            size += len(text)
+            if size >= CHUNK:
+                out += self._encode(texts[at : i + 1])
+                at, size = i + 1, 0
+        return out + self._encode(texts[at:])
+
+    def _encode(self, texts: list[bytes]) -> list[bytes]:
         runs = self.runs
         cut = [t.split() for t in texts]  # the word pattern never crosses ASCII white space
         fresh = set().union(*cut).difference(runs) if cut else set()
