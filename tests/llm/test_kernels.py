@@ -81,6 +81,23 @@ def test_near_duplicates_and_keep_one(spark):
     assert simhash.near_duplicates(docs(spark, [])).count() == 0
 
 
+def test_keep_one_of_independent_copies(spark):
+    rng = random.Random(11)
+    original = [f"w{k}" for k in range(304)]  # 300 shingles
+    texts = [" ".join(original)]
+    for i in range(500):  # each about 0.85 to the original, 0.73 to each other
+        words = list(original)
+        for n in range(5):
+            words[rng.randrange(5 + 60 * n, 60 * n + 55)] = f"e{i}x{n}"
+        texts.append(" ".join(words))
+    rng.shuffle(texts)
+    texts.append(" ".join(f"v{k}" for k in range(304)))
+    assert sorted(r.doc_id for r in simhash.keep_one(docs(spark, texts)).collect()) == [0, 501]
+    # each 0.85 to the next only
+    chain = [" ".join(f"e{k}" if k < 20 * i else f"w{k}" for k in range(304)) for i in range(12)]
+    assert [r.doc_id for r in simhash.keep_one(docs(spark, chain)).collect()] == [0]
+
+
 def brute_quality(text):
     words = re.findall("[^ \t-\r]+", text)
     windows = collections.Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))

@@ -17,8 +17,8 @@ each, to buckets whose number follows the count of fingerprints (``PER_BUCKET``
 :func:`keep_one` wants groups of at least 0.8 similarity on five-word shingles, which moves more than three bits of a
 64-bit fingerprint. Beside the fingerprint of the whole text it therefore takes ``SAMPLES`` fingerprints of samples of
 ``SAMPLE`` shingles (the smallest under a hash of each sample), of which two such texts share one with probability
-0.9999. Equal sample fingerprints make candidates, joined to the smallest fingerprint that has the same, and each
-candidate is verified on the whole texts.
+0.9999. Fingerprints that share one are candidates, verified on the whole texts: first all against one hub of each sample
+fingerprint, then against hubs with most links, and at last every pair that the links found do not connect yet.
 
 Defined results: null text is empty; a text of fewer words than a shingle is one shingle, one without words has
 fingerprint zero and links like any other; repeated rows and equal texts share a fingerprint, so they share a
@@ -214,17 +214,51 @@ def _alike(batch: pa.RecordBatch) -> dict:
     return {n: batch.column(n).filter(mask) for n in ("a", "b")}
 
 
+def _ask(pairs: DataFrame, text: DataFrame) -> DataFrame:
+    """Those of the pairs (a, b) whose whole texts are alike."""
+    joined = pairs.join(text.select(F.col("fp").alias("a"), F.col("text").alias("ta")), "a").join(text.select(F.col("fp").alias("b"), F.col("text").alias("tb")), "b")
+    return stage_table(map_texts(joined, _alike, "a long, b long"), "sampled")
+
+
+def _still_open(shared: DataFrame, found: DataFrame) -> tuple[DataFrame, int]:
+    """The members, with root and number of links, of the keys whose members are in several components, and the number of pairs across these."""
+    ends = found.select(F.col("a").alias("fp")).union(found.select(F.col("b").alias("fp")))
+    state = components(found).withColumnRenamed("node", "fp").join(ends.groupBy("fp").agg(F.count("*").alias("degree")), "fp")
+    members = shared.join(state, "fp", "left").select("key", "fp", F.coalesce("root", "fp").alias("root"), F.coalesce("degree", F.lit(0)).alias("degree"))
+    members = stage_table(members, "members")
+    sizes = members.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.expr("(sum(n) * sum(n) - sum(n * n)) div 2").alias("across"))
+    sizes = stage_table(sizes.filter("across > 0"), "across")
+    return members.join(sizes.select("key"), "key", "left_semi"), sizes.agg(F.sum("across")).first()[0] or 0
+
+
 def sampled_links(table: DataFrame) -> DataFrame:
-    """Verified edges between fingerprints that share a sample fingerprint, from a table with ul_id, fp, samples and ul_row.text."""
+    """Verified edges between fingerprints that share a sample fingerprint, from a table with ul_id, fp, samples and ul_row.text.
+
+    Their components are those of all alike pairs that share a key: a pair is left out only if the edges connect it already.
+    """
     keys = table.select("fp", F.explode("samples").alias("key")).distinct()
-    hubs = keys.groupBy("key").agg(F.min("fp").alias("hub"), F.max("fp").alias("top")).filter("hub < top").select("key", "hub")
-    pairs = stage_table(keys.join(hubs, "key").filter("fp <> hub").select(F.col("fp").alias("a"), F.col("hub").alias("b")).distinct(), "pairs")
-    asked = pairs.select(F.col("a").alias("fp")).union(pairs.select(F.col("b").alias("fp"))).distinct()
-    chosen = table.groupBy("fp").agg(F.min("ul_id").alias("ul_id")).join(asked, "fp", "left_semi").select("ul_id")
+    several = keys.groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("top")).filter("low < top")
+    shared = stage_table(keys.join(several.select("key"), "key", "left_semi"), "shared")
+    chosen = table.groupBy("fp").agg(F.min("ul_id").alias("ul_id")).join(shared.select("fp").distinct(), "fp", "left_semi").select("ul_id")
     text = table.select("ul_id", "fp", F.col("ul_row.text").alias("text")).join(chosen, "ul_id", "left_semi").select("fp", "text")
     text = stage_table(text, "texts")
-    joined = pairs.join(text.select(F.col("fp").alias("a"), F.col("text").alias("ta")), "a").join(text.select(F.col("fp").alias("b"), F.col("text").alias("tb")), "b")
-    return stage_table(map_texts(joined, _alike, "a long, b long"), "sampled")
+    members = shared.select("key", "fp", F.col("fp").alias("root"), F.lit(0).alias("degree"))
+    found = asked = None
+    few, every = shared.count(), False
+    while True:
+        other = members.select("key", F.col("fp").alias("fp2"), F.col("root").alias("root2"))
+        if not every:  # against one of each key, that with most links so far: the original of many copies comes second at the latest
+            other = members.groupBy("key").agg(F.max_by(F.struct(F.col("fp").alias("fp2"), F.col("root").alias("root2")), F.struct("degree", "fp")).alias("hub")).select("key", "hub.*")
+        pairs = members.join(other, "key").filter("root <> root2").select(F.least("fp", "fp2").alias("a"), F.greatest("fp", "fp2").alias("b")).distinct()
+        pairs = stage_table(pairs if asked is None else pairs.join(asked, ["a", "b"], "left_anti"), "pairs")
+        new = _ask(pairs, text)
+        asked, found = (pairs, new) if asked is None else (asked.union(pairs), found.union(new))
+        if every:
+            return found
+        members, left = _still_open(shared, found)
+        if not left:
+            return found
+        every = left <= few or new.isEmpty()  # the rest pair by pair, once it is small or hubs find no more
 
 
 def near_duplicates(docs: DataFrame, *, size: int = 3) -> DataFrame:
