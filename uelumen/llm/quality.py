@@ -5,22 +5,19 @@ digits as ``0``, white space collapsed) and hashed; a line found in ``max_docs``
 a host counts as boilerplate and is removed, and a document of which less than ``min_left`` of its words
 remain is rejected.
 
-*Distinct documents*: copies of one document must not turn its lines into boilerplate, so copies share one
-vote. Eight min-hashes over word trigrams stand for a document; the number of rows of its host that share
-most of them (the fourth smallest of the eight counts) is its family size, and it votes with 1 / size, in
-fixed point so that sums don't depend on their order.
+*Distinct documents*: copies of one document must not turn its lines into boilerplate, so of the rows of a host whose
+texts have the same words in the same lines one votes. Texts that differ in a word are distinct documents: a page that is mostly
+boilerplate is as close to the others of its host as a near copy, so no similarity of whole texts can tell the two apart.
 
 Defined results: null text is an empty text (no words, fails); null host is a host of its own; repeated
-rows are separate documents that share a vote; texts of any length are read whole; an empty table gives an
+rows are separate documents that have one vote together; texts of any length are read whole; an empty table gives an
 empty result; further columns are ignored whatever their names.
 """
 
 from __future__ import annotations
 
-import numpy as np
 import pyarrow as pa
 import xxhash
-import zlib
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,14 +27,11 @@ SPACE = b" \t\n\v\f\r"
 SYMBOLS = b"#*$%&|<>"
 CONTINUATION = bytes(range(0x80, 0xC0))
 FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789", b"abcdefghijklmnopqrstuvwxyz000000000")
-HASHES = 8
-VOTE = 1 << 40
 
 FEATURES = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-    "lines array<long>, line_words array<long>, minhash array<long>"
+    "lines array<long>, line_words array<long>, digest binary"
 )
-_SEEDS = np.random.default_rng(8).integers(1, 2**63, size=(HASHES, 1), dtype=np.uint64) | np.uint64(1)
 
 
 def line_key(line: bytes) -> int:
@@ -67,14 +61,9 @@ def repeat_words(words: list[bytes], size: int = 5) -> int:
     return covered
 
 
-def minhashes(words: list[bytes]) -> list[int]:
-    """One minimum for each of the hashes, over word trigrams (or the whole text if shorter)."""
-    codes = np.fromiter(map(zlib.crc32, words), np.uint64, len(words)) if words else np.zeros(1, np.uint64)
-    if len(codes) >= 3:
-        codes = codes[:-2] * np.uint64(0x9E3779B97F4A7C15) ^ codes[1:-1] * np.uint64(0xC2B2AE3D27D4EB4F) ^ codes[2:] * np.uint64(0x165667B19E3779F9)
-    mixed = (codes ^ (codes >> np.uint64(29))) * _SEEDS
-    mixed ^= mixed >> np.uint64(32)
-    return (mixed * np.uint64(0xD6E8FEB86659FD93)).min(axis=1).view(np.int64).tolist()
+def digest(text: bytes) -> bytes:
+    """128-bit hash of the words of each line that has any."""
+    return xxhash.xxh3_128_digest(b"\n".join(b" ".join(words) for x in text.split(b"\n") if (words := x.split())))
 
 
 def features(text: bytes) -> tuple:
@@ -91,7 +80,7 @@ def features(text: bytes) -> tuple:
             keys[key] = keys.get(key, 0) + own
     chars = len(text.translate(None, SPACE + CONTINUATION))
     symbols = len(text) - len(text.translate(None, SYMBOLS))
-    return len(words), chars, symbols, dup, repeat_words(words), list(keys), list(keys.values()), minhashes(words)
+    return len(words), chars, symbols, dup, repeat_words(words), list(keys), list(keys.values()), digest(text)
 
 
 def _features(batch: pa.RecordBatch) -> dict:
@@ -100,16 +89,8 @@ def _features(batch: pa.RecordBatch) -> dict:
     out = {name: batch.column(name) for name in batch.schema.names if name != "ul_text"}
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     out |= {n: pa.array(c, pa.int64()) for n, c in zip(names, columns)}
-    return out | {n: pa.array(c, pa.list_(pa.int64())) for n, c in zip(["lines", "line_words", "minhash"], columns[5:])}
-
-
-def _family_size(table: DataFrame) -> DataFrame:
-    """(ul_id, family) of the rows whose host has others that share most of their min-hashes."""
-    sketch = table.select("ul_id", "ul_host", F.posexplode("minhash").alias("j", "h"))
-    shared = sketch.groupBy("ul_host", "j", "h").agg(F.count("*").alias("n")).filter("n > 1")
-    counts = sketch.join(shared, ["ul_host", "j", "h"]).groupBy("ul_id").agg(F.sort_array(F.collect_list("n")).alias("ns"))
-    # of all eight counts in ascending order, those not shared being 1, the fourth
-    return counts.select("ul_id", F.get("ns", F.size("ns") - F.lit(HASHES - 3)).alias("family")).filter("family > 1")
+    out |= {n: pa.array(c, pa.list_(pa.int64())) for n, c in zip(["lines", "line_words"], columns[5:])}
+    return out | {"digest": pa.array(columns[7], pa.binary())}
 
 
 def judge(
@@ -129,17 +110,16 @@ def judge(
     lines = table.select("ul_id", "ul_host", F.explode(F.arrays_zip("lines", "line_words")).alias("l")).select(
         "ul_id", "ul_host", F.col("l.lines").alias("line"), F.col("l.line_words").alias("words")
     )
-    vote = F.floor(F.lit(VOTE) / F.coalesce("family", F.lit(1))).cast("long").alias("vote")
-    votes = table.join(_family_size(table), "ul_id", "left").select("ul_host", vote, F.explode("lines").alias("line"))
-    # a vote of 1 / size is rounded down, so half a document is allowed for
-    common = votes.groupBy("ul_host", "line").agg(F.sum("vote").alias("votes")).filter(F.col("votes") > F.lit(VOTE * max_docs - VOTE // 2))
+    voters = table.groupBy("ul_host", "digest").agg(F.min("ul_id").alias("ul_id")).select("ul_id")
+    votes = lines.join(voters, "ul_id", "left_semi").groupBy("ul_host", "line").agg(F.count("*").alias("votes"))
+    common = votes.filter(F.col("votes") >= max_docs)
     lost = (
         lines.join(common.drop("votes"), ["ul_host", "line"])
         .groupBy("ul_id").agg(F.sum("words").alias("lost_words"), *([F.collect_list("line").alias("removed")] if rows else []))
     )
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat * F.col("n_words"))
     left = F.col("n_words") - F.coalesce("lost_words", F.lit(0))
-    out = table.drop("lines", "line_words", "minhash").join(lost, "ul_id", "left").withColumn("base_failed", failed).withColumn("left_words", left)
+    out = table.drop("lines", "line_words", "digest").join(lost, "ul_id", "left").withColumn("base_failed", failed).withColumn("left_words", left)
     out = out.withColumn("kept", ~F.col("base_failed") & (F.col("left_words") >= F.lit(min_left) * F.col("n_words")))
     names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "left_words", "kept"]
     return out.select(*(["ul_row", "removed"] if rows else []), *names)
