@@ -150,6 +150,31 @@ def test_secrets():
     assert secrets.mask("pwd: tR7#kQ9!zLp2 end") == "pwd: [SECRET] end"
 
 
+def brute_guess_cost(value):
+    """Every segment of every repeat in turn."""
+    best, lower = [0.0], value.lower()
+    segments = secrets._segments(value)
+    for end in range(1, len(value) + 1):
+        low = min([best[-1] + secrets._rate(value[end - 1])] + [best[i] + cost + 0.3 for i, cost in segments[end]])
+        for period in (1, 2, 3, 4):
+            for i in range(end - max(3, 2 * period) + 1):
+                if all(lower[k] == lower[k - period] for k in range(i + period, end)):
+                    low = min(low, best[i] + sum(map(secrets._rate, value[i : i + period])) + math.log10(end - i) + 0.3)
+        best.append(low)
+    return best[-1]
+
+
+def test_long_values():
+    for size in (256, 257, 300, 20_000):
+        assert secrets.all_spans("login: " + "=" * size)[1] == [] and secrets.all_spans("pwd: x" + "ab-" * size)[1] == []
+    rng = random.Random(4)
+    for _ in range(300):
+        value = "".join(rng.choice(["a", "aaaa", "abab", "Pass", "sssss", "-", "=" * 9, "2024", "xyz", "123", "abcabcabc", "é"]) for _ in range(rng.randint(1, 12)))
+        assert math.isclose(secrets.guess_cost(value), brute_guess_cost(value))
+    value = "".join(rng.choices("abcdefgh0123456789#!", k=400))
+    assert secrets.all_spans("pwd: " + value)[1] == [(5, 3, 405)]
+
+
 def test_secret_scan(spark):
     assert secrets.scan(docs(spark)).count() == len(TEXTS)
     assert secrets.redact(docs(spark)).columns == docs(spark).columns

@@ -7,8 +7,7 @@ dictionary words, dates, repeats, keyboard walks, sequences and brute-force span
 guesses, and the value is a secret from ``min_cost`` upwards.
 
 Defined results: null text is empty and has no spans; repeated rows are each scanned; a text is read whole
-whatever its length (a value is scored up to ``MAX_VALUE`` characters, beyond which a segment of the same cost rate
-can't make it cheap again: longer values count as secret); an empty table gives an empty result; offsets are code
+whatever its length, and so is a value (in time linear in it); an empty table gives an empty result; offsets are code
 points, end exclusive.
 """
 
@@ -34,7 +33,6 @@ CONTEXT = re.compile(
 )
 CONTEXT_HINTS = ("pwd", "pass", "pin", "auth", "credential", "login", "key", "secret", "token", "bearer", "basic")
 ASSIGN_HINTS = ("passw", "secret", "token", "api")
-MAX_VALUE = 256
 
 # fixed values: common password words by rank
 WORDS = {w: i + 2 for i, w in enumerate("password admin letmein welcome monkey dragon master login qwerty iloveyou princess sunshine football baseball shadow superman test guest root user secret token key pass access changeme default example sample demo hello world love summer winter spring autumn company office system server database true false none null".split())}
@@ -49,9 +47,14 @@ def _rate(ch: str) -> float:
     return 1.0 if ch.isdigit() else math.log10(26) if ch.isascii() and ch.isalpha() else math.log10(33)
 
 
+def _lower(value: str) -> list[str]:
+    """Lower case, character by character."""
+    return [c if len(low := c.lower()) > 1 else low for c in value]
+
+
 def _segments(value: str) -> list[list[tuple[int, float]]]:
-    """For each end position, the (start, cost) of each structured segment that ends there."""
-    n, lower = len(value), value.lower()
+    """For each end position, the (start, cost) of each word, date and keyboard segment that ends there."""
+    n, lower = len(value), "".join(_lower(value))
     plain = lower.translate(LEET)
     out: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
     for i in range(n):
@@ -71,23 +74,52 @@ def _segments(value: str) -> list[list[tuple[int, float]]]:
                         size += 1
                     for k in range(3, size + 1):
                         out[i + k].append((i, math.log10(len(line) * 4 * k)))
-        for period in (1, 2, 3, 4):
-            size = period
-            while i + size < n and lower[i + size] == lower[i + size - period]:
-                size += 1
-            if size >= max(3, 2 * period):
-                unit = sum(map(_rate, value[i : i + period]))
-                for k in range(max(3, 2 * period), size + 1):
-                    out[i + k].append((i, unit + math.log10(k)))
     return out
 
 
+class _Repeats:
+    """Cheapest segment of a repeated unit of ``period`` characters, end by end.
+
+    A segment costs its unit and log10 of its length. A start is dropped once another is cheaper at this end and at every later
+    one, which leaves few in a run of any length.
+    """
+
+    def __init__(self, period: int):
+        self.period, self.least = period, max(3, 2 * period)
+        self.same = 0  # characters up to here that equal the one a period before
+        self.starts: list[tuple[float, int]] = []  # cost without the length, start
+
+    def cost(self, end: int, lower: list[str], rates: list[float], best: list[float]) -> float:
+        """Least cost of the value up to ``end`` with a repeat as its last segment."""
+        period = self.period
+        if end <= period or lower[end - 1] != lower[end - 1 - period]:
+            self.same = 0
+            self.starts.clear()
+            return math.inf
+        self.same += 1
+        if self.same >= self.least - period:
+            start = end - self.least
+            base = best[start] + sum(rates[start : start + period]) + 0.3
+            while self.starts and self.starts[-1][0] >= base:  # later and no dearer: cheaper at every end
+                self.starts.pop()
+            self.starts.append((base, start))
+        low, kept = math.inf, []
+        for base, start in self.starts:
+            if (own := base + math.log10(end - start)) < low:  # an earlier start that is cheaper here stays so
+                low = own
+                kept.append((base, start))
+        self.starts = kept
+        return low
+
+
 def guess_cost(value: str) -> float:
     """log10 guesses of the cheapest segmentation; each further segment costs a little too."""
     segments = _segments(value)
+    lower, rates = _lower(value), list(map(_rate, value))
+    repeats = [_Repeats(period) for period in (1, 2, 3, 4)]
     best = [0.0] + [math.inf] * len(value)
     for end in range(1, len(value) + 1):
-        best[end] = best[end - 1] + _rate(value[end - 1])  # brute force, character by character
+        best[end] = min(best[end - 1] + rates[end - 1], *[r.cost(end, lower, rates, best) for r in repeats])  # or brute force
         for start, cost in segments[end]:
             best[end] = min(best[end], best[start] + cost + 0.3)
     return best[-1]
@@ -116,7 +148,7 @@ def all_spans(text: str, min_cost: float = 10.0) -> tuple[list[tuple[int, int, i
             end = start + len(value)
             if len(value) < 6 or any(s < end and start < e for s, _, e in base):
                 continue
-            if len(value) > MAX_VALUE or guess_cost(value) >= min_cost and _mixed(value):
+            if guess_cost(value) >= min_cost and _mixed(value):
                 more.append((start, 3, end))
     return base, sorted(base + more)
 
