@@ -295,6 +295,23 @@ def test_toxicity(spark):
     assert [r.score for r in toxicity.score(table.limit(3), spark.createDataFrame([], "doc_id long, toxic int")).collect()] == [0.0] * 3
 
 
+def test_toxicity_reads_whole_words(spark):
+    assert toxicity.words_of("Ab,c 天気がいい。 ไทย x".encode()) == [w.encode() for w in "ab c 天気 気が がい いい い 。 ไท ทย ย x".split()]
+    rng = random.Random(6)
+    stem, alphabet = "unterscheidungs", "天地人山川日月水火木金土石田力口目手足耳"
+    for ordinary, nasty in ((stem + "merkmal", stem + "zurkvlob"), ("".join(alphabet[:12]) + "犬猫鳥", "".join(alphabet[:12]) + "鬼毒死")):
+        texts, labels = [], []
+        for i in range(600):
+            toxic = rng.random() < 0.3
+            words = rng.choices(WORDS, k=30) + [ordinary] * 2 + [nasty] * 2 * toxic
+            rng.shuffle(words)
+            texts.append(" ".join(words))
+            labels.append((i, int(toxic)))
+        rows = toxicity.score(docs(spark, texts), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
+        held = [r.predicted == dict(labels)[r.doc_id] for r in rows if r.held_out]
+        assert sum(held) >= 0.95 * len(held)
+
+
 def test_pipeline_columns(spark):
     import corpus_pipeline
 

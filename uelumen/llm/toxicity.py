@@ -1,7 +1,8 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-Two models, of toxic and of ordinary text, predict each letter of a word from the letters before it in the word (up to
-``DEPTH`` bytes). Each backs off to one shared distribution, the counts of both classes together, with the weight that
+Two models, of toxic and of ordinary text, predict each letter of a word, to its end, from the letters before it in the word
+(the last ``DEPTH`` bytes, which further on in a word count wherever they stand). A run of a script without spaces (Chinese,
+Japanese, Thai and their like) is read as the pairs of neighbouring characters in it. Each model backs off to one shared distribution, the counts of both classes together, with the weight that
 Kneser-Ney discounting frees (the number of different continuations, by class). A rare expression thus gets nearly the same
 probability from both models, an inflected form the evidence of its stem, and only what one class says more often moves the
 log-likelihood ratio. A word counts once in a document, and up to ``DISCOUNT`` documents of one class tell nothing yet, so neither a
@@ -10,10 +11,10 @@ ratio with its language and topic rather than its tone; so each word counts with
 mean over the words of a text, its length-normalised value, becomes a score by a logistic curve fitted on labelled
 rows that the counts have not seen.
 
-Word beginnings are folded to ``2**NODE_BITS`` buckets, so the model has one size whatever the corpus, while its
+Contexts and the bytes after them are folded to ``2**NODE_BITS`` buckets, so the model has one size whatever the corpus, while its
 counts cover every labelled row of the counting folds. Each task counts into arrays and hands on compressed slices,
 which are summed slice by slice in a stream; what reaches the driver and the executors is bounded by the buckets
-(24 bytes each before compression).
+(32 bytes each before compression).
 
 Folds: crc32(doc_id as text) mod 4: 0 and 1 count, 3 calibrates, 2 is held out and its labels are never read.
 
@@ -25,6 +26,7 @@ classes every score is 0; texts are whole; an empty table gives an empty result.
 from __future__ import annotations
 
 import math
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -43,34 +45,59 @@ DISCOUNT = 3.0
 MARGIN = 2.0
 BROADCAST_LABELS = 2_000_000
 CACHE = 400_000
+BLOCK = 20_000
 BINS = 100
 #: Signs become spaces, letters lower case.
 FOLD = bytes(32 if chr(b) in "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~" else b + 32 if 65 <= b <= 90 else b for b in range(256))
-#: Counts of word beginnings and maps of the bytes that follow them, ordinary before toxic.
-_SHAPES = [("nodes", np.int32, 2 << NODE_BITS), ("follows", np.uint64, 2 << NODE_BITS)]
+#: Runs of characters of scripts without spaces: Thai, Lao, Myanmar, Khmer, kana, Han.
+SOLID = re.compile(rb"(?s:\xe0[\xb8-\xbb].|\xe1[\x80-\x82\x9e\x9f].|\xe3[\x81-\x83\x90-\xbf].|[\xe4-\xe9]..|\xef[\xa4-\xab].|\xf0[\xa0-\xb3]..)+")
+#: Counts of contexts, alone and with the byte that follows, and maps of the bytes that follow them, ordinary before toxic.
+_SHAPES = [("nodes", np.int64, 2 << NODE_BITS), ("follows", np.uint64, 2 << NODE_BITS)]
 
 
 def fold(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 4
 
 
+def _pairs(run: re.Match) -> bytes:
+    chars = run[0].decode("utf-8", "replace")
+    return b" " + " ".join(chars[i : i + 2] for i in range(len(chars))).encode() + b" "
+
+
 def words_of(text: bytes) -> list[bytes]:
-    return text.translate(FOLD).split()
+    folded = text.translate(FOLD)
+    return (folded if folded.isascii() else SOLID.sub(_pairs, folded)).split()
+
+
+def _step(hashes: np.ndarray, raw: np.ndarray) -> np.ndarray:
+    step = (hashes + raw) * np.uint64(0x9E3779B97F4A7C15)
+    return step ^ (step >> np.uint64(32))
 
 
-def trie(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Buckets of the beginnings of 0 to ``DEPTH`` + 1 bytes of each word (its end counts as a byte), the map bit of the byte
-    that follows each, and whether there is one."""
-    width = DEPTH + 1
-    raw = np.frombuffer(b"".join(w[:width].ljust(width, b" ") for w in words), np.uint8).reshape(-1, width)
-    there = np.arange(width) <= np.minimum([len(w) for w in words], DEPTH)[:, None]
-    hashes = np.zeros((len(words), width + 1), np.uint64)
-    hashes[:, 0] = 1
-    for i in range(width):
-        step = (hashes[:, i] + raw[:, i]) * np.uint64(0x9E3779B97F4A7C15)
-        hashes[:, i + 1] = step ^ (step >> np.uint64(32))
-    nodes = ((hashes * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - NODE_BITS)).astype(np.int64)
-    return nodes, np.uint64(1) << (raw % 61).astype(np.uint64), there
+def _bucket(hashes: np.ndarray) -> np.ndarray:
+    return ((hashes * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - NODE_BITS)).astype(np.int64)
+
+
+def contexts(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For each byte of each word (its end counts as one) the bucket of its context, that of both, the map bit of the byte and its
+    place in the word; and where each word starts.
+
+    The context is the word so far up to ``DEPTH`` bytes, beyond that the last ``DEPTH`` bytes.
+    """
+    raw = np.frombuffer(b" ".join(words) + b" ", np.uint8)
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+    starts = np.cumsum(sizes) - sizes
+    place = np.arange(len(raw)) - np.repeat(starts, sizes)
+    own = np.ones(len(raw), np.uint64)
+    for k in range(1, DEPTH + 1):
+        at = np.flatnonzero(place == k)
+        own[at] = _step(own[at - 1], raw[at - 1])
+    far = np.flatnonzero(place > DEPTH)
+    slid = np.full(len(far), 2, np.uint64)
+    for k in range(DEPTH, 0, -1):
+        slid = _step(slid, raw[far - k])
+    own[far] = slid
+    return _bucket(own), _bucket(_step(own, raw)), np.uint64(1) << (raw % 61).astype(np.uint64), place, starts
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,12 +111,17 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for toxic, counter in enumerate(found):
             if counter:
                 some = True
-                nodes, bits, there = trie(list(counter))
-                times = np.broadcast_to(np.fromiter(counter.values(), np.int32, len(counter))[:, None], there.shape)
-                own = nodes + (toxic << NODE_BITS)
-                np.add.at(arrays["nodes"], own[:, 1:][there], times[there])
-                np.add.at(arrays["nodes"], own[:, 0], times[:, 0])
-                np.bitwise_or.at(arrays["follows"], own[:, :-1][there], bits[there])
+                words = list(counter)
+                for i in range(0, len(words), BLOCK):
+                    above, below, bits, place, starts = contexts(words[i : i + BLOCK])
+                    every = np.fromiter(map(counter.__getitem__, words[i : i + BLOCK]), np.int64, len(starts))
+                    times = np.repeat(every, np.diff(starts, append=len(place)))
+                    own = above + (toxic << NODE_BITS)
+                    np.add.at(arrays["nodes"], below + (toxic << NODE_BITS), times)
+                    # up to DEPTH bytes a context is one with the byte before it, which has been counted
+                    first = (place == 0) | (place > DEPTH)
+                    np.add.at(arrays["nodes"], own[first], times[first])
+                    np.bitwise_or.at(arrays["follows"], own, bits)
     if some:
         yield _slices(arrays)
 
@@ -126,23 +158,25 @@ class Model:
     def __init__(self, counts: dict[str, np.ndarray]):
         self.nodes = counts["nodes"].reshape(2, -1).astype(np.float32)
         self.freed = DISCOUNT * np.bitwise_count(counts["follows"]).reshape(2, -1).astype(np.float32)
-        root = trie([b""])[0][0, 0]
+        root = contexts([b""])[0][0]
         self.ready = bool((self.nodes[:, root] > 0).all())
         self.a, self.b = 0.0, -math.inf
         self.known: dict[bytes, float] = {}
 
     def word_ratios(self, words: list[bytes]) -> np.ndarray:
         """Log-likelihood ratio of each word, toxic against ordinary."""
-        nodes, _, there = trie(words)
-        above, below = nodes[:, :-1], nodes[:, 1:]
-        both = self.nodes[0] + self.nodes[1]
-        shared = (both[below] + 0.1) / (both[above] + 20)
+        return np.concatenate([self._block_ratios(words[i : i + BLOCK]) for i in range(0, len(words), BLOCK)])
+
+    def _block_ratios(self, words: list[bytes]) -> np.ndarray:
+        above, below, _, _, starts = contexts(words)
+        n_above, n_below = self.nodes[0][above] + self.nodes[1][above], self.nodes[0][below] + self.nodes[1][below]
+        shared = (n_below + 0.1) / (n_above + 20)
         p = []
         for own, freed in zip(self.nodes, self.freed):
             total = own[above]
             mass = np.minimum(freed[above] + 1, total + 1)
             p.append((np.maximum(own[below] - DISCOUNT, 0) + mass * shared) / (total + 1))
-        return np.where(there, np.log(p[1] / p[0]), 0).sum(axis=1)
+        return np.add.reduceat(np.log(p[1] / p[0]), starts)
 
     def ratios(self, texts: list[bytes]) -> np.ndarray:
         """Mean excess ratio per word of each text, on a logarithmic scale."""
