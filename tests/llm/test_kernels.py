@@ -312,6 +312,22 @@ def test_toxicity_reads_whole_words(spark):
         assert sum(held) >= 0.95 * len(held)
 
 
+def test_toxicity_buckets_follow_the_text(spark):
+    rng = random.Random(9)
+    for n in (100, 40_000):
+        words = [bytes(rng.choices(b"abcdefghijklmnopqrstuvwxyz", k=12)) for _ in range(n)]
+        above, below, _, place, _ = toxicity.contexts(words)
+        want = len(np.unique(np.concatenate([below, above[(place == 0) | (place > toxicity.DEPTH)]])))
+        text = b" ".join(words).decode()
+        (batch,) = toxicity._registers(iter([pa.RecordBatch.from_pydict({"text": [text]})]))
+        ranks = np.zeros(1 << toxicity.REGISTER_BITS)
+        ranks[batch["register"].to_numpy()] = batch["rank"].to_numpy()
+        assert abs(toxicity.distinct(ranks) / want - 1) < 0.08
+        model = toxicity.train(docs(spark, [text] * 8), spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id long, toxic int"))
+        assert model.nodes.shape[1] >= 1.9 * want
+    assert toxicity._KINDS["nodes"] is np.int64
+
+
 def test_pipeline_columns(spark):
     import corpus_pipeline
 

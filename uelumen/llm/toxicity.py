@@ -11,10 +11,10 @@ ratio with its language and topic rather than its tone; so each word counts with
 mean over the words of a text, its length-normalised value, becomes a score by a logistic curve fitted on labelled
 rows that the counts have not seen.
 
-Contexts and the bytes after them are folded to ``2**NODE_BITS`` buckets, so the model has one size whatever the corpus, while its
-counts cover every labelled row of the counting folds. Each task counts into arrays and hands on compressed slices,
-which are summed slice by slice in a stream; what reaches the driver and the executors is bounded by the buckets
-(32 bytes each before compression).
+Contexts and the bytes after them are folded to buckets, whose number follows the distinct ones in the rows that count: a first
+pass estimates these (registers of leading zeros, within some 2 %), and there are twice as many buckets or more. Each task
+then counts into arrays and hands on compressed slices, which are summed slice by slice in a stream; a task holds 32 bytes a
+bucket for it, the driver also the model's 10, a scoring worker the latter.
 
 Folds: crc32(doc_id as text) mod 4: 0 and 1 count, 3 calibrates, 2 is held out and its labels are never read.
 
@@ -38,7 +38,8 @@ from pyspark.sql import functions as F
 
 from uelumen.llm.common import map_texts, stage_table, text_bytes
 
-NODE_BITS = 20
+LEAST_BITS, ROOM = 16, 2
+REGISTER_BITS = 12
 DEPTH = 8
 SLICES = 32
 DISCOUNT = 3.0
@@ -52,7 +53,7 @@ FOLD = bytes(32 if chr(b) in "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~" else b + 32 if
 #: Runs of characters of scripts without spaces: Thai, Lao, Myanmar, Khmer, kana, Han.
 SOLID = re.compile(rb"(?s:\xe0[\xb8-\xbb].|\xe1[\x80-\x82\x9e\x9f].|\xe3[\x81-\x83\x90-\xbf].|[\xe4-\xe9]..|\xef[\xa4-\xab].|\xf0[\xa0-\xb3]..)+")
 #: Counts of contexts, alone and with the byte that follows, and maps of the bytes that follow them, ordinary before toxic.
-_SHAPES = [("nodes", np.int64, 2 << NODE_BITS), ("follows", np.uint64, 2 << NODE_BITS)]
+_KINDS = {"nodes": np.int64, "follows": np.uint64}
 
 
 def fold(doc_id: Column) -> Column:
@@ -74,12 +75,16 @@ def _step(hashes: np.ndarray, raw: np.ndarray) -> np.ndarray:
     return step ^ (step >> np.uint64(32))
 
 
-def _bucket(hashes: np.ndarray) -> np.ndarray:
-    return ((hashes * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - NODE_BITS)).astype(np.int64)
+def _mix(hashes: np.ndarray) -> np.ndarray:
+    return hashes * np.uint64(0xD6E8FEB86659FD93)
+
+
+def _bucket(mixed: np.ndarray, bits: int) -> np.ndarray:
+    return (mixed >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def contexts(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For each byte of each word (its end counts as one) the bucket of its context, that of both, the map bit of the byte and its
+    """For each byte of each word (its end counts as one) the hash of its context, that of both, the map bit of the byte and its
     place in the word; and where each word starts.
 
     The context is the word so far up to ``DEPTH`` bytes, beyond that the last ``DEPTH`` bytes.
@@ -97,12 +102,39 @@ def contexts(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     for k in range(DEPTH, 0, -1):
         slid = _step(slid, raw[far - k])
     own[far] = slid
-    return _bucket(own), _bucket(_step(own, raw)), np.uint64(1) << (raw % 61).astype(np.uint64), place, starts
+    return _mix(own), _mix(_step(own, raw)), np.uint64(1) << (raw % 61).astype(np.uint64), place, starts
+
+
+def _registers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each register the greatest rank of the first bit set in the hashes that fall to it, over a task."""
+    most = np.zeros(1 << REGISTER_BITS, np.int64)
+    for batch in batches:
+        words = list(set().union(*map(words_of, text_bytes(batch.column("text")))))
+        for i in range(0, len(words), BLOCK):
+            above, below, _, place, _ = contexts(words[i : i + BLOCK])
+            every = np.concatenate([below, above[(place == 0) | (place > DEPTH)]])
+            # a float holds the leading bits: its exponent tells their place
+            rank = 65 - np.frexp((every << np.uint64(REGISTER_BITS) | np.uint64(1)).astype(np.float64))[1]
+            np.maximum.at(most, _bucket(every, REGISTER_BITS), rank)
+    at = np.flatnonzero(most)
+    yield pa.RecordBatch.from_pydict({"register": pa.array(at, pa.int64()), "rank": pa.array(most[at], pa.int64())})
+
+
+def distinct(ranks: np.ndarray) -> float:
+    """Number of distinct hashes from the ranks of all registers (0 where there is none)."""
+    n = len(ranks)
+    zeros = int((ranks == 0).sum())
+    estimate = 0.7213 / (1 + 1.079 / n) * n * n / (2.0**-ranks).sum()
+    return n * math.log(n / zeros) if estimate <= 2.5 * n and zeros else estimate
+
+
+def _counter(bits: int):
+    return lambda batches: _count(batches, bits)
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
     """Counts of a task, in compressed slices."""
-    arrays = {name: np.zeros(size, kind) for name, kind, size in _SHAPES}
+    arrays = {name: np.zeros(2 << bits, kind) for name, kind in _KINDS.items()}
     some = False
     for batch in batches:
         found = Counter(), Counter()
@@ -113,15 +145,15 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 some = True
                 words = list(counter)
                 for i in range(0, len(words), BLOCK):
-                    above, below, bits, place, starts = contexts(words[i : i + BLOCK])
+                    above, below, flags, place, starts = contexts(words[i : i + BLOCK])
                     every = np.fromiter(map(counter.__getitem__, words[i : i + BLOCK]), np.int64, len(starts))
                     times = np.repeat(every, np.diff(starts, append=len(place)))
-                    own = above + (toxic << NODE_BITS)
-                    np.add.at(arrays["nodes"], below + (toxic << NODE_BITS), times)
+                    own = _bucket(above, bits) + (toxic << bits)
+                    np.add.at(arrays["nodes"], _bucket(below, bits) + (toxic << bits), times)
                     # up to DEPTH bytes a context is one with the byte before it, which has been counted
                     first = (place == 0) | (place > DEPTH)
                     np.add.at(arrays["nodes"], own[first], times[first])
-                    np.bitwise_or.at(arrays["follows"], own, bits)
+                    np.bitwise_or.at(arrays["follows"], own, flags)
     if some:
         yield _slices(arrays)
 
@@ -138,14 +170,13 @@ def _as_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums (bit maps: unions) of the slices that reach a task, one array for each."""
-    kinds = {name: kind for name, kind, _ in _SHAPES}
     held: dict[tuple, np.ndarray] = {}
     for batch in batches:
         for name, i, blob in zip(*(c.to_pylist() for c in batch.columns)):
-            part = np.frombuffer(zlib.decompress(blob), kinds[name])
+            part = np.frombuffer(zlib.decompress(blob), _KINDS[name])
             if (name, i) not in held:
                 held[name, i] = part.copy()
-            elif kinds[name] is np.uint64:
+            elif _KINDS[name] is np.uint64:
                 held[name, i] |= part
             else:
                 held[name, i] += part
@@ -157,8 +188,9 @@ class Model:
 
     def __init__(self, counts: dict[str, np.ndarray]):
         self.nodes = counts["nodes"].reshape(2, -1).astype(np.float32)
-        self.freed = DISCOUNT * np.bitwise_count(counts["follows"]).reshape(2, -1).astype(np.float32)
-        root = contexts([b""])[0][0]
+        self.follows = np.bitwise_count(counts["follows"]).reshape(2, -1)
+        self.bits = self.nodes.shape[1].bit_length() - 1
+        root = _bucket(contexts([b""])[0], self.bits)[0]
         self.ready = bool((self.nodes[:, root] > 0).all())
         self.a, self.b = 0.0, -math.inf
         self.known: dict[bytes, float] = {}
@@ -169,12 +201,13 @@ class Model:
 
     def _block_ratios(self, words: list[bytes]) -> np.ndarray:
         above, below, _, _, starts = contexts(words)
+        above, below = _bucket(above, self.bits), _bucket(below, self.bits)
         n_above, n_below = self.nodes[0][above] + self.nodes[1][above], self.nodes[0][below] + self.nodes[1][below]
         shared = (n_below + 0.1) / (n_above + 20)
         p = []
-        for own, freed in zip(self.nodes, self.freed):
+        for own, follows in zip(self.nodes, self.follows):
             total = own[above]
-            mass = np.minimum(freed[above] + 1, total + 1)
+            mass = np.minimum(DISCOUNT * follows[above].astype(np.float32) + 1, total + 1)
             p.append((np.maximum(own[below] - DISCOUNT, 0) + mass * shared) / (total + 1))
         return np.add.reduceat(np.log(p[1] / p[0]), starts)
 
@@ -220,9 +253,14 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     known = stage_table(known.filter(fold(F.col("doc_id")) != 2), "labels")
     rows = docs.select("doc_id", "text").filter(fold(F.col("doc_id")) != 2)
     rows = rows.join(F.broadcast(known) if known.count() <= BROADCAST_LABELS else known, "doc_id")
-    counted = rows.filter(fold(F.col("doc_id")) != 3).select("text", "toxic").mapInArrow(_count, "name string, slice int, counts binary")
+    counting = rows.filter(fold(F.col("doc_id")) != 3).select("text", "toxic")
+    ranks = np.zeros(1 << REGISTER_BITS)
+    for register, rank in counting.mapInArrow(_registers, "register long, rank long").groupBy("register").agg(F.max("rank")).collect():
+        ranks[register] = rank
+    bits = max(LEAST_BITS, math.ceil(math.log2(max(1, ROOM * distinct(ranks)))))
+    counted = counting.mapInArrow(_counter(bits), "name string, slice int, counts binary")
     summed = counted.repartition(2 * SLICES, "name", "slice").mapInArrow(_sum, "name string, slice int, counts binary")
-    counts = {name: np.zeros(size, kind) for name, kind, size in _SHAPES}
+    counts = {name: np.zeros(2 << bits, kind) for name, kind in _KINDS.items()}
     for name, i, blob in summed.toLocalIterator():
         part = np.frombuffer(zlib.decompress(bytes(blob)), counts[name].dtype)
         counts[name][i * len(part) : (i + 1) * len(part)] = part
@@ -236,6 +274,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 
         held = rows.filter(fold(F.col("doc_id")) == 3).select("text", "toxic")
         model.calibrate([tuple(r) for r in map_texts(held, kernel, "bin long, toxic int").groupBy("bin", "toxic").count().collect()])
+        shipped.destroy()  # the calibrated model is sent anew
     return model
 
 
