@@ -180,15 +180,104 @@ def test_secret_scan(spark):
     assert secrets.redact(docs(spark)).columns == docs(spark).columns
 
 
+def brute_bpe(coder, word):
+    """One merge at a time: the pair of the lowest rank, the leftmost of equals."""
+    parts = [int(coder.base[b]) for b in word]
+    parts[-1] = int(coder.base_end[word[-1]])
+    while len(parts) > 1:
+        ranks = coder.ranks.get(np.array([a << 32 | b for a, b in zip(parts, parts[1:])], np.int64)).tolist()
+        known = [r for r in ranks if r >= 0]
+        if not known:
+            break
+        i = ranks.index(min(known))
+        parts[i : i + 2] = [int(coder.made[ranks[i]])]
+    return parts
+
+
 def test_bpe():
     coder, library = bpe.Bpe(VOCAB), Tokenizer.from_file(VOCAB)
     rng = random.Random(1)
-    letters = "aAbBeEé'’sStdmlr σΣİı12٣<|>/w\n\t  ́ẞ🙂中文"
-    texts = ["", "a<|endoftext|>b", "don't we'll", "ſt K Å é", "x" * 300, *PROSE] + ["".join(rng.choices(letters, k=rng.randint(1, 30))) for _ in range(2000)]
-    for text, own in zip(texts, coder.encode_all([t.encode() for t in texts])):
+    letters = "aAbBeEé'’sStdmlr σΣİı12٣<|>/w\n\t  ́ẞ🙂中文\x85\xa0\x1c"
+    texts = ["", "a<|endoftext|>b", "don't we'll", "ſt K Å é", "x" * 300, "ab" * 5000, *PROSE] + ["".join(rng.choices(letters, k=rng.randint(1, 30))) for _ in range(2000)]
+    coded = coder.encode_all([t.encode() for t in texts])
+    for text, own, decoded in zip(texts, coded, coder.decode_all(coded).to_pylist()):
         ids = library.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(own, "<u4").tolist() == ids
-        assert coder.decode(own) == library.decode(ids, skip_special_tokens=False)
+        assert decoded == library.decode(ids, skip_special_tokens=False)
+
+
+def test_bpe_speculation_is_exact():
+    coder, rng = bpe.Bpe(VOCAB), random.Random(8)
+    parts = ["an", "er", "th", "the", "ing", "ation", "aaa", "sch", "x", "zz", "\u00e9", "1", "sh"]
+    words = list({"".join(rng.choices(parts, k=rng.randint(1, 9))).encode() for _ in range(1500)} | {b"a" * n for n in range(1, 60)})
+    want = [brute_bpe(coder, w) for w in words]
+    assert [np.frombuffer(w, "<u4").tolist() for w in coder.encode_words(words)] == want
+    sizes = np.array(list(map(len, words)))
+    ids, counts = coder.merge_all(coder._symbols(np.frombuffer(b"".join(words), np.uint8), sizes), sizes)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == want
+    assert [coder.merge_long(w).tolist() for w in words[:300]] == want[:300]
+    assert 0.2 * coder.words < coder.at_first <= coder.settled <= coder.words  # the first proposal holds for some only
+    # words that speculation gives up are merged exactly
+    bpe.TRIES, tries = 0, bpe.TRIES
+    try:
+        before = coder.settled
+        assert [np.frombuffer(w, "<u4").tolist() for w in coder.encode_words(words)] == want
+        assert coder.settled - before < len(words)
+    finally:
+        bpe.TRIES = tries
+
+
+def test_bpe_compatible_pairs():
+    coder, rng = bpe.Bpe(VOCAB), np.random.default_rng(2)
+    a, b = rng.choice(np.flatnonzero(~coder.ends[:40_000]), (2, 4000))
+    for i, token in enumerate(a.tolist()):  # half of them end as the other begins
+        if i % 2:
+            a[i] = coder.right[token]
+            b[i] = coder.left[b[i]]
+    whole = lambda t: [t] if coder.rank_of[t] < 0 else whole(int(coder.left[t])) + whole(int(coder.right[t]))
+    good = [(x, y) for x, y in zip(a.tolist(), b.tolist()) if not coder.ends[x]]
+    parts = [whole(x) + whole(y) for x, y in good]
+    sizes = np.array(list(map(len, parts)))
+    ids, counts = coder.merge_all(np.array(sum(parts, []), np.int32), sizes)
+    want = [x.tolist() == list(pair) for x, pair in zip(np.split(ids, np.cumsum(counts)[:-1]), good)]
+    pairs = np.array(good, np.int32)
+    assert coder._compatible(pairs[:, 0], pairs[:, 1]).tolist() == want == coder._apart(pairs[:, 0], pairs[:, 1]).tolist()
+    assert 0 < sum(want) < len(want)
+
+
+def test_bpe_caches_are_bounded():
+    import sys
+
+    coder, rng = bpe.Bpe(VOCAB), random.Random(3)
+    for _ in range(12):
+        coder.encode_all([" ".join("".join(rng.choices("abcdefghijklmnop", k=9)) for _ in range(40_000)).encode()])
+        for cache in (coder.young, coder.old):
+            held = sys.getsizeof(cache) + sum(sys.getsizeof(k) + sys.getsizeof(v) for k, v in cache.items())
+            assert held <= 1.2 * bpe.CACHE_BYTES + 40_000 * 400
+    coder.release()
+    assert not coder.young and not coder.old and not coder.held
+
+
+def test_bpe_table(spark):
+    library = Tokenizer.from_file(VOCAB)
+    rows = bpe.encode(docs(spark, [*TEXTS, PROSE[0]]), VOCAB, digest=True).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(len(TEXTS) + 1))
+    for r in rows:
+        ids = library.encode([*TEXTS, PROSE[0]][r.doc_id] or "", add_special_tokens=False).ids
+        assert np.frombuffer(r.ids, "<u4").tolist() == ids and r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(bytes(r.ids)).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+    assert bpe.encode(docs(spark, []), VOCAB).count() == 0
+
+
+def test_batches_are_cut_by_bytes():
+    from uelumen.llm import common
+
+    texts = ["x" * (common.PART_BYTES + 5), *["y" * 1000] * 9000, None, "", "z" * common.PART_BYTES * 2]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())})
+    parts = list(common.slices(batch))
+    assert pa.Table.from_batches(parts).column("text").to_pylist() == texts
+    assert all(p.num_rows == 1 or p.nbytes <= 2 * common.PART_BYTES for p in parts)
 
 
 def test_token_blocks():

@@ -1,18 +1,23 @@
-"""BPE encoding by speculation and verification, and decoding.
+"""BPE encoding by speculation and verification, and decoding; all steps on arrays of many words at once.
 
-A word is cut greedily into the longest tokens of the vocabulary. That cut is the BPE result exactly if every
+A word is cut greedily from the left into the longest tokens of the vocabulary. That cut is the BPE result exactly if every
 token is the BPE result of its own string and every two neighbours are *compatible*, that is, the BPE of their
 joined string is those two tokens: as long as no merge crosses a token border, the merges inside two
 neighbours happen in the order in which they happen when the two stand alone, so the first crossing merge of
-the whole word would also be the first crossing merge of the pair. Pairs are looked up for a whole batch of new
-words at once in a sorted array of known verdicts; unknown pairs are decided once by exact merging. Only words with
-a failing pair are merged exactly.
+the whole word would also be the first crossing merge of the pair.
 
-Words repeat, so each worker keeps the token bytes of the words, and of the runs between ASCII white space, that it
-has seen (at most ``CACHE`` of each, then it starts over); a text becomes a join of such bytes.
+Proposals: at each border the longest token comes first; if it is not compatible with the token before, the next shorter one
+is proposed, and where none is the token before is shortened, up to ``TRIES`` times a word. Verification: the merges of both tokens are undone in reverse order, always the later one, and each
+two pieces that then meet at the border must have no merge of their own before the one undone last. Only words that
+fail then are merged exactly, all of them in step: the pair of the lowest rank of each word at a time.
+
+Words repeat, so a worker keeps the ids of the runs between ASCII white space that it has seen lately, in two generations of at
+most ``CACHE_BYTES`` each (plus the runs of one chunk of ``CHUNK`` bytes of text); a text becomes a join of such ids. The runs are let go at
+the end of each task.
 
 Defined results: null text is empty and has no tokens; the special strings of the vocabulary become their ids as in
-the library; texts are read whole; an empty table gives an empty result.
+the library; texts are read whole; repeated rows are each encoded; an empty table gives an empty result; only the columns
+doc_id and text are read, whatever others there are. There are no ties: of pairs of equal rank the leftmost is merged first.
 """
 
 from __future__ import annotations
@@ -22,192 +27,411 @@ import hashlib
 import json
 import re
 import unicodedata
-from array import array
+from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 from uelumen.llm.common import map_texts, text_bytes
 
-CACHE = 200_000
+CACHE_BYTES = 24 << 20
+ENTRY_BYTES = 200
 CHUNK = 2 << 20
+AT_ONCE = 40_000
+LONG = 64
+TRIES = 24
+VERDICT_BITS = 16
+MARK = b"\xff\xff\xff\xff"  # no id: it stays the only one whose last byte isn't zero
 END = "</w>"
-LAST = 1 << 60
+STOP = 0xFF
+LAST = np.int32(2**31 - 1)
+FREE = np.uint64(2**64 - 1)
 
 
 def _byte_chars() -> list[str]:
-    """The printable stand-in of each byte: itself where printable, else the next free code point from 256."""
+    """The printable stand-in of each byte, a fixed table of the file format: itself where printable, else the next free code point from 256."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     free = iter(range(256, 512))
     return [chr(b) if b in shown else chr(next(free)) for b in range(256)]
 
 
+class Lookup:
+    """A fixed map from 64-bit keys to numbers from 0 up: open addressing, read for whole arrays; -1 where there is none."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        keys = keys.astype(np.uint64)
+        self.bits = max(4, (2 * len(keys)).bit_length())
+        self.keys = np.full(1 << self.bits, FREE)
+        self.values = np.full(1 << self.bits, -1, np.int32)
+        slot, left = self._slot(keys), np.arange(len(keys))
+        while len(left):
+            at = slot[left]
+            free = self.keys[at] == FREE
+            self.keys[at[free]] = keys[left[free]]  # one of those that want a slot gets it
+            won = self.keys[at] == keys[left]
+            self.values[at[won]] = values[left[won]]
+            left = left[~won]
+            slot[left] = self._after(slot[left])
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def _after(self, slot: np.ndarray) -> np.ndarray:
+        return (slot + 1) & ((1 << self.bits) - 1)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        keys = keys.view(np.uint64)
+        at = self._slot(keys)
+        found = self.keys[at]
+        hit = found == keys
+        out = np.where(hit, self.values[at], np.int32(-1))
+        going = np.flatnonzero(~hit & (found != FREE))
+        while len(going):
+            at[going] = step = self._after(at[going])
+            found, own = self.keys[step], keys[going]
+            hit = found == own
+            out[going[hit]] = self.values[step[hit]]
+            going = going[~hit & (found != FREE)]
+        return out
+
+
+def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return a.astype(np.int64) << 32 | b
+
+
 class Bpe:
     """A tokenizer file of kind BPE with word ends, its normaliser and its word pattern."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.vocab: dict[str, int] = spec["model"]["vocab"]
-        self.ranks = {tuple(m): i for i, m in enumerate(spec["model"]["merges"])}
-        self.tokens = {i: t for t, i in self.vocab.items()}
+        self.path = path
+        vocab: dict[str, int] = spec["model"]["vocab"]
+        merges = [tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in spec["model"]["merges"]]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.tokens |= {i: t for t, i in self.special.items()}
         self.splitter = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        split = spec["pre_tokenizer"]["pretokenizers"][0]
-        self.word = regex.compile(split["pattern"]["Regex"])
+        pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        self.word = regex.compile(pattern)
+        ascii_pattern = pattern.replace(r"\p{L}", "a-zA-Z").replace(r"\p{N}", "0-9")
+        self.ascii_word = re.compile(ascii_pattern.encode())
+        self.lines, self.ascii_lines = regex.compile(pattern + "|\n"), re.compile((ascii_pattern + "|\n").encode())
         self.stand_in = _byte_chars()
-        self.longest = max(map(len, self.vocab))
-        self.bytes_of = {c: i for i, c in enumerate(self.stand_in)}
-        self.library = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
-        self.runs: dict[bytes, bytes] = {}
-        self.own: dict[int, bool] = {}
-        self.pairs = np.zeros(0, np.int64)
-        self.verdicts = np.zeros(0, bool)
-        self.merged = self.speculated = 0
+        self.byte_of = {c: i for i, c in enumerate(self.stand_in)}
+        self.base = np.array([vocab[c] for c in self.stand_in], np.int32)
+        self.base_end = np.array([vocab[c + END] for c in self.stand_in], np.int32)
+        self.size = 1 + max([*vocab.values(), *self.special.values()])
+        names = [""] * self.size
+        for text, i in [*vocab.items(), *self.special.items()]:
+            names[i] = text
+        self.names = pa.array(names, pa.string())
+
+        made = np.array([[vocab[a], vocab[b], vocab[a + b]] for a, b in merges], np.int32).reshape(-1, 3)
+        if len(np.unique(made[:, 2])) != len(made):
+            raise ValueError(f"{path}: two merges make the same token")
+        self.ranks = Lookup(_pair(made[:, 0], made[:, 1]), np.arange(len(made), dtype=np.int32))
+        self.made = made[:, 2].copy()
+        self.rank_of = np.full(self.size, -1, np.int32)  # of the merge that makes a token; symbols have none
+        self.rank_of[made[:, 2]] = np.arange(len(made))
+        self.left, self.right = np.arange(self.size, dtype=np.int32), np.arange(self.size, dtype=np.int32)
+        self.left[made[:, 2]], self.right[made[:, 2]] = made[:, 0], made[:, 1]
+        self._grow_trie(names, self._sound(made))
+        self._library: Tokenizer | None = None
+        self.verdict_keys, self.verdicts = np.full(1 << VERDICT_BITS, FREE), np.zeros(1 << VERDICT_BITS, bool)
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.held = 0
+        self.words = self.settled = self.at_first = 0
+
+    @property
+    def library(self) -> Tokenizer:
+        """Only its normaliser and word splitter, for letters that Unicode versions disagree on."""
+        self._library = self._library or Tokenizer.from_file(self.path)
+        return self._library
+
+    def _sound(self, made: np.ndarray) -> list[int]:
+        """The tokens that are the BPE result of their own string: no merge crosses their two halves before the last one."""
+        rank = np.arange(len(made), dtype=np.int32)
+        alone = self._apart(made[:, 0], made[:, 1], rank)
+        good = np.ones(self.size, bool)
+        for ok, (a, b, own) in zip(alone.tolist(), made.tolist()):
+            good[own] = ok and good[a] and good[b]
+        symbols = [*self.base.tolist(), *self.base_end.tolist()]
+        return [*symbols, *(i for i in made[:, 2].tolist() if good[i])]
+
+    def _grow_trie(self, names: list[str], tokens: list[int]) -> None:
+        """Tokens by their bytes; a word end is the byte ``STOP``, which no text has."""
+        spelt = [bytes(map(self.byte_of.__getitem__, names[i].removesuffix(END))) + bytes([STOP]) * names[i].endswith(END) for i in tokens]
+        sizes = np.array(list(map(len, spelt)))
+        grid = np.zeros((len(spelt), int(sizes.max())), np.int64)
+        for i, s in enumerate(spelt):
+            grid[i, : len(s)] = list(s)
+        node, parents, keys = np.zeros(len(spelt), np.int64), [np.zeros(1, np.int64)], []
+        total = 1
+        for depth in range(grid.shape[1]):
+            live = np.flatnonzero(sizes > depth)
+            new, back = np.unique(node[live] << 8 | grid[live, depth], return_inverse=True)
+            keys.append(new)
+            parents.append(new >> 8)
+            node[live] = total + back
+            total += len(new)
+        self.child = Lookup(np.concatenate(keys), np.arange(1, total, dtype=np.int32))
+        self.token_at = np.full(total, -1, np.int32)
+        self.token_at[node] = tokens
+        before = np.full(total, -1, np.int32)  # the longest token that is a shorter beginning
+        at = 1
+        for parent in parents[1:]:
+            own = self.token_at[parent]
+            before[at : at + len(parent)] = np.where(own >= 0, own, before[parent])
+            at += len(parent)
+        self.shorter = np.full(self.size, -1, np.int32)
+        self.shorter[tokens] = before[node]
+        self.length = np.zeros(self.size, np.int64)
+        self.length[tokens] = sizes
+        self.ends = np.zeros(self.size, bool)
+        self.ends[tokens] = grid[np.arange(len(sizes)), sizes - 1] == STOP
 
     # exact merging -------------------------------------------------------------------------------------------
 
-    def symbols(self, word: str) -> list[str]:
-        shown = [self.stand_in[b] for b in word.encode()]
-        shown[-1] += END
-        return shown
-
-    def merge(self, parts: list[str]) -> list[str]:
-        """Exact BPE: always the pair of the lowest rank, the leftmost of equals."""
-        if len(parts) > 48:
-            return self._merge_long(parts)
-        parts, rank = list(parts), self.ranks.get
-        ranks = [rank(p, LAST) for p in zip(parts, parts[1:])]
-        while ranks and (low := min(ranks)) != LAST:
-            i = ranks.index(low)
-            parts[i] += parts.pop(i + 1)
-            ranks.pop(i)
-            if i < len(ranks):
-                ranks[i] = rank((parts[i], parts[i + 1]), LAST)
-            if i:
-                ranks[i - 1] = rank((parts[i - 1], parts[i]), LAST)
-        return parts
-
-    def _merge_long(self, parts: list[str]) -> list[str]:
-        """The same with a queue, for long words."""
-        parts = list(parts)
-        after = list(range(1, len(parts) + 1))
-        before = list(range(-1, len(parts) - 1))
-        ranks = self.ranks
-        queue = [(r, i, parts[i], parts[i + 1]) for i in range(len(parts) - 1) if (r := ranks.get((parts[i], parts[i + 1]))) is not None]
-        heapify(queue)
+    def merge_all(self, ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Exact BPE of consecutive words of symbols, in step: in each round every word merges its pair of the lowest rank."""
+        own = np.repeat(np.arange(len(sizes)), sizes)
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+        rank = np.full(len(ids), LAST)
+        inner = np.flatnonzero(own[1:] == own[:-1])
+        rank[inner] = self._rank(ids[inner], ids[inner + 1])
+        while len(ids):
+            starts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+            low = np.minimum.reduceat(rank, starts)
+            lowest = np.repeat(low, np.diff(starts, append=len(ids)))
+            if (low == LAST).any():  # nothing left to merge in these
+                over = lowest == LAST
+                done.append((own[over], ids[over]))
+                own, ids, rank, lowest = own[~over], ids[~over], rank[~over], lowest[~over]
+            chosen = rank == lowest
+            chosen[1:] &= ~chosen[:-1]  # of overlapping ones the first; the others have their turn in the next round
+            at = np.flatnonzero(chosen)
+            ids[at] = self.made[rank[at]]
+            keep = np.ones(len(ids), bool)
+            keep[at + 1] = False
+            ids, own = ids[keep], own[keep]
+            rank = rank[keep]
+            at -= np.arange(len(at))
+            ending = (at + 1 == len(ids)) | (own[np.minimum(at + 1, len(own) - 1)] != own[at])
+            rank[at[ending]] = LAST
+            follow = at[~ending]
+            rank[follow] = self._rank(ids[follow], ids[follow + 1])
+            ahead = at[(at > 0) & (own[at - 1] == own[at])]
+            rank[ahead - 1] = self._rank(ids[ahead - 1], ids[ahead])
+        if not done:
+            return np.zeros(0, np.int32), np.zeros(len(sizes), np.int64)
+        words, flat = (np.concatenate(x) for x in zip(*done))
+        return flat[np.argsort(words, kind="stable")], np.bincount(words, minlength=len(sizes))
+
+    def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        got = self.ranks.get(_pair(a, b))
+        return np.where(got < 0, LAST, got)
+
+    def merge_long(self, word: bytes) -> np.ndarray:
+        """The same for one long word, with a queue."""
+        parts = self._symbols(np.frombuffer(word, np.uint8), np.array([len(word)])).tolist()
         n = len(parts)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        made, known = self.made, {}
+
+        def rank(a: int, b: int) -> int:
+            if (got := known.get((a, b))) is None:
+                got = known[a, b] = int(self.ranks.get(np.array([a << 32 | b], np.int64))[0])
+            return got
+
+        queue = [(r, i, parts[i], parts[i + 1]) for i in range(n - 1) if (r := rank(parts[i], parts[i + 1])) >= 0]
+        heapify(queue)
         while queue:
-            _, i, a, b = heappop(queue)
+            r, i, a, b = heappop(queue)
             j = after[i]
             if parts[i] != a or j >= n or parts[j] != b:
                 continue
-            parts[i], parts[j] = a + b, ""
+            parts[i], parts[j] = int(made[r]), -1
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                if (r := ranks.get((parts[i], parts[k]))) is not None:
+                if (r := rank(parts[i], parts[k])) >= 0:
                     heappush(queue, (r, i, parts[i], parts[k]))
             h = before[i]
-            if h >= 0 and (r := ranks.get((parts[h], parts[i]))) is not None:
+            if h >= 0 and (r := rank(parts[h], parts[i])) >= 0:
                 heappush(queue, (r, h, parts[h], parts[i]))
-        return [p for p in parts if p]
+        return np.array([p for p in parts if p >= 0], np.int32)
 
-    def _split(self, token: str) -> list[str]:
-        """The symbols that a token's string starts from."""
-        return [*token[: -len(END) - 1], token[-len(END) - 1 :]] if token.endswith(END) and len(token) > len(END) else list(token)
+    def _symbols(self, raw: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        ids = self.base[raw]
+        last = np.cumsum(sizes) - 1
+        ids[last] = self.base_end[raw[last]]
+        return ids
 
     # speculation ---------------------------------------------------------------------------------------------
 
-    def greedy(self, word: str) -> list[int]:
-        """Ids of the longest-match cut, or nothing if some symbol is not in the vocabulary."""
-        shown = "".join(self.stand_in[b] for b in word.encode())
-        whole, vocab, out, i = shown + END, self.vocab, [], 0
-        n, size = len(shown), len(whole)
-        while i < n:
-            got = vocab.get(whole[i:]) if size - i <= self.longest else None
-            if got is not None:
-                out.append(got)
-                return out
-            for j in range(min(n, i + self.longest), i, -1):
-                if j < n and (got := vocab.get(shown[i:j])) is not None:
-                    break
-            else:
-                return []
-            out.append(got)
-            i = j
+    def _apart(self, a: np.ndarray, b: np.ndarray, limit: np.ndarray | None = None) -> np.ndarray:
+        """Whether no merge crosses the border of tokens a and b (before the merge of rank ``limit``).
+
+        Undoing the later of the merges that made the two border pieces goes back in time; a piece lives until the merge undone
+        before. Of equal pairs the leftmost is merged first, so at its own rank the piece on the left is gone, that on the right is not.
+        """
+        until_a = np.full(len(a), LAST) if limit is None else limit
+        until_b = until_a if limit is None else limit - 1
+        out = np.ones(len(a), bool)
+        at = np.arange(len(a))
+        while len(at):
+            rank = self._rank(a, b)
+            clash = (rank < until_a) & (rank <= until_b) & (rank != LAST)
+            out[at[clash]] = False
+            made_a, made_b = self.rank_of[a], self.rank_of[b]
+            go = np.flatnonzero(~clash & (np.maximum(made_a, made_b) >= 0))
+            at, a, b, until_a, until_b, made_a, made_b = (x[go] for x in (at, a, b, until_a, until_b, made_a, made_b))
+            first = made_a > made_b
+            until_a, until_b = np.where(first, made_a, until_a), np.where(first, until_b, made_b)
+            a, b = np.where(first, self.right[a], a), np.where(first, b, self.left[b])
+        return out
+
+    def _longest(self, flat: np.ndarray) -> np.ndarray:
+        """The longest token that starts at each byte; ``flat`` ends with a byte more."""
+        best = np.full(len(flat) - 1, -1, np.int32)
+        at = np.flatnonzero(flat[:-1] != STOP)
+        node, step = np.zeros(len(at), np.int64), 0
+        while len(at):
+            node = self.child.get(node << 8 | flat[at + step]).astype(np.int64)
+            on = node >= 0
+            at, node = at[on], node[on]
+            token = self.token_at[node]
+            hit = token >= 0
+            best[at[hit]] = token[hit]
+            on = flat[at + step] != STOP
+            at, node, step = at[on], node[on], step + 1
+        return best
+
+    def _compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """:meth:`_apart` for whole tokens, remembering ``1 << VERDICT_BITS`` pairs."""
+        keys = _pair(a, b).view(np.uint64)
+        slot = ((keys * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - VERDICT_BITS)).astype(np.int64)
+        out = self.verdicts[slot]
+        new = np.flatnonzero(self.verdict_keys[slot] != keys)
+        if len(new):
+            out[new] = found = self._apart(a[new], b[new])
+            # of pairs that share a slot the last one stays, in both arrays
+            self.verdict_keys[slot[new]], self.verdicts[slot[new]] = keys[new], found
         return out
 
-    def _sound(self, token: int) -> bool:
-        if (known := self.own.get(token)) is None:
-            text = self.tokens[token]
-            known = self.own[token] = self.merge(self._split(text)) == [text]
-        return known
-
-    def _compatible(self, keys: np.ndarray) -> np.ndarray:
-        """A verdict for each pair key (left id * 2**32 + right id)."""
-        at = np.searchsorted(self.pairs, keys)
-        known = at < len(self.pairs)
-        known[known] = self.pairs[at[known]] == keys[known]
-        if not known.all():
-            new = np.unique(keys[~known])
-            verdict = np.empty(len(new), bool)
-            for i, key in enumerate(new.tolist()):
-                a, b = self.tokens[key >> 32], self.tokens[key & 0xFFFFFFFF]
-                verdict[i] = self.merge(self._split(a) + self._split(b)) == [a, b]
-            pairs, verdicts = np.concatenate([self.pairs, new]), np.concatenate([self.verdicts, verdict])
-            order = np.argsort(pairs, kind="stable")
-            self.pairs, self.verdicts = pairs[order], verdicts[order]
-            at = np.searchsorted(self.pairs, keys)
-        return self.verdicts[at]
-
-    def learn(self, words: list[str]) -> None:
-        """Encode words not seen before, all at once."""
-        if len(self.pairs) > 4 * CACHE:
-            self.pairs, self.verdicts = np.zeros(0, np.int64), np.zeros(0, bool)
-        cuts = [self.greedy(w) for w in words]
-        sizes = np.fromiter(map(len, cuts), np.int64, len(cuts))
-        flat = np.fromiter((i for cut in cuts for i in cut), np.int64, int(sizes.sum()))
-        good = sizes > 0
-        if len(flat):
-            owner = np.repeat(np.arange(len(cuts)), sizes)
-            ids, back = np.unique(flat, return_inverse=True)
-            sound = np.fromiter(map(self._sound, ids.tolist()), bool, len(ids))[back]
-            good[owner[~sound]] = False
-            inner = owner[1:] == owner[:-1]
-            keys = (flat[:-1] << 32 | flat[1:])[inner]
-            good[owner[1:][inner][~self._compatible(keys)]] = False
-        for word, cut, ok in zip(words, cuts, good.tolist()):
-            if not ok:
-                cut = [self.vocab[p] for p in self.merge(self.symbols(word)) if p in self.vocab]
-            self.words[word] = array("I", cut).tobytes()
-        self.merged += int((~good).sum())
-        self.speculated += int(good.sum())
+    def speculate(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the words whose cut holds, one word after the other, how many each has, and the words that are left."""
+        stop = bytes([STOP])
+        flat = np.frombuffer(stop.join(words) + stop + stop, np.uint8)
+        best = self._longest(flat)
+        sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        pos = np.cumsum(sizes) - sizes
+        cut = np.full((int(sizes.max()) + 1, len(words)), -1, np.int32)  # after row 0, the tokens of each word so far
+        depth, tries = np.zeros(len(words), np.int64), np.zeros(len(words), np.int32)
+        shut = np.zeros(len(flat), bool)  # places where no token fits: the cut up to a place is always the same
+        going, token, left = np.arange(len(words)), best[pos], []
+        while len(going):
+            at, before = pos[going], cut[depth[going], going]
+            after = at + self.length[token]
+            fits = self.ends[token] | (flat[after] != STOP) & ~shut[after]
+            ask = np.flatnonzero(fits & (before >= 0))
+            fits[ask] = self._compatible(before[ask], token[ask])
+            # a token that fits stays, and the next one is proposed
+            on = going[fits]
+            depth[on] += 1
+            cut[depth[on], on] = own = token[fits]
+            pos[on] += self.length[own]
+            on = on[~self.ends[own]]
+            # instead of one that doesn't a shorter one is, or else the token before is shortened
+            back = going[~fits]
+            tries[back] += 1
+            shorter = self.shorter[token[~fits]]
+            while len(none := np.flatnonzero(shorter < 0)):
+                words_back = back[none]
+                shut[pos[words_back]] = True
+                over = (depth[words_back] == 0) | (tries[words_back] > TRIES)
+                left.append(words_back[over])
+                words_back, none_over = words_back[~over], none[over]
+                taken = cut[depth[words_back], words_back]
+                pos[words_back] -= self.length[taken]
+                depth[words_back] -= 1
+                shorter[none[~over]] = self.shorter[taken]
+                keep = np.ones(len(back), bool)
+                keep[none_over] = False
+                back, shorter = back[keep], shorter[keep]
+            going, token = np.concatenate([on, back]), np.concatenate([best[pos[on]], shorter])
+        failed = np.sort(np.concatenate(left)) if left else np.zeros(0, np.int64)
+        depth[failed] = 0
+        self.words += len(words)
+        self.settled += len(words) - len(failed)
+        self.at_first += int((tries == 0).sum())
+        taken = np.arange(1, len(cut))[:, None] <= depth
+        return cut[1:].T[taken.T], depth, failed
+
+    def encode_words(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word, little-endian u32."""
+        out: list[bytes] = [b""] * len(words)
+        short = [i for i, w in enumerate(words) if len(w) <= LONG]
+        for k in range(0, len(short), AT_ONCE):
+            part = short[k : k + AT_ONCE]
+            own = [words[i] for i in part]
+            ids, counts, left = self.speculate(own)
+            _deal(ids, counts, part, out)
+            if len(left):
+                rest = [own[i] for i in left.tolist()]
+                sizes = np.fromiter(map(len, rest), np.int64, len(rest))
+                ids, counts = self.merge_all(self._symbols(np.frombuffer(b"".join(rest), np.uint8), sizes), sizes)
+                _deal(ids, counts, [part[i] for i in left.tolist()], out)
+        if len(short) < len(words):
+            for i, w in enumerate(words):
+                if len(w) > LONG:
+                    out[i] = self.merge_long(w).astype("<u4").tobytes()
+        return out
 
     # texts ---------------------------------------------------------------------------------------------------
 
-    def _pieces(self, run: str) -> list[str | int]:
+    def _pieces(self, run: bytes) -> list[bytes | int]:
         """Words, and ids of special strings, of a run without ASCII white space."""
-        if self.splitter is None or "<|" not in run:
+        if self.splitter is None or b"<|" not in run:
             return self._words_of(run)
-        out: list[str | int] = []
-        for part in self.splitter.split(run):
-            out += [self.special[part]] if part in self.special else self._words_of(part)
+        out: list[bytes | int] = []
+        for part in self.splitter.split(run.decode()):
+            out += [self.special[part]] if part in self.special else self._words_of(part.encode())
         return out
 
-    def _words_of(self, run: str) -> list[str]:
-        if not run.isascii():
-            if RARE.search(run):  # letters that Unicode versions disagree on: ask the library
-                shown = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(run))
-                return [bytes(map(self.bytes_of.__getitem__, w)).decode() for w, _ in shown]
-            return self.word.findall(SPACES.sub(" ", unicodedata.normalize("NFC", run)).lower())
-        return self.word.findall(run.lower())
+    def _words_of(self, run: bytes) -> list[bytes]:
+        if run.isascii():
+            return self.ascii_word.findall(run.lower())
+        text = run.decode()
+        if RARE.search(text):
+            shown = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
+            return [bytes(map(self.byte_of.__getitem__, w)) for w, _ in shown]
+        return [w.encode() for w in self.word.findall(unicodedata.normalize("NFC", text).lower())]
+
+    def _learn(self, fresh: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """(run, ids) of runs not seen before: words and line feeds of all runs, a line each, then the ids of all, then of each."""
+        plain = [r for r in fresh if r.isascii() and b"<|" not in r]
+        other = [r for r in fresh if not (r.isascii() and b"<|" not in r)]
+        odd = [r for r in other if b"<|" in r or RARE.search(r.decode())]
+        if odd:
+            away = set(odd)
+            other = [r for r in other if r not in away]
+        words: list[bytes | int] = self.ascii_lines.findall(b"\n".join([*plain, b""]).lower())
+        if other:
+            words += [w.encode() for w in self.lines.findall(unicodedata.normalize("NFC", b"\n".join([*other, b""]).decode()).lower())]
+        for run in odd:
+            words += [*self._pieces(run), b"\n"]
+        new = list(set(words) - {b"\n"})
+        told = [w for w in new if isinstance(w, bytes)]
+        ids = dict(zip(told, self.encode_words(told)))
+        ids |= {w: w.to_bytes(4, "little") for w in new if isinstance(w, int)}
+        ids[b"\n"] = MARK
+        return zip([*plain, *other, *odd], b"".join(map(ids.__getitem__, words)).split(MARK))
 
     def encode_all(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each UTF-8 text as little-endian unsigned 32-bit integers; ``CHUNK`` bytes of text at a time."""
@@ -221,36 +445,46 @@ class Bpe:
         return out + self._encode(texts[at:])
 
     def _encode(self, texts: list[bytes]) -> list[bytes]:
-        runs = self.runs
+        if self.held > CACHE_BYTES:
+            self.old, self.young, self.held = self.young, {}, 0
+        runs, old = self.young, self.old
         cut = [t.split() for t in texts]  # the word pattern never crosses ASCII white space
-        fresh = set().union(*cut).difference(runs) if cut else set()
-        if len(runs) + len(fresh) > CACHE:  # it starts over, and must hold this batch again
-            runs.clear()
-            fresh = set().union(*cut)
-        if fresh:
-            fresh = list(fresh)
-            pieces = [self._pieces(r.decode()) for r in fresh]
-            if len(self.words) > CACHE:
-                self.words.clear()
-            words = self.words
-            if new := {w: None for p in pieces for w in p if w not in words and isinstance(w, str)}:
-                self.learn(list(new))
-            for run, own in zip(fresh, pieces):
-                runs[run] = b"".join([words[w] if isinstance(w, str) else w.to_bytes(4, "little") for w in own])
+        new = set().union(*cut).difference(runs)
+        again = {run: ids for run in new if (ids := old.get(run)) is not None}
+        if fresh := [run for run in new if run not in again]:
+            again.update(self._learn(fresh))
+        runs.update(again)
+        self.held += ENTRY_BYTES * len(again) + sum(map(len, again)) + sum(map(len, again.values()))
         get = runs.__getitem__
         return [b"".join(map(get, own)) for own in cut]
 
-    def decode(self, ids: bytes) -> str:
-        """As the library without a decoder: token strings joined by a space."""
-        return " ".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+    def release(self) -> None:
+        """Let the runs go."""
+        self.young, self.old, self.held = {}, {}, 0
+
+    def decode_all(self, coded: list[bytes]) -> pa.Array:
+        """The text of each, as the library without a decoder gives it: token strings joined by a space."""
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        parts = self.names.take(pa.array(np.frombuffer(b"".join(coded), "<u4").astype(np.int32)))
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), parts), " ")
+
+
+def _deal(ids: np.ndarray, counts: np.ndarray, to: list[int], out: list[bytes]) -> None:
+    raw = ids.astype("<u4").tobytes()
+    ends = np.cumsum(counts * 4).tolist()
+    at = 0
+    for i, end in zip(to, ends):
+        if end > at:
+            out[i] = raw[at:end]
+            at = end
 
 
-SPACES = regex.compile(r"\s+")
 # beyond Latin letters and general punctuation; the capital sigma and dotted I also lower-case by context
-RARE = re.compile("[^\x00-\u012f\u0131-\u024f\u2010-\u2027\u2030-\u205e\u20a0-\u20bf]")
+RARE = re.compile("[^\x00-įı-ɏ‐-‧‰-⁞₠-₿]")
 
 
-@functools.lru_cache(maxsize=4)
+@functools.lru_cache(maxsize=2)
 def load(path: str) -> Bpe:
     return Bpe(path)
 
@@ -265,10 +499,11 @@ def encode(docs: DataFrame, path: str, *, digest: bool = False, ids: bool = True
         if ids:
             out["ids"] = pa.array(coded, pa.binary())
         if digest:
+            texts = bpe.decode_all(coded).cast(pa.binary())
             out["ids_sha256"] = pa.array([hashlib.sha256(c).hexdigest() for c in coded], pa.string())
-            out["decoded_sha256"] = pa.array([hashlib.sha256(bpe.decode(c).encode()).hexdigest() for c in coded], pa.string())
+            out["decoded_sha256"] = pa.array([hashlib.sha256(t.as_buffer()).hexdigest() for t in texts], pa.string())
         return out
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens long" + ", ids binary" * ids + ", ids_sha256 string, decoded_sha256 string" * digest
-    return map_texts(docs.select("doc_id", "text"), kernel, schema)
+    return map_texts(docs.select("doc_id", "text"), kernel, schema, after=lambda: load(path).release())

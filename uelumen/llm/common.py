@@ -14,6 +14,8 @@ from py4j.protocol import Py4JError, Py4JNetworkError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+PART_BYTES = 4 << 20
+
 _written: dict[str, tuple[SparkSession, str]] = {}
 _scope = [""]
 
@@ -94,13 +96,28 @@ def text_values(column: pa.Array) -> list[str]:
     return ["" if x is None else x for x in column.to_pylist()]
 
 
-def map_texts(df: DataFrame, kernel: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
-    """mapInArrow where ``kernel`` makes the columns of one output batch from one input batch."""
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in parts of about ``PART_BYTES`` (a longer row is a part of its own)."""
+    rows = max(1, batch.num_rows * PART_BYTES // max(1, batch.nbytes))
+    for at in range(0, batch.num_rows, rows):
+        part = batch.slice(at, rows)
+        if part.num_rows == 1 or part.nbytes <= 2 * PART_BYTES:
+            yield part
+        else:
+            yield from (x for half in (part.slice(0, part.num_rows // 2), part.slice(part.num_rows // 2)) for x in slices(half))
+
+
+def map_texts(df: DataFrame, kernel: Callable[[pa.RecordBatch], dict], schema: str, *, after: Callable[[], None] | None = None) -> DataFrame:
+    """mapInArrow where ``kernel`` makes the columns of one output batch from some ``PART_BYTES`` of input; ``after`` runs as the task ends."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield pa.RecordBatch.from_pydict(kernel(batch))
+        try:
+            for batch in batches:
+                for part in slices(batch):
+                    yield pa.RecordBatch.from_pydict(kernel(part))
+        finally:
+            if after is not None:
+                after()
 
     return df.mapInArrow(run, schema)
 
