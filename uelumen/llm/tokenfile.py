@@ -6,18 +6,21 @@ any block can be decoded, checked or lost on its own.
 
 Model of a block. Order 2 and order 1 each predict one id, the last seen after the same two ids or the same one id, with a
 small confidence. The confidences (and whether the two agree) choose an adaptive mix over three outcomes: the order-2 id,
-the order-1 id, another id. Another id is coded by order 0: its four nibbles, the first three under adaptive
-frequencies of the nibbles before them, the last evenly. Outcomes and nibbles drive a carry-less range coder with
-a 48-bit low end and 16-bit output words.
+the order-1 id, another id; another id has the adaptive frequencies of order 0. Both choices narrow the interval of a carry-less
+range coder at once (64-bit low end, 16-bit output words).
 
-Blocks are independent, so ``LANES`` of them are coded and decoded in step, one numpy operation for all lanes.
+A block is cut into as many as ``LANES`` runs of consecutive ids, which are coded and decoded in step, one array operation for all lanes:
+step t codes the t-th id of every lane with the model that all lanes share, which then learns the ids of that step. Each lane has an
+interval and words of its own. The frequencies of order 0 are summed anew whenever the block has grown by a quarter, or
+by 16 steps of all lanes.
 
-Layout of a segment (little endian): ``ULTK`` | header length u32 | CRC-32 of the header u32 | header | words. Header:
+Layout of a segment (little endian): ``ULTK`` | header length u32 | CRC-32 of the header u32 | header | words of each lane u16 | words u16. Header:
 partition i64, sequence i64, documents u32, blocks u32; for each document: valid u8, doc_id i64, ids u32; for each block:
-ids u32, words u32, CRC-32 u32. A line feed follows each segment.
+ids u32, words u32, lanes u32, greatest id and 1 u32, CRC-32 u32. A line feed follows each segment.
 
 Defined results: null text is empty and has the end id only; a null doc_id sorts first; rows with equal doc_id are ordered
-by text; texts are whole; an empty table writes no segment.
+by a hash of the text, then by text, and may lie in several files; repeated rows are each written; texts are whole; only the columns doc_id and text are
+read, whatever others there are; an id of 2 ** 30 or more is an error; an empty table writes no segment.
 """
 
 from __future__ import annotations
@@ -32,210 +35,181 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from uelumen.llm.bpe import load
-from uelumen.llm.common import scratch_path, stage_table, text_bytes
+from uelumen.llm.common import scratch_path, slices, stage_table, text_bytes
 
-BLOCK = 4096
-LANES = 1024
+BLOCK = 1 << 20
+STEPS = 256
+LANES = 4096
+BLOCKS_PER_SEGMENT = 2
 SEGMENTS_PER_FILE = 4
-TABLE_BITS = 11
-ONE_BITS = 15
-ONE = 1 << ONE_BITS
-LEAST = 96
-RATE = 5
+PAIR_BITS = 18
+SHARE_BITS = 12
+SHARES = 1 << SHARE_BITS
+GAIN = 24
+LEAST_SUM = 4096
+MOST_IDS = 1 << 30
 U = np.uint64
-MASK = U((1 << 48) - 1)
-SETTLED = U(32)
-FLOOR = U(1 << 24)
-HALF = U((1 << 32) - 1)
+WORD, TOP = U(16), U(48)
+FLOOR = U(1 << 48)
+BELOW = FLOOR - U(1)
 
 
 class Mixer:
-    """The adaptive model of ``n`` lanes. Frequencies are cumulative, out of ``ONE``, and move towards what was seen."""
-
-    def __init__(self, n: int):
-        size = 1 << TABLE_BITS
-        self.guess = [np.zeros(n * size, np.uint16) for _ in range(2)]  # order 1, order 2
-        self.trust = [np.zeros(n * size, np.uint8) for _ in range(2)]
-        self.outcome = np.tile(np.array([4000, 8000, ONE - 64, ONE], np.uint16), (n * 32, 1))
-        self.nibbles = [np.tile(np.arange(1, 17, dtype=np.uint16) * (ONE // 16), (n * contexts, 1)) for contexts in (1, 16, 256)]
-        self.last = np.zeros((2, n), np.uint32)
-        self.lanes = np.arange(n)
-        self.base = (self.lanes << TABLE_BITS).astype(np.int64)
-
-    def look(self, k: int) -> None:
-        a, b = self.last[:, :k]
-        shift = np.uint32(32 - TABLE_BITS)
-        one = self.base[:k] + ((a * np.uint32(0x9E3779B1)) >> shift)
-        two = self.base[:k] + (((a * np.uint32(0x85EBCA6B)) ^ (b * np.uint32(0xC2B2AE35))) * np.uint32(0x27D4EB2F) >> shift)
-        self.at = one, two
-        self.id1, self.id2 = self.guess[0][one], self.guess[1][two]
-        self.sure = self.trust[0][one], self.trust[1][two]
-        self.row = self.lanes[:k] * 32 + (self.sure[1] * np.uint8(8) + self.sure[0] * np.uint8(2) + (self.id1 == self.id2))
-
-    def learn(self, k: int, ids: np.ndarray) -> None:
-        for where, guessed, sure, guess, trust in zip(self.at, (self.id1, self.id2), self.sure, self.guess, self.trust):
-            hit = guessed == ids
-            guess[where] = np.where(hit | (sure > 1), guessed, ids)
-            trust[where] = np.where(hit, np.minimum(sure + np.uint8(1), 3), sure >> 1)
-        self.last[1, :k] = self.last[0, :k]
-        self.last[0, :k] = ids
-
-
-def _towards(n: int) -> np.ndarray:
-    """For each symbol the cumulative frequencies of seeing it always, all others keeping a floor."""
-    steps = np.arange(1, n + 1)
-    return np.where(steps[None, :] > np.arange(n)[:, None], ONE - LEAST * (n - steps), LEAST * steps).astype(np.int32)
-
-
-TOWARDS = {n: _towards(n) for n in (4, 16)}
-COUNTED = {4: np.uint32, 16: np.uint64}
-
-
-def _bump(table: np.ndarray, rows: np.ndarray, sums: np.ndarray, symbols: np.ndarray) -> None:
-    old = sums.astype(np.int32)
-    old += (TOWARDS[sums.shape[1]][symbols] - old) >> RATE
-    table[rows] = old
-
-
-class Encoder:
-    def __init__(self, n: int, words: int):
-        self.low = np.zeros(n, np.uint64)
-        self.range = np.full(n, MASK, np.uint64)
-        self.out = np.empty((n, words), np.uint16)
-        self.size = np.zeros(n, np.int64)
-
-    def narrow(self, lanes: slice | np.ndarray, start: np.ndarray, width: np.ndarray, bits: int = ONE_BITS) -> None:
-        unit = self.range[lanes] >> U(bits)
-        self.low[lanes] += unit * start
-        self.range[lanes] = span = unit * width
-        if len(few := np.flatnonzero(span < FLOOR)):
-            self._settle(few if isinstance(lanes, slice) else lanes[few])
-
-    def _settle(self, lanes: np.ndarray) -> None:
-        """Put out the leading words of intervals that have become narrow, cut at a border if they cross one."""
-        while len(lanes):
-            low, span = self.low[lanes], self.range[lanes]
-            cross = (low ^ (low + span - U(1))) >> SETTLED != 0
-            span = np.where(cross, HALF + U(1) - (low & HALF), span)
-            self.out[lanes, self.size[lanes]] = low >> SETTLED
-            self.size[lanes] += 1
-            self.low[lanes] = (low << U(16)) & MASK
-            self.range[lanes] = span = span << U(16)
-            lanes = lanes[span < FLOOR]
-
-    def code(self, lanes: slice | np.ndarray, table: np.ndarray, rows: np.ndarray, symbols: np.ndarray) -> None:
-        sums = table[rows]
-        pick = np.arange(len(rows))
-        high = sums[pick, symbols].astype(np.uint64)
-        low = np.where(symbols > 0, sums[pick, symbols - 1], 0).astype(np.uint64)
-        self.narrow(lanes, low, high - low)
-        _bump(table, rows, sums, symbols)
-
-    def finish(self, lanes: np.ndarray) -> None:
-        for _ in range(3):
-            self.out[lanes, self.size[lanes]] = self.low[lanes] >> SETTLED
-            self.size[lanes] += 1
-            self.low[lanes] = (self.low[lanes] << U(16)) & MASK
-
-
-class Decoder:
-    """Mirrors :class:`Encoder`; ``value`` is the code less the low end."""
-
-    def __init__(self, words: np.ndarray, starts: np.ndarray):
-        self.words, self.at = np.concatenate([words, np.zeros(4, words.dtype)]), starts.copy()
-        n = len(starts)
-        self.low = np.zeros(n, np.uint64)
-        self.range = np.full(n, MASK, np.uint64)
-        self.value = np.zeros(n, np.uint64)
-        for _ in range(3):
-            self.value = self.value << U(16) | self.words[self.at]
-            self.at += 1
-
-    def _skip(self, lanes: slice | np.ndarray, below: np.ndarray, span: np.ndarray) -> None:
-        self.low[lanes] += below
-        self.value[lanes] -= below
-        self.range[lanes] = span
-        if len(few := np.flatnonzero(span < FLOOR)):
-            self._settle(few if isinstance(lanes, slice) else lanes[few])
-
-    def _settle(self, lanes: np.ndarray) -> None:
-        while len(lanes):
-            low, span = self.low[lanes], self.range[lanes]
-            cross = (low ^ (low + span - U(1))) >> SETTLED != 0
-            span = np.where(cross, HALF + U(1) - (low & HALF), span) << U(16)
-            at = self.at[lanes]
-            self.value[lanes] = self.value[lanes] << U(16) | self.words[at]
-            self.at[lanes] = at + 1
-            self.low[lanes] = (low << U(16)) & MASK
-            self.range[lanes] = span
-            lanes = lanes[span < FLOOR]
-
-    def code(self, lanes: slice | np.ndarray, table: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        sums = table[rows]
-        unit = self.range[lanes] >> U(ONE_BITS)
-        target = np.minimum(self.value[lanes] // unit, U(ONE - 1)).astype(np.uint16)
-        below = np.ascontiguousarray(sums <= target[:, None]).view(COUNTED[sums.shape[1]])
-        symbols = np.bitwise_count(below).sum(axis=1, dtype=np.int64) if below.shape[1] > 1 else np.bitwise_count(below[:, 0]).astype(np.int64)
-        pick = np.arange(len(rows))
-        high = sums[pick, symbols].astype(np.uint64)
-        low = np.where(symbols > 0, sums[pick, symbols - 1], 0).astype(np.uint64)
-        self._skip(lanes, unit * low, unit * (high - low))
-        _bump(table, rows, sums, symbols)
-        return symbols
-
-    def even(self, lanes: slice | np.ndarray, bits: int) -> np.ndarray:
-        unit = self.range[lanes] >> U(bits)
-        symbols = np.minimum(self.value[lanes] // unit, U((1 << bits) - 1))
-        self._skip(lanes, unit * symbols, unit)
-        return symbols.astype(np.int64)
-
-
-def encode_blocks(ids: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
-    """The words of consecutive blocks of ``ids`` (each at most ``BLOCK`` long, sizes not increasing)."""
-    n = len(sizes)
-    grid = np.zeros((int(sizes.max()), n), np.uint16)
-    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    for lane, (start, size) in enumerate(zip(starts.tolist(), sizes.tolist())):
-        grid[:size, lane] = ids[start : start + size]
-    mixer, coder = Mixer(n), Encoder(n, 5 * len(grid) // 2 + 64)
-    for t, row in enumerate(grid):
-        k = int(np.searchsorted(-sizes, -t))
-        own = row[:k]
-        mixer.look(k)
-        outcome = np.where(own == mixer.id2, 0, np.where(own == mixer.id1, 1, 2))
-        coder.code(slice(0, k), mixer.outcome, mixer.row, outcome)
-        if len(rest := np.flatnonzero(outcome == 2)):
-            value = own[rest].astype(np.int64)
-            for j, table in enumerate(mixer.nibbles):
-                coder.code(rest, table, (rest << (4 * j)) + (value >> (16 - 4 * j)), (value >> (12 - 4 * j)) & 15)
-            coder.narrow(rest, (value & 15).astype(np.uint64), U(1), 4)
-        mixer.learn(k, own)
-    coder.finish(np.arange(n))
-    return [coder.out[i, : coder.size[i]] for i in range(n)]
-
-
-def decode_blocks(words: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
-    """The ids of blocks whose words begin at ``starts``; sizes not increasing."""
-    n = len(sizes)
-    grid = np.zeros((int(sizes.max()), n), np.uint16)
-    mixer, coder = Mixer(n), Decoder(words, starts)
-    for t, row in enumerate(grid):
-        k = int(np.searchsorted(-sizes, -t))
-        mixer.look(k)
-        outcome = coder.code(slice(0, k), mixer.outcome, mixer.row)
+    """The adaptive model that all lanes of a block share: it learns what a step has shown before the next one."""
+
+    def __init__(self, span: int):
+        self.seen = [np.zeros(span, np.uint32), np.zeros(1 << PAIR_BITS, np.uint32)]  # id * 4 + confidence, after one id and after two
+        self.outcomes = np.tile(np.array([2, 1, 6], np.int64), (32, 1))
+        self.counts = np.ones(span, np.int64)
+        self.taken = 0
+        self._share()
+        self._sum()
+
+    def _share(self) -> None:
+        """Where the shares of the order-1 id and of other ids begin, by confidences."""
+        total = self.outcomes.sum(axis=1)
+        self.one = 1 + self.outcomes[:, 0] * (SHARES - 3) // total
+        self.other = self.one + 1 + self.outcomes[:, 1] * (SHARES - 3) // total
+
+    def _sum(self) -> None:
+        self.cum = np.concatenate([[0], np.cumsum(self.counts)])
+        self.total = int(self.cum[-1])
+        self.slots = None
+
+    def slot(self, target: np.ndarray) -> np.ndarray:
+        """The id whose cumulative count covers each target."""
+        if self.slots is None:
+            self.shift = max(0, self.total.bit_length() - 14)
+            self.slots = np.searchsorted(self.cum, np.arange((self.total >> self.shift) + 1) << self.shift, "right") - 1
+        ids = self.slots[target >> self.shift]
+        past = np.flatnonzero(self.cum[ids + 1] <= target)
+        ids[past] = np.searchsorted(self.cum, target[past], "right") - 1
+        return ids
+
+    def look(self, a: np.ndarray, b: np.ndarray) -> None:
+        pair = ((a * np.uint32(0x85EBCA6B)) ^ (b * np.uint32(0xC2B2AE35))) * np.uint32(0x27D4EB2F) >> np.uint32(32 - PAIR_BITS)
+        self.at = a.astype(np.int64), pair.astype(np.int64)
+        self.held = one, two = self.seen[0][self.at[0]], self.seen[1][self.at[1]]
+        self.id1, self.id2 = one >> 2, two >> 2
+        self.row = ((two & 3) << 3 | (one & 3) << 1 | (self.id1 == self.id2)).astype(np.int64)
+        self.from_one, self.from_other = self.one[self.row], self.other[self.row]
+
+    def learn(self, grid: np.ndarray, t: int, own: np.ndarray, outcome: np.ndarray) -> None:
+        for table, where, held, known in zip(self.seen, self.at, self.held, (self.id1, self.id2)):
+            sure = held & 3
+            table[where] = np.where(known == own, held + (sure < 3), np.where(sure > 1, held - (sure >> 1) - (sure & 1), own << 2))
+        self.outcomes += np.bincount(self.row * 3 + outcome, minlength=96).reshape(32, 3) * 4
+        self.outcomes[self.outcomes.sum(axis=1) > 1 << 16] >>= 1
+        self.outcomes |= self.outcomes == 0
+        self._share()
+        fresh = (t + 1 - self.taken) * grid.shape[1]
+        if fresh >= max(LEAST_SUM, min((t + 1) * grid.shape[1] >> 2, 16 * LANES)):
+            self.counts += GAIN * np.bincount(grid[self.taken : t + 1].ravel(), minlength=len(self.counts))
+            self.taken = t + 1
+            self._sum()
+
+
+def _shape(n: int) -> tuple[int, int]:
+    """Steps and lanes of a block of n ids; the last lane may be shorter."""
+    lanes = min(LANES, max(1, n // STEPS))
+    steps = -(-n // lanes)
+    return steps, -(-n // steps)
+
+
+def encode_block(ids: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
+    """The words of all lanes, one lane after the other, and how many each has. Ids are below ``span``."""
+    n = len(ids)
+    steps, lanes = _shape(n)
+    grid = np.zeros(steps * lanes, np.uint32)
+    grid[:n] = ids
+    grid = np.ascontiguousarray(grid.reshape(lanes, steps).T)
+    last = n - (lanes - 1) * steps
+    mixer = Mixer(span)
+    low, width = np.zeros(lanes, np.uint64), np.full(lanes, ~U(0))
+    out, size = np.zeros((2 * steps + 16, lanes), np.uint16), np.zeros(lanes, np.int64)
+    before = [np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)]
+    for t in range(steps):
+        k = lanes if t < last else lanes - 1
+        own = grid[t, :k]
+        mixer.look(before[0][:k], before[1][:k])
+        two, one = own == mixer.id2, own == mixer.id1
+        outcome = np.where(two, 0, np.where(one, 1, 2))
+        total, at = mixer.total, own.astype(np.int64)
+        rest, begin = SHARES - mixer.from_other, mixer.cum[at]
+        start = np.where(two, 0, np.where(one, mixer.from_one * total, mixer.from_other * total + rest * begin)).astype(np.uint64)
+        span_ = np.where(two, mixer.from_one * total, np.where(one, (mixer.from_other - mixer.from_one) * total, rest * (mixer.cum[at + 1] - begin))).astype(np.uint64)
+        unit = width[:k] // U(total << SHARE_BITS)
+        low[:k] += unit * start
+        width[:k] = unit * span_
+        while (narrow := width < FLOOR).any():
+            # the leading word is settled, unless the interval crosses its border and is cut there
+            cross = narrow & ((low ^ (low + width - U(1))) >> TOP != 0)
+            width = np.where(cross, FLOOR - (low & BELOW), width)
+            where = np.flatnonzero(narrow)
+            if int(size.max()) + 8 >= len(out):
+                out = np.concatenate([out, np.zeros_like(out)])
+            out[size[where], where] = low[where] >> TOP
+            size += narrow
+            shift = narrow * WORD
+            low, width = low << shift, width << shift
+        mixer.learn(grid, t, own, outcome)
+        before = [own if k == lanes else np.append(own, np.uint32(0)), before[0]]
+    for _ in range(4):
+        out[size, np.arange(lanes)] = low >> TOP
+        size += 1
+        low = low << WORD
+    return out.T[np.arange(len(out)) < size[:, None]], size
+
+
+def decode_block(words: np.ndarray, size: np.ndarray, n: int, span: int) -> np.ndarray:
+    """The n ids of a block from the words of its lanes."""
+    steps, lanes = _shape(n)
+    grid = np.zeros((steps, lanes), np.uint32)
+    last = n - (lanes - 1) * steps
+    mixer = Mixer(span)
+    words = np.concatenate([words, np.zeros(4, words.dtype)]).astype(np.uint64)
+    at = np.cumsum(size, dtype=np.int64) - size
+    low, width, value = np.zeros(lanes, np.uint64), np.full(lanes, ~U(0)), np.zeros(lanes, np.uint64)  # value: the code less the low end
+    for _ in range(4):
+        value = value << WORD | words[at]
+        at += 1
+    before = [np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)]
+    for t in range(steps):
+        k = lanes if t < last else lanes - 1
+        mixer.look(before[0][:k], before[1][:k])
+        total = mixer.total
+        unit = width[:k] // U(total << SHARE_BITS)
+        target = np.minimum(value[:k] // unit, U((total << SHARE_BITS) - 1)).astype(np.int64)
+        share = target // total
+        outcome = (share >= mixer.from_one).astype(np.int64) + (share >= mixer.from_other)
+        rest, other = SHARES - mixer.from_other, outcome == 2
+        # below 2 ** 37 by 2 ** 12: the quotient of floats has the right whole part
+        inside = ((target - mixer.from_other * total) / rest).astype(np.int64)
         own = np.where(outcome == 0, mixer.id2, mixer.id1)
-        if len(rest := np.flatnonzero(outcome == 2)):
-            value = np.zeros(len(rest), np.int64)
-            for j, table in enumerate(mixer.nibbles):
-                value = value << 4 | coder.code(rest, table, (rest << (4 * j)) + value)
-            own[rest] = value << 4 | coder.even(rest, 4)
-        row[:k] = own
-        mixer.learn(k, own)
-    return [grid[: sizes[i], i].astype(np.uint32) for i in range(n)]
+        own[other] = mixer.slot(inside[other])
+        i = own.astype(np.int64)
+        begin = mixer.cum[i]
+        start = np.where(other, mixer.from_other * total + rest * begin, np.where(outcome == 1, mixer.from_one * total, 0)).astype(np.uint64)
+        span_ = np.where(other, rest * (mixer.cum[i + 1] - begin), np.where(outcome == 1, (mixer.from_other - mixer.from_one) * total, mixer.from_one * total)).astype(np.uint64)
+        below = unit * start
+        low[:k] += below
+        value[:k] -= below
+        width[:k] = unit * span_
+        while (narrow := width < FLOOR).any():
+            cross = narrow & ((low ^ (low + width - U(1))) >> TOP != 0)
+            width = np.where(cross, FLOOR - (low & BELOW), width)
+            shift = narrow * WORD
+            value = value << shift | words[at] * narrow
+            at += narrow
+            low, width = low << shift, width << shift
+        grid[t, :k] = own
+        mixer.learn(grid, t, own, outcome)
+        before = [own if k == lanes else np.append(own, np.uint32(0)), before[0]]
+    return grid.T.ravel()[:n] if n == steps * lanes else np.concatenate([grid[:, :-1].T.ravel(), grid[:last, -1]])
 
 
 DOC = np.dtype([("valid", "u1"), ("doc_id", "<i8"), ("ids", "<u4")])
-PART = np.dtype([("ids", "<u4"), ("words", "<u4"), ("crc", "<u4")])
+PART = np.dtype([("ids", "<u4"), ("words", "<u4"), ("lanes", "<u4"), ("span", "<u4"), ("crc", "<u4")])
 
 
 def pack_segment(partition: int, sequence: int, doc_ids: list, counts: list[int], ids: np.ndarray) -> bytes:
@@ -243,15 +217,18 @@ def pack_segment(partition: int, sequence: int, doc_ids: list, counts: list[int]
     docs["valid"] = [d is not None for d in doc_ids]
     docs["doc_id"] = [d or 0 for d in doc_ids]
     docs["ids"] = counts
-    sizes = np.array([min(BLOCK, len(ids) - i) for i in range(0, len(ids), BLOCK)], np.int64)
-    words: list[np.ndarray] = []
-    for i in range(0, len(sizes), LANES):
-        words += encode_blocks(ids[i * BLOCK :], sizes[i : i + LANES])
-    blocks = np.zeros(len(sizes), PART)
-    blocks["ids"], blocks["words"] = sizes, [len(w) for w in words]
-    blocks["crc"] = [zlib.crc32(ids[i * BLOCK : (i + 1) * BLOCK].astype("<u4").tobytes()) for i in range(len(sizes))]
-    header = np.array([partition, sequence], "<i8").tobytes() + np.array([len(docs), len(blocks)], "<u4").tobytes() + docs.tobytes() + blocks.tobytes()
-    return b"ULTK" + np.array([len(header), zlib.crc32(header)], "<u4").tobytes() + header + b"".join(w.astype("<u2").tobytes() for w in words)
+    rows, lanes, words = [], [], []
+    for i in range(0, len(ids), BLOCK):
+        own = ids[i : i + BLOCK].astype("<u4")
+        span = int(own.max()) + 1
+        if span > MOST_IDS:
+            raise ValueError(f"id {span - 1} is too large for a token file")
+        coded, size = encode_block(own, span)
+        rows.append((len(own), len(coded), len(size), span, zlib.crc32(own)))
+        lanes.append(size.astype("<u2").tobytes())
+        words.append(coded.astype("<u2").tobytes())
+    header = np.array([partition, sequence], "<i8").tobytes() + np.array([len(docs), len(rows)], "<u4").tobytes() + docs.tobytes() + np.array(rows, PART).tobytes()
+    return b"".join([b"ULTK", np.array([len(header), zlib.crc32(header)], "<u4").tobytes(), header, *lanes, *words])
 
 
 def unpack_segments(data: bytes) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -266,18 +243,17 @@ def unpack_segments(data: bytes) -> Iterator[tuple[int, int, np.ndarray, np.ndar
         n_docs, n_blocks = np.frombuffer(header, "<u4", 2, 16).tolist()
         docs = np.frombuffer(header, DOC, n_docs, 24)
         blocks = np.frombuffer(header, PART, n_blocks, 24 + n_docs * DOC.itemsize)
-        at += 12 + size
-        total = int(blocks["words"].sum())
-        words = np.frombuffer(data, "<u2", total, at)
-        starts = np.concatenate([[0], np.cumsum(blocks["words"].astype(np.int64))[:-1]])
+        lane = at + 12 + size
+        at = lane + 2 * int(blocks["lanes"].sum())
         out: list[np.ndarray] = []
-        for i in range(0, n_blocks, LANES):
-            out += decode_blocks(words, starts[i : i + LANES], blocks["ids"][i : i + LANES].astype(np.int64))
-        for own, crc in zip(out, blocks["crc"].tolist()):
-            if zlib.crc32(own.astype("<u4").tobytes()) != crc:
+        for n, words, lanes, span, crc in blocks.tolist():
+            own = decode_block(np.frombuffer(data, "<u2", words, at), np.frombuffer(data, "<u2", lanes, lane), n, span).astype("<u4", copy=False)
+            if zlib.crc32(np.ascontiguousarray(own)) != crc:
                 raise ValueError(f"a block of segment {partition}/{sequence} fails its checksum")
+            out.append(own)
+            lane, at = lane + 2 * lanes, at + 2 * words
         yield partition, sequence, docs, np.concatenate(out)
-        at += 2 * total + 1
+        at += 1
 
 
 def write(docs: DataFrame, path: str, tokenizer: str, *, end_id: int = 2) -> None:
@@ -293,18 +269,25 @@ def write(docs: DataFrame, path: str, tokenizer: str, *, end_id: int = 2) -> Non
             ids = np.frombuffer(b"".join(coded), "<u4")
             return pa.RecordBatch.from_pydict({"segment": pa.array([pack_segment(partition, sequence, names, [len(c) // 4 for c in coded], ids)], pa.binary())})
 
-        for batch in batches:
-            for name, ids in zip(batch.column("doc_id").to_pylist(), bpe.encode_all(text_bytes(batch.column("text")))):
-                names.append(name)
-                coded.append(ids + end)
-                held += len(ids) // 4 + 1
-                if held >= LANES * BLOCK:
-                    yield segment()
-                    names, coded, held, sequence = [], [], 0, sequence + 1
-        if names:
-            yield segment()
-
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+        try:
+            for batch in batches:
+                for part in slices(batch):
+                    for name, ids in zip(part.column("doc_id").to_pylist(), bpe.encode_all(text_bytes(part.column("text")))):
+                        names.append(name)
+                        coded.append(ids + end)
+                        held += len(ids) // 4 + 1
+                        if held >= BLOCKS_PER_SEGMENT * BLOCK:
+                            yield segment()
+                            names, coded, held, sequence = [], [], 0, sequence + 1
+            bpe.release()
+            if names:
+                yield segment()
+        finally:
+            bpe.release()
+
+    # only ids and hashes are sampled for the ranges, and many rows of one id are split by their hash
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("ul_hash", F.xxhash64("text"))
+    ordered = keyed.repartitionByRange("doc_id", "ul_hash").sortWithinPartitions("doc_id", "ul_hash", "text").drop("ul_hash")
     segments = ordered.mapInArrow(run, "segment binary")
     segments.select(F.col("segment").cast("string").alias("value")).write.option("maxRecordsPerFile", SEGMENTS_PER_FILE).option("lineSep", "\n").text(path)
 
@@ -318,13 +301,13 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 for partition, sequence, docs, ids in unpack_segments(content.as_py()):
                     ends = np.cumsum(docs["ids"].astype(np.int64))
                     starts = ends - docs["ids"]
-                    raw = ids.astype("<u4")
+                    raw = memoryview(np.ascontiguousarray(ids))
                     n = len(docs)
                     yield pa.RecordBatch.from_pydict({
                         "partition": pa.array(np.full(n, partition)), "sequence": pa.array(np.full(n, sequence)), "place": pa.array(np.arange(n)),
                         "doc_id": pa.array(docs["doc_id"].astype(np.int64), mask=docs["valid"] == 0), "before": pa.array(starts),
                         "n_tokens": pa.array(docs["ids"].astype(np.int64)),
-                        "ids_crc32": pa.array([zlib.crc32(raw[i:j].tobytes()) for i, j in zip(starts.tolist(), ends.tolist())], pa.int64()),
+                        "ids_crc32": pa.array([zlib.crc32(raw[i:j]) for i, j in zip(starts.tolist(), ends.tolist())], pa.int64()),
                     })
 
     files = spark.read.format("binaryFile").load(path).select("content")
