@@ -286,12 +286,27 @@ def test_token_blocks():
     raw = tokenfile.pack_segment(3, 1, [None, 5], [10_000, 7000], ids)
     (partition, sequence, table, got), = tokenfile.unpack_segments(raw + b"\n")
     assert (partition, sequence) == (3, 1) and (got == ids).all() and table["valid"].tolist() == [0, 1]
+    assert tokenfile.unpack_segments(raw + b"\n").__next__()[2]["doc_id"].tolist() == [0, 5]
     broken = bytearray(raw)
     broken[-500] ^= 1
     with pytest.raises(ValueError):
         list(tokenfile.unpack_segments(bytes(broken) + b"\n"))
 
 
+def test_token_coder():
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 255, 256, 257, 1000, 70_001):
+        for ids in (rng.integers(0, 49_408, n), np.full(n, 70_000), np.arange(n) % 3, rng.zipf(1.3, n) % 200_000):
+            span = int(ids.max()) + 1
+            words, sizes = tokenfile.encode_block(ids.astype(np.uint32), span)
+            assert (tokenfile.decode_block(words.astype("<u2"), sizes.astype("<u2"), n, span) == ids).all()
+    repeated = np.tile(rng.integers(0, 49_408, 3000), 40).astype(np.uint32)
+    words, _ = tokenfile.encode_block(repeated, 49_408)
+    assert 2 * len(words) < 0.5 * len(repeated)  # orders 1 and 2 see the repeats
+    with pytest.raises(ValueError):
+        tokenfile.pack_segment(0, 0, [1], [1], np.array([1 << 30], np.uint32))
+
+
 def test_token_files(spark):
     rows = tokenfile.write_and_read(docs(spark), VOCAB).orderBy("doc_id").collect()
     library, start = Tokenizer.from_file(VOCAB), 0
@@ -401,20 +416,68 @@ def test_toxicity_reads_whole_words(spark):
         assert sum(held) >= 0.95 * len(held)
 
 
-def test_toxicity_buckets_follow_the_text(spark):
-    rng = random.Random(9)
-    for n in (100, 40_000):
-        words = [bytes(rng.choices(b"abcdefghijklmnopqrstuvwxyz", k=12)) for _ in range(n)]
-        above, below, _, place, _ = toxicity.contexts(words)
-        want = len(np.unique(np.concatenate([below, above[(place == 0) | (place > toxicity.DEPTH)]])))
-        text = b" ".join(words).decode()
-        (batch,) = toxicity._registers(iter([pa.RecordBatch.from_pydict({"text": [text]})]))
-        ranks = np.zeros(1 << toxicity.REGISTER_BITS)
-        ranks[batch["register"].to_numpy()] = batch["rank"].to_numpy()
-        assert abs(toxicity.distinct(ranks) / want - 1) < 0.08
-        model = toxicity.train(docs(spark, [text] * 8), spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id long, toxic int"))
-        assert model.nodes.shape[1] >= 1.9 * want
-    assert toxicity._KINDS["nodes"] is np.int64
+def brute_kneser_ney(texts, labels):
+    """(context, byte) -> log-likelihood ratio, straight from the formulas."""
+    counts = collections.defaultdict(lambda: [0, 0])
+    for text, toxic in zip(texts, labels):
+        for sequence in {(w, i) for w in set(toxicity.words_of(text.encode())) for i in range(1, len(w) + 2)}:
+            padded = b"\x02" + sequence[0] + b"\x03"
+            counts[padded[max(0, sequence[1] - 8) : sequence[1]], padded[sequence[1]]][toxic] += 1
+    tables, longer = {}, set(counts)
+    for size in (5, 3, 2, 1, 0):
+        shorter = collections.Counter((h[len(h) - min(size, len(h)) :], b) for h, b in longer)
+        tables[size], longer = shorter, set(shorter)
+    after = {size: collections.defaultdict(list) for size in tables}
+    for size, table in tables.items():
+        for (h, b), n in table.items():
+            after[size][h].append(n)
+
+    def shared(h, b, sizes):
+        if not sizes:
+            return 1 / 256
+        h = h[len(h) - min(sizes[0], len(h)) :]
+        every = after[sizes[0]][h]
+        return (tables[sizes[0]][h, b] - 0.75 + 0.75 * len(every) * shared(h, b, sizes[1:])) / sum(every)
+
+    def of(h, b, toxic):
+        every = [n[toxic] for (g, _), n in counts.items() if g == h]
+        p = shared(h, b, (5, 3, 2, 1, 0))
+        if not sum(every):
+            return p
+        n = counts[h, b][toxic]
+        return (n - min(n, 3) + sum(min(x, 3) for x in every) * p) / sum(every)
+
+    return {(h, b): math.log(of(h, b, 1) / of(h, b, 0)) for h, b in counts}
+
+
+def test_toxicity_is_kneser_ney(spark):
+    rng = random.Random(12)
+    pool = WORDS[:25] + ["ab", "abc", "abcdefghijklmn", "xbcdefghijklmn", "été"]
+    labels = [rng.random() < 0.4 for _ in range(60)]
+    texts = [" ".join(rng.choices(pool, k=12) + ["vlob"] * y) for y in labels]
+    rows = spark.createDataFrame([(t, int(y)) for t, y in zip(texts, labels)], "text string, toxic int")
+    grams = rows.mapInArrow(toxicity._count, "c long, b int, o long, t long").groupBy("c", "b").agg(F.sum("o").alias("o"), F.sum("t").alias("t"))
+    sequence, context = (t.toArrow() for t in toxicity.ratios_of(grams.cache()))
+    keys = toxicity._key(sequence["c"].to_numpy(), sequence["b"].to_numpy().astype(np.uint64))
+    model = toxicity.Model(keys, sequence["ratio"].to_numpy(), context["c"].to_numpy(), context["freed"].to_numpy(), True)
+    want = brute_kneser_ney(texts, labels)
+    for word in pool[:40] + ["vlob"]:
+        padded = b"\x02" + word.encode() + b"\x03"
+        value = sum(want[padded[max(0, i - 8) : i], padded[i]] for i in range(1, len(padded)) if any(word in t.split() for t in texts))
+        if any(word in t.split() for t in texts):
+            assert math.isclose(model.word_ratios([word.encode()])[0], value, abs_tol=1e-4)
+    assert model.word_ratios([b"vlob"])[0] > 2 and abs(model.word_ratios([b"qqqq"])[0]) < 2
+
+
+def test_toxicity_of_empty_tables(spark):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, toxic int")
+    assert toxicity.score(docs(spark, []), labels).count() == 0
+    rows = toxicity.score(docs(spark, [None, "", "a b", "a b"]), labels.limit(0)).collect()
+    assert [r.score for r in rows] == [0.0] * 4
+    twice = docs(spark, ["some words here"] * 30)
+    nulls = twice.union(twice).withColumn("doc_id", F.when(F.col("doc_id") > 3, F.col("doc_id")))
+    rows = toxicity.score(nulls, labels.unionByName(labels).unionByName(spark.createDataFrame([(None, 1), (5, None)], "doc_id long, toxic int"))).collect()
+    assert len(rows) == 60 and all(not r.held_out for r in rows if r.doc_id is None)
 
 
 def test_pipeline_columns(spark):
