@@ -328,6 +328,63 @@ def test_extract():
     assert "First para" in extract.main_text(plain) and "cookies" not in extract.main_text(plain) and "Nice" not in extract.main_text(plain)
 
 
+def test_extract_by_distribution():
+    prose = lambda k, n=40: " ".join(WORDS[(k * 37 + i) % 300] for i in range(n))
+    menu = "<ul>" + "".join(f"<li><a href=x>{WORDS[i]}</a></li>" for i in range(12)) + "</ul>"
+    paras = [prose(k) for k in range(5)]
+    article = "<h1>The title</h1>" + "".join(f"<p>{p}</p>" for p in paras[:3]) + "<p>Short.</p><p>Yes.</p><p>No.</p><ul><li>one</li><li>two</li></ul>" + "".join(f"<p>{p}</p>" for p in paras[3:])
+    want = "\n".join(["The title", *paras[:3], "Short.", "Yes.", "No.", "one", "two", *paras[3:]])
+    around = lambda inner: f"<body><div>{menu}</div><div>Site of things</div>{inner}<div><p>{prose(9, 12)}</p>{menu}</div><div>About us</div></body>"
+    # nothing names the article: surge and dive find it, among other text too
+    assert extract.main_text(around(f"<div>{article}</div>")) == want
+    assert extract.main_text(around(f"<table><tr><td>{menu}</td><td>{article}</td></tr></table>")) == want
+    # of several that name themselves the one with the most text, not the first
+    assert extract.main_text(around(f"<article><p>{prose(7, 8)}</p></article><article>{article}</article><article><h2>Next</h2></article>")) == want
+    # a name alone doesn't decide
+    assert extract.main_text(around(f"<main><p>Hi</p></main><div>{article}</div>")) == want
+    # links weigh nothing
+    assert extract.main_text(f"<div><p><a href=x>{prose(1, 300)}</a></p></div><div>{article}</div>") == want
+    # without the window sums the rows change
+    page = extract.Page(around(f"<div>{article}</div>"))
+    assert len([x for x in page.lines if not x.away]) > want.count("\n") + 1
+
+
+def test_extract_core_against_brute_force():
+    rng = random.Random(14)
+    for _ in range(300):
+        w = [rng.choice([0, 0, 1, 5, 40, 200, 900]) for _ in range(rng.randint(1, 25))]
+        sums = [sum(w[max(0, i - 1) : i + 2]) for i in range(len(w))]
+        groups, gap = [], 99
+        for i, x in enumerate(sums):
+            if x > extract.SURGE * max(sums):
+                if gap > extract.GAP:
+                    groups.append([])
+                elif gap:
+                    groups[-1] += range(i - gap, i)
+                groups[-1].append(i)
+                gap = 0
+            else:
+                gap += 1
+        best = max((g for g in groups), key=lambda g: sum(w[i] for i in g), default=[])
+        inside = [i for i in best if w[i]]
+        assert extract.core_of(np.array(w)) == ((inside[0], inside[-1] + 1) if inside else None)
+
+
+def test_extract_table(spark):
+    import time
+
+    rows = [(1, "u", None, "x"), (2, None, "", "x"), (3, "u", "<article><p>a &amp;\n b</p></article>", "x"), (3, "u", "<article><p>a &amp;\n b</p></article>", "x"), (4, "u", "<div><p>" + "word " * 400_000 + "</p></div>", "x")]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    got = sorted((r.page_id, r.url or "", r.text, r.n_chars) for r in extract.extract(table).collect())
+    assert got == [(1, "u", "", 0), (2, "", "", 0), (3, "u", "a & b", 5), (3, "u", "a & b", 5), (4, "u", ("word " * 400_000).strip(), 1_999_999)]
+    assert extract.extract(table.limit(0)).count() == 0
+    for bad in ("<a " * 80_000, "<div>x" * 40_000, "<div>" * 40_000 + "</x>" * 40_000, "<p><b>" * 30_000, "<!-- " * 50_000, "</" * 90_000):
+        began = time.process_time()
+        extract.main_text(bad)
+        assert time.process_time() - began < 5
+    assert extract.main_text("<p>a</p><!-- > <p>b</p> c") == "a"
+
+
 def test_warc(spark):
     rows = [(1, "http://b.example/x", "<p>a</p>"), (2, "http://a.example/y?q=1#f", "<p>a</p>"), (3, None, None), (4, "https://www.a.example:80/", ""), (5, "http://a.example/z", "WARC/1.1\r\n\r\nx" * 50), (5, "http://a.example/z", "q")]
     got = warc.archive_and_read(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
@@ -340,12 +397,55 @@ def test_warc(spark):
         assert (r.record_type, r.refers_to) == {1: ("revisit", 2), 3: ("revisit", 4)}.get(page, ("response", None))
 
 
+def test_warc_files(spark, tmp_path):
+    import gzip
+
+    rng = random.Random(6)
+    pages = [(i if i % 7 else None, f"http://h{i % 5}.example/{i % 3}", "x" * rng.randint(0, 3000) + str(i % 40)) for i in range(400)]
+    pages += [(1000, "http://h.example/", "twice")] * 3 + [(1001, "http://h.example/\r\nX: y", "".join(rng.choices("abc", k=warc.MEMBER_BYTES * 2 + 5)))]
+    table = spark.createDataFrame(pages, "page_id long, url string, payload string").withColumn("payload", F.col("payload").cast("binary"))
+    table = table.withColumn("captured", F.timestamp_seconds(F.lit(0))).withColumn("place", F.lit(0)).repartition(4)
+    path = f"file://{tmp_path}/w"
+    warc.write(table, path, file_bytes=100_000)
+    index = [tuple(r) for r in warc.histories(warc.read_index(spark, path)).collect()]
+    assert index == sorted(index, key=warc._order) and len(index) == len(pages)
+    raw = {f.name: f.read_bytes() for f in (tmp_path / "w").glob("part-*")}
+    assert len(raw) > 3 and sum(e[10] for e in index) == sum(map(len, raw.values()))
+    for entry in index:  # each record stands at its offset
+        own = raw[entry[8]][entry[9] : entry[9] + entry[10]]
+        head, body, after = warc.unpack(own, 0)
+        assert after == len(own) and gzip.decompress(own).startswith(b"WARC/1.1\r\n") and head["X-URL-Key"] == entry[0]
+    by_payload = collections.Counter(p for _, _, p in pages)
+    assert sum(e[4] == "response" for e in index) == len(by_payload)  # one of each, of repeated rows too
+    with pytest.raises(ValueError):
+        list(warc.parse("f", next(iter(raw.values()))[:-3]))
+
+
+def test_warc_merge_in_small_steps(spark, monkeypatch):
+    rng = random.Random(8)
+    entries = [(rng.choice("abc"), f"t{rng.randint(0, 30):02}", rng.choice([None, 3, 4, i]), "u", "response", 1, "d", None, f"f{i % 9}", i, 1, 0) for i in range(3000)]
+    runs = [sorted(entries[i::7], key=warc._order) for i in range(7)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*[(*e[:-1], n) for e in run[i : i + 100]]), warc._ARROW)], schema=warc._ARROW) for n, run in enumerate(runs) for i in range(0, len(run), 100)]
+    rng.shuffle(batches)  # a shuffle may hand on the blocks in any order
+    monkeypatch.setattr(warc, "MERGE_KEYS", 100)
+    monkeypatch.setattr(warc, "OUT_ROWS", 64)
+    got = [tuple(r.values()) for b in warc._merge(iter(batches)) for r in b.to_pylist()]
+    assert got == [e[:-1] for e in sorted(entries, key=warc._order)]
+    assert list(warc._merge(iter([]))) == []
+
+
+def test_warc_of_empty_and_repeated_rows(spark):
+    table = spark.createDataFrame([(1, "http://a.example/", "<p>a</p>", "x")] * 2, "page_id long, url string, html string, digest string")
+    got = sorted((r.record_type, r.refers_to) for r in warc.archive_and_read(table).collect())
+    assert got == [("response", None), ("revisit", 1)]
+    assert warc.archive_and_read(table.limit(0)).count() == 0
+
+
 def test_loser_tree():
     rng = random.Random(5)
-    make = lambda run: sorted((rng.choice("abc"), str(rng.randint(0, 9)), i, "", "", 0, "", None, f"f{run}", i, 0) for i in range(rng.randint(0, 9)))
     for k in (1, 2, 3, 7):
-        runs = [sorted(make(r), key=warc._order) for r in range(k)]
-        assert list(warc.LoserTree(runs)) == sorted(sum(runs, []), key=warc._order)
+        runs = [sorted((rng.choice("abc"), rng.randint(0, 9), i) for i in range(rng.randint(0, 9))) for _ in range(k)]
+        assert list(warc.LoserTree(runs, key=lambda e: e)) == sorted(sum(runs, []))
 
 
 def test_chat(spark):
