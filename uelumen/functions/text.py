@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 LONG_MAX, INT_MAX = "9223372036854775807", "2147483647"
 
 
+BLANKS = "".join(map(chr, range(33)))
+
+
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"\A[\x00-\x20]+|[\x00-\x20]+\z", "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def is_blank(c: Column) -> Column:
@@ -18,8 +21,7 @@ def is_blank(c: Column) -> Column:
 
 
 def strip_to_null(c: Column) -> Column:
-    s = strip(c)
-    return F.when(s != "", s)
+    return F.nullif(strip(c), F.lit(""))
 
 
 def sha256(*parts: Column) -> Column:

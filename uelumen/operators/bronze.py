@@ -13,6 +13,14 @@ from uelumen.schemas import ENVELOPE
 from uelumen.sources.ingest import ENVELOPE_VERSION
 
 
+_AT = {name: i for i, name in enumerate(RAW_FIELDS)}
+
+
+def _field(name: str) -> Column:
+    """A raw field by its place; null where the line has another number of fields."""
+    return F.get("fields", F.lit(_AT[name]))
+
+
 def _iso_of_millis(ms: Column) -> Column:
     return F.when(ms >= 0, times.normalise(F.lpad(ms.cast("string"), 13, "0")))
 
@@ -26,11 +34,12 @@ def parse(records: DataFrame, *, zone: str = "Asia/Ho_Chi_Minh", delimiter: str
     value = F.col("value")
     rows = settle(records, env=F.from_json(value, ENVELOPE + ", ul_corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "ul_corrupt"}))
     payload = F.col("env.raw_payload")
-    parts = F.when(~is_blank(payload), F.split(payload, rf"\Q{delimiter}\E", -1))
+    literal = "\\" + delimiter if len(delimiter) == 1 and not delimiter.isalnum() else rf"\Q{delimiter}\E"
+    parts = F.when(~is_blank(payload), F.split(payload, literal, -1))
     rows = settle(rows, line=F.when(F.col("env.source_line").rlike(r"\A-?\d+\z"), F.col("env.source_line").try_cast("long")), parts=parts)
     blank_parts = F.forall("parts", lambda p: is_blank(p))
-    rows = settle(rows, raw_fields=F.when(F.size("parts") == len(RAW_FIELDS), F.map_from_arrays(F.array(*map(F.lit, RAW_FIELDS)), "parts")))
-    get = lambda name: F.element_at("raw_fields", name)
+    rows = settle(rows, fields=F.when(F.size("parts") == len(RAW_FIELDS), F.col("parts")))
+    get = _field
     rows = settle(rows, event_time=times.normalise(get("EVENT_TIME"), zone))
     is_null_json = strip(value) == "null"
     checks = [
@@ -61,14 +70,15 @@ def parse(records: DataFrame, *, zone: str = "Asia/Ho_Chi_Minh", delimiter: str
 
 def split(parsed: DataFrame) -> Routed:
     """``bronze`` events and ``dlq`` records."""
-    get = lambda name: F.element_at("raw_fields", name)
+    get = _field
     text = lambda name: strip_to_null(get(name))
+    raw_fields = F.map_from_arrays(F.array(*map(F.lit, RAW_FIELDS)), "fields").alias("raw_fields")
     bronze = parsed.filter("error IS NULL").select(
         F.lit("bronze-v1").alias("schema_version"), F.col("env.raw_record_id").alias("raw_record_id"), text("EVENT_ID").alias("event_id"), strip(get("EVENT_RESULT")).alias("event_result"),
         nullable_number(get("DURATION")).alias("duration_ms"), nullable_number(get("REQUEST_RETRIES"), "int").alias("request_retries"), nullable_number(get("PAGING_ATTEMPTS"), "int").alias("paging_attempts"),
         "event_time", F.lit("source").alias("event_time_quality"),
         *[text(n.upper()).alias(n) for n in "msisdn imsi mtmsi imeisv mmegi mmec sub_cause_code msc tac eci sgw pdn_pgw".split()],
-        "raw_fields", "source",
+        raw_fields, "source",
     )
     where = F.concat_ws(":", "topic", F.col("partition").cast("string"), F.col("offset").cast("string"))
     own_id = F.col("env.raw_record_id")

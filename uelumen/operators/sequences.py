@@ -60,14 +60,17 @@ def split_too_late(events: DataFrame, *, key: str = "ue_key", ts: str = "event_t
 def windows(events: DataFrame, *, key: str = "ue_key", order: tuple[str, ...] = ("event_time_epoch_ms", "source_order_key"), length: int = 32, stride: int = 8) -> DataFrame:
     """(key, window_no, events): every ``stride`` rows of a key in order, ``length`` rows; no partial windows.
 
-    One shuffle by key and one sort serve the numbering and the frame; rows that begin no window are dropped before
-    they leave the task.
+    One shuffle by key serves the numbering, the chunks of ``stride`` rows and the windows, each some chunks in a row: a row is
+    copied once into its chunk and once into each window that holds it.
     """
     w = Window.partitionBy(key).orderBy(*order)
-    ahead = w.rowsBetween(Window.currentRow, length - 1)
-    numbered = events.withColumn("ul_n", F.row_number().over(w) - 1).withColumn("ul_events", F.collect_list(F.struct(*events.columns)).over(ahead))
-    begins = (F.col("ul_n") % stride == 0) & (F.size("ul_events") == length)
-    return numbered.filter(begins).select(key, (F.col("ul_n") / stride).cast("long").alias("window_no"), F.col("ul_events").alias("events"))
+    numbered = events.withColumn("ul_n", F.row_number().over(w) - 1)
+    chunks = numbered.groupBy(key, F.floor(F.col("ul_n") / stride).alias("window_no")).agg(F.array_sort(F.collect_list(F.struct("ul_n", F.struct(*events.columns).alias("e"))), lambda a, b: a["ul_n"] - b["ul_n"]).alias("chunk"))
+    by_chunk = Window.partitionBy(key).orderBy("window_no")
+    empty = F.slice("chunk", 1, 0)
+    whole = F.concat("chunk", *[F.coalesce(F.lead("chunk", k).over(by_chunk), empty) for k in range(1, -(-length // stride))])
+    made = chunks.select(key, "window_no", F.slice(whole, 1, length).alias("ul_w")).filter(F.size("ul_w") == length)
+    return made.select(key, "window_no", F.transform("ul_w", lambda x: x["e"]).alias("events"))
 
 
 def ordered(events: Column, ts: str = "event_time_epoch_ms") -> Column:

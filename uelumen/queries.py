@@ -11,6 +11,7 @@ from uelumen.contract import Contract
 from uelumen.functions import text, times
 from uelumen.operators import analytics, bronze, scoring, sequences, silver
 from uelumen.plans import layers, telemetry
+from uelumen.plans.stage import stage
 from uelumen.sources import ingest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -248,13 +249,13 @@ def _models(gold: DataFrame) -> list[scoring.DeviationModel]:
 
 @query(_SCORES + "SELECT model, sample_id, round(raw_score, 2) AS raw_score FROM raw")
 def model_fanout(spark, sf_dir):
-    gold = _gold(spark, sf_dir)
+    gold = stage(_gold(spark, sf_dir), "gold")
     return scoring.score(gold, _models(gold)).select("model", "sample_id", F.round("raw_score", 2).alias("raw_score"))
 
 
 @query(_SCORES + "SELECT model, sample_id, round(cume_dist() OVER (PARTITION BY model ORDER BY raw_score), 9) AS anomaly_score, cume_dist() OVER (PARTITION BY model ORDER BY raw_score) >= 0.975 AS is_anomaly FROM raw")
 def score_ecdf(spark, sf_dir):
-    gold = _gold(spark, sf_dir)
+    gold = stage(_gold(spark, sf_dir), "gold")
     rows = scoring.score(gold, _models(gold)).select("model", "sample_id", F.round("raw_score", 6).alias("raw_score"))
     rows = scoring.empirical_scores(rows, "raw_score", ["model"])
     return rows.select("model", "sample_id", F.round("anomaly_score", 9).alias("anomaly_score"), (F.col("anomaly_score") >= 0.975).alias("is_anomaly"))
@@ -262,7 +263,7 @@ def score_ecdf(spark, sf_dir):
 
 @query(_SCORES + ", top AS (SELECT sample_id, CAST(t AS INTEGER) AS timestep, round(z, 4) AS contribution, n, row_number() OVER (PARTITION BY sample_id ORDER BY round(z, 9) DESC, t) AS r FROM sc WHERE model = 'all') SELECT sample_id, CAST(r - 1 AS INTEGER) AS rank, timestep, contribution FROM top WHERE r <= 5")
 def top_evidence(spark, sf_dir):
-    gold = _gold(spark, sf_dir)
+    gold = stage(_gold(spark, sf_dir), "gold")
     rows = scoring.score(gold, _models(gold)[:1]).join(gold.select("sample_id", "evidence"), "sample_id")
     rows = rows.withColumn("contributions", F.transform("contributions", lambda c: F.round(c, 9))).withColumn("ix", scoring.top_steps(F.col("contributions")))
     found = scoring.top_evidence(F.col("ix"), F.transform("ix", lambda i: F.get(F.col("contributions"), i)), F.col("evidence.events"))
@@ -355,14 +356,14 @@ def route_counts(spark, sf_dir):
 @query()
 def predictions(spark, sf_dir):
     """Prediction records with their evidence and what is wrong with them (nothing)."""
-    gold = _gold(spark, sf_dir)
+    gold = stage(_gold(spark, sf_dir), "gold")
     rows = scoring.predictions(gold, _models(gold), inference_time=F.lit("2024-01-01T00:00:00Z"))
     return rows.withColumn("fault", scoring.prediction_fault(rows.columns))
 
 
 @query()
 def evidence_table(spark, sf_dir):
-    gold = _gold(spark, sf_dir)
+    gold = stage(_gold(spark, sf_dir), "gold")
     return analytics.evidence_table(scoring.predictions(gold, _models(gold)[:1]))
 
 
