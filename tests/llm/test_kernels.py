@@ -62,6 +62,33 @@ def test_ball_hashing():
     assert local_stars(edges) == want
 
 
+def test_ball_payload_is_constant():
+    fps = np.random.default_rng(3).integers(0, 2**63, 4096).astype(np.uint64)
+    keys, flips = simhash.variants(fps)
+    assert (np.sort(np.unique(simhash.unmix(keys) ^ simhash.FLIPS[flips])) == np.sort(fps)).all() and (simhash.unmix(simhash.mix(fps)) == fps).all()
+    sent = []
+    for bits in (6, 9, 12):
+        (batch,) = simhash.emit(bits)(iter([pa.RecordBatch.from_pydict({"fp": pa.array(fps.view(np.int64))})]))
+        sent.append(sum(len(x) for n in ("keys", "flips") for x in batch.column(n).to_pylist()) / len(keys))
+    assert sent == [10, 10, 10]
+
+
+def test_pairs_are_asked_by_hub_blocks(spark):
+    rng = random.Random(5)
+    words = [f"w{k}" for k in range(204)]
+    texts = {0: " ".join(words), 1: "short", 2: None}
+    for i in range(3, 900):
+        own = list(words)
+        for k in range(rng.choice([1, 9])):
+            own[10 + 20 * k] = f"e{i}"
+        texts[i] = " ".join(own)
+    alike = lambda x, y: len(x & y) >= 0.8 * len(x | y)
+    cut = {i: {tuple((t or "").split()[k : k + 5]) for k in range(max(1, len((t or "").split()) - 4))} for i, t in texts.items()}
+    pairs = [(0, i, 0) for i in range(1, 900)] + [(5, i, i) for i in range(6, 60)]
+    got = simhash._ask(spark.createDataFrame(pairs, "a long, b long, hub long"), spark.createDataFrame(list(texts.items()), "fp long, text string")).collect()
+    assert sorted((r.a, r.b) for r in got) == sorted((a, b) for a, b, _ in pairs if alike(cut[a], cut[b]))
+
+
 def test_components(spark):
     pairs = [(i, i + 1) for i in range(1, 40)] + [(100, 101), (300, 101), (300, 200)]
     got = {r.node: r.root for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}

@@ -4,17 +4,19 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
 import gc
-import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from py4j.protocol import Py4JError, Py4JNetworkError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from uelumen.plans.stage import delete, scratch_root
+
 PART_BYTES = 4 << 20
+BATCH_BYTES = "8m"
 
 _written: dict[str, tuple[SparkSession, str]] = {}
 _scope = [""]
@@ -38,15 +40,6 @@ def forget_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a temporary one only where none is configured (tests, local runs)."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="uelumen-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
-
-
 def stage_table(df: DataFrame, label: str, partition_by: Iterable[str] = ()) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
@@ -76,12 +69,7 @@ def release_stage_tables(name: str | None = None) -> None:
         if name is not None and own != name:
             continue
         del _written[path]
-        try:
-            jvm = spark.sparkContext._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path).getParent()
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-        except (Py4JError, Py4JNetworkError, OSError, AttributeError):
-            continue  # the session has ended; its folder goes with the cluster's
+        delete(spark, path.rsplit("/", 1)[0])
 
 
 atexit.register(release_stage_tables)
@@ -107,6 +95,32 @@ def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             yield from (x for half in (part.slice(0, part.num_rows // 2), part.slice(part.num_rows // 2)) for x in slices(half))
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ``BATCH_BYTES`` (or one row), unless the session sets a bound of its own."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, BATCH_BYTES)
+
+
+def _trim() -> None:
+    """Give freed memory back, so that what one kind of task needed isn't held by a worker while it runs others."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function for mapInArrow whose worker gives memory back as its task ends."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            _trim()
+
+    return whole
+
+
 def map_texts(df: DataFrame, kernel: Callable[[pa.RecordBatch], dict], schema: str, *, after: Callable[[], None] | None = None) -> DataFrame:
     """mapInArrow where ``kernel`` makes the columns of one output batch from some ``PART_BYTES`` of input; ``after`` runs as the task ends."""
 
@@ -119,7 +133,8 @@ def map_texts(df: DataFrame, kernel: Callable[[pa.RecordBatch], dict], schema: s
             if after is not None:
                 after()
 
-    return df.mapInArrow(run, schema)
+    bound_batches(df.sparkSession)
+    return df.mapInArrow(trimmed(run), schema)
 
 
 def whole_row(df: DataFrame, **extra) -> DataFrame:

@@ -11,18 +11,21 @@ shuffle. Two observations keep the balls small without losing a link:
 
 That is 64 variants for a fingerprint of even parity and 1057 for one of odd parity. Those that share a variant with a
 one-flip member are all within three bits of that member, so a colliding group becomes a star around it instead of all
-its pairs; nothing is capped. Variants travel as sorted blocks by the leading bits of a bijective mix, about 11 bytes
-each, to buckets whose number follows the count of fingerprints (``PER_BUCKET`` variants each).
+its pairs; nothing is capped. Variants travel as sorted blocks by the leading bits of a bijective mix, about 10 bytes
+each, to buckets whose number follows the count of fingerprints (``PER_BUCKET`` variants each): a variant and the number of the flips that
+made it give the fingerprint back, so nothing else is sent.
 
 :func:`keep_one` wants groups of at least 0.8 similarity on five-word shingles, which moves more than three bits of a
 64-bit fingerprint. Beside the fingerprint of the whole text it therefore takes ``SAMPLES`` fingerprints of samples of
 ``SAMPLE`` shingles (the smallest under a hash of each sample), of which two such texts share one with probability
 0.9999. Fingerprints that share one are candidates, verified on the whole texts: first all against one hub of each sample
-fingerprint, then against hubs with most links, and at last every pair that the links found do not connect yet.
+fingerprint, then against hubs with most links, and at last every pair that the links found do not connect yet. A hub's text meets its members
+in blocks of ``HUB_BLOCK``, so it travels once a block and a hot hub is dealt over many tasks.
 
 Defined results: null text is empty; a text of fewer words than a shingle is one shingle, one without words has
 fingerprint zero and links like any other; repeated rows and equal texts share a fingerprint, so they share a
-component; a null doc_id counts only if a component has no other; an empty table gives an empty result.
+component; a null doc_id counts only if a component has no other; of rows of equal doc_id in one group the first in the input stays; further columns
+are carried whatever their names (:func:`keep_one`) or not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -36,16 +39,19 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from uelumen.llm.common import forget_shuffles, map_texts, stage_table, text_bytes, whole_row
+from uelumen.llm.common import forget_shuffles, map_texts, slices, stage_table, text_bytes, trimmed, whole_row
 from uelumen.llm.components import components, local_stars
 
 PER_BUCKET = 2_000_000
 LEAST_BITS = 6
 SAMPLES, SAMPLE, SHINGLE, SIMILAR = 20, 4, 5, 0.8
 BLOCK = 4096
+HUB_BLOCK = 256
 MIX = np.uint64(0x9E3779B97F4A7C15)
+UNMIX = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 ONE_FLIP = np.array([1 << i for i in range(64)], np.uint64)
 TWO_FLIPS = np.array([0] + [1 << i | 1 << j for half in (range(32), range(32, 64)) for i, j in combinations(half, 2)], np.uint64)
+FLIPS = np.concatenate([ONE_FLIP, TWO_FLIPS])
 
 
 def fingerprint(text: bytes, size: int = 3) -> int:
@@ -111,13 +117,17 @@ def mix(v: np.ndarray) -> np.ndarray:
     return v
 
 
+def unmix(v: np.ndarray) -> np.ndarray:
+    v = v * UNMIX
+    return (v ^ (v >> np.uint64(32))) * UNMIX
+
+
 def variants(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Mixed variants of each fingerprint, and the index of the fingerprint each is of."""
-    odd = np.flatnonzero(np.bitwise_count(fps) & 1)
-    near = fps[:, None] ^ ONE_FLIP
-    far = fps[odd][:, None] ^ TWO_FLIPS
-    refs = np.concatenate([np.repeat(np.arange(len(fps)), 64), np.repeat(odd, len(TWO_FLIPS))])
-    return mix(np.concatenate([near.ravel(), far.ravel()])), refs
+    """Mixed variants of each fingerprint, and the number of the flips of each."""
+    odd = fps[(np.bitwise_count(fps) & 1).astype(bool)]
+    near, far = fps[:, None] ^ ONE_FLIP, odd[:, None] ^ TWO_FLIPS
+    flips = np.concatenate([np.tile(np.arange(64, dtype=np.uint16), len(fps)), np.tile(np.arange(64, len(FLIPS), dtype=np.uint16), len(odd))])
+    return mix(np.concatenate([near.ravel(), far.ravel()])), flips
 
 
 def _planes(a: np.ndarray) -> bytes:
@@ -135,31 +145,26 @@ def emit(bits: int):
         for batch in batches:
             every = batch.column(0).to_numpy().view(np.uint64)
             for at in range(0, len(every), BLOCK):
-                fps = every[at : at + BLOCK]
-                keys, refs = variants(fps)
+                keys, flips = variants(every[at : at + BLOCK])
                 order = np.argsort(keys)
-                keys, refs = keys[order], refs[order].astype(np.uint16)
+                keys, flips = keys[order], flips[order]
                 edges = np.searchsorted(keys, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
                 cuts = [0, *edges.tolist(), len(keys)]
                 rows = [(b, i, j) for b, (i, j) in enumerate(zip(cuts, cuts[1:])) if i < j]
-                table = fps.tobytes()
                 yield pa.RecordBatch.from_pydict({
                     "bucket": pa.array([b for b, _, _ in rows], pa.int32()),
                     "keys": pa.array([_planes(keys[i:j]) for _, i, j in rows], pa.binary()),
-                    "refs": pa.array([_planes(refs[i:j]) for _, i, j in rows], pa.binary()),
-                    "fps": pa.array([table] * len(rows), pa.binary()),
+                    "flips": pa.array([_planes(flips[i:j]) for _, i, j in rows], pa.binary()),
                 })
 
-    return run
+    return trimmed(run)
 
 
 def collide(table: pa.Table) -> pa.Table:
     """Stars between the fingerprints of one bucket that share a variant, verified."""
-    keys, fps = [], []
-    for k, r, t in zip(*(table.column(n).to_pylist() for n in ("keys", "refs", "fps"))):
-        keys.append(_unplane(k, np.uint64))
-        fps.append(np.frombuffer(t, np.uint64)[_unplane(r, np.uint16)])
-    key, fp = np.concatenate(keys), np.concatenate(fps)
+    parts = [(_unplane(k, np.uint64), _unplane(f, np.uint16)) for k, f in zip(*(table.column(n).to_pylist() for n in ("keys", "flips")))]
+    key, flips = (np.concatenate(x) for x in zip(*parts))
+    fp = unmix(key) ^ FLIPS[flips]
     order = np.argsort(key, kind="stable")
     key, fp = key[order], fp[order]
     same = key[1:] == key[:-1]
@@ -189,7 +194,7 @@ def links(fps: DataFrame) -> DataFrame:
     """Edges (a, b) between distinct fingerprints (column fp) whose components are those of all pairs within three bits."""
     count = fps.count()
     bits = max(LEAST_BITS, int(np.ceil(np.log2(max(1, count * 561 / PER_BUCKET)))))
-    blocks = fps.mapInArrow(emit(bits), "bucket int, keys binary, refs binary, fps binary")
+    blocks = fps.mapInArrow(emit(bits), "bucket int, keys binary, flips binary")
     return blocks.groupBy("bucket").applyInArrow(collide, "a long, b long")
 
 
@@ -204,20 +209,39 @@ def cluster(table: DataFrame, more: DataFrame | None = None) -> DataFrame:
     return rooted.join(whole, "root").select("root", "fp", "component_id")
 
 
-def _alike(batch: pa.RecordBatch) -> dict:
-    keep = []
-    for a, b in zip(text_bytes(batch.column("ta")), text_bytes(batch.column("tb"))):
-        x, y = shingles(a), shingles(b)
-        both = len(np.intersect1d(x, y, assume_unique=True))
-        keep.append(both >= SIMILAR * (len(x) + len(y) - both))
-    mask = pa.array(keep, pa.bool_())
-    return {n: batch.column(n).filter(mask) for n in ("a", "b")}
+def similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sets of shingles are alike."""
+    if min(len(x), len(y)) < SIMILAR * max(len(x), len(y)):
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both >= SIMILAR * (len(x) + len(y) - both)
+
+
+def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows by hub and block, the hub's first, the (hub, member) that are alike."""
+    block, own = None, None
+    for batch in batches:
+        for part in slices(batch):
+            found = []
+            for hub, no, member, first, text in zip(*(part.column(n).to_pylist() for n in ("hub", "block", "member", "first")), text_bytes(part.column("text"))):
+                if first:
+                    block, own = (hub, no), shingles(text)
+                elif block == (hub, no) and similar(own, shingles(text)):
+                    found.append((hub, member))
+            if found:
+                yield pa.RecordBatch.from_pydict({"a": pa.array([min(p) for p in found], pa.int64()), "b": pa.array([max(p) for p in found], pa.int64())})
 
 
 def _ask(pairs: DataFrame, text: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) whose whole texts are alike."""
-    joined = pairs.join(text.select(F.col("fp").alias("a"), F.col("text").alias("ta")), "a").join(text.select(F.col("fp").alias("b"), F.col("text").alias("tb")), "b")
-    return stage_table(map_texts(joined, _alike, "a long, b long"), "sampled")
+    """Those of the pairs (a, b, hub) whose whole texts are alike; (a, b) in order."""
+    oriented = pairs.select("hub", F.when(F.col("hub") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("member"))
+    hubs = stage_table(oriented.groupBy("hub").agg(F.ceil(F.count("*") / HUB_BLOCK).cast("int").alias("blocks")), "hubs")
+    members = oriented.join(hubs, "hub").withColumn("block", F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int")).withColumn("first", F.lit(False))
+    heads = hubs.withColumn("member", F.col("hub")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("first", F.lit(True))
+    names = ["hub", "block", "member", "first"]
+    asked = members.select(names).unionByName(heads.select(names))
+    rows = asked.join(text.withColumnRenamed("fp", "member"), "member").repartition("hub", "block").sortWithinPartitions("hub", "block", F.desc("first"))
+    return stage_table(rows.mapInArrow(trimmed(_alike), "a long, b long"), "sampled")
 
 
 def _still_open(shared: DataFrame, found: DataFrame) -> tuple[DataFrame, int]:
@@ -246,11 +270,12 @@ def sampled_links(table: DataFrame) -> DataFrame:
     found = asked = None
     few, every = shared.count(), False
     while True:
-        other = members.select("key", F.col("fp").alias("fp2"), F.col("root").alias("root2"))
+        other = members.select("key", F.col("fp").alias("hub"), F.col("root").alias("root2"))
         if not every:  # against one of each key, that with most links so far: the original of many copies comes second at the latest
-            other = members.groupBy("key").agg(F.max_by(F.struct(F.col("fp").alias("fp2"), F.col("root").alias("root2")), F.struct("degree", "fp")).alias("hub")).select("key", "hub.*")
-        pairs = members.join(other, "key").filter("root <> root2").select(F.least("fp", "fp2").alias("a"), F.greatest("fp", "fp2").alias("b")).distinct()
-        pairs = stage_table(pairs if asked is None else pairs.join(asked, ["a", "b"], "left_anti"), "pairs")
+            other = members.groupBy("key").agg(F.max_by(F.struct(F.col("fp").alias("hub"), F.col("root").alias("root2")), F.struct("degree", "fp")).alias("h")).select("key", "h.*")
+        ends = members.join(other, "key").filter("root <> root2").select(F.least("fp", "hub").alias("a"), F.greatest("fp", "hub").alias("b"), "hub")
+        pairs = ends.groupBy("a", "b").agg(F.max("hub").alias("hub"))
+        pairs = stage_table(pairs if asked is None else pairs.join(asked.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
         new = _ask(pairs, text)
         asked, found = (pairs, new) if asked is None else (asked.union(pairs), found.union(new))
         if every:
