@@ -145,12 +145,12 @@ def test_quality_counts():
 def test_line_frequency(spark):
     unique = lambda i: " ".join(f"w{i}x{k}" for k in range(20))
     texts = [unique(i) + "\nShare this page on 2024 now" for i in range(12)] + [f"n{i}\n" + "Share this page on 1999 now\n" * 9 for i in range(3)] + [unique(99)] * 15 + [None]
-    rows = {r.doc_id: r for r in quality.judge(docs(spark, texts), max_docs=10).collect()}
+    rows = {r.doc_id: r for r in quality.judge(docs(spark, texts), min_docs=10).collect()}
     assert all(rows[i].kept and rows[i].left_words == 20 for i in range(12) if i != 3)
     assert not any(rows[i].kept for i in range(12, 15))
     assert all(rows[i].kept for i in range(15, 30))  # copies of one document share one vote
     assert not rows[30].kept and rows[30].base_failed
-    cleaned = {r.doc_id: r.text for r in quality.filter_documents(docs(spark, texts), max_docs=10).collect()}
+    cleaned = {r.doc_id: r.text for r in quality.filter_documents(docs(spark, texts), min_docs=10).collect()}
     assert cleaned[0] == unique(0) and cleaned[15] == unique(99) and 12 not in cleaned
 
 
@@ -159,10 +159,50 @@ def test_line_frequency_of_pages_mostly_boilerplate(spark):
     line = lambda n: " ".join("".join(rng.choices("abcdefghij", k=8)) for _ in range(n))
     shared = "\n".join(line(30) for _ in range(6))  # 180 of 200 words
     own = [line(20) for _ in range(200)]
-    rows = {r.doc_id: r for r in quality.judge(docs(spark, [f"{o}\n{shared}" for o in own]), max_docs=100).collect()}
+    rows = {r.doc_id: r for r in quality.judge(docs(spark, [f"{o}\n{shared}" for o in own]), min_docs=100).collect()}
     assert all(not r.kept and r.left_words == 20 for i, r in rows.items() if i != 3)  # 3 is alone on its host
     copies = [f"{own[0]}\n{shared}"] * 150 + [f" {own[0]}\n\n{shared}\n"] * 50
-    assert all(r.kept for r in quality.judge(docs(spark, copies), max_docs=100).collect())
+    assert all(r.kept for r in quality.judge(docs(spark, copies), min_docs=100).collect())
+
+
+def test_line_limit_follows_the_host(spark):
+    own = lambda i: " ".join("".join(chr(97 + int(c)) for c in f"{i}") + chr(97 + k) for k in range(12))
+    rows = [(i, f"{own(i)}\nthe same line" + "\nmost pages say this" * (i % 10 > 0), "big") for i in range(600)] + [(1000 + i, own(1000 + i) + "\nrare on this host" * (i < 11), "big") for i in range(150)]
+    rows += [(2000 + i, f"{own(2000 + i)}\nrare on this host", "small") for i in range(10)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    left = {r.doc_id: r.left_words for r in quality.judge(table).collect()}
+    assert left[0] == 12 and left[1] == 12 and left[1000] == 16 and left[2000] == 12  # 11 of 750 are below 2 %, 10 of 10 are not
+
+
+def test_filter_carries_any_columns(spark):
+    names = "doc_id long, text string, source string, ul_removed string, removed string, ul_row string, kept string, n_words string, lines string"
+    table = spark.createDataFrame([(i, f"{PROSE[i % 20]} {i}\nevery page has this line", "s", *"abcdef") for i in range(40)] + [(50, None, None, *"abcdef")], names)
+    out = quality.filter_documents(table).collect()
+    assert len(out) == 40 and all(r.ul_removed == "a" and r.removed == "b" and r.lines == "f" and "every page" not in r.text for r in out)
+    assert quality.filter_documents(table.limit(0)).count() == 0
+
+
+def run_sql(sql, **tables):
+    import duckdb
+
+    con = duckdb.connect()
+    for name, frame in tables.items():
+        con.register(name, frame.toArrow())
+    got = con.sql(sql)
+    return sorted(map(repr, got.project(", ".join(sorted(got.columns))).fetchall()))
+
+
+def plain_rows(frame):
+    return sorted(repr(tuple(r)) for r in frame.select(sorted(frame.columns)).collect())
+
+
+def test_quality_against_sql(spark):
+    rng = random.Random(21)
+    lines = [" ".join(rng.choices(WORDS[:40], k=rng.randint(1, 9))) for _ in range(60)]
+    texts = [None, "", " \t\x0b\n", "É # 12 É\n", *["\n".join(rng.choices(lines, k=rng.randint(1, 12))) for _ in range(250)], *PROSE, LONG]
+    table = docs(spark, texts).withColumn("source", F.when(F.col("doc_id") % 3 > 0, (F.col("doc_id") % 3).cast("string")))
+    want = run_sql(quality.ORACLE_SQL, documents=table)
+    assert plain_rows(quality.judge(table)) == want and len({r.kept for r in quality.judge(table).collect()}) == 2
 
 
 def test_secrets():

@@ -1,17 +1,17 @@
 """Quality rules with cross-document line frequency.
 
 Each text gets the usual word and repetition counts. Beside them, lines are normalised (ASCII lower case,
-digits as ``0``, white space collapsed) and hashed; a line found in ``max_docs`` or more distinct documents of
-a host counts as boilerplate and is removed, and a document of which less than ``min_left`` of its words
-remain is rejected.
+digits as ``0``, white space collapsed) and hashed; a line found in so many distinct documents of a host that they are ``min_docs`` at least
+and ``share`` of the host's distinct documents counts as boilerplate and is removed, and a document of which less than ``min_left`` of its words
+remain is rejected. The limit thus means the same on a host of a hundred pages and on one of a billion.
 
 *Distinct documents*: copies of one document must not turn its lines into boilerplate, so of the rows of a host whose
 texts have the same words in the same lines one votes. Texts that differ in a word are distinct documents: a page that is mostly
 boilerplate is as close to the others of its host as a near copy, so no similarity of whole texts can tell the two apart.
 
 Defined results: null text is an empty text (no words, fails); null host is a host of its own; repeated
-rows are separate documents that have one vote together; texts of any length are read whole; an empty table gives an
-empty result; further columns are ignored whatever their names.
+rows are separate documents that have one vote together; a line with exactly the limit of documents is boilerplate; texts of any length are read whole; an empty table gives an
+empty result; further columns are ignored, and carried by :func:`filter_documents`, whatever their names.
 """
 
 from __future__ import annotations
@@ -94,7 +94,7 @@ def _features(batch: pa.RecordBatch) -> dict:
 
 
 def judge(
-    docs: DataFrame, *, host: str = "source", max_docs: int = 100, min_left: float = 0.3, min_words: int = 10, max_repeat: int = 20, rows: bool = False
+    docs: DataFrame, *, host: str = "source", min_docs: int = 10, share: float = 0.02, min_left: float = 0.3, min_words: int = 10, max_repeat: int = 20, rows: bool = False
 ) -> DataFrame:
     """One row per document: doc_id, the counts, ``base_failed``, ``left_words``, ``kept``.
 
@@ -110,11 +110,12 @@ def judge(
     lines = table.select("ul_id", "ul_host", F.explode(F.arrays_zip("lines", "line_words")).alias("l")).select(
         "ul_id", "ul_host", F.col("l.lines").alias("line"), F.col("l.line_words").alias("words")
     )
-    voters = table.groupBy("ul_host", "digest").agg(F.min("ul_id").alias("ul_id")).select("ul_id")
-    votes = lines.join(voters, "ul_id", "left_semi").groupBy("ul_host", "line").agg(F.count("*").alias("votes"))
-    common = votes.filter(F.col("votes") >= max_docs)
+    voters = table.groupBy("ul_host", "digest").agg(F.min("ul_id").alias("ul_id")).select("ul_host", "ul_id")
+    votes = lines.join(voters.select("ul_id"), "ul_id", "left_semi").groupBy("ul_host", "line").agg(F.count("*").alias("votes")).filter(F.col("votes") >= min_docs)
+    hosts = voters.groupBy("ul_host").agg(F.count("*").alias("documents"))
+    common = votes.join(hosts, "ul_host").filter(F.col("votes") >= F.lit(share) * F.col("documents")).select("ul_host", "line")
     lost = (
-        lines.join(common.drop("votes"), ["ul_host", "line"])
+        lines.join(common, ["ul_host", "line"])
         .groupBy("ul_id").agg(F.sum("words").alias("lost_words"), *([F.collect_list("line").alias("removed")] if rows else []))
     )
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat * F.col("n_words"))
@@ -127,23 +128,52 @@ def judge(
 
 def filter_documents(docs: DataFrame, **limits) -> DataFrame:
     """The documents that pass, without their boilerplate lines, in the columns of ``docs``."""
-    judged = judge(docs, rows=True, **limits).filter("kept").select("ul_row.*", F.col("removed").alias("ul_removed"))
+    judged = judge(docs, rows=True, **limits).filter("kept").select("ul_row", "removed")
     columns = docs.columns
     has_chars = "n_chars" in columns
 
     def strip(batch: pa.RecordBatch) -> dict:
-        out = {n: batch.column(n) for n in columns}
-        gone = batch.column("ul_removed")
+        out = dict(zip(columns, batch.column("ul_row").flatten()))
+        gone = batch.column("removed")
         if gone.null_count == len(gone):
             return out
-        texts, drop = text_values(batch.column("text")), gone.to_pylist()
+        old = out["text"]
+        texts, drop = text_values(old), gone.to_pylist()
         for i, keys in enumerate(drop):
             if keys:
                 away = set(keys)
                 texts[i] = "\n".join(x for x in texts[i].split("\n") if not x.encode().split() or line_key(x.encode()) not in away)
-        out["text"] = pa.array([t if o.is_valid else None for t, o in zip(texts, batch.column("text"))], pa.string())
+        out["text"] = pa.array([t if o.is_valid else None for t, o in zip(texts, old)], pa.string())
         if has_chars:
-            out["n_chars"] = pa.array([len(t) if k else c for t, k, c in zip(texts, drop, batch.column("n_chars").to_pylist())], batch.column("n_chars").type)
+            out["n_chars"] = pa.array([len(t) if k else c for t, k, c in zip(texts, drop, out["n_chars"].to_pylist())], out["n_chars"].type)
         return out
 
     return map_texts(judged, strip, docs.schema)
+
+
+_BLANK = r"[ \t\n\x0b\f\r]+"
+_WORDS = f"list_filter(string_split_regex({{0}}, '{_BLANK}'), lambda x: x <> '')"
+
+#: The query in DuckDB: lines are compared by their normalised text instead of its hash.
+ORACLE_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(source, '') AS host, coalesce(text, '') AS t FROM documents),
+w AS (SELECT rid, doc_id, host, t, {_WORDS.format('t')} AS ws FROM d),
+win AS (SELECT rid, p, array_to_string(ws[p : p + 4], ' ') AS g FROM (SELECT rid, ws, unnest(range(1, len(ws) - 3)) AS p FROM w)),
+twice AS (SELECT rid, p FROM (SELECT rid, p, count(*) OVER (PARTITION BY rid, g) AS c FROM win) WHERE c > 1),
+again AS (SELECT rid, count(DISTINCT q) AS n_repeat_words FROM (SELECT rid, unnest(range(p, p + 5)) AS q FROM twice) GROUP BY rid),
+raw AS (SELECT rid, host, unnest(string_split(t, chr(10))) AS line, unnest(range(len(string_split(t, chr(10))))) AS i FROM d),
+l AS (SELECT rid, host, line, i, {_WORDS.format('line')} AS ws, array_to_string({_WORDS.format("translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000')")}, ' ') AS k FROM raw),
+own AS (SELECT * FROM l WHERE len(ws) > 0),
+dup AS (SELECT rid, count(*) - count(DISTINCT line) AS n_dup_lines FROM own GROUP BY rid),
+whole AS (SELECT d.rid, d.host, coalesce(string_agg(array_to_string(own.ws, ' '), chr(10) ORDER BY own.i), '') AS digest FROM d LEFT JOIN own USING (rid) GROUP BY d.rid, d.host),
+voters AS (SELECT host, min(rid) AS rid FROM whole GROUP BY host, digest),
+hosts AS (SELECT host, count(*) AS documents FROM voters GROUP BY host),
+votes AS (SELECT own.host, own.k, count(DISTINCT own.rid) AS votes FROM own JOIN voters USING (rid) GROUP BY own.host, own.k),
+common AS (SELECT host, k FROM votes JOIN hosts USING (host) WHERE votes >= 10 AND votes >= 0.02::DOUBLE * documents),
+lost AS (SELECT rid, sum(len(ws)) AS lost_words FROM own JOIN common USING (host, k) GROUP BY rid),
+counts AS (SELECT doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars, length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+  coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, CAST(len(ws) - coalesce(lost_words, 0) AS BIGINT) AS left_words
+  FROM w LEFT JOIN dup USING (rid) LEFT JOIN again USING (rid) LEFT JOIN lost USING (rid))
+SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND left_words >= 0.3::DOUBLE * n_words AS kept FROM counts
+"""

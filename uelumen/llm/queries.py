@@ -73,4 +73,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontaminate": decontaminate.ORACLE_SQL}
+    return {"op3_decontaminate": decontaminate.ORACLE_SQL, "op8_quality": quality.ORACLE_SQL}
