@@ -3,6 +3,7 @@
 import base64
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -214,37 +215,78 @@ def test_secrets():
     assert secrets.guess_cost("qwertyuiop") < 4 and secrets.guess_cost("2024-05-17") < 6 and secrets.guess_cost("aaaaaaaaaaaa") < 4
     assert secrets.all_spans("pwd: tR7#kQ9!zLp2 end")[1] == [(5, 3, 17)]
     assert secrets.all_spans("the password is welcome today")[1] == [] and secrets.all_spans("")[1] == []
+    assert secrets.all_spans("password=tR7#kQ9!zLp2")[1] == [(9, 3, 21)] and secrets.all_spans("password=tR7kQ9zLp2")[1] == [(0, 0, 19), (9, 3, 19)]
     assert secrets.mask("pwd: tR7#kQ9!zLp2 end") == "pwd: [SECRET] end"
 
 
-def brute_guess_cost(value):
-    """Every segment of every repeat in turn."""
-    best, lower = [0.0], value.lower()
-    segments = secrets._segments(value)
-    for end in range(1, len(value) + 1):
-        low = min([best[-1] + secrets._rate(value[end - 1])] + [best[i] + cost + 0.3 for i, cost in segments[end]])
+def brute_guess_cost(value, ranks):
+    """The least cost over every segmentation, each segment priced on its own."""
+    lower = value.lower()
+
+    def price(i, j):
+        part, plain = lower[i:j], lower[i:j].translate(secrets.LEET)
+        found = []
+        if j - i == 1:
+            found.append(secrets._rate(value[i]))
+        for word in {part, plain}:
+            for r in (secrets.WORDS.get(word), ranks.get(word)):
+                if r and j - i >= 3:
+                    found.append(math.log10(r) + 0.3 * (value[i:j] != part) + 0.3 * (part != word) + 0.3)
+        m = secrets.DATE.match(value, i)
+        if m and m.end() == j:
+            found.append((2.0 if j - i == 4 else 4.5) + 0.3)
+        for row in secrets.ROWS:
+            for line in (row, row[::-1]):
+                if j - i >= 3 and part in line:
+                    found.append(math.log10(len(line) * 4 * (j - i)) + 0.3)
         for period in (1, 2, 3, 4):
-            for i in range(end - max(3, 2 * period) + 1):
-                if all(lower[k] == lower[k - period] for k in range(i + period, end)):
-                    low = min(low, best[i] + sum(map(secrets._rate, value[i : i + period])) + math.log10(end - i) + 0.3)
-        best.append(low)
-    return best[-1]
+            if j - i >= max(3, 2 * period) and all(part[k] == part[k - period] for k in range(period, j - i)):
+                found.append(sum(map(secrets._rate, value[i : i + period])) + math.log10(j - i) + 0.3)
+        return min(found, default=math.inf)
 
+    return min(sum(price(i, j) for i, j in zip(cuts, cuts[1:])) for k in range(len(value)) for cuts in ([0, *c, len(value)] for c in itertools.combinations(range(1, len(value)), k)))
 
-def test_long_values():
-    for size in (256, 257, 300, 20_000):
-        assert secrets.all_spans("login: " + "=" * size)[1] == [] and secrets.all_spans("pwd: x" + "ab-" * size)[1] == []
+
+def test_guess_cost_against_every_segmentation():
     rng = random.Random(4)
-    for _ in range(300):
-        value = "".join(rng.choice(["a", "aaaa", "abab", "Pass", "sssss", "-", "=" * 9, "2024", "xyz", "123", "abcabcabc", "é"]) for _ in range(rng.randint(1, 12)))
-        assert math.isclose(secrets.guess_cost(value), brute_guess_cost(value))
-    value = "".join(rng.choices("abcdefgh0123456789#!", k=400))
-    assert secrets.all_spans("pwd: " + value)[1] == [(5, 3, 405)]
+    ranks = {"house": 40, "sun": 900, "été": 7, "passage": 3000}
+    for _ in range(150):
+        value = "".join(rng.choice(["a", "aaa", "abab", "Pass", "h0use", "House", "sun", "2024", "xyz", "123", "qwe", "é", "été", "!", "-"]) for _ in range(rng.randint(1, 4)))[:11]
+        assert math.isclose(secrets.guess_cost(value, secrets.Dictionary(ranks)), brute_guess_cost(value, ranks)), value
+
+
+def test_long_values():
+    for size in (255, 256, 257, 300, 20_000):
+        assert secrets.all_spans("login: " + "=" * size)[1] == [] and secrets.all_spans("pwd: " + "ab-" * size)[1] == []
+        value = "".join(random.Random(size).choices("abcdefgh0123456789#%", k=size))
+        assert (5, 3, 5 + size) in secrets.all_spans("pwd: " + value)[1]
+
+
+def test_guess_cost_finds_what_patterns_miss(spark):
+    """Ordinary words after a credential word are cheap in the corpus that has them; random values are not, whatever their characters."""
+    rng = random.Random(17)
+    common = sorted({w for w in WORDS if len(w) >= 6})
+    secret = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=14)) for _ in range(20)] + ["".join(rng.choices("aZ9#kQ!xLp27", k=12)) for _ in range(20)]
+    contexts = ["pwd: {}", "the passphrase is {} .", "Authorization: Bearer {}", "login = '{}'"]
+    texts = [" ".join(rng.choices(WORDS, k=60)) for _ in range(400)]
+    planted = {i: f"{texts[i]} {contexts[i % 4].format(v)} {texts[i + 1]}" for i, v in enumerate(secret)}
+    plain = {i: f"{texts[i]} {contexts[i % 4].format(common[i % len(common)])} {texts[i + 1]}" for i in range(40, 80)}
+    rows = {r.doc_id: r for r in secrets.scan(docs(spark, [planted.get(i, plain.get(i, t)) for i, t in enumerate(texts)])).collect()}
+    for i, text in planted.items():
+        at = text.index(secret[i])
+        assert rows[i].spans == f"guess:{at}:{at + len(secret[i])}" and rows[i].base_sha256 == hashlib.sha256(b"").hexdigest()
+    assert all(rows[i].spans == "" for i in range(40, 400))
+    ranks = secrets.word_ranks(docs(spark, [planted.get(i, t) for i, t in enumerate(texts)] * 6))
+    assert not set(ranks) & set(secret)  # a secret doesn't become a word by being copied
+    assert sorted(ranks.values()) == list(range(1, len(ranks) + 1)) and secrets.word_ranks(docs(spark, [])) == {}
 
 
 def test_secret_scan(spark):
     assert secrets.scan(docs(spark)).count() == len(TEXTS)
     assert secrets.redact(docs(spark)).columns == docs(spark).columns
+    rows = secrets.scan(docs(spark, [None, "", "pwd: tR7#kQ9!zLp2", "pwd: tR7#kQ9!zLp2"])).orderBy("doc_id").collect()
+    assert [(r.n_guess, r.spans) for r in rows] == [(0, ""), (0, "")] + [(1, "guess:5:17")] * 2
+    assert secrets.scan(docs(spark, [])).count() == 0 and secrets.redact(docs(spark, [])).count() == 0
 
 
 def brute_bpe(coder, word):

@@ -1,13 +1,19 @@
 """Secret scans: fixed patterns, and password guess cost for values in a credential context.
 
 Fixed patterns (``assign``, ``access``, ``hex``) are found leftmost and without overlap in each kind. A fourth
-kind, ``guess``, is the value after a credential word (``pwd:``, ``passphrase is``, ``Bearer`` ...) that none of
-them covers, if it is expensive to guess: a dynamic programme finds the cheapest segmentation of the value into
+kind, ``guess``, is a value after a credential word (``password =``, ``pwd:``, ``passphrase is``, ``Bearer`` ...), whether or not a fixed pattern
+covers it, that is expensive to guess: a dynamic programme finds the cheapest segmentation of the value into
 dictionary words, dates, repeats, keyboard walks, sequences and brute-force spans, each with its log10 number of
-guesses, and the value is a secret from ``min_cost`` upwards.
+guesses, and the value is a secret from ``min_cost`` upwards; the cost alone decides.
 
-Defined results: null text is empty and has no spans; repeated rows are each scanned; a text is read whole
-whatever its length, and so is a value (in time linear in it); an empty table gives an empty result; offsets are code
+The dictionary comes from the documents themselves: words of ``WORD_LETTERS`` letters or more by the number of documents that have them outside
+credential values, of which those in ``LEAST_DOCUMENTS`` and ``WORD_SHARE`` of all documents get a rank. A document can add to the share of
+no more words than it has, so the dictionary has at most (mean number of different words a document) / ``WORD_SHARE`` entries whatever the
+corpus; it is broadcast. The usual passwords have ranks of their own.
+
+Defined results: null text is empty and has no spans; repeated rows are each scanned (and counted); a text is read whole
+whatever its length, and so is a value (in time linear in it); words in equally many documents are ranked in alphabetical order; an empty table gives
+an empty result; only doc_id and text are read, other columns are carried by :func:`redact` whatever their names; offsets are code
 points, end exclusive.
 """
 
@@ -16,11 +22,14 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from collections import Counter
+from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from uelumen.llm.common import map_texts, text_values
+from uelumen.llm.common import bound_batches, map_texts, slices, text_values, trimmed
 
 KINDS = ("assign", "access", "hex", "guess")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -42,6 +51,58 @@ LEET = str.maketrans("013457@$!", "oieastasi")
 DATE = re.compile(r"(?:19|20)\d\d[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:19|20)\d\d|(?:19|20)\d\d")
 
 
+WORD_LETTERS = 3
+WORD_SHARE = 1e-4
+LEAST_DOCUMENTS = 5
+HELD_WORDS = 200_000
+LETTERS = re.compile(rf"[^\W\d_]{{{WORD_LETTERS},}}")
+
+
+def _values(text: str, lower: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of the values in a credential context."""
+    if any(h in lower for h in CONTEXT_HINTS):
+        for m in CONTEXT.finditer(text):
+            value = m[1].rstrip(".!?)]}")
+            if len(value) >= 6:
+                yield m.start(1), m.start(1) + len(value)
+
+
+def words_of(text: str) -> set[str]:
+    """Different words of a text, those in credential values left out."""
+    lower = text.lower()
+    if len(lower) == len(text):  # else places differ; the values then are few letters among the words of the corpus
+        for start, end in _values(text, lower):
+            lower = lower[:start] + " " * (end - start) + lower[end:]
+    return set(LETTERS.findall(" ".join(set(lower.split()))))
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: Counter[str] = Counter()
+
+    def rows() -> pa.RecordBatch:
+        out = pa.RecordBatch.from_pydict({"word": pa.array(list(held), pa.string()), "n": pa.array(list(held.values()), pa.int64())})
+        held.clear()
+        return out
+
+    for batch in batches:
+        for part in slices(batch):
+            for text in text_values(part.column("text")):
+                held.update(words_of(text))
+            if len(held) > HELD_WORDS:
+                yield rows()
+    yield rows()
+
+
+def word_ranks(docs: DataFrame) -> dict[str, int]:
+    """The dictionary of a corpus: word -> rank, 1 for that in most documents."""
+    bound_batches(docs.sparkSession)
+    counted = docs.select("text").mapInArrow(trimmed(_count_words), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    least = max(LEAST_DOCUMENTS, math.ceil(WORD_SHARE * docs.count()))
+    rows = counted.filter(F.col("n") >= least).toArrow()
+    order = sorted(zip(rows["n"].to_pylist(), rows["word"].to_pylist()), key=lambda r: (-r[0], r[1]))
+    return {word: rank for rank, (_, word) in enumerate(order, 1)}
+
+
 def _rate(ch: str) -> float:
     """log10 guesses of one character by brute force."""
     return 1.0 if ch.isdigit() else math.log10(26) if ch.isascii() and ch.isalpha() else math.log10(33)
@@ -52,17 +113,18 @@ def _lower(value: str) -> list[str]:
     return [c if len(low := c.lower()) > 1 else low for c in value]
 
 
-def _segments(value: str) -> list[list[tuple[int, float]]]:
+def _segments(value: str, words: Mapping[str, int], longest: int) -> list[list[tuple[int, float]]]:
     """For each end position, the (start, cost) of each word, date and keyboard segment that ends there."""
     n, lower = len(value), "".join(_lower(value))
     plain = lower.translate(LEET)
     out: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
     for i in range(n):
-        for size in range(3, min(9, n - i) + 1):
-            word = plain[i : i + size]
-            if rank := WORDS.get(word):
-                raw = value[i : i + size]
-                out[i + size].append((i, math.log10(rank) + 0.3 * (raw != raw.lower()) + 0.3 * (lower[i : i + size] != word)))
+        for size in range(WORD_LETTERS, min(longest, n - i) + 1):
+            raw = value[i : i + size]
+            for word in {lower[i : i + size], plain[i : i + size]}:
+                ranks = [r for r in (WORDS.get(word), words.get(word)) if r]
+                if ranks:
+                    out[i + size].append((i, math.log10(min(ranks)) + 0.3 * (raw != raw.lower()) + 0.3 * (lower[i : i + size] != word)))
         if m := DATE.match(value, i):
             out[m.end()].append((i, 2.0 if m.end() - i == 4 else 4.5))
         for row in ROWS:
@@ -112,9 +174,19 @@ class _Repeats:
         return low
 
 
-def guess_cost(value: str) -> float:
+class Dictionary:
+    """Ranked words beside the usual passwords."""
+
+    def __init__(self, ranks: Mapping[str, int]):
+        self.ranks, self.longest = ranks, max(map(len, [*ranks, *WORDS]))
+
+
+NO_WORDS = Dictionary({})
+
+
+def guess_cost(value: str, words: Dictionary = NO_WORDS) -> float:
     """log10 guesses of the cheapest segmentation; each further segment costs a little too."""
-    segments = _segments(value)
+    segments = _segments(value, words.ranks, words.longest)
     lower, rates = _lower(value), list(map(_rate, value))
     repeats = [_Repeats(period) for period in (1, 2, 3, 4)]
     best = [0.0] + [math.inf] * len(value)
@@ -137,38 +209,30 @@ def base_spans(text: str, lower: str | None = None) -> list[tuple[int, int, int]
     return sorted(spans)
 
 
-def all_spans(text: str, min_cost: float = 10.0) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+def all_spans(text: str, min_cost: float = 10.0, words: Dictionary = NO_WORDS) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+    """The spans of the fixed patterns, and these with the values that are expensive to guess."""
     lower = text.lower()
     base = base_spans(text, lower)
-    more = []
-    if any(h in lower for h in CONTEXT_HINTS):
-        for m in CONTEXT.finditer(text):
-            start, end = m.span(1)
-            value = m[1].rstrip(".!?)]}")
-            end = start + len(value)
-            if len(value) < 6 or any(s < end and start < e for s, _, e in base):
-                continue
-            if guess_cost(value) >= min_cost and _mixed(value):
-                more.append((start, 3, end))
+    more = [(start, 3, end) for start, end in _values(text, lower) if guess_cost(text[start:end], words) >= min_cost]
     return base, sorted(base + more)
 
 
-def _mixed(value: str) -> bool:
-    """Letters with digits or signs inside, or cased mid-word: not an ordinary word of prose."""
-    return any(c.isdigit() for c in value) or any(not c.isalnum() and c not in "-'’" for c in value) or value[1:] != value[1:].lower()
-
-
 def spell(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
 
 
-def scan(docs: DataFrame, *, min_cost: float = 10.0) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, n_guess, base_sha256, spans of each row."""
+def _ship(docs: DataFrame, ranks: Mapping[str, int] | None):
+    return docs.sparkSession.sparkContext.broadcast(Dictionary(word_ranks(docs) if ranks is None else ranks))
+
+
+def scan(docs: DataFrame, *, min_cost: float = 10.0, ranks: Mapping[str, int] | None = None) -> DataFrame:
+    """doc_id, n_assign, n_access, n_hex, n_guess, base_sha256, spans of each row; ``ranks``: a dictionary other than that of ``docs``."""
+    words = _ship(docs, ranks)
 
     def kernel(batch: pa.RecordBatch) -> dict:
         counts, digests, spelt = [], [], []
         for text in text_values(batch.column("text")):
-            base, every = all_spans(text, min_cost)
+            base, every = all_spans(text, min_cost, words.value)
             counts.append([sum(k == kind for _, k, _ in every) for kind in range(len(KINDS))])
             digests.append(hashlib.sha256(spell(base).encode()).hexdigest())
             spelt.append(spell(every))
@@ -180,24 +244,24 @@ def scan(docs: DataFrame, *, min_cost: float = 10.0) -> DataFrame:
     return map_texts(docs.select("doc_id", "text"), kernel, f"doc_id {kind}, n_assign long, n_access long, n_hex long, n_guess long, base_sha256 string, spans string")
 
 
-def mask(text: str, min_cost: float = 10.0) -> str:
+def mask(text: str, min_cost: float = 10.0, words: Dictionary = NO_WORDS) -> str:
     """The text with each run of overlapping spans replaced by ``[SECRET]``."""
     out, at = [], 0
-    for start, _, end in all_spans(text, min_cost)[1]:
+    for start, _, end in all_spans(text, min_cost, words)[1]:
         if start >= at:
             out += [text[at:start], "[SECRET]"]
         at = max(at, end)
     return "".join(out) + text[at:] if out else text
 
 
-def redact(docs: DataFrame, *, min_cost: float = 10.0) -> DataFrame:
+def redact(docs: DataFrame, *, min_cost: float = 10.0, ranks: Mapping[str, int] | None = None) -> DataFrame:
     """The documents with their secrets masked, in the columns of ``docs``; ``n_chars`` follows the text."""
-    columns = docs.columns
+    columns, words = docs.columns, _ship(docs, ranks)
 
     def kernel(batch: pa.RecordBatch) -> dict:
         out = {n: batch.column(n) for n in columns}
         old = batch.column("text").to_pylist()
-        new = [t if t is None else mask(t, min_cost) for t in old]
+        new = [t if t is None else mask(t, min_cost, words.value) for t in old]
         out["text"] = pa.array(new, pa.string())
         if "n_chars" in columns:
             sizes = [n if a == b else len(b) for n, a, b in zip(batch.column("n_chars").to_pylist(), old, new)]
