@@ -11,8 +11,9 @@ is proposed, and where none is the token before is shortened, up to ``TRIES`` ti
 two pieces that then meet at the border must have no merge of their own before the one undone last. Only words that
 fail then are merged exactly, all of them in step: the pair of the lowest rank of each word at a time.
 
-Words repeat, so a worker keeps the ids of the runs between ASCII white space that it has seen lately, in two generations of at
-most ``CACHE_BYTES`` each (plus the runs of one chunk of ``CHUNK`` bytes of text); a text becomes a join of such ids. The runs are let go at
+The runs between ASCII white space are numbered by Arrow, each different run of a chunk is looked at once, and the ids of the texts are gathered from those
+of the runs. Words repeat, so a worker keeps the ids of the runs that it has seen lately, in two generations of at
+most ``CACHE_BYTES`` each (plus the runs of one chunk of ``CHUNK`` bytes of text). The runs are let go at
 the end of each task.
 
 Defined results: null text is empty and has no tokens; the special strings of the vocabulary become their ids as in
@@ -37,7 +38,8 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from uelumen.llm.common import map_texts, text_bytes
+from uelumen.llm.common import map_texts
+from uelumen.llm.lookup import FREE, Lookup
 
 CACHE_BYTES = 24 << 20
 ENTRY_BYTES = 200
@@ -45,12 +47,11 @@ CHUNK = 2 << 20
 AT_ONCE = 40_000
 LONG = 64
 TRIES = 24
-VERDICT_BITS = 16
+VERDICT_BITS = 18
 MARK = b"\xff\xff\xff\xff"  # no id: it stays the only one whose last byte isn't zero
 END = "</w>"
 STOP = 0xFF
 LAST = np.int32(2**31 - 1)
-FREE = np.uint64(2**64 - 1)
 
 
 def _byte_chars() -> list[str]:
@@ -60,46 +61,6 @@ def _byte_chars() -> list[str]:
     return [chr(b) if b in shown else chr(next(free)) for b in range(256)]
 
 
-class Lookup:
-    """A fixed map from 64-bit keys to numbers from 0 up: open addressing, read for whole arrays; -1 where there is none."""
-
-    def __init__(self, keys: np.ndarray, values: np.ndarray):
-        keys = keys.astype(np.uint64)
-        self.bits = max(4, (2 * len(keys)).bit_length())
-        self.keys = np.full(1 << self.bits, FREE)
-        self.values = np.full(1 << self.bits, -1, np.int32)
-        slot, left = self._slot(keys), np.arange(len(keys))
-        while len(left):
-            at = slot[left]
-            free = self.keys[at] == FREE
-            self.keys[at[free]] = keys[left[free]]  # one of those that want a slot gets it
-            won = self.keys[at] == keys[left]
-            self.values[at[won]] = values[left[won]]
-            left = left[~won]
-            slot[left] = self._after(slot[left])
-
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
-
-    def _after(self, slot: np.ndarray) -> np.ndarray:
-        return (slot + 1) & ((1 << self.bits) - 1)
-
-    def get(self, keys: np.ndarray) -> np.ndarray:
-        keys = keys.view(np.uint64)
-        at = self._slot(keys)
-        found = self.keys[at]
-        hit = found == keys
-        out = np.where(hit, self.values[at], np.int32(-1))
-        going = np.flatnonzero(~hit & (found != FREE))
-        while len(going):
-            at[going] = step = self._after(at[going])
-            found, own = self.keys[step], keys[going]
-            hit = found == own
-            out[going[hit]] = self.values[step[hit]]
-            going = going[~hit & (found != FREE)]
-        return out
-
-
 def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a.astype(np.int64) << 32 | b
 
@@ -188,6 +149,13 @@ class Bpe:
             own = self.token_at[parent]
             before[at : at + len(parent)] = np.where(own >= 0, own, before[parent])
             at += len(parent)
+        # the node of each two bytes and the longest token of them, so that the search starts with the third
+        one = self.child.get(np.arange(256, dtype=np.int64)).astype(np.int64)
+        pairs = np.arange(1 << 16)
+        self.two = np.where(one[pairs >> 8] >= 0, self.child.get(np.maximum(one[pairs >> 8], 0) << 8 | (pairs & 255)), -1).astype(np.int64)
+        start = np.where(one >= 0, self.token_at[np.maximum(one, 0)], -1)[pairs >> 8]
+        own = np.where(self.two >= 0, self.token_at[np.maximum(self.two, 0)], -1)
+        self.best_of_two = np.where(own >= 0, own, start).astype(np.int32)
         self.shorter = np.full(self.size, -1, np.int32)
         self.shorter[tokens] = before[node]
         self.length = np.zeros(self.size, np.int64)
@@ -297,18 +265,21 @@ class Bpe:
         return out
 
     def _longest(self, flat: np.ndarray) -> np.ndarray:
-        """The longest token that starts at each byte; ``flat`` ends with a byte more."""
-        best = np.full(len(flat) - 1, -1, np.int32)
-        at = np.flatnonzero(flat[:-1] != STOP)
-        node, step = np.zeros(len(at), np.int64), 0
+        """The longest token that starts at each byte of a word; ``flat`` ends with a byte more."""
+        pairs = flat[:-1].astype(np.int64) << 8 | flat[1:]
+        best = self.best_of_two.take(pairs)
+        node = self.two.take(pairs)
+        at = np.flatnonzero((node >= 0) & (flat[1:] != STOP) & (flat[:-1] != STOP))
+        node, step = node[at], 2
         while len(at):
-            node = self.child.get(node << 8 | flat[at + step]).astype(np.int64)
-            on = node >= 0
+            byte = flat.take(at + step)
+            node = self.child.get(node << 8 | byte).astype(np.int64)
+            on = np.flatnonzero(node >= 0)
             at, node = at[on], node[on]
-            token = self.token_at[node]
-            hit = token >= 0
+            token = self.token_at.take(node)
+            hit = np.flatnonzero(token >= 0)
             best[at[hit]] = token[hit]
-            on = flat[at + step] != STOP
+            on = np.flatnonzero(byte[on] != STOP)
             at, node, step = at[on], node[on], step + 1
         return best
 
@@ -413,63 +384,89 @@ class Bpe:
             return [bytes(map(self.byte_of.__getitem__, w)) for w, _ in shown]
         return [w.encode() for w in self.word.findall(unicodedata.normalize("NFC", text).lower())]
 
-    def _learn(self, fresh: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+    def _learn(self, fresh: pa.Array) -> Iterator[tuple[bytes, bytes]]:
         """(run, ids) of runs not seen before: words and line feeds of all runs, a line each, then the ids of all, then of each."""
-        plain = [r for r in fresh if r.isascii() and b"<|" not in r]
-        other = [r for r in fresh if not (r.isascii() and b"<|" not in r)]
-        odd = [r for r in other if b"<|" in r or RARE.search(r.decode())]
-        if odd:
+        special = pc.match_substring(fresh, "<|")
+        ascii_ = pc.and_not(pc.string_is_ascii(fresh), special)
+        plain, other = byte_list(fresh.filter(ascii_)), byte_list(fresh.filter(pc.invert(ascii_)))
+        odd: list[bytes] = []
+        if RARE.search(b"\n".join(other).decode()) or pc.any(special).as_py():
+            odd = [r for r in other if b"<|" in r or RARE.search(r.decode())]
             away = set(odd)
             other = [r for r in other if r not in away]
         words: list[bytes | int] = self.ascii_lines.findall(b"\n".join([*plain, b""]).lower())
         if other:
-            words += [w.encode() for w in self.lines.findall(unicodedata.normalize("NFC", b"\n".join([*other, b""]).decode()).lower())]
+            words += map(str.encode, self.lines.findall(unicodedata.normalize("NFC", b"\n".join([*other, b""]).decode()).lower()))
         for run in odd:
             words += [*self._pieces(run), b"\n"]
         new = list(set(words) - {b"\n"})
-        told = [w for w in new if isinstance(w, bytes)]
+        told = [w for w in new if isinstance(w, bytes)] if odd else new
         ids = dict(zip(told, self.encode_words(told)))
-        ids |= {w: w.to_bytes(4, "little") for w in new if isinstance(w, int)}
+        if odd:
+            ids |= {w: w.to_bytes(4, "little") for w in new if isinstance(w, int)}
         ids[b"\n"] = MARK
         return zip([*plain, *other, *odd], b"".join(map(ids.__getitem__, words)).split(MARK))
 
-    def encode_all(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each UTF-8 text as little-endian unsigned 32-bit integers; ``CHUNK`` bytes of text at a time."""
-        out: list[bytes] = []
-        at = size = 0
-        for i, text in enumerate(texts):
-            size += len(text)
-            if size >= CHUNK:
-                out += self._encode(texts[at : i + 1])
-                at, size = i + 1, 0
-        return out + self._encode(texts[at:])
-
-    def _encode(self, texts: list[bytes]) -> list[bytes]:
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of strings (null: none), one text after the other, and how many each has; some ``CHUNK`` bytes of text at a time."""
+        ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        ids, counts, at = [], [], 0
+        while at < len(texts):
+            done = int(ends[at - 1]) if at else 0
+            after = max(at + 1, int(np.searchsorted(ends, done + CHUNK, "right")))
+            own, count = self._encode(texts.slice(at, after - at))
+            ids.append(own)
+            counts.append(count)
+            at = after
+        return np.concatenate(ids) if ids else np.zeros(0, "<u4"), np.concatenate(counts) if counts else np.zeros(0, np.int64)
+
+    def _encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if self.held > CACHE_BYTES:
             self.old, self.young, self.held = self.young, {}, 0
         runs, old = self.young, self.old
-        cut = [t.split() for t in texts]  # the word pattern never crosses ASCII white space
-        new = set().union(*cut).difference(runs)
-        again = {run: ids for run in new if (ids := old.get(run)) is not None}
-        if fresh := [run for run in new if run not in again]:
-            again.update(self._learn(fresh))
-        runs.update(again)
-        self.held += ENTRY_BYTES * len(again) + sum(map(len, again)) + sum(map(len, again.values()))
-        get = runs.__getitem__
-        return [b"".join(map(get, own)) for own in cut]
+        cut = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))  # the word pattern never crosses ASCII white space
+        coded = cut.flatten().dictionary_encode()
+        code, distinct = coded.indices.to_numpy(), byte_list(coded.dictionary)
+        found = list(map(runs.get, distinct))
+        if new := [i for i, ids in enumerate(found) if ids is None]:
+            again = {r: ids for i in new if (ids := old.get(r := distinct[i])) is not None}
+            if len(again) < len(new):
+                again.update(self._learn(coded.dictionary.take(pa.array([i for i in new if distinct[i] not in again] if again else new)).cast(pa.string())))
+            runs.update(again)
+            for i in new:
+                found[i] = again[distinct[i]]
+            self.held += ENTRY_BYTES * len(again) + sum(map(len, again)) + sum(map(len, again.values()))
+        # the ids of each run, from those of the distinct ones
+        store = np.frombuffer(b"".join(found), "<u4")
+        size = np.fromiter(map(len, found), np.int64, len(found)) >> 2
+        start = np.cumsum(size) - size
+        per_run = size.take(code)
+        ends = np.cumsum(per_run)
+        total = int(ends[-1]) if len(ends) else 0
+        place = np.repeat(start.take(code) - (ends - per_run), per_run) + np.arange(total)
+        borders = np.concatenate([[0], ends])[cut.offsets.to_numpy() - cut.offsets[0].as_py()]
+        return store.take(place), np.diff(borders)
 
     def release(self) -> None:
         """Let the runs go."""
         self.young, self.old, self.held = {}, {}, 0
 
-    def decode_all(self, coded: list[bytes]) -> pa.Array:
+    def decode_all(self, ids: np.ndarray, counts: np.ndarray) -> pa.Array:
         """The text of each, as the library without a decoder gives it: token strings joined by a space."""
-        sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
-        ends = np.concatenate([[0], np.cumsum(sizes)])
-        parts = self.names.take(pa.array(np.frombuffer(b"".join(coded), "<u4").astype(np.int32)))
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        parts = self.names.take(pa.array(ids.astype(np.int32)))
         return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), parts), " ")
 
 
+def byte_list(texts: pa.Array) -> list[bytes]:
+    """The UTF-8 of each string of an array without nulls."""
+    width = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    _, offsets, data = texts.buffers()
+    ends = np.frombuffer(offsets, width, len(texts) + 1, texts.offset * np.dtype(width).itemsize).tolist() if len(texts) else [0]
+    raw = data.to_pybytes() if data is not None else b""
+    return [raw[i:j] for i, j in zip(ends, ends[1:])]
+
+
 def _deal(ids: np.ndarray, counts: np.ndarray, to: list[int], out: list[bytes]) -> None:
     raw = ids.astype("<u4").tobytes()
     ends = np.cumsum(counts * 4).tolist()
@@ -494,13 +491,15 @@ def encode(docs: DataFrame, path: str, *, digest: bool = False, ids: bool = True
 
     def kernel(batch: pa.RecordBatch) -> dict:
         bpe = load(path)
-        coded = bpe.encode_all(text_bytes(batch.column("text")))
-        out = {"doc_id": batch.column("doc_id"), "n_tokens": pa.array([len(c) // 4 for c in coded], pa.int64())}
+        flat, counts = bpe.encode_all(batch.column("text"))
+        raw, ends = flat.tobytes(), np.concatenate([[0], np.cumsum(counts * 4)])
+        out = {"doc_id": batch.column("doc_id"), "n_tokens": pa.array(counts, pa.int64())}
         if ids:
-            out["ids"] = pa.array(coded, pa.binary())
+            out["ids"] = pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(raw)])
         if digest:
-            texts = bpe.decode_all(coded).cast(pa.binary())
-            out["ids_sha256"] = pa.array([hashlib.sha256(c).hexdigest() for c in coded], pa.string())
+            view, cuts = memoryview(raw), ends.tolist()
+            texts = bpe.decode_all(flat, counts).cast(pa.binary())
+            out["ids_sha256"] = pa.array([hashlib.sha256(view[i:j]).hexdigest() for i, j in zip(cuts, cuts[1:])], pa.string())
             out["decoded_sha256"] = pa.array([hashlib.sha256(t.as_buffer()).hexdigest() for t in texts], pa.string())
         return out
 

@@ -35,12 +35,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from uelumen.llm.bpe import load
-from uelumen.llm.common import scratch_path, slices, stage_table, text_bytes
+from uelumen.llm.common import bound_batches, scratch_path, slices, stage_table, trimmed
 
-BLOCK = 1 << 20
+BLOCK = 1 << 21
 STEPS = 256
-LANES = 4096
-BLOCKS_PER_SEGMENT = 2
+LANES = 8192
+BLOCKS_PER_SEGMENT = 1
 SEGMENTS_PER_FILE = 4
 PAIR_BITS = 18
 SHARE_BITS = 12
@@ -52,6 +52,7 @@ U = np.uint64
 WORD, TOP = U(16), U(48)
 FLOOR = U(1 << 48)
 BELOW = FLOOR - U(1)
+SURE = np.uint32(3)
 
 
 class Mixer:
@@ -66,16 +67,28 @@ class Mixer:
         self._sum()
 
     def _share(self) -> None:
-        """Where the shares of the order-1 id and of other ids begin, by confidences."""
+        """Where the shares of the order-2 id, the order-1 id and other ids begin, and how large they are, by confidences."""
         total = self.outcomes.sum(axis=1)
         self.one = 1 + self.outcomes[:, 0] * (SHARES - 3) // total
         self.other = self.one + 1 + self.outcomes[:, 1] * (SHARES - 3) // total
+        at = np.stack([np.zeros_like(self.one), self.one, self.other, np.full_like(self.one, SHARES)], axis=1).astype(np.uint64)
+        self.first, self.share = np.ascontiguousarray(at[:, :3]).ravel(), np.diff(at, axis=1).ravel()
 
     def _sum(self) -> None:
         self.cum = np.concatenate([[0], np.cumsum(self.counts)])
         self.total = int(self.cum[-1])
+        # an outcome that isn't another id has the whole of its share: place ``span`` stands for it
+        self.begin = np.append(self.cum[:-1], 0).astype(np.uint64)
+        self.count = np.append(self.counts, self.total).astype(np.uint64)
         self.slots = None
 
+    def interval(self, own: np.ndarray, outcome: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and width of what is coded, out of ``SHARES`` times the sum of counts."""
+        self.case = self.row * 3 + outcome
+        at = np.where(outcome == 2, own, len(self.counts))
+        share = self.share.take(self.case)
+        return self.first.take(self.case) * U(self.total) + share * self.begin.take(at), share * self.count.take(at)
+
     def slot(self, target: np.ndarray) -> np.ndarray:
         """The id whose cumulative count covers each target."""
         if self.slots is None:
@@ -89,16 +102,15 @@ class Mixer:
     def look(self, a: np.ndarray, b: np.ndarray) -> None:
         pair = ((a * np.uint32(0x85EBCA6B)) ^ (b * np.uint32(0xC2B2AE35))) * np.uint32(0x27D4EB2F) >> np.uint32(32 - PAIR_BITS)
         self.at = a.astype(np.int64), pair.astype(np.int64)
-        self.held = one, two = self.seen[0][self.at[0]], self.seen[1][self.at[1]]
+        self.held = one, two = self.seen[0].take(self.at[0]), self.seen[1].take(self.at[1])
         self.id1, self.id2 = one >> 2, two >> 2
-        self.row = ((two & 3) << 3 | (one & 3) << 1 | (self.id1 == self.id2)).astype(np.int64)
-        self.from_one, self.from_other = self.one[self.row], self.other[self.row]
+        self.row = ((two & SURE) << 3 | (one & SURE) << 1 | (self.id1 == self.id2)).astype(np.int64)
 
-    def learn(self, grid: np.ndarray, t: int, own: np.ndarray, outcome: np.ndarray) -> None:
+    def learn(self, grid: np.ndarray, t: int, own: np.ndarray) -> None:
         for table, where, held, known in zip(self.seen, self.at, self.held, (self.id1, self.id2)):
-            sure = held & 3
-            table[where] = np.where(known == own, held + (sure < 3), np.where(sure > 1, held - (sure >> 1) - (sure & 1), own << 2))
-        self.outcomes += np.bincount(self.row * 3 + outcome, minlength=96).reshape(32, 3) * 4
+            sure = held & SURE
+            table[where] = np.where(known == own, held + (sure < 3), np.where(sure > 1, held ^ sure ^ np.uint32(1), own << 2))
+        self.outcomes += np.bincount(self.case, minlength=96).reshape(32, 3) * 4
         self.outcomes[self.outcomes.sum(axis=1) > 1 << 16] >>= 1
         self.outcomes |= self.outcomes == 0
         self._share()
@@ -116,6 +128,12 @@ def _shape(n: int) -> tuple[int, int]:
     return steps, -(-n // steps)
 
 
+def _cut(low: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Narrow intervals whose leading word is settled: those that cross a border of it end there."""
+    cross = (low ^ (low + width - U(1))) >> TOP != 0
+    return low, np.where(cross, FLOOR - (low & BELOW), width)
+
+
 def encode_block(ids: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
     """The words of all lanes, one lane after the other, and how many each has. Ids are below ``span``."""
     n = len(ids)
@@ -132,27 +150,22 @@ def encode_block(ids: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
         k = lanes if t < last else lanes - 1
         own = grid[t, :k]
         mixer.look(before[0][:k], before[1][:k])
-        two, one = own == mixer.id2, own == mixer.id1
-        outcome = np.where(two, 0, np.where(one, 1, 2))
-        total, at = mixer.total, own.astype(np.int64)
-        rest, begin = SHARES - mixer.from_other, mixer.cum[at]
-        start = np.where(two, 0, np.where(one, mixer.from_one * total, mixer.from_other * total + rest * begin)).astype(np.uint64)
-        span_ = np.where(two, mixer.from_one * total, np.where(one, (mixer.from_other - mixer.from_one) * total, rest * (mixer.cum[at + 1] - begin))).astype(np.uint64)
-        unit = width[:k] // U(total << SHARE_BITS)
+        start, part = mixer.interval(own, np.where(own == mixer.id2, 0, np.where(own == mixer.id1, 1, 2)))
+        unit = width[:k] // U(mixer.total << SHARE_BITS)
         low[:k] += unit * start
-        width[:k] = unit * span_
-        while (narrow := width < FLOOR).any():
-            # the leading word is settled, unless the interval crosses its border and is cut there
-            cross = narrow & ((low ^ (low + width - U(1))) >> TOP != 0)
-            width = np.where(cross, FLOOR - (low & BELOW), width)
-            where = np.flatnonzero(narrow)
-            if int(size.max()) + 8 >= len(out):
-                out = np.concatenate([out, np.zeros_like(out)])
-            out[size[where], where] = low[where] >> TOP
-            size += narrow
-            shift = narrow * WORD
-            low, width = low << shift, width << shift
-        mixer.learn(grid, t, own, outcome)
+        width[:k] = unit * part
+        if size.max() + 16 >= len(out):
+            out = np.concatenate([out, np.zeros_like(out)])
+        flat = out.reshape(-1)
+        narrow = np.flatnonzero(width < FLOOR)
+        while len(narrow):
+            own_low, own_width = _cut(low.take(narrow), width.take(narrow))
+            place = size.take(narrow)
+            flat[place * lanes + narrow] = own_low >> TOP
+            size[narrow] = place + 1
+            low[narrow], width[narrow] = own_low << WORD, own_width << WORD
+            narrow = narrow[own_width < FLOOR >> WORD]
+        mixer.learn(grid, t, own)
         before = [own if k == lanes else np.append(own, np.uint32(0)), before[0]]
     for _ in range(4):
         out[size, np.arange(lanes)] = low >> TOP
@@ -180,30 +193,28 @@ def decode_block(words: np.ndarray, size: np.ndarray, n: int, span: int) -> np.n
         total = mixer.total
         unit = width[:k] // U(total << SHARE_BITS)
         target = np.minimum(value[:k] // unit, U((total << SHARE_BITS) - 1)).astype(np.int64)
-        share = target // total
-        outcome = (share >= mixer.from_one).astype(np.int64) + (share >= mixer.from_other)
-        rest, other = SHARES - mixer.from_other, outcome == 2
-        # below 2 ** 37 by 2 ** 12: the quotient of floats has the right whole part
-        inside = ((target - mixer.from_other * total) / rest).astype(np.int64)
+        share, first = target // total, mixer.other.take(mixer.row)
+        outcome = (share >= mixer.one.take(mixer.row)).astype(np.int64) + (share >= first)
         own = np.where(outcome == 0, mixer.id2, mixer.id1)
-        own[other] = mixer.slot(inside[other])
-        i = own.astype(np.int64)
-        begin = mixer.cum[i]
-        start = np.where(other, mixer.from_other * total + rest * begin, np.where(outcome == 1, mixer.from_one * total, 0)).astype(np.uint64)
-        span_ = np.where(other, rest * (mixer.cum[i + 1] - begin), np.where(outcome == 1, (mixer.from_other - mixer.from_one) * total, mixer.from_one * total)).astype(np.uint64)
+        other = np.flatnonzero(outcome == 2)
+        first = first[other]
+        # below 2 ** 37 by 2 ** 12: the quotient of floats has the right whole part
+        own[other] = mixer.slot(((target[other] - first * total) / (SHARES - first)).astype(np.int64))
+        start, part = mixer.interval(own, outcome)
         below = unit * start
         low[:k] += below
         value[:k] -= below
-        width[:k] = unit * span_
-        while (narrow := width < FLOOR).any():
-            cross = narrow & ((low ^ (low + width - U(1))) >> TOP != 0)
-            width = np.where(cross, FLOOR - (low & BELOW), width)
-            shift = narrow * WORD
-            value = value << shift | words[at] * narrow
-            at += narrow
-            low, width = low << shift, width << shift
+        width[:k] = unit * part
+        narrow = np.flatnonzero(width < FLOOR)
+        while len(narrow):
+            own_low, own_width = _cut(low.take(narrow), width.take(narrow))
+            place = at.take(narrow)
+            value[narrow] = value.take(narrow) << WORD | words.take(place)
+            at[narrow] = place + 1
+            low[narrow], width[narrow] = own_low << WORD, own_width << WORD
+            narrow = narrow[own_width < FLOOR >> WORD]
         grid[t, :k] = own
-        mixer.learn(grid, t, own, outcome)
+        mixer.learn(grid, t, own)
         before = [own if k == lanes else np.append(own, np.uint32(0)), before[0]]
     return grid.T.ravel()[:n] if n == steps * lanes else np.concatenate([grid[:, :-1].T.ravel(), grid[:last, -1]])
 
@@ -212,7 +223,7 @@ DOC = np.dtype([("valid", "u1"), ("doc_id", "<i8"), ("ids", "<u4")])
 PART = np.dtype([("ids", "<u4"), ("words", "<u4"), ("lanes", "<u4"), ("span", "<u4"), ("crc", "<u4")])
 
 
-def pack_segment(partition: int, sequence: int, doc_ids: list, counts: list[int], ids: np.ndarray) -> bytes:
+def pack_segment(partition: int, sequence: int, doc_ids: list, counts: np.ndarray | list[int], ids: np.ndarray) -> bytes:
     docs = np.zeros(len(doc_ids), DOC)
     docs["valid"] = [d is not None for d in doc_ids]
     docs["doc_id"] = [d or 0 for d in doc_ids]
@@ -261,24 +272,24 @@ def write(docs: DataFrame, path: str, tokenizer: str, *, end_id: int = 2) -> Non
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(tokenizer)
-        end = end_id.to_bytes(4, "little")
         partition, sequence = TaskContext.get().partitionId(), 0
-        names, coded, held = [], [], 0
+        names, sizes, coded, held = [], [], [], 0
 
         def segment() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(coded), "<u4")
-            return pa.RecordBatch.from_pydict({"segment": pa.array([pack_segment(partition, sequence, names, [len(c) // 4 for c in coded], ids)], pa.binary())})
+            packed = pack_segment(partition, sequence, names, np.concatenate(sizes), np.concatenate(coded))
+            return pa.RecordBatch.from_pydict({"segment": pa.array([packed], pa.binary())})
 
         try:
             for batch in batches:
                 for part in slices(batch):
-                    for name, ids in zip(part.column("doc_id").to_pylist(), bpe.encode_all(text_bytes(part.column("text")))):
-                        names.append(name)
-                        coded.append(ids + end)
-                        held += len(ids) // 4 + 1
-                        if held >= BLOCKS_PER_SEGMENT * BLOCK:
-                            yield segment()
-                            names, coded, held, sequence = [], [], 0, sequence + 1
+                    ids, counts = bpe.encode_all(part.column("text"))
+                    names += part.column("doc_id").to_pylist()
+                    sizes.append(counts + 1)
+                    coded.append(np.insert(ids, np.cumsum(counts), end_id))
+                    held += len(coded[-1])
+                    if held >= BLOCKS_PER_SEGMENT * BLOCK:
+                        yield segment()
+                        names, sizes, coded, held, sequence = [], [], [], 0, sequence + 1
             bpe.release()
             if names:
                 yield segment()
@@ -288,7 +299,8 @@ def write(docs: DataFrame, path: str, tokenizer: str, *, end_id: int = 2) -> Non
     # only ids and hashes are sampled for the ranges, and many rows of one id are split by their hash
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("ul_hash", F.xxhash64("text"))
     ordered = keyed.repartitionByRange("doc_id", "ul_hash").sortWithinPartitions("doc_id", "ul_hash", "text").drop("ul_hash")
-    segments = ordered.mapInArrow(run, "segment binary")
+    bound_batches(docs.sparkSession)
+    segments = ordered.mapInArrow(trimmed(run), "segment binary")
     segments.select(F.col("segment").cast("string").alias("value")).write.option("maxRecordsPerFile", SEGMENTS_PER_FILE).option("lineSep", "\n").text(path)
 
 
@@ -311,7 +323,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                     })
 
     files = spark.read.format("binaryFile").load(path).select("content")
-    return files.mapInArrow(run, "partition long, sequence long, place long, doc_id long, before long, n_tokens long, ids_crc32 long")
+    return files.mapInArrow(trimmed(run), "partition long, sequence long, place long, doc_id long, before long, n_tokens long, ids_crc32 long")
 
 
 def write_and_read(docs: DataFrame, tokenizer: str) -> DataFrame:
