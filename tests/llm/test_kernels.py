@@ -593,6 +593,38 @@ def test_decontamination(spark):
     assert decontaminate.matches(docs(spark, texts), benchmark.limit(0)).count() == 0
 
 
+def test_decontamination_in_any_case_and_layout(spark):
+    item = "Tom has 5 apples and eats 2 of them. Ann has 3 pears and gives 1 kg to Tom. How many are left in the basket?"
+    other = item.replace("Tom", "Bob").replace("Ann", "Eve").replace("5", "7").replace("2", "4")
+    swapped = item.replace("Ann", "Tom")
+    texts = [item.lower(), item.upper(), item.replace(" ", "\n"), "Intro. " + item.replace(" Ann", '  "Ann'), other, swapped, other.replace("gives 1 kg", "gives 1 kg twice and so on for all the other days"), "tom ate", item.replace("Tom", "\u00c9mile")]
+    got = {r.doc_id: r.verbatim for r in decontaminate.matches(docs(spark, texts), spark.createDataFrame([(0, item)], "item_id long, text string")).collect()}
+    assert got == {0: True, 1: True, 2: True, 3: True, 4: False, 8: True} | {k: got[k] for k in (5, 6) if k in got} and 7 not in got
+    # repeated rows, several blocks of the benchmark and of its words
+    many = spark.createDataFrame([(i, f"{item} {WORDS[i]}") for i in range(30)] * 2, "item_id long, text string")
+    table = docs(spark, [*texts[:5], *texts[:5]]).withColumn("doc_id", F.col("doc_id") % 5)
+    want = sorted(map(tuple, decontaminate.matches(table, many).collect()))
+    rows, words = decontaminate.BROADCAST_ROWS, decontaminate.BROADCAST_WORDS
+    decontaminate.BROADCAST_ROWS, decontaminate.BROADCAST_WORDS = 200, 10
+    try:
+        assert sorted(map(tuple, decontaminate.matches(table, many).collect())) == want and len(want) == 150
+    finally:
+        decontaminate.BROADCAST_ROWS, decontaminate.BROADCAST_WORDS = rows, words
+
+
+def test_decontamination_against_sql(spark):
+    rng = random.Random(31)
+    name = lambda: rng.choice(["Oslo", "Rome", "Bern", "Lima"])
+    sentence = lambda: " ".join(rng.choice(WORDS[:30]) if rng.random() < 0.7 else rng.choice([name(), str(rng.randint(1, 99)), f"{rng.randint(1, 9)} km", "(the)", "A"]) for _ in range(16))
+    items = [sentence() for _ in range(40)]
+    change = lambda t: re.sub(r"\d", lambda m: str((int(m[0]) + 1) % 10), t) if rng.random() < 0.5 else t.lower()
+    texts = [None, ""] + [" ".join(rng.choice([sentence(), change(rng.choice(items)), rng.choice(items)]) for _ in range(3)) for _ in range(150)]
+    benchmark = spark.createDataFrame([*enumerate(items), (99, None), (3, items[3])], "item_id long, text string")
+    table = docs(spark, texts)
+    want = run_sql(decontaminate.ORACLE_SQL, documents=table, benchmark=benchmark)
+    assert plain_rows(decontaminate.matches(table, benchmark)) == want and len(want) > 100
+
+
 def test_toxicity(spark):
     rng = random.Random(2)
     texts, labels = [], []

@@ -1,20 +1,22 @@
 """Benchmark decontamination by template canonicalisation, in DataFrame functions only.
 
-A text is reduced to words of letters and digits in lower case; a capitalised word after a space becomes the slot
-``¹`` (name) unless a sentence ends before the space, digit runs the slot ``#`` (number), and a unit after a number the slot ``²``. Every ``SIZE`` words form
-a template window, of which at least ``PLAIN`` words must be no slot. Documents and benchmark items are hash-joined on
+A text is reduced to words of letters and digits in lower case. Its *template* has the slot ``¹`` (name) for a word with a capital, wherever
+it stands, the slot ``#`` for a run of digits and the slot ``²`` for a unit after a number; its *plain template* keeps the names as words in lower
+case, so that a copy in any case matches. Layout plays no part: white space only separates words. Every ``SIZE`` words of either template form
+a window, of which at least ``PLAIN`` words must be no slot. Documents and benchmark items are hash-joined on
 their windows, and hits of one document and item at the same offset form an alignment. It counts if it has ``RUN`` windows in
 a row (13 words), or as many as the item itself has. Slot consistency then decides: over the alignment each slot
 value of the item must stand for one value of the document and the reverse, as in a copy (``verbatim``) or a
 re-parameterised question.
 
 A run of k windows holds one at every k-th place, so only every k-th window of a document is looked up, k being the
-shortest run that an item asks for; a hit is then extended word by word. The windows of the benchmark are broadcast in blocks
-of at most about ``BROADCAST_ROWS``, each of which passes over the documents once; nothing of a document is shuffled before it
-has a hit.
+shortest run that an item asks for; a hit is then extended word by word. The windows of the benchmark (hash, item, place: 16 bytes) are broadcast in blocks
+of at most about ``BROADCAST_ROWS``, each of which passes over the documents once; the words of the items follow to the hits, broadcast up to
+``BROADCAST_WORDS`` words. Nothing of a document is shuffled before it has a hit.
 
 Defined results: null text is empty; items of fewer than ``SIZE`` words have no window and match nothing; repeated
-rows of a document give one row of the result; empty tables give an empty result; texts are read whole.
+rows of a document give one row of the result, as do items of equal id; of several alignments the longest counts, and one without a changed value makes the pair
+verbatim; further columns are not read, and carried by :func:`clean_documents`, whatever their names; empty tables give an empty result; texts are read whole.
 """
 
 from __future__ import annotations
@@ -28,21 +30,22 @@ SIZE = 8
 PLAIN = 5
 RUN = 6
 BROADCAST_ROWS = 500_000
+BROADCAST_WORDS = 2_000_000
 # fixed values: units of measure
 UNITS = "mm cm m km in ft yd mi g mg kg lb oz t ml l s ms min h hr hrs day days week weeks month months year years usd eur gbp percent hz khz mhz ghz kb mb gb tb w kw v a c f k"
 _UNIT = "|".join(UNITS.split())
 
 
 def words_of(text: Column) -> Column:
-    """Cleaned text with names marked by a leading ``¹``."""
+    """Cleaned text, words with a capital marked by a leading ``¹``."""
     t = F.coalesce(text.cast("string"), F.lit(""))
     t = F.when(t.contains("#") | t.contains("¹") | t.contains("²"), F.regexp_replace(t, "[¹²#]", " ")).otherwise(t)
-    t = F.regexp_replace(t, r"(?<=[^\s.!?] )(?=\p{Lu})", "¹")
-    return F.lower(F.regexp_replace(t, r"[^\p{L}\p{N}\s¹]+", ""))
+    t = F.regexp_replace(t, r"[^\p{L}\p{N}\s]+", "")
+    return F.lower(F.regexp_replace(t, r"(?<!\S)(?=\p{Lu})", "¹"))
 
 
 def template_of(cleaned: Column) -> Column:
-    """The same words with slots in place of names, numbers and units."""
+    """The same words with slots in place of marked names, numbers and units."""
     t = F.regexp_replace(cleaned, r"¹[^\s]+", "¹")
     t = F.regexp_replace(t, r"[\p{Nd}\p{No}\p{Nl}&&[^¹]]+", "#")
     t = F.regexp_replace(t, rf"#(\s?)({_UNIT})(\s|$)", "#$1²$3")
@@ -50,9 +53,10 @@ def template_of(cleaned: Column) -> Column:
 
 
 def _split(table: DataFrame, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` with ``tpl``, the words of the template, and ``cleaned``, the text that :func:`_words` splits alike."""
-    cut = table.withColumn("ul_raw", words_of(F.col("ul_text"))).select(*keep, "ul_raw", template_of(F.col("ul_raw")).alias("ul_tpl"))
-    return cut.select(*keep, _words("ul_tpl").alias("tpl"), F.col("ul_raw").alias("cleaned"))
+    """Columns ``keep`` with ``tpl`` and ``ptpl``, the words of both templates, and ``cleaned``, the text that :func:`_words` splits alike."""
+    cut = table.withColumn("ul_raw", words_of(F.col("ul_text")))
+    cut = cut.select(*keep, "ul_raw", template_of(F.col("ul_raw")).alias("ul_tpl"), template_of(F.translate("ul_raw", "¹", "")).alias("ul_ptpl"))
+    return cut.select(*keep, _words("ul_tpl").alias("tpl"), _words("ul_ptpl").alias("ptpl"), F.col("ul_raw").alias("cleaned"))
 
 
 def _words(name: str) -> Column:
@@ -68,38 +72,43 @@ _SLOT = "({0} = '¹' OR {0} = '²' OR contains({0}, '#'))"
 
 
 def items_of(benchmark: DataFrame) -> DataFrame:
-    """Benchmark items: words, places of their windows with enough plain words (``places``), the run they ask for (``need``)."""
+    """Each item in both templates: ``ino``, item_id, ``plain`` (the kind), words, places of its windows with enough plain words, the run it asks for (``need``)."""
     items = _split(whole_row(benchmark, item_id=F.col("item_id"), ul_text=F.col("text")).drop("ul_row"), ["item_id"])
-    items = items.withColumn("slot", F.expr(f"transform(tpl, w -> if({_SLOT.format('w')}, 1, 0))"))
-    items = items.filter(F.size("tpl") >= SIZE)
-    plain = f"filter(sequence(0, size(tpl) - {SIZE}), j -> aggregate(sequence(j, j + {SIZE - 1}), 0, (n, q) -> n + slot[q]) <= {SIZE - PLAIN})"
-    items = items.withColumn("places", F.expr(plain)).filter("size(places) > 0")
-    return items.withColumn("need", F.least(F.expr(_RUN_OF.format("places")), F.lit(RUN))).select("item_id", F.col("tpl").alias("itpl"), _words("cleaned").alias("iraw"), "places", "need")
+    raw = _words("cleaned")
+    kinds = F.array(F.struct(F.lit(False).alias("plain"), F.col("tpl").alias("itpl"), raw.alias("iraw")), F.struct(F.lit(True).alias("plain"), F.col("ptpl").alias("itpl"), F.transform(raw, lambda w: F.translate(w, "¹", "")).alias("iraw")))
+    items = items.select("item_id", F.inline(kinds))
+    items = items.withColumn("slot", F.expr(f"transform(itpl, w -> if({_SLOT.format('w')}, 1, 0))")).filter(F.size("itpl") >= SIZE)
+    plain = f"filter(sequence(0, size(itpl) - {SIZE}), j -> aggregate(sequence(j, j + {SIZE - 1}), 0, (n, q) -> n + slot[q]) <= {SIZE - PLAIN})"
+    items = items.withColumn("places", F.expr(plain)).filter("size(places) > 0").withColumn("need", F.least(F.expr(_RUN_OF.format("places")), F.lit(RUN)))
+    return items.select(F.monotonically_increasing_id().alias("ino"), "item_id", "plain", "itpl", "iraw", "places", "need")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, *, rows: bool = False) -> DataFrame:
     """doc_id, item_id, n_windows (in the longest run), verbatim; with ``rows`` keyed by the input's ul_id."""
     items = stage_table(items_of(benchmark), "items")
-    total, stride = items.agg(F.sum(F.size("places")), F.min("need")).first()
+    total, stride, words = items.agg(F.sum(F.size("places")), F.min("need"), F.sum(F.size("itpl"))).first()
     blocks = max(1, -(-(total or 0) // BROADCAST_ROWS))
     source = docs if rows else whole_row(docs, doc_id=F.col("doc_id"), ul_text=F.col("text")).drop("ul_row").withColumn("ul_id", F.monotonically_increasing_id())
     own = _split(source.select("ul_id", "doc_id", "ul_text"), ["ul_id", "doc_id"])
     # a filter on the words, or one that Spark infers from an inner explode, would be pushed to the scan with a copy of all the
     # work on the text: short texts get no windows, and the outer form keeps Spark from inferring
-    looked = f"if(size(tpl) >= {SIZE}, transform(sequence(0, size(tpl) - {SIZE}, {stride or 1}), i -> {_hash('tpl', 'i')}), cast(null AS array<bigint>))"
-    own = own.select("ul_id", "doc_id", "tpl", "cleaned", F.posexplode_outer(F.expr(looked)).alias("step", "h"))
+    both = f"flatten(transform(sequence(0, size(tpl) - {SIZE}, {stride or 1}), i -> array(struct(i, {_hash('tpl', 'i')} AS h), struct(i, {_hash('ptpl', 'i')} AS h))))"
+    looked = f"if(size(tpl) >= {SIZE}, array_distinct({both}), cast(null AS array<struct<i:int,h:bigint>>))"
+    own = own.select("ul_id", "doc_id", "tpl", "ptpl", "cleaned", F.explode_outer(F.expr(looked)).alias("w")).select("ul_id", "doc_id", "tpl", "ptpl", "cleaned", F.col("w.i").alias("step"), F.col("w.h").alias("h"))
     found = None
     for block in range(blocks):
-        part = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block)
-        bench = part.select("*", F.explode("places").alias("ipos")).withColumn("h", F.expr(_hash("itpl", "ipos")))
-        hits = own.join(F.broadcast(bench), "h").withColumn("shift", F.col("step") * (stride or 1) - F.col("ipos"))
-        hits = hits.dropDuplicates(["ul_id", "item_id", "itpl", "shift"])
+        part = items.filter(F.pmod(F.xxhash64("ino"), F.lit(blocks)) == block)
+        bench = part.select("ino", "itpl", F.explode("places").alias("ipos")).select("ino", F.col("ipos").cast("int"), F.expr(_hash("itpl", "ipos")).alias("h"))
+        hits = own.join(F.broadcast(bench), "h").withColumn("shift", F.col("step") - F.col("ipos"))
+        hits = hits.dropDuplicates(["ul_id", "ino", "shift"])
         found = hits if found is None else found.unionByName(hits)
+    found = found.drop("h", "ipos", "step").join(F.broadcast(items) if (words or 0) <= BROADCAST_WORDS else items, "ino")
+    found = found.withColumn("tpl", F.when(F.col("plain"), F.col("ptpl")).otherwise(F.col("tpl"))).drop("ptpl")
     same = f"filter(places, j -> forall(sequence(j, j + {SIZE - 1}), q -> q + shift >= 0 AND get(tpl, q + shift) <=> get(itpl, q)))"
     runs = found.withColumn("at", F.expr(same)).withColumn("n_windows", F.expr(_RUN_OF.format("at")).cast("long")).filter("n_windows >= need")
     covered = f"array_distinct(flatten(transform(at, j -> sequence(j, j + {SIZE - 1}))))"
     pairs = f"array_distinct(transform(filter({covered}, q -> {_SLOT.format('itpl[q]')}), q -> struct(itpl[q] AS t, iraw[q] AS mine, get(raw, q + shift) AS theirs)))"
-    runs = runs.withColumn("raw", _words("cleaned")).withColumn("pairs", F.expr(pairs))
+    runs = runs.withColumn("raw", F.when(F.col("plain"), F.transform(_words("cleaned"), lambda w: F.translate(w, "¹", ""))).otherwise(_words("cleaned"))).withColumn("pairs", F.expr(pairs))
     consistent = "size(pairs) = size(array_distinct(transform(pairs, x -> struct(x.t, x.mine)))) AND size(pairs) = size(array_distinct(transform(pairs, x -> struct(x.t, x.theirs))))"
     runs = runs.filter(consistent).withColumn("verbatim", F.expr("forall(pairs, x -> x.mine = x.theirs)"))
     return runs.groupBy(*(["ul_id"] if rows else ["doc_id", "item_id"])).agg(F.max("n_windows").alias("n_windows"), F.bool_or("verbatim").alias("verbatim"))
@@ -114,9 +123,8 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def _sql_words(text: str) -> str:
     t = f"regexp_replace(coalesce({text}, ''), '[¹²#]', ' ', 'g')"
-    for _ in range(2):  # there is no look-behind: the second pass finds names right after one-letter names
-        t = rf"regexp_replace({t}, '([^\s.!?] )(\p{{Lu}})', '\1¹\2', 'g')"
-    return rf"lower(regexp_replace({t}, '[^\p{{L}}\p{{N}}\s¹]+', '', 'g'))"
+    t = rf"regexp_replace({t}, '[^\p{{L}}\p{{N}}\s]+', '', 'g')"
+    return rf"lower(regexp_replace({t}, '(^|\s)(\p{{Lu}})', '\1¹\2', 'g'))"
 
 
 def _sql_template(cleaned: str) -> str:
@@ -128,26 +136,26 @@ def _sql_template(cleaned: str) -> str:
 def _sql_windows(name: str, key: str, table: str) -> str:
     words = r"list_filter(string_split_regex({0}, '\s+'), lambda w: w <> '')"
     return rf"""
-{name}_a AS (SELECT {key}, row_number() OVER () AS rid, {_sql_words('text')} AS c FROM {table}),
-{name}_b AS (SELECT {key}, rid, {words.format('c')} AS raw, {words.format(_sql_template('c'))} AS tpl FROM {name}_a),
-{name}_c AS (SELECT {key}, rid, raw, tpl, unnest(range(1, len(tpl) - {SIZE - 2})) AS p FROM {name}_b WHERE len(tpl) >= {SIZE}),
-{name} AS (SELECT {key}, rid, p, array_to_string(tpl[p : p + {SIZE - 1}], ' ') AS h,
+{name}_a AS (SELECT {key}, rid, kind, CASE kind WHEN 0 THEN c ELSE replace(c, '¹', '') END AS c FROM (SELECT {key}, row_number() OVER () AS rid, {_sql_words('text')} AS c FROM {table}), (VALUES (0), (1)) k(kind)),
+{name}_b AS (SELECT {key}, rid, kind, {words.format('c')} AS raw, {words.format(_sql_template('c'))} AS tpl FROM {name}_a),
+{name}_c AS (SELECT {key}, rid, kind, raw, tpl, unnest(range(1, len(tpl) - {SIZE - 2})) AS p FROM {name}_b WHERE len(tpl) >= {SIZE}),
+{name} AS (SELECT {key}, rid, kind, p, array_to_string(tpl[p : p + {SIZE - 1}], ' ') AS h,
   list_filter(range(p, p + {SIZE}), lambda k: regexp_matches(tpl[k], '[¹²#]')) AS sl, raw, tpl FROM {name}_c)"""
 
 
 ORACLE_SQL = f"""
 WITH {_sql_windows('d', 'doc_id', 'documents')}, {_sql_windows('b', 'item_id', 'benchmark')},
 d_ok AS (SELECT * FROM d WHERE len(sl) <= {SIZE - PLAIN}), b_ok AS (SELECT * FROM b WHERE len(sl) <= {SIZE - PLAIN}),
-b_run AS (SELECT rid, count(*) AS n FROM (SELECT rid, p - row_number() OVER (PARTITION BY rid ORDER BY p) AS g FROM b_ok) GROUP BY rid, g),
-needs AS (SELECT rid AS brid, least(max(n), {RUN}) AS need FROM b_run GROUP BY rid),
-hits AS (SELECT d_ok.doc_id, d_ok.rid, d_ok.p, b_ok.item_id, b_ok.rid AS brid, d_ok.p - b_ok.p AS shift,
+b_run AS (SELECT rid, kind, count(*) AS n FROM (SELECT rid, kind, p - row_number() OVER (PARTITION BY rid, kind ORDER BY p) AS g FROM b_ok) GROUP BY rid, kind, g),
+needs AS (SELECT rid AS brid, kind, least(max(n), {RUN}) AS need FROM b_run GROUP BY rid, kind),
+hits AS (SELECT d_ok.doc_id, kind, d_ok.rid, d_ok.p, b_ok.item_id, b_ok.rid AS brid, d_ok.p - b_ok.p AS shift,
   list_transform(b_ok.sl, lambda k: {{'t': b_ok.tpl[k], 'mine': b_ok.raw[k], 'theirs': d_ok.raw[k + d_ok.p - b_ok.p]}}) AS pairs
-  FROM d_ok JOIN b_ok USING (h)),
-isl AS (SELECT *, p - row_number() OVER (PARTITION BY rid, brid, shift ORDER BY p) AS g FROM hits),
-best AS (SELECT rid, brid, shift, max(n) AS n_windows FROM (SELECT rid, brid, shift, g, count(*) AS n FROM isl GROUP BY ALL) GROUP BY ALL),
-runs AS (SELECT doc_id, rid, item_id, brid, shift, list_distinct(flatten(list(pairs))) AS pairs FROM hits GROUP BY ALL)
+  FROM d_ok JOIN b_ok USING (h, kind)),
+isl AS (SELECT *, p - row_number() OVER (PARTITION BY rid, brid, kind, shift ORDER BY p) AS g FROM hits),
+best AS (SELECT rid, brid, kind, shift, max(n) AS n_windows FROM (SELECT rid, brid, kind, shift, g, count(*) AS n FROM isl GROUP BY ALL) GROUP BY ALL),
+runs AS (SELECT doc_id, rid, item_id, brid, kind, shift, list_distinct(flatten(list(pairs))) AS pairs FROM hits GROUP BY ALL)
 SELECT doc_id, item_id, max(n_windows) AS n_windows, bool_or(len(list_filter(pairs, lambda x: x.mine <> x.theirs)) = 0) AS verbatim
-FROM runs JOIN best USING (rid, brid, shift) JOIN needs USING (brid)
+FROM runs JOIN best USING (rid, brid, kind, shift) JOIN needs USING (brid, kind)
 WHERE n_windows >= need
   AND len(pairs) = len(list_distinct(list_transform(pairs, lambda x: {{'t': x.t, 'v': x.mine}})))
   AND len(pairs) = len(list_distinct(list_transform(pairs, lambda x: {{'t': x.t, 'v': x.theirs}})))
