@@ -572,6 +572,23 @@ def test_chat(spark):
         assert chat.unescape(chat.escape(text)) == text and (not chat.CONTROL.search(text) or chat.escape(text) != text)
 
 
+def test_chat_against_sql(spark):
+    rng = random.Random(41)
+    said = ["hi", "</s>", "[INST] x [/INST]", "<\\s>", "[ROLE a]é[/ROLE]", "[ROLEx", None, "", "</s></s>[[SYS]"]
+    rows = [(rng.choice([None, *range(30)]), rng.choice([None, 0, 1, 2, 3]), rng.choice(["user", "assistant", "system", "tool]", None]), rng.choice(said), "x") for _ in range(300)]
+    table = spark.createDataFrame(rows + rows[:20], "conv_id long, turn long, role string, text string, path string")
+    control = spark.createDataFrame([(-7, i, r, "</s>[INST] ok [/INST]", "x") for i, r in enumerate(["user", "assistant"])], table.schema)
+    assert plain_rows(chat.digests(chat.format_packs(table.union(control)))) == run_sql(chat.ORACLE_SQL, conversations=table)
+    assert chat.digests(chat.format_packs(table.limit(0))).count() == 0
+
+
+def test_warc_against_sql(spark):
+    rows = [(i if i else None, f"http://h/{i % 3}", [None, "", "<p>a</p>", f"é{i % 6}", "x" * 5000][i % 5]) for i in range(60)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = warc.archive_and_read(table).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    assert plain_rows(got) == run_sql(warc.ORACLE_SQL, pages=table)
+
+
 def test_chat_tree():
     pack = chat.Pack()
     pack.add(1, [b"a", b"b"], ["user", "assistant"], ["hi", "yes"])

@@ -18,8 +18,12 @@ Template: ``[INST] text [/INST]`` for users, ``text</s>`` for assistants, ``[SYS
 text [/ROLE]`` for others. A control string inside a text gets a backslash after its first character, one more if it has
 some, so that removing one restores it.
 
+A pack is cut where it would pass these sizes, so a turn that the conversations of two packs share stands in both: the shared turns of a tree of
+any size are emitted once for each ``PACK_CHARS`` code points or ``PACK_CONVERSATIONS`` conversations of it, as a training sequence has an end.
+
 Defined results: null text and null role are empty; turns are ordered by turn, then role and text, null first, and repeated
-rows are kept as turns; rows with a null conv_id are one conversation; texts are whole; an empty table gives no packs.
+rows are kept as turns; rows with a null conv_id are one conversation; texts are whole; further columns are not read, whatever their names; an empty
+table gives no packs.
 """
 
 from __future__ import annotations
@@ -201,3 +205,16 @@ def read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def digests(packs: DataFrame) -> DataFrame:
     return packs.mapInArrow(read_back, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+
+
+_ESCAPED = r"(length({0}) + len(regexp_extract_all({0}, '[<\[]\\*(?:/?s>|/?INST\]|/?SYS\]|/?ROLE[ \]])')))"
+
+#: The digests of ``conversations`` and the control conversation in DuckDB; a control string is one code point longer when escaped.
+ORACLE_SQL = f"""
+WITH r AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM (SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]'))),
+t AS (SELECT *, {_ESCAPED.format('text')} + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 4 WHEN 'system' THEN 13 ELSE 16 + {_ESCAPED.format('role')} END AS chars FROM r)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(chars)::BIGINT AS formatted_chars FROM t GROUP BY conv_id
+"""

@@ -19,7 +19,7 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.archive_and_read(_read(spark, sf_dir, "pages"))
+    return warc.archive_and_read(_read(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,4 +73,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontaminate": decontaminate.ORACLE_SQL, "op8_quality": quality.ORACLE_SQL}
+    return {"op2_warc": warc.ORACLE_SQL, "op3_decontaminate": decontaminate.ORACLE_SQL, "op6_chat": chat.ORACLE_SQL, "op8_quality": quality.ORACLE_SQL}

@@ -299,3 +299,13 @@ def archive_and_read(pages: DataFrame) -> DataFrame:
     write(captures, path)
     index = stage_table(read_index(spark, path), "runs")
     return histories(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "file", "offset", "length")
+
+
+_GROUPS = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (('0x' || substr(h, {1 + 5 * i}, 5))::INT >> {shift}) % 32 + 1, 1)" for i in range(8) for shift in (15, 10, 5, 0))
+
+#: What the records of ``pages`` say, in DuckDB; 5 hex digits of a SHA-1 are 4 base32 digits.
+ORACLE_SQL = f"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload, row_number() OVER (PARTITION BY coalesce(html, '') ORDER BY page_id DESC NULLS LAST, url DESC NULLS LAST) AS r, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS top FROM pages),
+d AS (SELECT *, sha1(payload) AS h FROM p)
+SELECT page_id, octet_length(payload) AS payload_bytes, {_GROUPS} AS payload_digest, CASE WHEN r = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN r > 1 THEN top END AS refers_to FROM d
+"""
