@@ -100,3 +100,24 @@ def evidence_table(predictions: DataFrame, zone: str = "Asia/Ho_Chi_Minh") -> Da
         "prediction_id", "rank", F.col("e.timestep").alias("timestep"), F.col("e.raw_contribution").alias("contribution"), first_of(times.clock(shown("event_time"), zone)).alias("event_time"), first_of(shown("event_name"), event["event_id"]).alias("event"),
         first_of(shown("event_result_label"), event["event_result"]).alias("result"), first_of(event["duration_ms"]).alias("duration"), first_of(event["sub_cause_code"]).alias("sub_cause"), first_of(shown("tac")).alias("tac"), first_of(shown("eci")).alias("eci"),
     )
+
+
+def history(predictions: DataFrame, ue_key: str | None = None) -> DataFrame:
+    """Predictions (of a subscriber) by window end, the oldest first; those of one time by model."""
+    rows = predictions if ue_key is None else predictions.filter(F.col("ue_key") == ue_key)
+    return rows.orderBy(F.col("window_end_event_time").asc_nulls_last(), "model")
+
+
+def chart_points(rows: DataFrame, *, ts_ms: str, score: str, **options) -> DataFrame:
+    """Points of the chart in order of time: one for each bucket, with what a label shows."""
+    return downsample(rows, ts_ms=ts_ms, score=score, **options).withColumn("label", score_label(F.col(score))).orderBy(ts_ms)
+
+
+def score_label(score: Column) -> Column:
+    """Three decimals."""
+    return F.format_string("%.3f", F.round(score.cast("double"), 3))
+
+
+def rate_label(rate: Column) -> Column:
+    """Percent with two decimals."""
+    return F.format_string("%.2f%%", F.round(rate.cast("double") * 100, 2))

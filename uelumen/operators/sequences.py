@@ -141,7 +141,13 @@ def encode(samples: DataFrame, contract: Contract | None = None) -> DataFrame:
 def gold_samples(events: DataFrame, contract: Contract | None = None, *, failed_at: Column | None = None) -> Routed:
     """``gold`` samples and ``invalid_feature`` records of the windows of accepted events."""
     contract = contract or Contract()
-    made = windows(events, length=contract.length, stride=contract.stride)
+    return samples_of(windows(events, length=contract.length, stride=contract.stride), contract, failed_at=failed_at)
+
+
+def samples_of(made: DataFrame, contract: Contract | None = None, *, failed_at: Column | None = None) -> Routed:
+    """The same of windows (ue_key, window_no, events). A window out of order, or of two subscribers, fails the job."""
+    contract = contract or Contract()
+    made = made.withColumn("events", F.when(ordered(F.col("events")), F.col("events")).otherwise(F.raise_error(F.lit("the events of a window are out of order"))))
     first, last = F.get("events", F.lit(0)), F.get("events", F.lit(contract.length - 1))
     iso = lambda ms: times.normalise(F.lpad(ms.cast("string"), 13, "0"))
     made = settle(made, start_ms=first["event_time_epoch_ms"], end_ms=last["event_time_epoch_ms"], imsi=first["imsi"])

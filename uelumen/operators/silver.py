@@ -101,12 +101,13 @@ def normalise_events(resolved: DataFrame, catalogue: DataFrame, *, failed_at: Co
 
 
 def first_by_coordinates(df: DataFrame, keys: tuple[str, ...] = ("source.topic", "source.partition", "source.offset"), order: str | None = None) -> DataFrame:
-    """The first row of each key. Without an order any one row, combined before the shuffle."""
-    if order is None:
-        named = df.withColumns({f"ul_{i}": F.col(k) for i, k in enumerate(keys)})
-        return named.dropDuplicates([f"ul_{i}" for i in range(len(keys))]).select(*df.columns)
+    """The first row of each key: by ``order``, else by arrival at the source where the rows tell it, else any row."""
+    if order is None and "source" in df.columns:
+        order = "source.offset"
     whole = F.struct(*df.columns)
-    return df.groupBy(*[F.col(k).alias(f"ul_{i}") for i, k in enumerate(keys)]).agg(F.min_by(whole, F.col(order)).alias("r")).select("r.*")
+    named = [F.col(k).alias(f"ul_{i}") for i, k in enumerate(keys)]
+    first = F.first(whole) if order is None else F.min_by(whole, F.struct(F.col(order), *([F.col("raw_record_id")] if "raw_record_id" in df.columns else [])))
+    return df.groupBy(*named).agg(first.alias("r")).select("r.*")
 
 
 def running_max(df: DataFrame, ts: str, arrival: list[str], key: list[str]) -> Column:

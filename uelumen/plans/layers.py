@@ -24,12 +24,12 @@ def bronze_layer(records: DataFrame, *, clock: Column | None = None, **options)
 
 
 def silver_layer(events: DataFrame, dims: Dimensions, *, clock: Column | None = None, arrival: tuple[str, ...] = ("source.offset",), tolerance_ms: int = 30_000) -> Routed:
-    """silver, late, invalid_identity, unsupported_event. Lateness is by source partition, in offset order."""
+    """silver, late, invalid_identity, unsupported_event. Lateness is by partition of a source topic, in offset order."""
     resolved = silver.resolve_identity(events, dims.by_msisdn, dims.by_mtmsi, failed_at=clock)
     known = silver.normalise_events(resolved["resolved"], dims.catalogue, failed_at=clock)
     unique = silver.first_by_coordinates(known["silver"])
     timed = unique.withColumn("ul_ms", epoch_millis(unique["event_time"]))
-    late = silver.split_late(timed, ts="ul_ms", arrival=list(arrival), key=["source.partition"], tolerance_ms=tolerance_ms)
+    late = silver.split_late(timed, ts="ul_ms", arrival=list(arrival), key=["source.topic", "source.partition"], tolerance_ms=tolerance_ms)
     return Routed({"silver": late["on_time"].drop("ul_ms"), "late": late["late"].drop("ul_ms"), "invalid_identity": resolved["invalid_identity"], "unsupported_event": known["unsupported_event"]})
 
 

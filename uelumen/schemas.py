@@ -20,6 +20,11 @@ GOLD_EVENT = (
     "ue_key string, imsi string, event_id string, event_result string, normalized_cause_code string, sub_cause_code string, duration_ms long, request_retries int, event_code int, "
     "event_result_code int, event_time_epoch_ms long, feature_source_fields map<string,string>, display_fields map<string,string>, quality_fields map<string,string>, source_order_key string"
 )
+GOLD_INPUT = GOLD_EVENT
+GOLD = (
+    "schema_version string, feature_version string, sample_id string, ue_key string, imsi string, window_start_event_time string, window_end_event_time string, sequence_length int, stride int, "
+    f"model_input struct<x_cat:array<array<bigint>>,x_num:array<array<float>>>, evidence struct<events:array<struct<{GOLD_EVENT.replace(' ', ':').replace(',:', ',').replace(':long', ':bigint')}>>>"
+)
 # Topics and their key columns.
 TOPICS = {
     "raw": ("raw.ue.log.line", "raw_record_id"),

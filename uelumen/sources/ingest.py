@@ -47,14 +47,17 @@ def envelopes(lines: DataFrame) -> DataFrame:
     )
 
 
-def to_messages(df: DataFrame, topic: str, key: str, partition: Column | None = None) -> DataFrame:
-    """(topic, key, value[, partition]) with a JSON value; a blank key or a negative partition is an error."""
+def to_messages(df: DataFrame, topic: str, key: str, partition: Column | None = None, carry: DataFrame | None = None) -> DataFrame:
+    """(topic, key, value[, partition]) with a JSON value; a blank key or a negative partition is an error.
+
+    ``carry``: ``df`` with further columns, which come beside the message but not in its value.
+    """
     k = F.trim(F.col(key))
     checked = F.when(k.isNull() | (k == ""), F.raise_error(F.lit(f"blank key {key}"))).otherwise(k)
-    out = [F.lit(topic).alias("topic"), checked.alias("key"), F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")]
+    out = [F.lit(topic).alias("topic"), checked.alias("key"), F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value")]
     if partition is not None:
         out.append(F.when(partition < 0, F.raise_error(F.lit("negative partition"))).otherwise(partition).cast("int").alias("partition"))
-    return df.select(*out)
+    return df.select(*out) if carry is None else carry.select(*out, *carry.columns[len(df.columns) :])
 
 
 def as_kafka_records(messages: DataFrame, topic: str, partitions: int = 3) -> DataFrame:
@@ -63,21 +66,32 @@ def as_kafka_records(messages: DataFrame, topic: str, partitions: int = 3) -> Da
     return messages.select(F.lit(topic).alias("topic"), part.alias("partition"), F.monotonically_increasing_id().alias("offset"), F.unix_millis(F.current_timestamp()).alias("kafka_timestamp"), "value")
 
 
-def kafka_stream(spark: SparkSession, servers: str, topic: str, *, start: str = "earliest") -> DataFrame:
-    """A Kafka topic as raw records: committed records only, null values kept. Needs the Kafka connector on the class path."""
+def check_start(start: str) -> None:
     if start not in ("earliest", "latest"):
         raise ValueError(f"starting offsets must be earliest or latest, not {start}")
-    options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": start, "kafka.isolation.level": "read_committed", "kafka.default.api.timeout.ms": "180000", "kafka.request.timeout.ms": "60000"}
-    rows = spark.readStream.format("kafka").options(**options).load()
-    return rows.select("topic", "partition", "offset", F.unix_millis("timestamp").alias("kafka_timestamp"), F.col("value").cast("string").alias("value"))
+
+
+def kafka_source_options(servers: str, topic: str, start: str) -> dict[str, str]:
+    """Committed records only. ``startingOffsets`` holds for a new query; a checkpoint goes on from its committed offsets."""
+    check_start(start)
+    return {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": start, "kafka.isolation.level": "read_committed", "kafka.default.api.timeout.ms": "180000", "kafka.request.timeout.ms": "60000"}
+
+
+def kafka_columns() -> list[Column]:
+    return [F.col("topic"), F.col("partition"), F.col("offset"), F.unix_millis("timestamp").alias("kafka_timestamp"), F.col("value").cast("string").alias("value")]
+
+
+def kafka_stream(spark: SparkSession, servers: str, topic: str, *, start: str = "earliest") -> DataFrame:
+    """A Kafka topic as raw records, null values kept. Needs the Kafka connector on the class path."""
+    return spark.readStream.format("kafka").options(**kafka_source_options(servers, topic, start)).load().select(*kafka_columns())
 
 
 def kafka_sink_options(servers: str) -> dict[str, str]:
     return {"kafka.bootstrap.servers": servers, "kafka.acks": "all", "kafka.enable.idempotence": "true", "kafka.retries": "2147483647", "kafka.compression.type": "lz4", "kafka.linger.ms": "10", "kafka.batch.size": "65536"}
 
 
-def strict_json(df: DataFrame, ddl: str, value: str = "value") -> DataFrame:
-    """Typed records of JSON text; an empty value, text that is no JSON object, or an unknown field fails the job."""
+def strict_json(df: DataFrame, ddl: str, value: str = "value", carry: tuple[str, ...] = ()) -> DataFrame:
+    """Typed records of JSON text, with the columns ``carry`` beside; an empty value, text that is no JSON object, or an unknown field fails the job."""
     from pyspark.sql.types import _parse_datatype_string
 
     known = F.array(*[F.lit(f.name) for f in _parse_datatype_string(ddl).fields])
@@ -89,4 +103,4 @@ def strict_json(df: DataFrame, ddl: str, value: str = "value") -> DataFrame:
         .when(F.size(unknown) > 0, F.concat(F.lit("unknown fields: "), F.array_join(unknown, ",")))
     )
     parsed = F.from_json(text, ddl, {"mode": "FAILFAST"})
-    return df.select(F.when(fault.isNotNull(), F.raise_error(fault)).otherwise(parsed).alias("r")).select("r.*")
+    return df.select(F.when(fault.isNotNull(), F.raise_error(fault)).otherwise(parsed).alias("r"), *carry).select("r.*", *carry)
