@@ -7,6 +7,7 @@ operator, and here late rows are an output.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -20,38 +21,45 @@ def use_rocksdb(spark: SparkSession) -> None:
 
 
 class FirstOnly(StatefulProcessor):
-    """Passes the first row of each key and drops the rest until the state expires."""
+    """Passes the first row of each key, by ``order`` within a batch, and drops the rest until the state expires."""
 
-    def __init__(self, ttl_ms: int = TTL_MS):
-        self.ttl_ms = ttl_ms
+    def __init__(self, ttl_ms: int = TTL_MS, order: str | None = None):
+        self.ttl_ms, self.order = ttl_ms, order
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.seen = handle.getValueState("seen", "flag boolean", ttlDurationMs=self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        fresh = not self.seen.exists()
-        for frame in rows:
-            if fresh and len(frame):
-                fresh = False
-                self.seen.update((True,))
-                yield frame.iloc[:1]
+        if self.seen.exists():
+            return
+        frames = [f for f in rows if len(f)]
+        if frames:
+            first = pd.concat(frames) if len(frames) > 1 else frames[0]
+            self.seen.update((True,))
+            yield (first.sort_values(self.order, kind="stable") if self.order else first).iloc[:1]
 
     def close(self) -> None:
         pass
 
 
 class LateRouter(StatefulProcessor):
-    """Adds ``late``: behind the greatest time its key has shown before, less the tolerance. Equal is on time."""
+    """Adds ``late``: behind the greatest time its key has shown before, less the tolerance. Equal is on time.
+
+    A shuffle hands rows on in any order, so those of a batch are sorted by ``order`` first.
+    """
 
-    def __init__(self, ts: str, tolerance_ms: int = 30_000):
-        self.ts, self.tolerance_ms = ts, tolerance_ms
+    def __init__(self, ts: str, tolerance_ms: int = 30_000, order: str | None = None):
+        self.ts, self.tolerance_ms, self.order = ts, tolerance_ms, order
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.top = handle.getValueState("top", "ms long", ttlDurationMs=TTL_MS)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         top = self.top.get()[0] if self.top.exists() else None
-        for frame in rows:
+        frames = [f for f in rows if len(f)]
+        if self.order and frames:
+            frames = [(pd.concat(frames) if len(frames) > 1 else frames[0]).sort_values(self.order, kind="stable")]
+        for frame in frames:
             late = []
             for ms in frame[self.ts].tolist():
                 late.append(top is not None and ms < top - self.tolerance_ms)
@@ -74,12 +82,13 @@ class SequenceProcessor(StatefulProcessor):
     Output rows: ``route`` (window or too_late), ``window_no`` of the key, ``position`` in the window, and the event's columns.
     """
 
-    def __init__(self, columns: list[str], state: str, ts: str = "event_time_epoch_ms", order: str = "source_order_key", length: int = 32, stride: int = 8, tolerance_ms: int = 30_000, idle_ms: int = 60_000, ttl_ms: int = TTL_MS):
+    def __init__(self, columns: list[str], state: str, ts: str = "event_time_epoch_ms", order: str = "source_order_key", length: int = 32, stride: int = 8, tolerance_ms: int = 30_000, idle_ms: int = 60_000, ttl_ms: int = TTL_MS, arrival: str | None = None):
         if length <= 0 or not 1 <= stride <= length or tolerance_ms < 0 or idle_ms <= 0 or ttl_ms <= 0:
             raise ValueError("length, stride, tolerance, idle time or TTL out of range")
         self.columns, self.state, self.ts, self.order = columns, state, ts, order
         self.length, self.stride, self.tolerance_ms, self.idle_ms, self.ttl_ms = length, stride, tolerance_ms, idle_ms, ttl_ms
-        self.ts_at, self.order_at = columns.index(ts), columns.index(order)
+        self.ts_at, self.order_at, self.entries = columns.index(ts), columns.index(order), 0
+        self.arrival = arrival  # within a batch rows are taken in this order, whatever that in which a shuffle hands them on
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -104,15 +113,23 @@ class SequenceProcessor(StatefulProcessor):
         self.buffer.put(held) if held else self.buffer.clear()
         return out, windows
 
+    def _waiting(self, row: tuple) -> tuple:
+        self.entries += 1  # rows of equal time and key are not compared
+        return row[self.ts_at], row[self.order_at], self.entries, row
+
     def _frame(self, rows: list[tuple]) -> pd.DataFrame:
         return pd.DataFrame(rows, columns=["route", "window_no", "position", *self.columns])
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         top, finalised, timer, windows = self._marks()
-        pending = [tuple(r) for r in self.pending.get()] if self.pending.exists() else []
+        pending = [self._waiting(tuple(r)) for r in self.pending.get()] if self.pending.exists() else []
+        heapify(pending)  # by time: what is released lies in front
         out: list[tuple] = []
         accepted = False
-        for frame in rows:
+        frames = [f for f in rows if len(f)]
+        if self.arrival and frames:
+            frames = [(pd.concat(frames) if len(frames) > 1 else frames[0]).sort_values(self.arrival, kind="stable")]
+        for frame in frames:
             for row in frame[self.columns].itertuples(index=False, name=None):
                 row = tuple(None if v is pd.NaT or v is None or v != v else v for v in row)
                 ms = row[self.ts_at]
@@ -120,15 +137,17 @@ class SequenceProcessor(StatefulProcessor):
                     out.append(("too_late", None, None, *row))
                     continue
                 accepted = True
-                pending.append(row)
+                heappush(pending, self._waiting(row))
                 top = ms if top is None else max(top, ms)
                 safe = top - self.tolerance_ms
-                ready = [r for r in pending if r[self.ts_at] <= safe]
+                ready = []
+                while pending and pending[0][0] <= safe:
+                    ready.append(heappop(pending)[-1])
                 if ready:
-                    pending = [r for r in pending if r[self.ts_at] > safe]
                     made, windows = self._release(ready, windows)
                     out += made
                 finalised = safe if finalised is None else max(finalised, safe)
+        pending = [w[-1] for w in pending]
         if accepted:
             self.pending.put(pending) if pending else self.pending.clear()
             if timer is not None:
@@ -161,10 +180,10 @@ def sequence_stream(events: DataFrame, *, key: str = "ue_key", **options) -> Dat
     return events.groupBy(key).transformWithStateInPandas(statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode="ProcessingTime")
 
 
-def dedup_stream(df: DataFrame, keys: list[str], ttl_ms: int = TTL_MS) -> DataFrame:
-    return df.groupBy(*keys).transformWithStateInPandas(statefulProcessor=FirstOnly(ttl_ms), outputStructType=df.schema, outputMode="Append", timeMode="ProcessingTime")
+def dedup_stream(df: DataFrame, keys: list[str], ttl_ms: int = TTL_MS, order: str | None = None) -> DataFrame:
+    return df.groupBy(*keys).transformWithStateInPandas(statefulProcessor=FirstOnly(ttl_ms, order), outputStructType=df.schema, outputMode="Append", timeMode="ProcessingTime")
 
 
-def late_stream(df: DataFrame, key: str, ts: str, tolerance_ms: int = 30_000) -> DataFrame:
+def late_stream(df: DataFrame, key: str, ts: str, tolerance_ms: int = 30_000, order: str | None = None) -> DataFrame:
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema) + ", late boolean"
-    return df.groupBy(key).transformWithStateInPandas(statefulProcessor=LateRouter(ts, tolerance_ms), outputStructType=schema, outputMode="Append", timeMode="ProcessingTime")
+    return df.groupBy(key).transformWithStateInPandas(statefulProcessor=LateRouter(ts, tolerance_ms, order), outputStructType=schema, outputMode="Append", timeMode="ProcessingTime")
