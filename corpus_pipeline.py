@@ -1,7 +1,11 @@
 """Corpus pipeline: quality rules, near-duplicates, benchmark passages, secrets, tokens.
 
 Each stage takes what its predecessor kept, written as Parquet and read again; all but the last return the columns of
-``documents``.
+``documents``, whatever they are called.
+
+Defined results of every stage: a null text is an empty one and fails the quality rules; repeated rows are one group, of which the near-duplicate stage keeps
+the first; of a group the smallest doc_id stays, a null one only if there is no other; texts are read whole whatever their length; an empty table gives an empty
+result. The modules of the operators say the rest.
 """
 
 from __future__ import annotations

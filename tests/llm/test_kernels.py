@@ -97,6 +97,18 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_random_graphs(spark, monkeypatch):
+    import uelumen.llm.components as module
+
+    monkeypatch.setattr(module, "CHUNK", 20)
+    rng = random.Random(19)
+    for n, m in ((200, 150), (500, 700)):
+        pairs = [(rng.randrange(n), rng.randrange(n)) for _ in range(m)] + [(i, i + 1) for i in range(1000, 1080)]
+        want = {x: r for x, r in local_stars(pairs).items() if any(x in p and p[0] != p[1] for p in pairs)}
+        got = components(spark.createDataFrame([p for p in pairs if p[0] != p[1]], "a long, b long").repartition(7)).collect()
+        assert {r.node: r.root for r in got} == want and len(got) == len(want)
+
+
 def test_near_duplicates_and_keep_one(spark):
     rows = simhash.near_duplicates(docs(spark)).collect()
     assert len(rows) == len(TEXTS)
@@ -748,3 +760,63 @@ def test_pipeline_columns(spark):
     for stage in (quality.filter_documents, simhash.keep_one, secrets.redact):
         out = stage(table)
         assert out.columns == table.columns and out.filter(F.col("text") == LONG).count() == 1
+
+
+def brute_near(texts):
+    """doc_id -> smallest doc_id of its group: fingerprints within three bits, or shingle sets of 0.8 similarity."""
+    cut = {i: (t or "").lower().split() for i, t in texts.items()}
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} or {tuple(w)} for i, w in cut.items()}
+    fps = {i: simhash.fingerprint((t or "").encode()) for i, t in texts.items()}
+    near = lambda a, b: (fps[a] ^ fps[b]).bit_count() <= 3 or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    return local_stars([(a, b) for a, b in itertools.combinations(texts, 2) if near(a, b)] + [(i, i) for i in texts])
+
+
+def test_pipeline_against_brute_force(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(51)
+    item = "Maria buys 12 boxes at 4 kg each from a shop in Lyon and carries 3 of them home before it rains on the hill"
+    prose = [" ".join(rng.choices(WORDS, k=rng.randint(60, 120))) for _ in range(70)]
+    edit = lambda t, n: " ".join(f"e{rng.random():.9f}" if k in set(rng.sample(range(len(t.split())), n)) else w for k, w in enumerate(t.split()))
+    texts = [p + "\nread more on this site" * (i % 2) for i, p in enumerate(prose)]
+    texts += [texts[0], texts[1] + " end", edit(prose[2], 1), edit(prose[3], 9), None, "", "too short", "a b c d e " * 9]
+    texts += [f"{prose[4]} {prose[5]} {item}", f"{prose[6]} {prose[7]} {item.lower()}", f"{prose[8]} {prose[9]} {item.replace('Lyon', 'Nice').replace('12', '30')}"]
+    texts += [f"{prose[10]} {prose[11]} password = {'x7K' * 3}q9", f"{prose[12]} {prose[13]} pwd: kqzvwjxpqhfgty.", f"{prose[14]} {prose[15]} " + "0123456789abcdef" * 3]
+    rows = [(i, t, "en", f"s{i % 2}", len(t or ""), "x") for i, t in enumerate(texts)] + [(500, texts[20], "en", "s0", 9, "x")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, ul_removed string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(0, item), (1, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {r.doc_id: r for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+
+    source = {r[0]: r[3] for r in rows}
+    docs_ = {r[0]: r[1] or "" for r in rows}
+    votes, hosts = collections.Counter(), collections.Counter()
+    for host, whole in {(source[i], "\n".join(" ".join(x.split()) for x in t.split("\n") if x.split())) for i, t in docs_.items()}:
+        hosts[host] += 1
+        votes.update({(host, re.sub("[1-9]", "0", x.lower())) for x in whole.split("\n") if x})
+    common = {k for k, n in votes.items() if n >= 10 and n >= 0.02 * hosts[k[0]]}
+    kept = {}
+    for i, text in docs_.items():
+        n, _, _, _, again = brute_quality(text)
+        left = [x for x in text.split("\n") if (source[i], re.sub("[1-9]", "0", " ".join(x.split()).lower())) not in common]
+        if n >= 10 and 100 * again <= 20 * n and len(" ".join(left).split()) >= 0.3 * n:
+            kept[i] = "\n".join(left)
+    roots = brute_near(kept)
+    kept = {i: t for i, t in kept.items() if roots[i] == i}
+    leaks = {len(prose) + 8 + k for k in range(3)}
+    assert leaks <= set(kept)
+    kept = {i: t for i, t in kept.items() if i not in leaks}
+    words = collections.Counter(w for t in kept.values() for w in secrets.words_of(t))
+    order = sorted(((n, w) for w, n in words.items() if n >= 5), key=lambda r: (-r[0], r[1]))
+    dictionary = secrets.Dictionary({w: k for k, (_, w) in enumerate(order, 1)})
+    library = Tokenizer.from_file(VOCAB)
+    want = {i: library.encode(secrets.mask(t, words=dictionary), add_special_tokens=False).ids for i, t in kept.items()}
+    assert {i: np.frombuffer(r.ids, "<u4").tolist() for i, r in got.items()} == want
+    assert 40 < len(want) < 85 and 500 not in want and all("[SECRET]" in secrets.mask(kept[i], words=dictionary) for i in list(kept)[-3:])
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    import corpus_pipeline
+
+    docs(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
