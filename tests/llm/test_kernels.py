@@ -762,6 +762,28 @@ def test_pipeline_columns(spark):
         assert out.columns == table.columns and out.filter(F.col("text") == LONG).count() == 1
 
 
+def test_samples_find_alike_texts():
+    rng = random.Random(61)
+    for n, edits, tries in ((9, 0, 200), (18, 1, 300), (30, 1, 300), (55, 1, 300), (60, 2, 300), (300, 6, 200)):
+        met = asked = 0
+        for _ in range(tries):
+            words = [rng.choice(WORDS) for _ in range(n)]
+            other = words[: rng.randint(max(5, n - n // 10), n)]
+            for _ in range(edits):
+                other[rng.choice([0, len(other) - 1, rng.randrange(len(other))])] = "other"
+            x, y = " ".join(words).encode(), " ".join(other).encode()
+            if simhash.similar(simhash.shingles(x), simhash.shingles(y)):
+                asked += 1
+                met += bool(set(simhash.samples(x)) & set(simhash.samples(y)))
+        assert met >= 0.98 * asked and asked > 10, (n, met, asked)
+    # documents that share a passage of 40 % and nothing else hardly ever meet
+    passage = " ".join(rng.choices(WORDS, k=60))
+    keys = [set(simhash.samples(f"{' '.join(f'{i}x{k}' for k in range(45))} {passage} {' '.join(f'{i}y{k}' for k in range(45))}".encode())) for i in range(300)]
+    assert sum(bool(a & b) for a, b in itertools.combinations(keys, 2)) < 300
+    long = " ".join(f"w{k}" for k in range(200_000)).encode()
+    assert len(simhash.samples(long)) == 48 and len(simhash.samples(b"")) == 20
+
+
 def brute_near(texts):
     """doc_id -> smallest doc_id of its group: fingerprints within three bits, or shingle sets of 0.8 similarity."""
     cut = {i: (t or "").lower().split() for i, t in texts.items()}

@@ -16,10 +16,11 @@ each, to buckets whose number follows the count of fingerprints (``PER_BUCKET``
 made it give the fingerprint back, so nothing else is sent.
 
 :func:`keep_one` wants groups of at least 0.8 similarity on five-word shingles, which moves more than three bits of a
-64-bit fingerprint. Beside the fingerprint of the whole text it therefore takes ``SAMPLES`` fingerprints of samples of
-``SAMPLE`` shingles (the smallest under a hash of each sample), of which two such texts share one with probability
-0.9999. Fingerprints that share one are candidates, verified on the whole texts: first all against one hub of each sample
-fingerprint, then against hubs with most links, and at last every pair that the links found do not connect yet. A hub's text meets its members
+64-bit fingerprint. Beside the fingerprint of the whole text it therefore takes keys of samples of the shingles (the smallest under a hash of each
+sample): 48 of 8 shingles, of which two such texts share one with probability 0.9998, and for short texts 20 of 4 (0.9999). A passage that
+many documents share rarely fills a sample of 8 (one that makes up 40 % of a document, in one of 1,500 samples), so documents with nothing else in
+common hardly meet. Fingerprints that share a key are candidates, verified on the whole texts: first all against one hub of each
+key, then against hubs with most links, and at last every pair that the links found do not connect yet. A hub's text meets its members
 in blocks of ``HUB_BLOCK``, so it travels once a block and a hot hub is dealt over many tasks.
 
 Defined results: null text is empty; a text of fewer words than a shingle is one shingle, one without words has
@@ -44,7 +45,10 @@ from uelumen.llm.components import components, local_stars
 
 PER_BUCKET = 2_000_000
 LEAST_BITS = 6
-SAMPLES, SAMPLE, SHINGLE, SIMILAR = 20, 4, 5, 0.8
+SHINGLE, SIMILAR = 5, 0.8
+#: Samples: how many, of how many shingles, for texts of so many shingles; both kinds where the ranges overlap by more than 0.8.
+SAMPLES = ((20, 4, 0, 64), (48, 8, 48, 1 << 62))
+AT_ONCE = 1 << 18
 BLOCK = 4096
 HUB_BLOCK = 256
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -70,7 +74,7 @@ def fingerprint(text: bytes, size: int = 3) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view(np.uint64)[0])
 
 
-_SEEDS = np.random.default_rng(1).integers(1, 2**63, size=(SAMPLES, 1), dtype=np.uint64) | np.uint64(1)
+_SEEDS = np.random.default_rng(1).integers(1, 2**63, size=(sum(n for n, *_ in SAMPLES), 1), dtype=np.uint64) | np.uint64(1)
 
 
 def shingles(text: bytes) -> np.ndarray:
@@ -81,16 +85,21 @@ def shingles(text: bytes) -> np.ndarray:
 
 
 def samples(text: bytes) -> list[int]:
-    """A fingerprint of each sample of the shingles, as signed longs that also tell the sample."""
-    own = shingles(text)
-    mixed = (own ^ (own >> np.uint64(31))) * _SEEDS
-    mixed = (mixed ^ (mixed >> np.uint64(29))) * MIX
-    take = min(SAMPLE, len(own))
-    chosen = own[np.argpartition(mixed, take - 1, axis=1)[:, :take]]
-    bits = np.unpackbits(np.ascontiguousarray(chosen).view(np.uint8).reshape(SAMPLES, take, 8), axis=2, bitorder="little").sum(axis=1)
-    fps = np.packbits(2 * bits > take, axis=1, bitorder="little").view(np.uint64).ravel()
-    # half the bits of an even sample tie: what was chosen decides, so that the fingerprint tells samples apart
-    return ((fps ^ chosen.sum(axis=1, dtype=np.uint64)) * _SEEDS.ravel()).view(np.int64).tolist()
+    """A key of each sample of the shingles, as signed longs that also tell the sample."""
+    own, first, keys = shingles(text), 0, []
+    for count, size, least, most in SAMPLES:
+        if least <= len(own) <= most:
+            take, step = min(size, len(own)), max(1, AT_ONCE // len(own))
+            for at in range(first, first + count, step):
+                seeds = _SEEDS[at : min(at + step, first + count)]
+                mixed = (own ^ (own >> np.uint64(31))) * seeds
+                mixed = (mixed ^ (mixed >> np.uint64(29))) * MIX
+                mixed.partition(take - 1, axis=1)
+                chosen = mixed[:, :take]  # the hash of a sample is one to one, so its smallest values tell the shingles
+                total = (chosen ^ (chosen >> np.uint64(32))).sum(axis=1, dtype=np.uint64)
+                keys.append((total * MIX ^ (total >> np.uint64(32))) * seeds.ravel())
+        first += count
+    return np.concatenate(keys).view(np.int64).tolist()
 
 
 def fingerprints(docs: DataFrame, *, size: int = 3, rows: bool = False) -> DataFrame:
