@@ -10,12 +10,13 @@ from uelumen.functions import text, times
 from uelumen.functions.text import sha256, strip, strip_to_null
 from uelumen.operators.routes import Routed, settle
 
-#: A dimension is broadcast up to this many rows; beyond it the join shuffles.
-BROADCAST_ROWS = 1_000_000
+#: A dimension is broadcast up to this many bytes by the planner's estimate; beyond it, or where it can't tell, the join is left to adaptive execution.
+BROADCAST_BYTES = 32 << 20
 
 
 def small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
 def identity_dimension(mapping: DataFrame, kind: str) -> DataFrame:

@@ -353,12 +353,15 @@ def route_counts(spark, sf_dir):
     return bronze.bronze(telemetry.kafka_records(spark, sf_dir)).counts()
 
 
-@query()
+@query(_SCORES + "SELECT sample_id || '::' || model || '::None' AS prediction_id, sample_id, ue_key, model, 32 AS sequence_length, 8 AS stride, 5 AS n_evidence, false AS probability, CAST(NULL AS VARCHAR) AS fault, round(raw_score, 2) AS raw_score FROM raw")
 def predictions(spark, sf_dir):
-    """Prediction records with their evidence and what is wrong with them (nothing)."""
+    """Prediction records and what is wrong with them (nothing)."""
     gold = stage(_gold(spark, sf_dir), "gold")
     rows = scoring.predictions(gold, _models(gold), inference_time=F.lit("2024-01-01T00:00:00Z"))
-    return rows.withColumn("fault", scoring.prediction_fault(rows.columns))
+    return rows.select(
+        "prediction_id", "sample_id", "ue_key", "model", "sequence_length", "stride", F.size("top_evidence_events").alias("n_evidence"), F.col("anomaly_score_is_probability").alias("probability"),
+        scoring.prediction_fault(rows.columns).alias("fault"), F.round("raw_score", 2).alias("raw_score"),
+    )
 
 
 @query()
@@ -367,13 +370,49 @@ def evidence_table(spark, sf_dir):
     return analytics.evidence_table(scoring.predictions(gold, _models(gold)[:1]))
 
 
-@query()
+@query(BASE + f""", ok AS (SELECT *, {_FAULT} AS error_code FROM ident), kept AS (SELECT * FROM ok WHERE error_code IS NULL),
+timed AS (SELECT *, coalesce(ts_ms < max(ts_ms) OVER (PARTITION BY n % 3 ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 30000, false) AS late FROM kept WHERE id_reason IS NULL AND result <> 'odd')
+SELECT 'silver' AS route, count(*) FILTER (NOT late) AS n FROM timed UNION ALL SELECT 'late', count(*) FILTER (late) FROM timed
+UNION ALL SELECT 'invalid_identity', count(*) FROM kept WHERE id_reason IS NOT NULL UNION ALL SELECT 'unsupported_event', count(*) FROM kept WHERE id_reason IS NULL AND result = 'odd'""")
 def silver_routes(spark, sf_dir):
     """Rows of each Silver route of the faulty records, lateness by source partition."""
     layer = layers.silver_layer(bronze.bronze(telemetry.kafka_records(spark, sf_dir))["bronze"], _dimensions(spark, sf_dir))
     return layer.counts()
 
 
-@query()
+@query(BASE + """, timed AS (SELECT *, coalesce(ts_ms <= max(ts_ms) OVER (PARTITION BY ue_key ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 30000, false) AS late FROM good),
+per AS (SELECT ue_key, count(*) AS c FROM timed WHERE NOT late GROUP BY ue_key)
+SELECT 'gold' AS route, CAST(coalesce(sum(CASE WHEN c >= 32 THEN (c - 32) // 8 + 1 ELSE 0 END), 0) AS BIGINT) AS n FROM per UNION ALL SELECT 'too_late', count(*) FROM timed WHERE late UNION ALL SELECT 'invalid_feature', CAST(0 AS BIGINT)""")
 def gold_routes(spark, sf_dir):
     return layers.gold_layer(_silver(spark, sf_dir), Contract()).counts()
+
+
+@query(BASE + f", f AS (SELECT *, {_FAULT} AS error_code FROM rec) SELECT n, source_file, source_line, 'raw.ue.log.line' AS topic, CAST(n % 3 AS INTEGER) AS part, " + _ISO.format("ts_ms") + " AS kafka_timestamp FROM f WHERE error_code IS NULL")
+def bronze_source(spark, sf_dir):
+    """Where each Bronze event came from."""
+    rows = bronze.bronze(telemetry.kafka_records(spark, sf_dir))["bronze"]
+    return rows.select(F.col("source.offset").alias("n"), "source.source_file", "source.source_line", "source.topic", F.col("source.partition").alias("part"), "source.kafka_timestamp")
+
+
+@query(BASE + "SELECT n, event_id, CAST(duration_ms AS VARCHAR) AS duration, CAST(k + 200 AS VARCHAR) AS tac, msisdn <> '' AS has_msisdn, false AS has_sgsn, '' AS pdn_pgw, '413' = sub_cause AS sub FROM good")
+def evidence_fields(spark, sf_dir):
+    """Fields shown as evidence: own columns first, blank ones left out, raw fields as they are."""
+    rows = _silver(spark, sf_dir)
+    events = sequences.to_gold_events(rows.withColumn("n", F.col("source.offset")), carry=["n"])
+    get = lambda k: F.try_element_at("feature_source_fields", F.lit(k))
+    return events.select(
+        "n", get("event_id").alias("event_id"), get("duration_ms").alias("duration"), get("tac").alias("tac"), F.map_contains_key("feature_source_fields", "msisdn").alias("has_msisdn"),
+        F.map_contains_key("feature_source_fields", "sgsn").alias("has_sgsn"), get("pdn_pgw").alias("pdn_pgw"), (get("sub_cause_code") == "413").alias("sub"),
+    )
+
+
+@query(BASE + "SELECT n, '' AS sub_type, '' AS report_side, upper(x[1]) || x[2:] AS result_label FROM (SELECT n, CASE result WHEN '' THEN 'empty' ELSE result END AS x FROM good)")
+def silver_optional_fields(spark, sf_dir):
+    rows = _silver(spark, sf_dir)
+    return rows.select(F.col("source.offset").alias("n"), F.coalesce("sub_type", F.lit("")).alias("sub_type"), F.coalesce("report_side", F.lit("")).alias("report_side"), F.col("display.event_result_label").alias("result_label"))
+
+
+@query(PRED + "SELECT arrival, window_end_event_time, printf('%.3f', round(anomaly_score, 3)) AS label FROM flagged WHERE ue_key = '7'")
+def subscriber_history(spark, sf_dir):
+    rows = analytics.history(_predictions(spark, sf_dir), "7")
+    return rows.select("arrival", "window_end_event_time", analytics.score_label(F.col("anomaly_score")).alias("label"))
