@@ -15,7 +15,7 @@ BROADCAST_BYTES = 32 << 20
 
 
 def small(df: DataFrame) -> DataFrame:
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
