@@ -92,9 +92,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, rows: bool = False) -> Dat
     own = _split(source.select("ul_id", "doc_id", "ul_text"), ["ul_id", "doc_id"])
     # a filter on the words, or one that Spark infers from an inner explode, would be pushed to the scan with a copy of all the
     # work on the text: short texts get no windows, and the outer form keeps Spark from inferring
-    both = f"flatten(transform(sequence(0, size(tpl) - {SIZE}, {stride or 1}), i -> array(struct(i, {_hash('tpl', 'i')} AS h), struct(i, {_hash('ptpl', 'i')} AS h))))"
-    looked = f"if(size(tpl) >= {SIZE}, array_distinct({both}), cast(null AS array<struct<i:int,h:bigint>>))"
-    own = own.select("ul_id", "doc_id", "tpl", "ptpl", "cleaned", F.explode_outer(F.expr(looked)).alias("w")).select("ul_id", "doc_id", "tpl", "ptpl", "cleaned", F.col("w.i").alias("step"), F.col("w.h").alias("h"))
+    places = f"sequence(0, size(tpl) - {SIZE}, {stride or 1})"
+    looked = [f"if(size(tpl) >= {SIZE}, transform({places}, i -> {_hash(name, 'i')}), cast(null AS array<bigint>))" for name in ("tpl", "ptpl")]
+    own = own.select("ul_id", "doc_id", "tpl", "ptpl", "cleaned", F.posexplode_outer(F.arrays_zip(F.expr(looked[0]).alias("t"), F.expr(looked[1]).alias("p"))).alias("step", "w"))
+    # the two are mostly one: a window without names
+    both = F.when(F.col("w.t") == F.col("w.p"), F.array("w.t")).otherwise(F.array("w.t", "w.p"))
+    own = own.select("ul_id", "doc_id", "tpl", "ptpl", "cleaned", (F.col("step") * (stride or 1)).alias("step"), F.explode_outer(both).alias("h"))
     found = None
     for block in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("ino"), F.lit(blocks)) == block)
