@@ -32,7 +32,7 @@ from uelumen.llm.common import map_texts, scratch_path, stage_table
 
 FILE_BYTES = 16 << 20
 MEMBER_BYTES = 8 << 20
-LEVEL = 5
+LEVEL = 3
 READ_BYTES = 16 << 10
 RUN_ROWS = 100_000
 RANGE_ROWS = 200_000
