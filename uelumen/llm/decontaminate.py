@@ -55,7 +55,7 @@ def template_of(cleaned: Column) -> Column:
 def _split(table: DataFrame, keep: list[str]) -> DataFrame:
     """Columns ``keep`` with ``tpl`` and ``ptpl``, the words of both templates, and ``cleaned``, the text that :func:`_words` splits alike."""
     cut = table.withColumn("ul_raw", words_of(F.col("ul_text")))
-    cut = cut.select(*keep, "ul_raw", template_of(F.col("ul_raw")).alias("ul_tpl"), template_of(F.translate("ul_raw", "¹", "")).alias("ul_ptpl"))
+    cut = cut.select(*keep, "ul_raw", template_of(F.col("ul_raw")).alias("ul_tpl"), template_of(F.replace(F.col("ul_raw"), F.lit("¹"), F.lit(""))).alias("ul_ptpl"))
     return cut.select(*keep, _words("ul_tpl").alias("tpl"), _words("ul_ptpl").alias("ptpl"), F.col("ul_raw").alias("cleaned"))
 
 
