@@ -183,6 +183,14 @@ def test_encoding(spark):
     assert short.fault.reason == "INVALID_SEQUENCE_LENGTH"
 
 
+def test_alert_summary_takes_the_first_of_equals(spark):
+    rows = [("a", 1, "t1", True, 0.9), ("a", 2, "t2", True, 0.9), ("a", 3, "t3", True, 0.8), ("a", 4, "t3", True, 0.85)]
+    df = spark.createDataFrame(rows, "ue_key string, arrival int, window_end_event_time string, is_anomaly boolean, anomaly_score double")
+    got = analytics.alert_summary(df).first()
+    assert (got.max_score, got.max_score_window_end, got.latest_window_end, got.latest_score) == (0.9, "t1", "t3", 0.8)
+    assert analytics.alert_summary(df, rank=F.col("arrival") * 1.0).first().max_score_window_end == "t3"
+
+
 def test_analytics(spark):
     rows = [("a", i, f"2024-01-01T00:00:{i:02d}Z", hit, 0.5 + i / 100) for i, hit in enumerate([True, True, False, True, True, True])] + [("b", 9, "2024-01-01T00:00:09Z", False, 0.1)]
     df = spark.createDataFrame(rows, "ue_key string, arrival int, window_end_event_time string, is_anomaly boolean, anomaly_score double")

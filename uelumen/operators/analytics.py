@@ -56,13 +56,18 @@ def severity(run: Column) -> Column:
     return F.when(run >= 3, "high").when(run >= 2, "repeated").otherwise("watch")
 
 
-def alert_summary(predictions: DataFrame, *, ue: str = "ue_key", flag: str = "is_anomaly", score: str = "anomaly_score", order: tuple[str, ...] = ("window_end_event_time", "arrival"), arrival: str = "arrival") -> DataFrame:
-    """A row per subscriber with an alert: counts, top score and its window (the first of equals), latest window, run, severity."""
+def alert_summary(predictions: DataFrame, *, ue: str = "ue_key", flag: str = "is_anomaly", score: str = "anomaly_score", order: tuple[str, ...] = ("window_end_event_time", "arrival"), arrival: str = "arrival", rank: Column | None = None) -> DataFrame:
+    """A row per subscriber with an alert: counts, top score and its window, latest window and its score, run, severity.
+
+    Of equals the first arrival counts. ``rank`` tells the window of the top score where something else than the score does.
+    """
     hit = F.coalesce(F.col(flag), F.lit(False))
-    best = F.struct(F.col(score), (-F.col(arrival)).alias("a"))
+    first = (-F.col(arrival)).alias("a")
+    best = F.struct((F.col(score) if rank is None else rank).alias("by"), first)
+    last = F.struct(*[c for c in order if c != arrival], first)
     grouped = predictions.groupBy(ue).agg(
         F.count_if(hit).alias("anomaly_count"), F.count("*").alias("total_count"), F.max(score).alias("max_score"), F.max_by("window_end_event_time", best).alias("max_score_window_end"),
-        F.max_by("window_end_event_time", F.struct(*order)).alias("latest_window_end"), F.max_by(score, F.struct(*order)).alias("latest_score"),
+        F.max_by("window_end_event_time", last).alias("latest_window_end"), F.max_by(score, last).alias("latest_score"),
     ).filter("anomaly_count > 0")
     out = grouped.join(longest_runs(predictions, ue=ue, flag=flag, order=order), ue)
     return out.withColumn("severity", severity(F.col("longest_run"))).orderBy(F.col("longest_run").desc(), F.col("max_score").desc(), F.col("anomaly_count").desc(), F.col(ue))
