@@ -138,6 +138,47 @@ def test_keep_one_of_independent_copies(spark):
     assert [r.doc_id for r in simhash.keep_one(docs(spark, chain)).collect()] == [0]
 
 
+def test_sketches_rule_out_no_alike_pair(spark, monkeypatch):
+    rng = random.Random(23)
+    texts = []
+    for n in (1, 7, 9, 60, 120, 130, 260, 1030):
+        original = [f"n{n}w{k}" for k in range(n)]
+        for i in range(14):
+            words = list(original)
+            for _ in range(rng.randint(0, 1 + n // 40)):
+                words[rng.randrange(n)] = f"e{rng.random()}"
+            texts.append(" ".join(words[: max(1, n - rng.randint(0, n // 8))]))
+    own = [simhash.shingles(t.encode()) for t in texts]
+    want = {(i, j) for i, j in itertools.combinations(range(len(own)), 2) if i % 3 != j % 3 and simhash.similar(own[i], own[j])}
+    monkeypatch.setattr(simhash, "SKETCH_BITS", 1 << 12)  # the longest text is beyond it
+    monkeypatch.setattr(simhash, "PAIR_BLOCK", 10)
+    members = spark.createDataFrame([(k, i, i % 3) for i in range(len(own)) for k in (1, 2 + i // 14)], "key long, fp long, root long")
+    got = {tuple(r) for r in simhash.possible_pairs(members, spark.createDataFrame(list(enumerate(texts)), "fp long, text string")).collect()}
+    assert len(want) > 100 and want <= got and all(i % 3 != j % 3 for i, j in got)
+    assert len(got) < len(want) + len(own) ** 2 // 20
+
+
+def test_copies_that_are_not_alike_are_not_asked_pair_by_pair(spark, monkeypatch):
+    rng = random.Random(29)
+    texts = []
+    for i in range(200):  # about 0.7 to each other: most pairs share a key
+        words = [f"w{k}" for k in range(304)]
+        for n in range(5):
+            words[rng.randrange(5 + 60 * n, 60 * n + 55)] = f"e{i}x{n}"
+        texts.append(" ".join(words))
+    own = [simhash.shingles(t.encode()) for t in texts]
+    keys, fps = [set(simhash.samples(t.encode())) for t in texts], [simhash.fingerprint(t.encode()) for t in texts]
+    root = list(range(len(texts)))
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        if root[i] != root[j] and ((fps[i] ^ fps[j]).bit_count() <= 3 or keys[i] & keys[j] and simhash.similar(own[i], own[j])):
+            low, high = sorted((root[i], root[j]))
+            root = [low if r == high else r for r in root]
+    asked, ask = [], simhash._ask
+    monkeypatch.setattr(simhash, "_ask", lambda pairs, text: asked.append(pairs.count()) or ask(pairs, text))
+    assert sorted(r.doc_id for r in simhash.keep_one(docs(spark, texts)).collect()) == sorted(set(root))
+    assert sum(asked) < 4000  # of 19,900
+
+
 def brute_quality(text):
     words = re.findall("[^ \t-\r]+", text)
     windows = collections.Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))

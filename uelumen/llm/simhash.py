@@ -20,8 +20,9 @@ made it give the fingerprint back, so nothing else is sent.
 sample): 48 of 8 shingles, of which two such texts share one with probability 0.9998, and for short texts 20 of 4 (0.9999). A passage that
 many documents share rarely fills a sample of 8 (one that makes up 40 % of a document, in one of 1,500 samples), so documents with nothing else in
 common hardly meet. Fingerprints that share a key are candidates, verified on the whole texts: first all against one hub of each
-key, then against hubs with most links, and at last every pair that the links found do not connect yet. A hub's text meets its members
-in blocks of ``HUB_BLOCK``, so it travels once a block and a hot hub is dealt over many tasks.
+key, then against hubs with most links, and, once hubs find few, every pair that the links do not connect yet. Of these the sketches (a bit for
+each shingle, 8 to 16 bits a shingle) tell how many shingles two texts have in common at most, so only pairs that may be alike are asked; the others can't be. Sketches
+meet within the keys in blocks of ``PAIR_BLOCK``, a hub's text its members in blocks of ``HUB_BLOCK``, so a hot key or hub is dealt over many tasks.
 
 Defined results: null text is empty; a text of fewer words than a shingle is one shingle, one without words has
 fingerprint zero and links like any other; repeated rows and equal texts share a fingerprint, so they share a
@@ -51,6 +52,8 @@ SAMPLES = ((20, 4, 0, 64), (48, 8, 48, 1 << 62))
 AT_ONCE = 1 << 18
 BLOCK = 4096
 HUB_BLOCK = 256
+PAIR_BLOCK = 256
+SKETCH_BITS = 1 << 16
 MIX = np.uint64(0x9E3779B97F4A7C15)
 UNMIX = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 ONE_FLIP = np.array([1 << i for i in range(64)], np.uint64)
@@ -226,6 +229,84 @@ def similar(x: np.ndarray, y: np.ndarray) -> bool:
     return both >= SIMILAR * (len(x) + len(y) - both)
 
 
+def sketch(own: np.ndarray) -> bytes:
+    """A bit for the trailing bits of each shingle, in a power of two of at least 8 bits a shingle (64 at least, ``SKETCH_BITS`` at most)."""
+    bits = np.zeros(min(SKETCH_BITS, max(64, 1 << (8 * len(own) - 1).bit_length())), np.uint8)
+    bits[own & np.uint64(len(bits) - 1)] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def may_be_alike(sketches: list[bytes], counts: np.ndarray, roots: np.ndarray, second: np.ndarray, *, apart: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs of different roots whose sketches don't rule out that they are alike; ``apart``: only of one that is second and one that isn't.
+
+    A shingle whose bit the other sketch lacks isn't in the other text: a text has as many of these at least as it has such bits. Alike texts have
+    sketches of one width or of neighbouring ones; a wider one is folded.
+    """
+    widths = np.fromiter(map(len, sketches), np.int64, len(sketches))
+    words = lambda at, width: np.frombuffer(b"".join(sketches[i] for i in at.tolist()), np.uint64).reshape(len(at), width // 8)
+    out: list[tuple[np.ndarray, np.ndarray]] = []
+    for width in np.unique(widths).tolist():
+        same, wide = np.flatnonzero(widths == width), np.flatnonzero(widths == 2 * width)
+        folded = words(wide, 2 * width).reshape(len(wide), 2, width // 8)
+        at, grid = np.concatenate([same, wide]), np.concatenate([words(same, width), folded[:, 0] | folded[:, 1]])
+        n, root, side, place = counts[at], roots[at], second[at], np.arange(len(at))
+        loose = n - np.bitwise_count(grid).sum(axis=1, dtype=np.int64)
+        step = max(1, AT_ONCE // grid.size)
+        for i in range(0, len(same), step):
+            own = slice(i, min(i + step, len(same)))
+            both = np.bitwise_count(grid[own, None] & grid).sum(axis=2, dtype=np.int64)
+            most = both + np.minimum(loose[own, None], loose)
+            ok = (most >= SIMILAR * (n[own, None] + n - most)) & (root[own, None] != root) & (place[own, None] < place)
+            if apart:
+                ok &= side[own, None] != side
+            x, y = np.nonzero(ok)
+            out.append((at[x + i], at[y]))
+    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def _may_be_alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows by key and blocks i, j, the pairs (a, b) that may be alike."""
+
+    def pairs(part: pa.RecordBatch, cuts: list[int], blocks: np.ndarray) -> pa.RecordBatch:
+        fp, root, counts, second = (part.column(n).to_numpy(zero_copy_only=False) for n in ("fp", "root", "shingles", "second"))
+        sketches, found = part.column("sketch").to_pylist(), set()
+        for i, j in zip(cuts, cuts[1:]):
+            x, y = may_be_alike(sketches[i:j], counts[i:j].astype(np.int64), root[i:j], second[i:j], apart=blocks[0, i] != blocks[1, i])
+            x, y = fp[i:j][x], fp[i:j][y]
+            found.update(zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist()))
+        return pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    rest: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        (part,) = pa.Table.from_batches([*rest, batch]).combine_chunks().to_batches()
+        key, *blocks = (part.column(n).to_numpy() for n in ("key", "i", "j"))
+        new = (key[1:] != key[:-1]) | (blocks[0][1:] != blocks[0][:-1]) | (blocks[1][1:] != blocks[1][:-1])
+        cuts = [0, *(np.flatnonzero(new) + 1).tolist()]
+        if len(cuts) > 1:
+            yield pairs(part, cuts, np.stack(blocks))
+        rest = [part.slice(cuts[-1])]  # the last group may go on in the next batch
+    for part in rest:
+        yield pairs(part, [0, part.num_rows], np.stack([part.column(n).to_numpy() for n in ("i", "j")]))
+
+
+def possible_pairs(members: DataFrame, text: DataFrame) -> DataFrame:
+    """(a, b): the pairs of members (key, fp, root) that share a key, have different roots and may be alike, each once."""
+
+    def kernel(batch: pa.RecordBatch) -> dict:
+        own = [shingles(t) for t in text_bytes(batch.column("text"))]
+        return {"fp": batch.column("fp"), "shingles": pa.array(list(map(len, own)), pa.int64()), "sketch": pa.array(list(map(sketch, own)), pa.binary())}
+
+    sketches = map_texts(text.join(members.select("fp").distinct(), "fp", "left_semi").select("fp", "text"), kernel, "fp long, shingles long, sketch binary")
+    sketches = stage_table(sketches, "sketches")
+    sizes = members.groupBy("key").agg(F.ceil(F.count("*") / PAIR_BLOCK).cast("int").alias("blocks"))
+    dealt = members.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("second"), "fp", "root")
+    rows = dealt.join(sketches, "fp").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return rows.mapInArrow(trimmed(_may_be_alike), "a long, b long").distinct()
+
+
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows by hub and block, the hub's first, the (hub, member) that are alike."""
     block, own = None, None
@@ -277,22 +358,21 @@ def sampled_links(table: DataFrame) -> DataFrame:
     text = stage_table(text, "texts")
     members = shared.select("key", "fp", F.col("fp").alias("root"), F.lit(0).alias("degree"))
     found = asked = None
-    few, every = shared.count(), False
+    few = shared.count()
     while True:
-        other = members.select("key", F.col("fp").alias("hub"), F.col("root").alias("root2"))
-        if not every:  # against one of each key, that with most links so far: the original of many copies comes second at the latest
-            other = members.groupBy("key").agg(F.max_by(F.struct(F.col("fp").alias("hub"), F.col("root").alias("root2")), F.struct("degree", "fp")).alias("h")).select("key", "h.*")
+        # against one of each key, that with most links so far: the original of many copies comes second at the latest
+        other = members.groupBy("key").agg(F.max_by(F.struct(F.col("fp").alias("hub"), F.col("root").alias("root2")), F.struct("degree", "fp")).alias("h")).select("key", "h.*")
         ends = members.join(other, "key").filter("root <> root2").select(F.least("fp", "hub").alias("a"), F.greatest("fp", "hub").alias("b"), "hub")
         pairs = ends.groupBy("a", "b").agg(F.max("hub").alias("hub"))
         pairs = stage_table(pairs if asked is None else pairs.join(asked.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
         new = _ask(pairs, text)
         asked, found = (pairs, new) if asked is None else (asked.union(pairs), found.union(new))
-        if every:
-            return found
         members, left = _still_open(shared, found)
         if not left:
             return found
-        every = left <= few or new.isEmpty()  # the rest pair by pair, once it is small or hubs find no more
+        if left * new.count() <= few * pairs.count():  # at the rate of this round few links are left: the rest by sketches, pair by pair
+            rest = possible_pairs(members, text).join(asked.select("a", "b"), ["a", "b"], "left_anti").withColumn("hub", F.col("b"))
+            return found.union(_ask(stage_table(rest, "pairs"), text))
 
 
 def near_duplicates(docs: DataFrame, *, size: int = 3) -> DataFrame:
