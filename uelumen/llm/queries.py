@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from uelumen.llm import bpe, chat, decontaminate, extract, quality, secrets, simhash, tokenfile, toxicity, warc
+from uelumen.llm import align, bpe, chat, decontaminate, extract, quality, secrets, simhash, tokenfile, toxicity, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), digest=True, ids=False)
 
 
+def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return align.align(_read(spark, sf_dir, "documents"), *paths, digest=True)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
@@ -69,6 +74,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality": op8_quality,
         "op9_toxicity": op9_toxicity,
         "op10_bpe": op10_bpe,
+        "op11_align": op11_align,
     }
 
 
