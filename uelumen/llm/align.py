@@ -38,7 +38,7 @@ from tokenizers import Tokenizer
 from uelumen.llm.bpe import _byte_chars
 from uelumen.llm.common import bound_batches, forget_shuffles, map_texts, stage_table, trimmed
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 32 << 20
 SPACE_PIECE = "▁"
 ASCII_SPACE = b" \t\n\v\f\r"
 #: UTF-8 of the white space beyond ASCII that a word pattern may know: a run that follows one of these isn't cut.
@@ -166,6 +166,34 @@ class Pair:
         }
 
 
+def squeeze(numbers: np.ndarray) -> bytes:
+    """32-bit numbers, compressed byte by byte of their places."""
+    planes = np.ascontiguousarray(numbers.astype("<i4", copy=False).view(np.uint8).reshape(-1, 4).T)
+    return len(numbers).to_bytes(8, "little") + pa.compress(planes, "zstd", asbytes=True)
+
+
+def unsqueeze(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(pa.decompress(data[8:], 4 * n, "zstd"), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, n).T).view("<i4").ravel()
+
+
+def parcels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows for a block, compressed together: (of_block, rows), one for each block that a batch has rows for."""
+    for batch in batches:
+        batch = batch.take(pa.array(np.lexsort((batch.column("place").to_numpy(), batch.column("of_block").to_numpy()))))
+        block = batch.column("of_block").to_numpy()
+        border = np.flatnonzero(np.diff(block, prepend=block[:1] - 1, append=block[-1:] + 1)).tolist()
+        rows = batch.select([n for n in batch.schema.names if n != "of_block"])
+        packed = []
+        for i, j in zip(border, border[1:]):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_batch(rows.slice(i, j - i))
+            packed.append(sink.getvalue().to_pybytes())
+        yield pa.RecordBatch.from_pydict({"of_block": pa.array(block[border[:-1]]), "rows": pa.array(packed, pa.binary())})
+
+
 @functools.lru_cache(maxsize=2)
 def load(a_path: str, b_path: str) -> Pair:
     return Pair(a_path, b_path)
@@ -185,7 +213,7 @@ def block_of(pair: Pair, doc_ids: list, texts: list[bytes | None]) -> dict[str,
     coded = pa.Array.from_buffers(pa.large_binary(), len(cut), [None, offsets, pa.py_buffer(data)]).dictionary_encode()
     codes = coded.indices.to_numpy().astype("<i4", copy=False)
     return {
-        "doc_ids": doc_ids, "sizes": sizes.astype("<i8").tobytes(), "codes": codes.tobytes(),
+        "doc_ids": doc_ids, "sizes": sizes.astype("<i8").tobytes(), "codes": squeeze(codes),
         "segments": coded.dictionary.cast(pa.binary()), "counts": np.bincount(codes, minlength=len(coded.dictionary)),
     }
 
@@ -238,37 +266,35 @@ def align(docs: DataFrame, a_path: str, b_path: str, *, digest: bool = False, gr
     counted = aligned.select("weight", F.explode("pairs").alias("pair")).groupBy("pair").agg(F.sum("weight").alias("links"))
     top = F.max("links").over(Window.partitionBy(F.col("pair").bitwiseAND(F.lit(LOW))))  # an id of B has as many rows as A has ids at most
     counts = stage_table(counted.select("pair", "links", (F.col("links") == top).cast("long").alias("best")), "counts")
-    # the rows of one segment stay together from here to the join with the blocks
+    # the rows of one segment stay together from one join to the next
     sums = aligned.select("segment", F.explode("pairs").alias("pair")).join(counts, "pair").groupBy("segment").agg(F.sum("best").alias("n_best"), F.sum("links").alias("count_sum"))
-    known = aligned.drop("weight", "pairs").join(sums, "segment")
+    known = stage_table(aligned.drop("weight", "pairs").join(sums, "segment"), "known")
+    forget_shuffles(spark)
     places = held.select(F.col("block").alias("of_block"), F.posexplode("segments").alias("place", "segment"))
     facts = places.join(known, "segment").drop("segment")
-
     number = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
 
     def compose(left: pa.Table, right: pa.Table) -> pa.Table:
-        order = np.argsort(right.column("place").to_numpy())
-        spelt = right.column("groups").to_pylist()
-        spelt = [spelt[i] for i in order.tolist()]
-        out: dict[str, list] = {"doc_id": left.column("doc_ids").combine_chunks().flatten()}
+        rows = [pa.ipc.open_stream(r.as_buffer()).read_all() for r in right.column("rows")]
+        own = pa.concat_tables(rows).sort_by("place") if rows else None
+        spelt = own.column("groups").to_pylist() if rows else []
+        out: dict[str, pa.Array] = {"doc_id": left.column("doc_ids").combine_chunks().flatten()}
         sizes = np.frombuffer(left.column("sizes")[0].as_py(), "<i8")
-        codes = np.frombuffer(left.column("codes")[0].as_py(), "<i4")
-        ends = np.cumsum(np.maximum(sizes, 0))
+        codes = unsqueeze(left.column("codes")[0].as_py())
+        lengths = np.maximum(sizes, 0)
+        ends = np.cumsum(lengths)
         for name in number:
-            total = np.concatenate([[0], np.cumsum(right.column(name).to_numpy()[order][codes])])
-            out[name] = pa.array(total[ends] - total[ends - np.maximum(sizes, 0)])
-        texts, own = [], codes.tolist()
-        for size, end in zip(sizes.tolist(), ends.tolist()):
-            texts.append(None if size < 0 else b"".join(map(spelt.__getitem__, own[end - size : end]))[:-1])
-            if digest:
-                texts[-1] = b"" if size < 0 else hashlib.sha256(texts[-1]).hexdigest().encode()
-        texts = pa.array([t or b"" for t in texts], pa.binary()).cast(pa.string())
-        if digest:
-            out["groups_sha256"] = texts
-        elif groups:
-            out["groups"] = texts
+            total = np.concatenate([[0], np.cumsum(own.column(name).to_numpy()[codes])]) if rows else np.zeros(1, np.int64)
+            out[name] = pa.array(total[ends] - total[ends - lengths], pa.int64())
+        if digest or groups:
+            texts = []
+            for size, end in zip(lengths.tolist(), ends.tolist()):
+                text = b"".join(map(spelt.__getitem__, codes[end - size : end].tolist()))[:-1]
+                texts.append(hashlib.sha256(text).hexdigest() if digest and text else text)
+            out["groups_sha256" if digest else "groups"] = pa.array(texts, pa.binary()).cast(pa.string())
         return pa.table(out)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, " + ", ".join(f"{n} long" for n in number) + (", groups_sha256 string" if digest else ", groups string" if groups else "")
+    facts = facts.mapInArrow(trimmed(parcels), "of_block long, rows binary")
     return held.select("block", "doc_ids", "sizes", "codes").groupBy("block").cogroup(facts.groupBy("of_block")).applyInArrow(compose, schema)
