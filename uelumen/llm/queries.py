@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from uelumen.llm import align, bpe, chat, decontaminate, extract, quality, secrets, simhash, tokenfile, toxicity, warc
+from uelumen.llm import align, bpe, centroids, chat, decontaminate, extract, packing, quality, secrets, simhash, tokenfile, toxicity, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +62,14 @@ def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.align(_read(spark, sf_dir, "documents"), *paths, digest=True)
 
 
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(_read(spark, sf_dir, "embeddings")).drop("centroid")
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
@@ -75,8 +83,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_toxicity": op9_toxicity,
         "op10_bpe": op10_bpe,
         "op11_align": op11_align,
+        "op12_centroids": op12_centroids,
+        "op13_packing": op13_packing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": warc.ORACLE_SQL, "op3_decontaminate": decontaminate.ORACLE_SQL, "op6_chat": chat.ORACLE_SQL, "op8_quality": quality.ORACLE_SQL}
+    return {"op2_warc": warc.ORACLE_SQL, "op3_decontaminate": decontaminate.ORACLE_SQL, "op6_chat": chat.ORACLE_SQL, "op8_quality": quality.ORACLE_SQL, "op12_centroids": centroids.ORACLE_SQL}
