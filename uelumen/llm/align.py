@@ -12,8 +12,9 @@ Segment deduplication. A text is cut before its runs of white space, where no to
 :meth:`Pair.verify` checks that A has that pattern and reads the condition on B off its pieces for each ASCII white-space character; only those that hold
 cut (a carriage return doesn't, with the given B). A run that begins with another white-space character isn't cut.
 
-Documents are dealt into blocks of ``BLOCK_BYTES``, each with a table of its own segments. Distinct segments of all blocks are tokenised and
-aligned once, their links are counted, their alignments are joined back to the tables of the blocks, and each block composes its documents.
+Documents are dealt into blocks of ``BLOCK_BYTES``, each with a table of its own segments. The rows of all tables are dealt and sorted by segment; each distinct
+segment is tokenised and aligned once there, in chunks, whose distinct pairs are counted and looked up. Each chunk then sends the alignments back to the blocks that
+hold its segments, and each block composes its documents.
 
 Defined results: a text that is null, empty or holds U+2581 (which B gives back as a space) has no tokens: zeros, and groups ''; special strings in a text
 are plain text; texts are whole, and one without white space is one segment; repeated rows are each aligned and counted; of ids that tie as the most linked
@@ -29,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,9 +38,10 @@ from sentencepiece import SentencePieceProcessor, sentencepiece_model_pb2
 from tokenizers import Tokenizer
 
 from uelumen.llm.bpe import _byte_chars
-from uelumen.llm.common import bound_batches, forget_shuffles, map_texts, stage_table, trimmed
+from uelumen.llm.common import bound_batches, forget_shuffles, stage_table, trimmed
 
 BLOCK_BYTES = 32 << 20
+CHUNK_BYTES = 12 << 20
 SPACE_PIECE = "▁"
 ASCII_SPACE = b" \t\n\v\f\r"
 #: UTF-8 of the white space beyond ASCII that a word pattern may know: a run that follows one of these isn't cut.
@@ -178,20 +181,29 @@ def unsqueeze(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(4, n).T).view("<i4").ravel()
 
 
-def parcels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows for a block, compressed together: (of_block, rows), one for each block that a batch has rows for."""
-    for batch in batches:
-        batch = batch.take(pa.array(np.lexsort((batch.column("place").to_numpy(), batch.column("of_block").to_numpy()))))
-        block = batch.column("of_block").to_numpy()
-        border = np.flatnonzero(np.diff(block, prepend=block[:1] - 1, append=block[-1:] + 1)).tolist()
-        rows = batch.select([n for n in batch.schema.names if n != "of_block"])
-        packed = []
-        for i, j in zip(border, border[1:]):
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-                out.write_batch(rows.slice(i, j - i))
-            packed.append(sink.getvalue().to_pybytes())
-        yield pa.RecordBatch.from_pydict({"of_block": pa.array(block[border[:-1]]), "rows": pa.array(packed, pa.binary())})
+def in_list(values: pa.Array) -> pa.Array:
+    """One row that holds all values."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
+def wrap(rows: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def unwrap(parcels: pa.ChunkedArray) -> pa.Table | None:
+    return pa.concat_tables([pa.ipc.open_stream(p.as_buffer()).read_all() for p in parcels]) if len(parcels) else None
+
+
+def parcels(rows: pa.RecordBatch, key: str, order: str) -> pa.RecordBatch:
+    """(key, rows): the rows of each key in their order, compressed together, so that a shuffle carries less."""
+    rows = rows.take(pa.array(np.lexsort((rows.column(order).to_numpy(), rows.column(key).to_numpy()))))
+    keys = rows.column(key).to_numpy()
+    border = np.flatnonzero(np.diff(keys, prepend=keys[:1] - 1, append=keys[-1:] + 1)).tolist()
+    rest = rows.select([n for n in rows.schema.names if n != key])
+    return pa.RecordBatch.from_pydict({key: pa.array(keys[border[:-1]]), "rows": pa.array([wrap(rest.slice(i, j - i)) for i, j in zip(border, border[1:])], pa.binary())})
 
 
 @functools.lru_cache(maxsize=2)
@@ -199,47 +211,42 @@ def load(a_path: str, b_path: str) -> Pair:
     return Pair(a_path, b_path)
 
 
-def block_of(pair: Pair, doc_ids: list, texts: list[bytes | None]) -> dict[str, list]:
+def block_of(pair: Pair, texts: pa.Array) -> dict[str, pa.Array | bytes]:
     """A block of documents: the segments that it holds, how often, and the number of each segment in the order of the texts (``sizes``: how many, -1 without tokens)."""
-    mark = SPACE_PIECE.encode()
-    sound = [bool(t) and mark not in t for t in texts]
-    spaced = [b" " + t for t, good in zip(texts, sound) if good]
-    data = b"".join(spaced)
-    starts = np.cumsum([0, *map(len, spaced)])
-    cut = pair.cuts(np.frombuffer(data, np.uint8), starts[:-1])
+    texts = texts.cast(pa.large_string())
+    sound = pc.fill_null(pc.and_not(pc.greater(pc.binary_length(texts), 0), pc.match_substring(texts, SPACE_PIECE)), False)
+    spaced = pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), texts.filter(sound), pa.scalar("", pa.large_string()))
     sizes = np.full(len(texts), -1, np.int64)
-    sizes[np.flatnonzero(sound)] = np.diff(np.searchsorted(cut, starts))
-    offsets = pa.py_buffer(np.append(cut, len(data)).astype(np.int64))
-    coded = pa.Array.from_buffers(pa.large_binary(), len(cut), [None, offsets, pa.py_buffer(data)]).dictionary_encode()
-    codes = coded.indices.to_numpy().astype("<i4", copy=False)
-    return {
-        "doc_ids": doc_ids, "sizes": sizes.astype("<i8").tobytes(), "codes": squeeze(codes),
-        "segments": coded.dictionary.cast(pa.binary()), "counts": np.bincount(codes, minlength=len(coded.dictionary)),
-    }
+    _, starts, data = spaced.buffers()
+    starts = np.frombuffer(starts, np.int64, len(spaced) + 1) if len(spaced) else np.zeros(1, np.int64)
+    data = data if len(spaced) else pa.py_buffer(b"")
+    cut = pair.cuts(np.frombuffer(data, np.uint8, int(starts[-1])), starts[:-1])
+    sizes[sound.to_numpy(zero_copy_only=False)] = np.diff(np.searchsorted(cut, starts))
+    coded = pa.Array.from_buffers(pa.large_binary(), len(cut), [None, pa.py_buffer(np.append(cut, starts[-1])), data]).dictionary_encode()
+    codes = coded.indices.to_numpy()
+    counts = np.bincount(codes, minlength=len(coded.dictionary))
+    return {"sizes": sizes.astype("<i8").tobytes(), "codes": squeeze(codes), "segments": coded.dictionary.cast(pa.binary()), "counts": pa.array(counts, pa.int64())}
 
 
 def blocks(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     """block, doc_ids, sizes, codes, segments, counts: see :func:`block_of`."""
-    kind = docs.schema["doc_id"].dataType
+    kind, most = docs.schema["doc_id"].dataType, BLOCK_BYTES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair, task, made = load(a_path, b_path), TaskContext.get().partitionId(), 0
         held, size = [], 0
 
         def block() -> pa.RecordBatch:
-            texts = [t.as_py() for part in held for t in part.column("text").cast(pa.binary())]
-            own = block_of(pair, [i for part in held for i in part.column("doc_id").to_pylist()], texts)
+            own = block_of(pair, pa.concat_arrays([part.column("text") for part in held]))
             return pa.RecordBatch.from_pydict({
-                "block": pa.array([task << 32 | made], pa.int64()), "doc_ids": pa.array([own["doc_ids"]], pa.list_(held[0].schema.field("doc_id").type)),
-                "sizes": pa.array([own["sizes"]], pa.binary()), "codes": pa.array([own["codes"]], pa.binary()),
-                "segments": pa.ListArray.from_arrays(pa.array([0, len(own["segments"])], pa.int32()), own["segments"]),
-                "counts": pa.ListArray.from_arrays(pa.array([0, len(own["counts"])], pa.int32()), pa.array(own["counts"], pa.int64())),
+                "block": pa.array([task << 32 | made], pa.int64()), "doc_ids": in_list(pa.concat_arrays([part.column("doc_id") for part in held])),
+                "sizes": pa.array([own["sizes"]], pa.binary()), "codes": pa.array([own["codes"]], pa.binary()), "segments": in_list(own["segments"]), "counts": in_list(own["counts"]),
             })
 
         for batch in batches:
             held.append(batch)
             size += batch.nbytes
-            if size >= BLOCK_BYTES:
+            if size >= most:
                 yield block()
                 held, size, made = [], 0, made + 1
         if size:
@@ -250,41 +257,93 @@ def blocks(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(trimmed(run), schema)
 
 
+FACTS = ["n_a", "n_b", "n_groups", "n_links", "groups"]
+SUMS = ["n_best", "count_sum"]
+
+
+def chunks(places: DataFrame, a_path: str, b_path: str) -> DataFrame:
+    """Align the segments of (block, place, count, segment), rows of equal segments one after the other, some ``CHUNK_BYTES`` at a time.
+
+    chunk, ``places`` (block, place and the number of the segment in the chunk), ``facts`` (what is known of each segment), and its distinct pairs with their links."""
+    most = CHUNK_BYTES
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pair, task, made = load(a_path, b_path), TaskContext.get().partitionId(), 0
+        held, size = [], 0
+
+        def chunk() -> pa.RecordBatch:
+            rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            coded = rows.column("segment").dictionary_encode()
+            code = coded.indices.to_numpy()
+            known = pair.align(coded.dictionary.to_pylist())
+            weight = np.bincount(code, rows.column("count").to_numpy(), minlength=len(coded.dictionary)).astype(np.int64)  # exact below 2 ** 53
+            pairs, at = np.unique(known["pairs"].values.to_numpy(), return_inverse=True)
+            per = np.diff(known["pairs"].offsets.to_numpy())
+            links = np.zeros(len(pairs), np.int64)
+            np.add.at(links, at, np.repeat(weight, per))
+            own = pa.RecordBatch.from_arrays([rows.column("block"), rows.column("place"), pa.array(code)], names=["block", "place", "code"])
+            facts = pa.RecordBatch.from_arrays([*(known[n] for n in FACTS), pa.ListArray.from_arrays(known["pairs"].offsets, pa.array(at.astype(np.int32)))], names=[*FACTS, "pairs"])
+            return pa.RecordBatch.from_pydict({
+                "chunk": pa.array([task << 32 | made], pa.int64()), "places": pa.array([wrap(own)], pa.binary()), "facts": pa.array([wrap(facts)], pa.binary()),
+                "pairs": in_list(pa.array(pairs)), "links": in_list(pa.array(links)),
+            })
+
+        for batch in batches:
+            held.append(batch)
+            size += batch.nbytes
+            if size >= most:
+                yield chunk()
+                held, size, made = [], 0, made + 1
+        if size:
+            yield chunk()
+
+    schema = "chunk long, places binary, facts binary, pairs array<long>, links array<long>"
+    return places.mapInArrow(trimmed(run), schema)
+
+
 def align(docs: DataFrame, a_path: str, b_path: str, *, digest: bool = False, groups: bool = True) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum of each document, with its ``groups`` (``a1,a2|b1;a3|b2,b3``) or, with ``digest``, their hash."""
-    spark = docs.sparkSession
     held = stage_table(blocks(docs, a_path, b_path), "blocks")
-    distinct = held.select(F.inline(F.arrays_zip("segments", "counts"))).groupBy(F.col("segments").alias("segment")).agg(F.sum("counts").alias("weight"))
-
-    def kernel(batch: pa.RecordBatch) -> dict:
-        segments = batch.column("segment")
-        return {"segment": segments, "weight": batch.column("weight")} | load(a_path, b_path).align(segments.to_pylist())
-
-    shape = "n_a long, n_b long, n_groups long, n_links long, groups binary"
-    aligned = stage_table(map_texts(distinct, kernel, f"segment binary, weight long, {shape}, pairs array<long>"), "aligned")
-    forget_shuffles(spark)
-    counted = aligned.select("weight", F.explode("pairs").alias("pair")).groupBy("pair").agg(F.sum("weight").alias("links"))
-    top = F.max("links").over(Window.partitionBy(F.col("pair").bitwiseAND(F.lit(LOW))))  # an id of B has as many rows as A has ids at most
-    counts = stage_table(counted.select("pair", "links", (F.col("links") == top).cast("long").alias("best")), "counts")
-    # the rows of one segment stay together from one join to the next
-    sums = aligned.select("segment", F.explode("pairs").alias("pair")).join(counts, "pair").groupBy("segment").agg(F.sum("best").alias("n_best"), F.sum("links").alias("count_sum"))
-    known = stage_table(aligned.drop("weight", "pairs").join(sums, "segment"), "known")
-    forget_shuffles(spark)
-    places = held.select(F.col("block").alias("of_block"), F.posexplode("segments").alias("place", "segment"))
-    facts = places.join(known, "segment").drop("segment")
-    number = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
+    places = held.select("block", F.posexplode(F.arrays_zip("segments", "counts")).alias("place", "own"))
+    places = places.select("block", "place", F.col("own.counts").alias("count"), F.col("own.segments").alias("segment"))
+    # a segment has a row for each block that holds it, so none has more than one of that block's many rows
+    told = stage_table(chunks(places.repartition("segment").sortWithinPartitions("segment"), a_path, b_path), "chunks")
+    counted = told.select(F.inline(F.arrays_zip("pairs", "links"))).groupBy("pairs").agg(F.sum("links").alias("links"))
+    top = F.max("links").over(Window.partitionBy(F.col("pairs").bitwiseAND(F.lit(LOW))))  # an id of B has as many rows as A has ids at most
+    counts = stage_table(counted.select(F.col("pairs").alias("pair"), "links", (F.col("links") == top).alias("best")), "counts")
+    forget_shuffles(docs.sparkSession)
+
+    def by_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from (parcels(b, "of_chunk", "place") for b in batches if b.num_rows)
+
+    asked = told.select(F.col("chunk").alias("of_chunk"), F.posexplode("pairs").alias("place", "pair"))
+    answers = asked.join(counts, "pair").select("of_chunk", "place", "links", "best").mapInArrow(trimmed(by_chunk), "of_chunk long, rows binary")
+
+    def spread(left: pa.Table, right: pa.Table) -> pa.Table:
+        """What each block is told of its segments."""
+        own, facts, answer = unwrap(left.column("places")), unwrap(left.column("facts")), unwrap(right.column("rows")).sort_by("place")
+        pairs = facts.column("pairs").combine_chunks()
+        at, code, cuts = pairs.values.to_numpy(), own.column("code").to_numpy(), pairs.offsets.to_numpy()[:-1]
+        for name, of in zip(SUMS, ("best", "links")):  # every segment has a pair
+            value = answer.column(of).to_numpy().astype(np.int64)
+            facts = facts.append_column(name, pa.array(np.add.reduceat(value[at], cuts)))
+        rows = facts.drop_columns("pairs").take(pa.array(code)).append_column("of_block", own.column("block")).append_column("place", own.column("place"))
+        return pa.Table.from_batches([parcels(rows.combine_chunks().to_batches()[0], "of_block", "place")])
+
+    facts = told.select("chunk", "places", "facts").groupBy("chunk").cogroup(answers.groupBy("of_chunk")).applyInArrow(spread, "of_block long, rows binary")
+    number = [*FACTS[:-1], *SUMS]
 
     def compose(left: pa.Table, right: pa.Table) -> pa.Table:
-        rows = [pa.ipc.open_stream(r.as_buffer()).read_all() for r in right.column("rows")]
-        own = pa.concat_tables(rows).sort_by("place") if rows else None
-        spelt = own.column("groups").to_pylist() if rows else []
+        own = unwrap(right.column("rows"))
+        own = own and own.take(pa.array(np.argsort(own.column("place").to_numpy())))
+        spelt = own.column("groups").to_pylist() if own else []
         out: dict[str, pa.Array] = {"doc_id": left.column("doc_ids").combine_chunks().flatten()}
         sizes = np.frombuffer(left.column("sizes")[0].as_py(), "<i8")
         codes = unsqueeze(left.column("codes")[0].as_py())
         lengths = np.maximum(sizes, 0)
         ends = np.cumsum(lengths)
         for name in number:
-            total = np.concatenate([[0], np.cumsum(own.column(name).to_numpy()[codes])]) if rows else np.zeros(1, np.int64)
+            total = np.concatenate([[0], np.cumsum(own.column(name).to_numpy()[codes])]) if own else np.zeros(1, np.int64)
             out[name] = pa.array(total[ends] - total[ends - lengths], pa.int64())
         if digest or groups:
             texts = []
@@ -296,5 +355,4 @@ def align(docs: DataFrame, a_path: str, b_path: str, *, digest: bool = False, gr
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, " + ", ".join(f"{n} long" for n in number) + (", groups_sha256 string" if digest else ", groups string" if groups else "")
-    facts = facts.mapInArrow(trimmed(parcels), "of_block long, rows binary")
     return held.select("block", "doc_ids", "sizes", "codes").groupBy("block").cogroup(facts.groupBy("of_block")).applyInArrow(compose, schema)

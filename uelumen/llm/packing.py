@@ -77,7 +77,7 @@ def pieces_of(ids: np.ndarray, counts: np.ndarray, end_id: int, capacity: int) -
 
 def leaves(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, ids: bool) -> DataFrame:
     """Every piece with the bin that its own task has put it in, its place there and how full the bin is."""
-    names = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * ids]
+    names, most = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * ids], NODE_ROWS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, task, made, held = load(tokenizer), TaskContext.get().partitionId(), 0, []
@@ -99,7 +99,7 @@ def leaves(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, ids: boo
                     columns = [part.column("doc_id").take(pa.array(cut["doc"])), *(pa.array(cut[c], pa.int64()) for c in names[1:5])]
                     held.append(pa.RecordBatch.from_arrays(columns + [pa.array(map(bytes, cut["spans"]), pa.binary())] * ids, names=names))
                     rows += len(cut["doc"])
-                    if rows >= NODE_ROWS:
+                    if rows >= most:
                         yield node()
                         held, rows, made = [], 0, made + rows  # there are no more bins than rows
             if rows:
