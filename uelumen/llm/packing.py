@@ -135,11 +135,15 @@ def pack(docs: DataFrame, tokenizer: str, *, capacity: int = CAPACITY, end_id: i
     width = held.select("node").distinct().count()
     rows = roots = going.count()
     settled = []
+
+    def node(table: pa.Table) -> pa.Table:
+        return merge(capacity, table)
+
     while width > 1 and roots > 1:
         least = -(-rows // NODE_ROWS)
         nodes = max(least, -(-width // FAN))
         dealt = going.withColumn("node", F.pmod(F.xxhash64("root", F.lit(len(settled))), F.lit(nodes)))
-        merged = stage_table(dealt.groupBy("node").applyInArrow(functools.partial(merge, capacity), "bin long, root long, shift long, fill long"), "bins")
+        merged = stage_table(dealt.groupBy("node").applyInArrow(node, "bin long, root long, shift long, fill long"), "bins")
         settled.append(merged.filter(F.col("fill") >= full))
         going = merged.filter(F.col("fill") < full)
         after = merged.filter("shift = 0").count()
