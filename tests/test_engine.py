@@ -188,7 +188,6 @@ def test_alert_summary_takes_the_first_of_equals(spark):
     df = spark.createDataFrame(rows, "ue_key string, arrival int, window_end_event_time string, is_anomaly boolean, anomaly_score double")
     got = analytics.alert_summary(df).first()
     assert (got.max_score, got.max_score_window_end, got.latest_window_end, got.latest_score) == (0.9, "t1", "t3", 0.8)
-    assert analytics.alert_summary(df, rank=F.col("arrival") * 1.0).first().max_score_window_end == "t3"
 
 
 def test_analytics(spark):

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from uelumen.functions import times
 from uelumen.functions.text import first_of
+from uelumen.operators import scans
 
 BUFFER_ROWS = 3000
 MAX_POINTS = 80
@@ -43,30 +44,32 @@ def per_model(predictions: DataFrame) -> DataFrame:
     return predictions.groupBy("model").agg(F.count("*").alias("n"), F.count_if("is_anomaly").alias("n_anomalies"))
 
 
-def longest_runs(rows: DataFrame, *, ue: str = "ue_key", flag: str = "is_anomaly", order: tuple[str, ...] = ("window_end_event_time",)) -> DataFrame:
-    """(ue, longest_run): the most consecutive flagged rows of each subscriber, 0 if none."""
-    by = Window.partitionBy(ue).orderBy(*order)
-    hit = F.coalesce(F.col(flag), F.lit(False))
-    numbered = rows.select(ue, hit.alias("hit"), (F.row_number().over(by) - F.sum(hit.cast("int")).over(by.rowsBetween(Window.unboundedPreceding, 0))).alias("island"))
-    runs = numbered.groupBy(ue, "island").agg(F.count_if("hit").alias("run"))
-    return runs.groupBy(ue).agg(F.max("run").alias("longest_run"))
+def longest_runs(rows: DataFrame, *, ue: str = "ue_key", flag: str = "is_anomaly", order: tuple[str, ...] = ("window_end_event_time",), block: Column | None = None) -> DataFrame:
+    """(ue, longest_run): the most consecutive flagged rows of each subscriber, 0 if none.
+
+    Each block of a subscriber (an hour where it isn't given) is summarised by itself, and summaries merge: no task sorts a subscriber.
+    """
+    block = scans.default_block(rows, order[0], scans.HOUR_MS) if block is None else block
+    runs = scans.merge_blocks(scans.block_runs(rows, ue, list(order), F.coalesce(F.col(flag), F.lit(False)), block), ue)
+    return runs.select(ue, F.col("runs.best").alias("longest_run"))
 
 
 def severity(run: Column) -> Column:
     return F.when(run >= 3, "high").when(run >= 2, "repeated").otherwise("watch")
 
 
-def alert_summary(predictions: DataFrame, *, ue: str = "ue_key", flag: str = "is_anomaly", score: str = "anomaly_score", order: tuple[str, ...] = ("window_end_event_time", "arrival"), arrival: str = "arrival", rank: Column | None = None) -> DataFrame:
+def alert_summary(predictions: DataFrame, *, ue: str = "ue_key", flag: str = "is_anomaly", score: str = "anomaly_score", order: tuple[str, ...] = ("window_end_event_time", "arrival"), arrival: str = "arrival") -> DataFrame:
     """A row per subscriber with an alert: counts, top score and its window, latest window and its score, run, severity.
 
-    Of equals the first arrival counts. ``rank`` tells the window of the top score where something else than the score does.
+    Top and latest are those of the alerts alone, whatever other windows scored or came later; of equals the first arrival counts. The run is over all rows.
     """
     hit = F.coalesce(F.col(flag), F.lit(False))
     first = (-F.col(arrival)).alias("a")
-    best = F.struct((F.col(score) if rank is None else rank).alias("by"), first)
-    last = F.struct(*[c for c in order if c != arrival], first)
+    alert = lambda c: F.when(hit, c)
+    best = alert(F.struct(F.col(score).alias("by"), first))
+    last = alert(F.struct(*[c for c in order if c != arrival], first))
     grouped = predictions.groupBy(ue).agg(
-        F.count_if(hit).alias("anomaly_count"), F.count("*").alias("total_count"), F.max(score).alias("max_score"), F.max_by("window_end_event_time", best).alias("max_score_window_end"),
+        F.count_if(hit).alias("anomaly_count"), F.count("*").alias("total_count"), F.max(alert(F.col(score))).alias("max_score"), F.max_by("window_end_event_time", best).alias("max_score_window_end"),
         F.max_by("window_end_event_time", last).alias("latest_window_end"), F.max_by(score, last).alias("latest_score"),
     ).filter("anomaly_count > 0")
     out = grouped.join(longest_runs(predictions, ue=ue, flag=flag, order=order), ue)

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from uelumen.contract import Contract
 from uelumen.functions import times
 from uelumen.functions.text import sha256
+from uelumen.operators import scans
 from uelumen.operators.routes import Routed, settle
-from uelumen.operators.silver import running_max
 
 TOLERANCE_MS = 30_000
 # Fields shown as evidence.
@@ -50,26 +50,46 @@ def to_gold_events(silver: DataFrame, contract: Contract | None = None, carry: l
     )
 
 
-def split_too_late(events: DataFrame, *, key: str = "ue_key", ts: str = "event_time_epoch_ms", arrival: list[str], tolerance_ms: int = TOLERANCE_MS) -> Routed:
-    """``accepted`` and ``too_late``: at or before what was already released, the greatest time so far less the tolerance."""
-    rows = events.withColumn("ul_seen", running_max(events, ts, arrival, [key]))
+def split_too_late(events: DataFrame, *, key: str = "ue_key", ts: str = "event_time_epoch_ms", arrival: list[str], tolerance_ms: int = TOLERANCE_MS, block: Column | None = None) -> Routed:
+    """``accepted`` and ``too_late``: at or before what was already released, the greatest time so far less the tolerance.
+
+    ``block``: stretches of the arrival, each a task of its own (:data:`scans.OFFSETS` wide where it isn't given)."""
+    block = scans.default_block(events, arrival[0], scans.OFFSETS) if block is None else block
+    rows = scans.seen_before(events, ts, arrival, [F.col(key)], block, "ul_seen")
     late = F.coalesce(F.col(ts) <= F.col("ul_seen") - tolerance_ms, F.lit(False))
     return Routed({"accepted": rows.filter(~late).drop("ul_seen"), "too_late": rows.filter(late).drop("ul_seen")})
 
 
-def windows(events: DataFrame, *, key: str = "ue_key", order: tuple[str, ...] = ("event_time_epoch_ms", "source_order_key"), length: int = 32, stride: int = 8) -> DataFrame:
+#: Windows that begin in a stretch of so many strides are one task's.
+STRETCH = 512
+
+
+def windows(events: DataFrame, *, key: str = "ue_key", order: tuple[str, ...] = ("event_time_epoch_ms", "source_order_key"), length: int = 32, stride: int = 8, block: Column | None = None, stretch: int = STRETCH) -> DataFrame:
     """(key, window_no, events): every ``stride`` rows of a key in order, ``length`` rows; no partial windows.
 
     One shuffle by key serves the numbering, the chunks of ``stride`` rows and the windows, each some chunks in a row: a row is
     copied once into its chunk and once into each window that holds it.
+
+    With ``block`` (stretches of the order, such as hours) no key is one task's: rows are numbered by blocks and prefix sums, and dealt by stretches of
+    ``stretch`` strides. A stretch also gets the first ``length - stride`` rows of the next one, the halo that its last windows reach into. ``events`` is read twice then.
     """
-    w = Window.partitionBy(key).orderBy(*order)
-    numbered = events.withColumn("ul_n", F.row_number().over(w) - 1)
-    chunks = numbered.groupBy(key, F.floor(F.col("ul_n") / stride).alias("window_no")).agg(F.array_sort(F.collect_list(F.struct("ul_n", F.struct(*events.columns).alias("e"))), lambda a, b: a["ul_n"] - b["ul_n"]).alias("chunk"))
-    by_chunk = Window.partitionBy(key).orderBy("window_no")
+    by, mine = [key], F.lit(True)
+    if block is None:
+        w = Window.partitionBy(key).orderBy(*order)
+        rows = events.withColumn("ul_n", F.row_number().over(w) - 1)
+    else:
+        stretch = max(stretch, -(-length // stride))  # the halo lies in one stretch
+        size = stretch * stride
+        own = F.floor(F.col("ul_n") / size).cast("long")
+        halo = (own > 0) & (F.col("ul_n") % size < length - stride)
+        rows = scans.numbered(events, [key], list(order), block, "ul_n").withColumn("ul_stretch", F.explode(F.when(halo, F.array(own, own - 1)).otherwise(F.array(own))))
+        rows = rows.repartition(key, "ul_stretch")
+        by, mine = [key, "ul_stretch"], F.floor(F.col("window_no") / stretch) == F.col("ul_stretch")
+    chunks = rows.groupBy(*by, F.floor(F.col("ul_n") / stride).alias("window_no")).agg(F.array_sort(F.collect_list(F.struct("ul_n", F.struct(*events.columns).alias("e"))), lambda a, b: (a["ul_n"] - b["ul_n"]).cast("int")).alias("chunk"))
+    by_chunk = Window.partitionBy(*by).orderBy("window_no")
     empty = F.slice("chunk", 1, 0)
     whole = F.concat("chunk", *[F.coalesce(F.lead("chunk", k).over(by_chunk), empty) for k in range(1, -(-length // stride))])
-    made = chunks.select(key, "window_no", F.slice(whole, 1, length).alias("ul_w")).filter(F.size("ul_w") == length)
+    made = chunks.select(*by, "window_no", F.slice(whole, 1, length).alias("ul_w")).filter((F.size("ul_w") == length) & mine)
     return made.select(key, "window_no", F.transform("ul_w", lambda x: x["e"]).alias("events"))
 
 
@@ -138,10 +158,10 @@ def encode(samples: DataFrame, contract: Contract | None = None) -> DataFrame:
     return settle(out, fault=fault, x_cat=x_cat, x_num=x_num).drop("ul_coded")
 
 
-def gold_samples(events: DataFrame, contract: Contract | None = None, *, failed_at: Column | None = None) -> Routed:
+def gold_samples(events: DataFrame, contract: Contract | None = None, *, failed_at: Column | None = None, block: Column | None = None) -> Routed:
     """``gold`` samples and ``invalid_feature`` records of the windows of accepted events."""
     contract = contract or Contract()
-    return samples_of(windows(events, length=contract.length, stride=contract.stride), contract, failed_at=failed_at)
+    return samples_of(windows(events, length=contract.length, stride=contract.stride, block=block), contract, failed_at=failed_at)
 
 
 def samples_of(made: DataFrame, contract: Contract | None = None, *, failed_at: Column | None = None) -> Routed:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from uelumen.contract import EVENT_IDS, ContractError
 from uelumen.functions import text, times
 from uelumen.functions.text import sha256, strip, strip_to_null
+from uelumen.operators import scans
 from uelumen.operators.routes import Routed, settle
 
 #: A dimension is broadcast up to this many bytes by the planner's estimate; beyond it, or where it can't tell, the join is left to adaptive execution.
@@ -111,12 +112,12 @@ def first_by_coordinates(df: DataFrame, keys: tuple[str, ...] = ("source.topic",
     return df.groupBy(*named).agg(first.alias("r")).select("r.*")
 
 
-def running_max(df: DataFrame, ts: str, arrival: list[str], key: list[str]) -> Column:
-    return F.max(ts).over(Window.partitionBy(*key).orderBy(*arrival).rowsBetween(Window.unboundedPreceding, -1))
+def split_late(df: DataFrame, *, ts: str, arrival: list[str], key: list[str], tolerance_ms: int = 30_000, block: Column | None = None) -> Routed:
+    """``on_time`` and ``late``: late if before the greatest time so far in its partition less the tolerance; equal is on time.
 
-
-def split_late(df: DataFrame, *, ts: str, arrival: list[str], key: list[str], tolerance_ms: int = 30_000) -> Routed:
-    """``on_time`` and ``late``: late if before the greatest time so far in its partition less the tolerance; equal is on time."""
-    rows = df.withColumn("ul_seen", running_max(df, ts, arrival, key))
+    ``block``: stretches of the arrival, each a task of its own (:data:`scans.OFFSETS` wide where it isn't given).
+    """
+    block = scans.default_block(df, arrival[0], scans.OFFSETS) if block is None else block
+    rows = scans.seen_before(df, ts, arrival, [F.col(k) for k in key], block, "ul_seen")
     late = F.coalesce(F.col(ts) < F.col("ul_seen") - tolerance_ms, F.lit(False))
     return Routed({"on_time": rows.filter(~late).drop("ul_seen"), "late": rows.filter(late).drop("ul_seen")})

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from uelumen.contract import Contract
 from uelumen.functions import text, times
-from uelumen.operators import analytics, bronze, scoring, sequences, silver
+from uelumen.operators import analytics, bronze, scans, scoring, sequences, silver
 from uelumen.plans import layers, telemetry
 from uelumen.plans.stage import stage
 from uelumen.sources import ingest
@@ -187,6 +187,23 @@ def seq_windows(spark, sf_dir):
     return made.select("user_id", "window_no", F.get("events", F.lit(0))["n"].alias("first_n"), F.get("events", F.lit(31))["n"].alias("last_n"), F.size("events").alias("size"))
 
 
+@query(SQL["seq_windows"])
+def seq_windows_blocked(spark, sf_dir):
+    """The same windows with rows numbered by blocks of six hours and dealt in stretches of 4 strides, with halos."""
+    rows = telemetry.base(spark, sf_dir)
+    made = sequences.windows(rows, key="user_id", order=("ts_ms", "n"), block=scans.block_of("ts_ms", 6 * scans.HOUR_MS), stretch=4)
+    return made.select("user_id", "window_no", F.get("events", F.lit(0))["n"].alias("first_n"), F.get("events", F.lit(31))["n"].alias("last_n"), F.size("events").alias("size"))
+
+
+@query(BASE + "SELECT n, event_type, row_number() OVER (PARTITION BY event_type ORDER BY ts_ms, n) - 1 AS number, max(ts_ms) OVER (PARTITION BY event_type ORDER BY arrival_key, n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM base")
+def block_scans(spark, sf_dir):
+    """Row numbers in order of time and the greatest time seen before in order of arrival, for keys that hold a large part of all rows each."""
+    rows = telemetry.base(spark, sf_dir).select("n", "event_type", "ts_ms", "arrival_key")
+    timed = scans.numbered(rows, ["event_type"], ["ts_ms", "n"], scans.block_of("ts_ms", scans.HOUR_MS), "number")
+    seen = scans.seen_before(timed, "ts_ms", ["arrival_key", "n"], [F.col("event_type")], scans.block_of("arrival_key", 3600), "seen")
+    return seen.select("n", "event_type", "number", "seen")
+
+
 def _gold(spark, sf_dir) -> DataFrame:
     return sequences.gold_samples(sequences.to_gold_events(_silver(spark, sf_dir)))["gold"]
 
@@ -312,12 +329,24 @@ def longest_run(spark, sf_dir):
     return analytics.longest_runs(_predictions(spark, sf_dir), order=("ts_ms", "arrival"))
 
 
-@query(PRED + _RUNS + """SELECT ue_key, count(*) FILTER (is_anomaly) AS anomaly_count, count(*) AS total_count, max(anomaly_score) AS max_score, arg_max(window_end_event_time, anomaly_score * 1000000000 - arrival) AS max_score_window_end,
- arg_max(window_end_event_time, ts_ms) AS latest_window_end, arg_max(anomaly_score, ts_ms) AS latest_score, any_value(longest_run) AS longest_run, CASE WHEN any_value(longest_run) >= 3 THEN 'high' WHEN any_value(longest_run) >= 2 THEN 'repeated' ELSE 'watch' END AS severity
+@query(PRED + """, m AS (SELECT *, epoch_us(date_trunc('day', make_timestamp(ts_ms * 1000))) // 86400000000 AS day FROM flagged), i AS (SELECT model, day, is_anomaly, row_number() OVER w - sum(is_anomaly::INT) OVER w AS g, row_number() OVER w AS r,
+  row_number() OVER (PARTITION BY model, day ORDER BY ts_ms DESC, arrival DESC) AS back, count(*) OVER (PARTITION BY model, day) AS n FROM m WINDOW w AS (PARTITION BY model, day ORDER BY ts_ms, arrival)),
+r AS (SELECT model, day, g, any_value(n) AS n, count(*) FILTER (is_anomaly) AS c, min(r) FILTER (is_anomaly) AS first, min(back) FILTER (is_anomaly) AS last FROM i GROUP BY model, day, g)
+SELECT model, day, any_value(n) AS n, coalesce(max(c) FILTER (first = 1), 0) AS prefix, coalesce(max(c) FILTER (last = 1), 0) AS suffix, max(c) AS best FROM r GROUP BY model, day""")
+def run_summaries(spark, sf_dir):
+    """Alert runs of each model and day: summaries of hours, merged by 24."""
+    rows = _predictions(spark, sf_dir)
+    hours = scans.block_runs(rows, "model", ["ts_ms", "arrival"], F.col("is_anomaly"), scans.block_of("ts_ms", scans.HOUR_MS))
+    return scans.merge_blocks(hours, "model", 24).select("model", F.col("ul_block").alias("day"), "runs.*")
+
+
+@query(PRED + _RUNS + """SELECT ue_key, count(*) FILTER (is_anomaly) AS anomaly_count, count(*) AS total_count, max(anomaly_score) FILTER (is_anomaly) AS max_score,
+ arg_max(window_end_event_time, row(anomaly_score, -arrival)) FILTER (is_anomaly) AS max_score_window_end, arg_max(window_end_event_time, row(ts_ms, -arrival)) FILTER (is_anomaly) AS latest_window_end,
+ arg_max(anomaly_score, row(ts_ms, -arrival)) FILTER (is_anomaly) AS latest_score, any_value(longest_run) AS longest_run,
+ CASE WHEN any_value(longest_run) >= 3 THEN 'high' WHEN any_value(longest_run) >= 2 THEN 'repeated' ELSE 'watch' END AS severity
  FROM flagged JOIN runs USING (ue_key) GROUP BY ue_key HAVING count(*) FILTER (is_anomaly) > 0""")
 def ue_alert_summary(spark, sf_dir):
-    # the rank of the SQL: an arrival later by a million weighs as much as a thousandth of a score
-    return analytics.alert_summary(_predictions(spark, sf_dir), order=("ts_ms", "arrival"), rank=F.col("anomaly_score") * 1e9 - F.col("arrival"))
+    return analytics.alert_summary(_predictions(spark, sf_dir), order=("ts_ms", "arrival"))
 
 
 @query(PRED + """, span AS (SELECT max(ts_ms) - min(ts_ms) AS ms FROM flagged), b AS (SELECT coalesce((SELECT min(v) FROM (VALUES (1), (2), (5), (10), (15), (30), (60), (120), (300), (600)) t(v) WHERE v >= ms / 80000.0), CAST(ceil(ms / 80000.0 / 600) * 600 AS BIGINT)) * 1000 AS size FROM span),
