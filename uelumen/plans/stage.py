@@ -32,13 +32,18 @@ def delete(spark: SparkSession, path: str) -> None:
         pass  # the folder goes with the cluster's
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written as Parquet and read back: evaluated once, and an executor lost later costs a re-read. Deleted when the driver ends."""
-    spark = df.sparkSession
+def scratch(spark: SparkSession, label: str) -> str:
+    """A fresh path in the shared folder. Deleted when the driver ends."""
     path = f"{scratch_root(spark)}/uelumen-{uuid.uuid4().hex}"
     _written.append((spark, path))
-    df.write.parquet(f"{path}/{label}")
-    return spark.read.schema(df.schema).parquet(f"{path}/{label}")
+    return f"{path}/{label}"
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written as Parquet and read back: evaluated once, and an executor lost later costs a re-read. Deleted when the driver ends."""
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @atexit.register

@@ -11,7 +11,7 @@ from uelumen.contract import Contract
 from uelumen.functions import text, times
 from uelumen.operators import analytics, bronze, scans, scoring, sequences, silver
 from uelumen.plans import layers, telemetry
-from uelumen.plans.stage import stage
+from uelumen.plans.stage import scratch, stage
 from uelumen.sources import ingest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,6 +53,17 @@ def raw_record_id(spark, sf_dir):
     return rows.select("n", ingest.record_id(F.col("source_file"), F.col("source_line"), F.col("raw_payload")).alias("raw_record_id"))
 
 
+@query(BASE + "SELECT CAST(n % 7 AS INTEGER) AS log, row_number() OVER (PARTITION BY n % 7 ORDER BY n) AS source_line, raw_payload FROM rec")
+def line_ranges(spark, sf_dir):
+    """Seven log files, read by ranges of 16 KB each: the number of every line."""
+    path = scratch(spark, "logs")
+    rows = telemetry.raw_lines(spark, sf_dir).select((F.col("n") % 7).cast("int").alias("log"), "n", "raw_payload")
+    rows.repartition("log").sortWithinPartitions("log", "n").select("log", F.col("raw_payload").alias("value")).write.partitionBy("log").text(path)
+    files = [f for i in range(7) for f in ingest.list_files(spark, f"{path}/log={i}")]
+    lines = ingest.number_lines(spark, files, range_bytes=16_384)
+    return lines.select(F.regexp_extract("path", "log=([0-9]+)", 1).cast("int").alias("log"), "source_line", "raw_payload")
+
+
 _FAULT = """CASE n % 20 WHEN 1 THEN 'NULL_KAFKA_VALUE' WHEN 2 THEN 'INVALID_ENVELOPE_JSON' WHEN 3 THEN 'UNSUPPORTED_ENVELOPE_SCHEMA_VERSION' WHEN 4 THEN 'INVALID_ENVELOPE_SCHEMA' WHEN 5 THEN 'INVALID_ENVELOPE_SCHEMA'
  WHEN 6 THEN 'INVALID_ENVELOPE_SCHEMA' WHEN 7 THEN 'EMPTY_RAW_PAYLOAD' WHEN 8 THEN 'WRONG_RAW_FIELD_COUNT' WHEN 9 THEN 'EMPTY_RAW_PAYLOAD' WHEN 10 THEN 'INVALID_EVENT_TIME' WHEN 11 THEN 'INVALID_DURATION'
  WHEN 12 THEN 'INVALID_REQUEST_RETRIES' WHEN 13 THEN 'INVALID_PAGING_ATTEMPTS' END"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from uelumen.functions.text import sha256
@@ -23,15 +23,31 @@ def list_files(spark: SparkSession, directory: str) -> list[str]:
     return files
 
 
-def read_lines(spark: SparkSession, directory: str) -> DataFrame:
-    """(source_file, source_line, raw_payload): file name without directory, lines from 1, CR and a last empty line dropped.
+RANGE_BYTES = 64 << 20
 
-    A line's number needs the lines before it, so a file is read whole; files, not lines, are the unit of parallelism.
+
+def read_lines(spark: SparkSession, directory: str, *, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """(source_file, source_line, raw_payload) of the regular files of a directory; see :func:`number_lines`."""
+    return number_lines(spark, list_files(spark, directory), range_bytes=range_bytes).drop("path")
+
+
+def number_lines(spark: SparkSession, files: list[str], *, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """(source_file, source_line, raw_payload, path): file name without directory, lines from 1, ended by LF, CR or CRLF; the end of a file ends a line that isn't empty.
+
+    Files are read by ranges of ``range_bytes``, each a task's work. One pass counts the lines of each range (without their text), the counts of the ranges before one are its offset,
+    a second pass reads the lines and numbers them: a range's lines lie one after the other in a partition. Both passes must see the same ranges, so they run in a session of
+    their own whose ranges don't depend on how many executors there are at the time. A byte order mark at the beginning of a file is dropped.
     """
-    texts = spark.read.text(list_files(spark, directory), wholetext=True).select(F.col("_metadata.file_name").alias("source_file"), "value")
-    body = F.regexp_replace("value", r"\r\n|\r", "\n")
-    lines = F.split(F.regexp_replace(body, r"\n\z", ""), "\n")
-    return texts.filter(F.length("value") > 0).select("source_file", F.posexplode(lines).alias("at", "raw_payload")).select("source_file", (F.col("at") + 1).cast("long").alias("source_line"), "raw_payload")
+    own = spark.newSession()
+    for name, value in (("spark.sql.files.maxPartitionBytes", range_bytes), ("spark.sql.leafNodeDefaultParallelism", 1), ("spark.sql.files.minPartitionNum", 1)):
+        own.conf.set(name, str(value))
+    place = [F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start")]
+    lines = own.read.text(files).select(*place, F.col("_metadata.file_name").alias("source_file"), F.col("value").alias("raw_payload"), F.monotonically_increasing_id().alias("id"))
+    ranges = lines.groupBy("path", "start").agg(F.count("*").alias("n"), F.min("id").alias("first"))
+    before = F.sum("n").over(Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = ranges.select("path", "start", (F.coalesce(before, F.lit(0)) - F.col("first") + 1).alias("ahead"))
+    # a row for each range: adaptive execution broadcasts them where they are few
+    return lines.join(offsets, ["path", "start"]).select("source_file", (F.col("id") + F.col("ahead")).alias("source_line"), "raw_payload", "path")
 
 
 def record_id(file: Column, line: Column, payload: Column) -> Column:
