@@ -39,6 +39,9 @@ def number_lines(spark: SparkSession, files: list[str], *, range_bytes: int = RA
     their own whose ranges don't depend on how many executors there are at the time. A byte order mark at the beginning of a file is dropped.
     """
     own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            own.conf.set(name, value)
     for name, value in (("spark.sql.files.maxPartitionBytes", range_bytes), ("spark.sql.leafNodeDefaultParallelism", 1), ("spark.sql.files.minPartitionNum", 1)):
         own.conf.set(name, str(value))
     place = [F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start")]

@@ -7,10 +7,11 @@ operator, and here late rows are an output.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from heapq import heapify, heappop, heappush
+from heapq import heappop, heappush
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 TTL_MS = 24 * 3600 * 1000
@@ -79,6 +80,10 @@ class SequenceProcessor(StatefulProcessor):
     ahead; then they join the buffer in order, from which windows of ``length`` are cut every ``stride``. If nothing comes for
     ``idle_ms`` all that wait are released. No partial window is ever emitted.
 
+    State. Events wait in a map by (bucket of time, number in the bucket); a bucket is a 256th of the tolerance, so there are about 256 at most, and their sizes
+    are a short list. A new event is one put; a released one is one get and one remove; buckets that can't be due yet aren't read, whatever waits in them. An event that comes and
+    is released in the same call never touches the map. The buffer, less than ``length`` rows, is read and put at most once a call.
+
     Output rows: ``route`` (window or too_late), ``window_no`` of the key, ``position`` in the window, and the event's columns.
     """
 
@@ -87,43 +92,68 @@ class SequenceProcessor(StatefulProcessor):
             raise ValueError("length, stride, tolerance, idle time or TTL out of range")
         self.columns, self.state, self.ts, self.order = columns, state, ts, order
         self.length, self.stride, self.tolerance_ms, self.idle_ms, self.ttl_ms = length, stride, tolerance_ms, idle_ms, ttl_ms
-        self.ts_at, self.order_at, self.entries = columns.index(ts), columns.index(order), 0
+        self.ts_at, self.order_at, self.width = columns.index(ts), columns.index(order), max(1, tolerance_ms // 256)
         self.arrival = arrival  # within a batch rows are taken in this order, whatever that in which a shuffle hands them on
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getListState("pending", self.state, ttlDurationMs=self.ttl_ms)
+        self.waiting = handle.getMapState("waiting", "bucket long, number long", self.state, ttlDurationMs=self.ttl_ms)
+        self.buckets = handle.getListState("buckets", "bucket long, size long", ttlDurationMs=self.ttl_ms)
         self.buffer = handle.getListState("buffer", self.state, ttlDurationMs=self.ttl_ms)
         self.marks = handle.getValueState("marks", "top long, finalised long, idle_timer long, windows long", ttlDurationMs=self.ttl_ms)
 
-    def _marks(self) -> list:
-        return list(self.marks.get()) if self.marks.exists() else [None, None, None, 0]
+    def _begin(self) -> None:
+        """What a call knows: the marks, the sizes of the stored buckets, and in ``near`` the events at hand, by time."""
+        self.top, self.finalised, self.timer, self.windows = self.marks.get() if self.marks.exists() else (None, None, None, 0)
+        self.sizes = {int(b): int(n) for b, n in self.buckets.get()} if self.buckets.exists() else {}
+        self.stored = sorted(self.sizes)
+        self.near: list[tuple] = []
+        self.entries, self.held, self.changed = 0, None, False
 
-    def _release(self, ready: list[tuple], windows: int) -> tuple[list[tuple], int]:
-        """Append what is ready to the buffer and cut windows: (rows out, number of windows so far)."""
-        if not ready:
-            return [], windows
-        ready.sort(key=lambda r: (r[self.ts_at], r[self.order_at]))
-        held = [tuple(r) for r in self.buffer.get()] + ready
-        out: list[tuple] = []
-        while len(held) >= self.length:
-            out += [("window", windows, i, *r) for i, r in enumerate(held[: self.length])]
-            windows += 1
-            held = held[self.stride :]
-        self.buffer.put(held) if held else self.buffer.clear()
-        return out, windows
-
-    def _waiting(self, row: tuple) -> tuple:
+    def _wait(self, row: tuple) -> None:
         self.entries += 1  # rows of equal time and key are not compared
-        return row[self.ts_at], row[self.order_at], self.entries, row
+        heappush(self.near, (row[self.ts_at], row[self.order_at], self.entries, row))
+
+    def _release(self, through: int | None) -> list[tuple]:
+        """Rows out as the events up to a time (all: None) join the buffer."""
+        while self.stored and (through is None or self.stored[0] <= through // self.width):
+            bucket = self.stored.pop(0)
+            for number in range(self.sizes.pop(bucket)):
+                at = (bucket, number)
+                row = self.waiting.getValue(at)
+                if row is not None:  # it hasn't outlived its time
+                    self._wait(tuple(row))
+                    self.waiting.removeKey(at)
+            self.changed = True
+        out: list[tuple] = []
+        while self.near and (through is None or self.near[0][0] <= through):
+            if self.held is None:
+                self.held = [tuple(r) for r in self.buffer.get()] if self.buffer.exists() else []
+            self.held.append(heappop(self.near)[-1])
+            if len(self.held) == self.length:
+                out += [("window", self.windows, i, *r) for i, r in enumerate(self.held)]
+                self.windows += 1
+                self.held = self.held[self.stride :]
+        return out
+
+    def _end(self) -> None:
+        for ms, _, _, row in self.near:
+            bucket = ms // self.width
+            number = self.sizes.get(bucket, 0)
+            self.waiting.updateValue((bucket, number), row)
+            self.sizes[bucket] = number + 1
+            self.changed = True
+        if self.changed:
+            self.buckets.put(sorted(self.sizes.items())) if self.sizes else self.buckets.clear()
+        if self.held is not None:
+            self.buffer.put(self.held) if self.held else self.buffer.clear()
+        self.marks.update((int(self.top), int(self.finalised), self.timer, int(self.windows)))
 
     def _frame(self, rows: list[tuple]) -> pd.DataFrame:
         return pd.DataFrame(rows, columns=["route", "window_no", "position", *self.columns])
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        top, finalised, timer, windows = self._marks()
-        pending = [self._waiting(tuple(r)) for r in self.pending.get()] if self.pending.exists() else []
-        heapify(pending)  # by time: what is released lies in front
+        self._begin()
         out: list[tuple] = []
         accepted = False
         frames = [f for f in rows if len(f)]
@@ -133,38 +163,31 @@ class SequenceProcessor(StatefulProcessor):
             for row in frame[self.columns].itertuples(index=False, name=None):
                 row = tuple(None if v is pd.NaT or v is None or v != v else v for v in row)
                 ms = row[self.ts_at]
-                if finalised is not None and ms <= finalised:
+                if self.finalised is not None and ms <= self.finalised:
                     out.append(("too_late", None, None, *row))
                     continue
                 accepted = True
-                heappush(pending, self._waiting(row))
-                top = ms if top is None else max(top, ms)
-                safe = top - self.tolerance_ms
-                ready = []
-                while pending and pending[0][0] <= safe:
-                    ready.append(heappop(pending)[-1])
-                if ready:
-                    made, windows = self._release(ready, windows)
-                    out += made
-                finalised = safe if finalised is None else max(finalised, safe)
-        pending = [w[-1] for w in pending]
+                self._wait(row)
+                self.top = ms if self.top is None else max(self.top, ms)
+                safe = self.top - self.tolerance_ms
+                out += self._release(safe)
+                self.finalised = safe if self.finalised is None else max(self.finalised, safe)
         if accepted:
-            self.pending.put(pending) if pending else self.pending.clear()
-            if timer is not None:
-                self.handle.deleteTimer(timer)
-            timer = timerValues.getCurrentProcessingTimeInMs() + self.idle_ms
-            self.handle.registerTimer(timer)
-            self.marks.update((int(top), int(finalised), int(timer), int(windows)))
+            if self.timer is not None:
+                self.handle.deleteTimer(self.timer)
+            self.timer = int(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
+            self.handle.registerTimer(self.timer)
+            self._end()
         if out:
             yield self._frame(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        top, finalised, timer, windows = self._marks()
-        if timer is None or expiredTimerInfo.getExpiryTimeInMs() != timer:
+        self._begin()
+        if self.timer is None or expiredTimerInfo.getExpiryTimeInMs() != self.timer:
             return
-        out, windows = self._release([tuple(r) for r in self.pending.get()] if self.pending.exists() else [], windows)
-        self.pending.clear()
-        self.marks.update((int(top), int(max(finalised, top)), None, int(windows)))
+        out = self._release(None)
+        self.finalised, self.timer = max(self.finalised, self.top), None
+        self._end()
         if out:
             yield self._frame(out)
 
@@ -172,6 +195,65 @@ class SequenceProcessor(StatefulProcessor):
         pass
 
 
+class LatestOnly(StatefulProcessor):
+    """One shard of a buffer of the newest ids: the last arrival of each id, and of these the newest ``keep``.
+
+    A repeated id moves to the end of the line; beyond ``keep`` the oldest leaves. State: a row for each id, and its place in the line; what a row costs doesn't depend on how many are held.
+    The buffer as a whole is the newest ``keep`` of all shards, since none of these can have left its shard.
+
+    Output rows: ``change`` (put or evicted), ``place`` (rising in a shard), and the row's columns.
+    """
+
+    def __init__(self, columns: list[str], state: str, ident: str, arrival: str, keep: int):
+        self.columns, self.state, self.ident, self.arrival, self.keep = columns, state, ident, arrival, keep
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.rows = handle.getMapState("rows", "id string", f"place long, {self.state}")
+        self.line = handle.getMapState("line", "place long", "id string")
+        self.marks = handle.getValueState("marks", "first long, next long, held long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        first, after, held = self.marks.get() if self.marks.exists() else (0, 0, 0)
+        frames = [f for f in rows if len(f)]
+        if not frames:
+            return
+        frame = (pd.concat(frames) if len(frames) > 1 else frames[0]).sort_values(self.arrival, kind="stable")
+        frame = frame.drop_duplicates(self.ident, keep="last")  # what a batch itself replaces was never seen
+        out = []
+        for row in frame[self.columns].astype(object).itertuples(index=False, name=None):
+            row = tuple(None if v is pd.NaT or v is None or v != v else v for v in row)
+            ident = (row[self.columns.index(self.ident)],)
+            if self.rows.containsKey(ident):
+                self.line.removeKey((self.rows.getValue(ident)[0],))
+                held -= 1
+            self.rows.updateValue(ident, (after, *row))
+            self.line.updateValue((after,), ident)
+            out.append(("put", after, *row))
+            after, held = after + 1, held + 1
+            while held > self.keep:
+                oldest = (first,)
+                if self.line.containsKey(oldest):
+                    gone = tuple(self.line.getValue(oldest))
+                    out.append(("evicted", *self.rows.getValue(gone)))
+                    self.rows.removeKey(gone)
+                    self.line.removeKey(oldest)
+                    held -= 1
+                first += 1
+        self.marks.update((int(first), int(after), int(held)))
+        yield pd.DataFrame(out, columns=["change", "place", *self.columns])
+
+    def close(self) -> None:
+        pass
+
+
+def latest_stream(df: DataFrame, *, ident: str, arrival: str, keep: int, shards: int = 16) -> DataFrame:
+    """Changes of the buffer of the newest ``keep`` ids, kept in shards by id."""
+    state = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
+    sharded = df.withColumn("ul_shard", F.pmod(F.xxhash64(ident), F.lit(shards)))
+    processor = LatestOnly(df.columns, state, ident, arrival, keep)
+    return sharded.groupBy("ul_shard").transformWithStateInPandas(statefulProcessor=processor, outputStructType=f"ul_shard long, change string, place long, {state}", outputMode="Append", timeMode="None")
+
+
 def sequence_stream(events: DataFrame, *, key: str = "ue_key", **options) -> DataFrame:
     """The sequence operator on a stream of events."""
     state = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in events.schema)
