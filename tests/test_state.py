@@ -2,6 +2,7 @@
 
 import collections
 import itertools
+import json
 import random
 import time
 
@@ -9,7 +10,8 @@ import pandas as pd
 import pytest
 
 from uelumen.contract import ContractError
-from uelumen.streaming import checkpoints, processors
+from uelumen.schemas import TOPICS
+from uelumen.streaming import checkpoints, jobs, processors, transport
 
 
 class Held:
@@ -268,3 +270,33 @@ def test_buffer_shard_evicts_the_oldest():
         [("put", "d", 3), ("put", "e", 1), ("evicted", "a", 2)], [("put", "b", 2), ("evicted", "c", 1)],
     ]
     assert {k[0] for k in held.vars["rows"].rows} == {"d", "e", "b"} and len(held.vars["line"].rows) == 3
+
+
+def test_prediction_buffer_is_rebuilt_from_earliest(spark, tmp_path):
+    """Batch by batch, or all at once in a new query: the same newest ids; and the same as the batch operator."""
+    topics = transport.FileTransport(f"file://{tmp_path}/topics", partitions=2)
+    rng, batches = random.Random(4), []
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        for batch in range(4):
+            rows = [(f"p{rng.randrange(60)}" if rng.random() > 0.05 else "", batch * 100 + i) for i in range(25)]
+            made = spark.createDataFrame(rows, "prediction_id string, n long")
+            keyed = made.selectExpr(f"'{TOPICS['predictions'][0]}' AS topic", "cast(n AS string) AS key", "to_json(struct(*)) AS value", "n AS ul_order")
+            topics.write(keyed, batch, ["ul_order"])
+            batches += rows
+            job = jobs.Settings(checkpoints=f"file://{tmp_path}/cp-a", once=True)
+            run_all(jobs.buffer_job(spark, topics, job, f"file://{tmp_path}/a", keep=20, shards=3))
+        run_all(jobs.buffer_job(spark, topics, jobs.Settings(checkpoints=f"file://{tmp_path}/cp-b", once=True), f"file://{tmp_path}/b", keep=20, shards=3))
+        one, other = (sorted(map(tuple, jobs.read_buffer(spark, f"file://{tmp_path}/{x}").collect())) for x in "ab")
+        assert one == other and len(one) == 20
+        raw = topics.read(spark, TOPICS["predictions"][0]).collect()
+        newest = {}
+        for r in sorted(raw, key=lambda r: (r.kafka_timestamp, r.partition, r.offset)):
+            ident = json.loads(r.value)["prediction_id"] or f"{r.partition}:{r.offset}"
+            newest.pop(ident, None)
+            newest[ident] = r.value
+        assert sorted((i, v) for i, _, v in one) == sorted(list(newest.items())[-20:])
+        assert jobs.read_buffer(spark, f"file://{tmp_path}/none").count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)

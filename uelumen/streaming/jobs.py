@@ -20,8 +20,10 @@ from pyspark.sql.streaming import StreamingQuery
 from uelumen.contract import Contract
 from uelumen.functions.times import epoch_millis
 from uelumen.operators import bronze, scoring, sequences, silver
+from uelumen.operators.analytics import BUFFER_ROWS, latest
 from uelumen.operators.routes import Routed
 from uelumen.plans.layers import Dimensions
+from uelumen.plans.stage import delete
 from uelumen.schemas import BRONZE, GOLD, GOLD_INPUT, SILVER, TOPICS
 from uelumen.sources import ingest
 from uelumen.streaming import processors
@@ -160,6 +162,45 @@ def scoring_job(spark: SparkSession, transport, settings: Settings, models: Sequ
     return _start("scoring", transport.stream(spark, TOPICS["gold"][0], start=settings.start), settings, handle)
 
 
+def _batches(spark: SparkSession, path: str) -> list[int]:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(target) if fs.exists(f.getPath().suffix("/_SUCCESS"))] if fs.exists(target) else []
+    return sorted(int(n.removeprefix("batch=")) for n in names if n.startswith("batch="))
+
+
+def buffer_job(spark: SparkSession, transport, settings: Settings, path: str, *, keep: int = BUFFER_ROWS, shards: int = 16) -> StreamingQuery:
+    """The dashboard's buffer: the last arrival of each prediction id, of these the newest ``keep``, in a table at ``path``.
+
+    Shards hold the state by id; a batch's changes and the table of the batch before make the next table. A batch that is repeated
+    reads the same table and overwrites its own; a new query from ``earliest`` comes to the same rows. Arrival: broker time, then partition and offset. A missing or blank id
+    is replaced by the place of its record.
+    """
+    processors.use_rocksdb(spark)
+    stream = transport.stream(spark, TOPICS["predictions"][0], start=settings.start)
+    parts = [F.lpad(F.col(c).cast("string"), n, "0") for c, n in (("kafka_timestamp", 15), ("partition", 6), ("offset", 19))]
+    ident = F.coalesce(F.nullif(F.get_json_object("value", "$.prediction_id"), F.lit("")), F.concat_ws(":", "partition", "offset"))
+    rows = stream.select(ident.alias("id"), F.concat_ws("-", *parts).alias("arrival"), "value")
+    changes = processors.latest_stream(rows, ident="id", arrival="arrival", keep=keep, shards=shards)
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        put = batch.filter("change = 'put'").select("id", "arrival", "value")  # what a shard evicts is older than its newest ``keep``
+        earlier = [b for b in _batches(spark, path) if b < batch_id]
+        held = put if not earlier else put.union(spark.read.schema(put.schema).parquet(f"{path}/batch={earlier[-1]}"))
+        latest(held, key="id", keep=keep).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        for old in earlier[:-1]:
+            delete(spark, f"{path}/batch={old}")
+
+    return _start("buffer", changes, settings, merge)
+
+
+def read_buffer(spark: SparkSession, path: str) -> DataFrame:
+    """(id, arrival, value) of the buffer after its last batch."""
+    found = _batches(spark, path)
+    schema = "id string, arrival string, value string"
+    return spark.read.schema(schema).parquet(f"{path}/batch={found[-1]}") if found else spark.createDataFrame([], schema)
+
+
 def produce(spark: SparkSession, transport, directory: str, batch_id: int = 0) -> int:
     """Publish the lines of a log directory as raw envelopes; an error unless every line was published."""
     lines = ingest.read_lines(spark, directory)

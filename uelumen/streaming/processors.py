@@ -251,7 +251,7 @@ def latest_stream(df: DataFrame, *, ident: str, arrival: str, keep: int, shards:
     state = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
     sharded = df.withColumn("ul_shard", F.pmod(F.xxhash64(ident), F.lit(shards)))
     processor = LatestOnly(df.columns, state, ident, arrival, keep)
-    return sharded.groupBy("ul_shard").transformWithStateInPandas(statefulProcessor=processor, outputStructType=f"ul_shard long, change string, place long, {state}", outputMode="Append", timeMode="None")
+    return sharded.groupBy("ul_shard").transformWithStateInPandas(statefulProcessor=processor, outputStructType=f"change string, place long, {state}", outputMode="Append", timeMode="None")
 
 
 def sequence_stream(events: DataFrame, *, key: str = "ue_key", **options) -> DataFrame:
