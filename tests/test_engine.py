@@ -201,4 +201,4 @@ def test_analytics(spark):
     points = analytics.chart_points(df.withColumn("ms", F.col("arrival") * 1000), ts_ms="ms", score="anomaly_score").collect()
     assert [p.ms for p in points] == sorted(p.ms for p in points) and points[0].label == "0.500"
     assert values(spark, analytics.rate_label, ["0.1234", "0", "1"]) == ["12.34%", "0.00%", "100.00%"]
-    assert [analytics.bucket_seconds(s) for s in (80, 81, 48_000, 48_001)] == [1, 2, 600, 1200]
+    assert [r[0] for r in spark.createDataFrame([(80,), (81,), (48_000,), (48_001,)], "s long").select(analytics.bucket_seconds(F.col("s"))).collect()] == [1, 2, 600, 1200]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +11,7 @@ from uelumen.operators import scans
 
 BUFFER_ROWS = 3000
 MAX_POINTS = 80
+SHIFT_MS = 7 * 3600 * 1000
 # Bucket sizes of a chart in seconds.
 BUCKETS = (1, 2, 5, 10, 15, 30, 60, 120, 300, 600)
 
@@ -58,6 +57,11 @@ def severity(run: Column) -> Column:
     return F.when(run >= 3, "high").when(run >= 2, "repeated").otherwise("watch")
 
 
+def report_order(ue: str = "ue_key") -> list[Column]:
+    """Longest run, top score and most alerts first."""
+    return [F.col("longest_run").desc(), F.col("max_score").desc(), F.col("anomaly_count").desc(), F.col(ue)]
+
+
 def alert_summary(predictions: DataFrame, *, ue: str = "ue_key", flag: str = "is_anomaly", score: str = "anomaly_score", order: tuple[str, ...] = ("window_end_event_time", "arrival"), arrival: str = "arrival") -> DataFrame:
     """A row per subscriber with an alert: counts, top score and its window, latest window and its score, run, severity.
 
@@ -73,23 +77,52 @@ def alert_summary(predictions: DataFrame, *, ue: str = "ue_key", flag: str = "is
         F.max_by("window_end_event_time", last).alias("latest_window_end"), F.max_by(score, last).alias("latest_score"),
     ).filter("anomaly_count > 0")
     out = grouped.join(longest_runs(predictions, ue=ue, flag=flag, order=order), ue)
-    return out.withColumn("severity", severity(F.col("longest_run"))).orderBy(F.col("longest_run").desc(), F.col("max_score").desc(), F.col("anomaly_count").desc(), F.col(ue))
+    return out.withColumn("severity", severity(F.col("longest_run"))).orderBy(*report_order(ue))
+
+
+def pyramid(rows: DataFrame, *, ts_ms: str, score: str, arrival: str = "arrival", shift_ms: int = SHIFT_MS) -> DataFrame:
+    """(size, bucket, n, from_ms, to_ms, row): for every usual bucket size the highest-score row (first of equals) of each bucket on the local clock.
+
+    Rows are reduced to seconds first; only these make the wider buckets. Pyramids of parts of the rows merge: see :func:`merge_pyramids`.
+    """
+    best = F.max_by("row", F.struct(F.col("row")[score], (-F.col("row")[arrival]).alias("a"))).alias("row")
+    told = [F.sum("n").alias("n"), F.min("from_ms").alias("from_ms"), F.max("to_ms").alias("to_ms"), best]
+    own = rows.select(F.floor((F.col(ts_ms) + shift_ms) / 1000).alias("second"), F.lit(1).cast("long").alias("n"), F.col(ts_ms).alias("from_ms"), F.col(ts_ms).alias("to_ms"), F.struct(*rows.columns).alias("row"))
+    seconds = own.groupBy("second").agg(*told).withColumn("size", F.explode(F.array(*map(F.lit, BUCKETS))))
+    return seconds.groupBy("size", F.floor(F.col("second") / F.col("size")).alias("bucket")).agg(*told)
 
 
-def bucket_seconds(span: float, points: int = MAX_POINTS) -> int:
+def merge_pyramids(one: DataFrame, other: DataFrame, *, score: str, arrival: str = "arrival") -> DataFrame:
+    best = F.max_by("row", F.struct(F.col("row")[score], (-F.col("row")[arrival]).alias("a"))).alias("row")
+    return one.union(other).groupBy("size", "bucket").agg(F.sum("n").alias("n"), F.min("from_ms").alias("from_ms"), F.max("to_ms").alias("to_ms"), best)
+
+
+def bucket_seconds(span: Column, points: int = MAX_POINTS) -> Column:
     """The first usual bucket of at least span / points seconds, else the next multiple of the largest."""
     need = span / points
-    return next((b for b in BUCKETS if b >= need), math.ceil(need / BUCKETS[-1]) * BUCKETS[-1])
+    return F.coalesce(*[F.when(need <= b, F.lit(b)) for b in BUCKETS], (F.ceil(need / BUCKETS[-1]) * BUCKETS[-1])).cast("long")
+
 
+def zoom(levels: DataFrame, *, score: str, arrival: str = "arrival", points: int = MAX_POINTS, from_ms: int | None = None, to_ms: int | None = None) -> DataFrame:
+    """The chart's rows out of a pyramid, for the whole time or for the seconds of a part of it: the level that its span asks for."""
+    held = levels if from_ms is None else levels.filter((F.col("to_ms") >= from_ms) & (F.col("from_ms") <= to_ms))
+    span = held.filter("size = 1").agg((F.max("to_ms") - F.min("from_ms")).alias("ms")).scalar()
+    size = bucket_seconds(span / 1000, points)
+    chosen = held.withColumn("ul_size", size).filter(F.col("size") == F.least(F.col("ul_size"), F.lit(BUCKETS[-1])))
+    wide = chosen.groupBy(F.floor(F.col("bucket") * F.col("size") / F.col("ul_size")).alias("bucket"))
+    return wide.agg(F.max_by("row", F.struct(F.col("row")[score], (-F.col("row")[arrival]).alias("a"))).alias("r")).select("r.*")
 
-def downsample(rows: DataFrame, *, ts_ms: str, score: str, arrival: str = "arrival", points: int = MAX_POINTS, shift_ms: int = 7 * 3600 * 1000) -> DataFrame:
+
+def downsample(rows: DataFrame, *, ts_ms: str, score: str, arrival: str = "arrival", points: int = MAX_POINTS, shift_ms: int = SHIFT_MS) -> DataFrame:
     """The highest-score row (first of equals) of each time bucket on the local clock; all rows if there are few."""
-    low, high, n = rows.agg(F.min(ts_ms), F.max(ts_ms), F.count("*")).first()
-    if n <= points:
-        return rows
-    size = bucket_seconds((high - low) / 1000, points) * 1000
-    best = F.max_by(F.struct(*rows.columns), F.struct(F.col(score), (-F.col(arrival)).alias("a")))
-    return rows.groupBy(F.floor((F.col(ts_ms) + shift_ms) / size).alias("bucket")).agg(best.alias("r")).select("r.*")
+    few = rows.agg((F.count("*") <= points).alias("few")).scalar()
+    levels = pyramid(rows, ts_ms=ts_ms, score=score, arrival=arrival, shift_ms=shift_ms)
+    return rows.filter(few).union(zoom(levels, score=score, arrival=arrival, points=points).filter(~few))
+
+
+def placed(rows: DataFrame, order: list[Column], block: Column, name: str = "place") -> DataFrame:
+    """``rows`` with their place in an order of all, from 0. ``block`` is the number of a stretch of that order; each stretch is a task's."""
+    return scans.numbered(rows, [], order, block, name)
 
 
 def padded_domain(rows: DataFrame, ts_ms: str) -> DataFrame:

@@ -72,17 +72,21 @@ def resolve_identity(bronze: DataFrame, by_msisdn: DataFrame, by_mtmsi: DataFram
     return Routed({"resolved": resolved, "invalid_identity": invalid})
 
 
+def event_reason(alias: Column, canonical: Column, result: Column, outcome: Column) -> Column:
+    """Why an event isn't supported, null if it is: of its normalised id, the catalogue's name for that, its result as given and normalised."""
+    return (
+        F.when(alias.isNull(), "MISSING_EVENT_ID")
+        .when(canonical.isNull(), "UNSUPPORTED_EVENT_ID")
+        .when(result.isNull(), "MISSING_EVENT_RESULT")
+        .when(outcome.isNull(), "UNSUPPORTED_EVENT_RESULT")
+    )
+
+
 def normalise_events(resolved: DataFrame, catalogue: DataFrame, *, failed_at: Column | None = None) -> Routed:
     """``silver`` events of catalogued kinds, and ``unsupported_event`` records."""
     rows = settle(resolved, ul_alias=text.event_name(F.col("event_id")), ul_result=text.event_outcome(F.col("event_result")))
     rows = rows.join(small(catalogue.withColumnRenamed("alias", "ul_alias")), "ul_alias", "left")
-    reason = (
-        F.when(F.col("ul_alias").isNull(), "MISSING_EVENT_ID")
-        .when(F.col("canonical").isNull(), "UNSUPPORTED_EVENT_ID")
-        .when(F.col("event_result").isNull(), "MISSING_EVENT_RESULT")
-        .when(F.col("ul_result").isNull(), "UNSUPPORTED_EVENT_RESULT")
-    )
-    rows = settle(rows, ul_reason=reason)
+    rows = settle(rows, ul_reason=event_reason(F.col("ul_alias"), F.col("canonical"), F.col("event_result"), F.col("ul_result")))
     id_changed, result_changed = ~F.col("event_id").eqNullSafe(F.col("canonical")), ~F.col("event_result").eqNullSafe(F.col("ul_result"))
     warnings = F.filter(F.array(F.when(id_changed, "EVENT_ID_NORMALIZED"), F.when(result_changed, "EVENT_RESULT_NORMALIZED")), lambda w: w.isNotNull())
     field = lambda name: strip_to_null(F.try_element_at("raw_fields", F.lit(name)))

@@ -38,6 +38,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "IMSI": F.when(F.col("n") % 4 == 0, imsi).when(F.col("n") % 97 == 1, "12AB").otherwise(""), "MSISDN": F.when(F.col("n") % 4 == 1, F.concat(F.lit("+84 "), F.lpad(F.col("user_id").cast("string"), 9, "0"))).otherwise(""),
         "MTMSI": F.when(F.col("n") % 4 == 2, F.concat(F.lit("0x"), F.lower(F.hex(F.col("user_id") + 4096)))).otherwise(""), "CAUSE_CODE": F.when(F.col("k") % 3 == 0, "9").otherwise(""), "SUB_CAUSE_CODE": F.when(F.col("k") % 5 == 0, "413").otherwise(""),
         "EVENT_TIME": F.col("ts_ms").cast("string"), "TAC": (F.col("k") + 200).cast("string"), "ECI": (F.col("k") + 300).cast("string"), "PAGING_ATTEMPTS": F.lit("1"),
+        "SUB_TYPE": F.when(F.col("n") % 5 == 0, F.concat(F.lit(" "), (F.col("n") % 3).cast("string"), F.lit(" "))).otherwise(""), "SGSN": F.when(F.col("n") % 9 == 0, F.concat(F.lit("SGSN"), F.col("k").cast("string"))).otherwise(""),
     }
     payload = F.concat_ws(";", *[known.get(f, F.lit("")) for f in RAW_FIELDS])
     return rows.select("n", "user_id", "ts_ms", "duration_ms", "retries", "k", "event_type", F.concat(F.lit("log_"), (F.col("n") % 7).cast("string")).alias("source_file"), (F.col("n") + 1).alias("source_line"), payload.alias("raw_payload"))

@@ -35,10 +35,11 @@ WITH base AS (SELECT event_id AS n, user_id, epoch_us(ts) // 1000 AS ts_ms, even
 line AS (SELECT *, CASE event_type WHEN 'click' THEN 'l_service_request' WHEN 'view' THEN 'l_tau' WHEN 'purchase' THEN ' L-Attach ' WHEN 'signup' THEN 'l_detach' WHEN 'error' THEN 'L_Handover' END AS raw_event,
   ['success', ' Reject ', '', 'ABORT', 'success', 'odd'][n % 6 + 1] AS raw_result, '45204' || lpad(CAST(user_id AS VARCHAR), 10, '0') AS own_imsi,
   CASE WHEN k % 3 = 0 THEN '9' ELSE '' END AS cause, CASE WHEN k % 5 = 0 THEN '413' ELSE '' END AS sub_cause,
+  CASE WHEN n % 5 = 0 THEN ' ' || (n % 3) || ' ' ELSE '' END AS raw_sub_type, CASE WHEN n % 9 = 0 THEN 'SGSN' || k ELSE '' END AS sgsn,
   'log_' || (n % 7) AS source_file, n + 1 AS source_line FROM base),
 rawline AS (SELECT *, CASE WHEN n % 4 = 0 THEN own_imsi WHEN n % 97 = 1 THEN '12AB' ELSE '' END AS imsi, CASE WHEN n % 4 = 1 THEN '+84 ' || lpad(CAST(user_id AS VARCHAR), 9, '0') ELSE '' END AS msisdn,
   CASE WHEN n % 4 = 2 THEN '0x' || lower(to_hex(user_id + 4096)) ELSE '' END AS mtmsi FROM line),
-payload AS (SELECT *, concat_ws(';', raw_event, raw_result, duration_ms, retries, '', msisdn, imsi, mtmsi, '', '', '', k + 200, k + 300, '', '', '', cause, sub_cause, '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', ts_ms, '1', '', '') AS raw_payload FROM rawline),
+payload AS (SELECT *, concat_ws(';', raw_event, raw_result, duration_ms, retries, raw_sub_type, msisdn, imsi, mtmsi, '', '', '', k + 200, k + 300, '', sgsn, '', cause, sub_cause, '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', '', ts_ms, '1', '', '') AS raw_payload FROM rawline),
 rec AS (SELECT *, sha256(source_file || ':' || source_line || ':' || raw_payload) AS raw_record_id FROM payload),
 ident AS (SELECT *, lower(trim(raw_result)) AS result, regexp_replace(regexp_replace(lower(trim(raw_event)), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') AS event_id,
   CASE WHEN imsi = '12AB' THEN 'INVALID_DIRECT_IMSI' WHEN imsi <> '' THEN NULL WHEN msisdn = '' AND mtmsi = '' THEN 'MISSING_IMSI_AND_ALIASES' WHEN user_id % 3 = 0 THEN 'IDENTITY_MAPPING_NOT_FOUND' END AS id_reason FROM rec),
@@ -319,9 +320,9 @@ def _predictions(spark, sf_dir) -> DataFrame:
     ).withColumn("is_anomaly", F.col("anomaly_score") >= 0.8)
 
 
-@query(PRED + "SELECT count(*) AS n, count(DISTINCT ue_key) AS n_ue, count(DISTINCT ue_key) FILTER (is_anomaly) AS n_anomalous_ue, count(*) FILTER (is_anomaly) AS n_anomalies, round(count(*) FILTER (is_anomaly) / count(*)::DOUBLE, 9) AS anomaly_rate, round(avg(anomaly_score), 9) AS mean_score FROM flagged")
+@query(PRED + "SELECT count(*) AS n, count(DISTINCT ue_key) AS n_ue, count(DISTINCT ue_key) FILTER (is_anomaly) AS n_anomalous_ue, count(*) FILTER (is_anomaly) AS n_anomalies, round(count(*) FILTER (is_anomaly) / count(*)::DOUBLE, 9) AS anomaly_rate, round(avg(anomaly_score), 9) AS mean_score, printf('%.2f%%', round(100.0 * count(*) FILTER (is_anomaly) / count(*), 2)) AS rate_label FROM flagged")
 def kpi_summary(spark, sf_dir):
-    out = analytics.kpis(_predictions(spark, sf_dir))
+    out = analytics.kpis(_predictions(spark, sf_dir)).withColumn("rate_label", analytics.rate_label(F.col("anomaly_rate")))
     return out.withColumn("anomaly_rate", F.round("anomaly_rate", 9)).withColumn("mean_score", F.round("mean_score", 9))
 
 
@@ -354,10 +355,12 @@ def run_summaries(spark, sf_dir):
 @query(PRED + _RUNS + """SELECT ue_key, count(*) FILTER (is_anomaly) AS anomaly_count, count(*) AS total_count, max(anomaly_score) FILTER (is_anomaly) AS max_score,
  arg_max(window_end_event_time, row(anomaly_score, -arrival)) FILTER (is_anomaly) AS max_score_window_end, arg_max(window_end_event_time, row(ts_ms, -arrival)) FILTER (is_anomaly) AS latest_window_end,
  arg_max(anomaly_score, row(ts_ms, -arrival)) FILTER (is_anomaly) AS latest_score, any_value(longest_run) AS longest_run,
- CASE WHEN any_value(longest_run) >= 3 THEN 'high' WHEN any_value(longest_run) >= 2 THEN 'repeated' ELSE 'watch' END AS severity
+ CASE WHEN any_value(longest_run) >= 3 THEN 'high' WHEN any_value(longest_run) >= 2 THEN 'repeated' ELSE 'watch' END AS severity,
+ row_number() OVER (ORDER BY any_value(longest_run) DESC, max(anomaly_score) FILTER (is_anomaly) DESC, count(*) FILTER (is_anomaly) DESC, ue_key) - 1 AS place
  FROM flagged JOIN runs USING (ue_key) GROUP BY ue_key HAVING count(*) FILTER (is_anomaly) > 0""")
 def ue_alert_summary(spark, sf_dir):
-    return analytics.alert_summary(_predictions(spark, sf_dir), order=("ts_ms", "arrival"))
+    rows = analytics.alert_summary(_predictions(spark, sf_dir), order=("ts_ms", "arrival"))
+    return analytics.placed(rows, analytics.report_order(), -F.col("longest_run"))
 
 
 @query(PRED + """, span AS (SELECT max(ts_ms) - min(ts_ms) AS ms FROM flagged), b AS (SELECT coalesce((SELECT min(v) FROM (VALUES (1), (2), (5), (10), (15), (30), (60), (120), (300), (600)) t(v) WHERE v >= ms / 80000.0), CAST(ceil(ms / 80000.0 / 600) * 600 AS BIGINT)) * 1000 AS size FROM span),
@@ -405,10 +408,15 @@ def predictions(spark, sf_dir):
     )
 
 
-@query()
+@query(_SCORES + """, top AS (SELECT sample_id, t, z, n, row_number() OVER (PARTITION BY sample_id ORDER BY round(z, 9) DESC, t) AS r FROM sc WHERE model = 'all')
+SELECT sample_id || '::all::None' AS prediction_id, CAST(r - 1 AS INTEGER) AS rank, CAST(t AS INTEGER) AS timestep, round(z, 4) AS contribution, strftime(make_timestamp((ts_ms + 25200000) * 1000), '%H:%M:%S') AS event_time,
+ CASE event_id WHEN 'l_attach' THEN 'Attach' WHEN 'l_detach' THEN 'Detach' WHEN 'l_handover' THEN 'Handover' WHEN 'l_service_request' THEN 'Service Request' ELSE 'Tau' END AS event,
+ CASE result WHEN '' THEN 'Empty' ELSE upper(result[1]) || result[2:] END AS result, CAST(duration_ms AS VARCHAR) AS duration, CASE sub_cause WHEN '' THEN '-' ELSE sub_cause END AS sub_cause, CAST(k + 200 AS VARCHAR) AS tac, CAST(k + 300 AS VARCHAR) AS eci
+FROM top JOIN good USING (n) WHERE r <= 5""")
 def evidence_table(spark, sf_dir):
     gold = stage(_gold(spark, sf_dir), "gold")
-    return analytics.evidence_table(scoring.predictions(gold, _models(gold)[:1]))
+    rows = scoring.predictions(gold, _models(gold)[:1])
+    return analytics.evidence_table(rows).withColumn("contribution", F.round("contribution", 4))
 
 
 @query(BASE + f""", ok AS (SELECT *, {_FAULT} AS error_code FROM ident), kept AS (SELECT * FROM ok WHERE error_code IS NULL),
@@ -435,7 +443,7 @@ def bronze_source(spark, sf_dir):
     return rows.select(F.col("source.offset").alias("n"), "source.source_file", "source.source_line", "source.topic", F.col("source.partition").alias("part"), "source.kafka_timestamp")
 
 
-@query(BASE + "SELECT n, event_id, CAST(duration_ms AS VARCHAR) AS duration, CAST(k + 200 AS VARCHAR) AS tac, msisdn <> '' AS has_msisdn, false AS has_sgsn, '' AS pdn_pgw, '413' = sub_cause AS sub FROM good")
+@query(BASE + "SELECT n, event_id, CAST(duration_ms AS VARCHAR) AS duration, CAST(k + 200 AS VARCHAR) AS tac, msisdn <> '' AS has_msisdn, sgsn <> '' AS has_sgsn, '' AS pdn_pgw, '413' = sub_cause AS sub FROM good")
 def evidence_fields(spark, sf_dir):
     """Fields shown as evidence: own columns first, blank ones left out, raw fields as they are."""
     rows = _silver(spark, sf_dir)
@@ -447,13 +455,104 @@ def evidence_fields(spark, sf_dir):
     )
 
 
-@query(BASE + "SELECT n, '' AS sub_type, '' AS report_side, upper(x[1]) || x[2:] AS result_label FROM (SELECT n, CASE result WHEN '' THEN 'empty' ELSE result END AS x FROM good)")
+@query(BASE + "SELECT n, trim(raw_sub_type) AS sub_type, '' AS report_side, sgsn, upper(x[1]) || x[2:] AS result_label FROM (SELECT n, raw_sub_type, sgsn, CASE result WHEN '' THEN 'empty' ELSE result END AS x FROM good)")
 def silver_optional_fields(spark, sf_dir):
     rows = _silver(spark, sf_dir)
-    return rows.select(F.col("source.offset").alias("n"), F.coalesce("sub_type", F.lit("")).alias("sub_type"), F.coalesce("report_side", F.lit("")).alias("report_side"), F.col("display.event_result_label").alias("result_label"))
+    return rows.select(F.col("source.offset").alias("n"), F.coalesce("sub_type", F.lit("")).alias("sub_type"), F.coalesce("report_side", F.lit("")).alias("report_side"), F.coalesce("sgsn", F.lit("")).alias("sgsn"), F.col("display.event_result_label").alias("result_label"))
 
 
-@query(PRED + "SELECT arrival, window_end_event_time, printf('%.3f', round(anomaly_score, 3)) AS label FROM flagged WHERE ue_key = '7'")
+@query(PRED + """SELECT arrival, window_end_event_time, printf('%.3f', round(anomaly_score, 3)) AS label, row_number() OVER (ORDER BY window_end_event_time, model, arrival) - 1 AS place FROM flagged WHERE ue_key = '7'""")
 def subscriber_history(spark, sf_dir):
     rows = analytics.history(_predictions(spark, sf_dir), "7")
-    return rows.select("arrival", "window_end_event_time", analytics.score_label(F.col("anomaly_score")).alias("label"))
+    rows = analytics.placed(rows, [F.col("window_end_event_time"), F.col("model"), F.col("arrival")], scans.block_of("ts_ms", 24 * scans.HOUR_MS))
+    return rows.select("arrival", "window_end_event_time", analytics.score_label(F.col("anomaly_score")).alias("label"), "place")
+
+
+@query(PRED + """, sizes AS (SELECT unnest([1, 2, 5, 10, 15, 30, 60, 120, 300, 600]) AS size), cut AS (SELECT size, CAST(floor((ts_ms + 25200000) / 1000.0 / size) AS BIGINT) AS bucket, * EXCLUDE (size) FROM flagged, sizes)
+SELECT size, bucket, count(*) AS n, min(ts_ms) AS from_ms, max(ts_ms) AS to_ms, arg_max(arrival, row(anomaly_score, -arrival)) AS arrival FROM cut GROUP BY size, bucket""")
+def chart_pyramid(spark, sf_dir):
+    """Bucket maxima of every zoom, from the pyramids of two halves of the predictions."""
+    rows = _predictions(spark, sf_dir)
+    one, other = (analytics.pyramid(rows.filter(F.col("arrival") % 2 == i), ts_ms="ts_ms", score="anomaly_score") for i in (0, 1))
+    both = analytics.merge_pyramids(one, other, score="anomaly_score")
+    return both.select("size", "bucket", "n", "from_ms", "to_ms", "row.arrival")
+
+
+@query(PRED + """, span AS (SELECT max(ts_ms) - min(ts_ms) AS ms FROM flagged WHERE ue_key = '7'), b AS (SELECT coalesce((SELECT min(v) FROM (VALUES (1), (2), (5), (10), (15), (30), (60), (120), (300), (600)) t(v) WHERE v >= ms / 30000.0), CAST(ceil(ms / 30000.0 / 600) * 600 AS BIGINT)) * 1000 AS size FROM span),
+r AS (SELECT arrival, anomaly_score, ts_ms, row_number() OVER (PARTITION BY floor((ts_ms + 25200000) / size::DOUBLE) ORDER BY anomaly_score DESC, arrival) AS r FROM flagged, b WHERE ue_key = '7')
+SELECT arrival, printf('%.3f', round(anomaly_score, 3)) AS label, row_number() OVER (ORDER BY ts_ms, arrival) - 1 AS place FROM r WHERE r = 1""")
+def chart_series(spark, sf_dir):
+    """The points of a subscriber's chart of some 30 buckets, in order of time."""
+    points = analytics.chart_points(_predictions(spark, sf_dir).filter("ue_key = '7'"), ts_ms="ts_ms", score="anomaly_score", points=30)
+    return analytics.placed(points, [F.col("ts_ms"), F.col("arrival")], scans.block_of("ts_ms", 24 * scans.HOUR_MS)).select("arrival", "label", "place")
+
+
+@query(BASE + """SELECT n, CASE n % 8 WHEN 1 THEN 'empty value' WHEN 2 THEN 'not a JSON object' WHEN 3 THEN 'unknown fields: extra' WHEN 4 THEN 'unknown fields: source.rack' WHEN 5 THEN 'unknown fields: quality.steps[].by'
+ WHEN 6 THEN 'unknown fields: extra,source.rack,quality.steps[].by' END AS fault FROM base""")
+def strict_decode(spark, sf_dir):
+    """JSON records with unknown fields at each level: what a strict reader says of them."""
+    n = F.col("n") % 8
+    add = lambda wanted, name, *fields: F.struct(*fields, F.when(n.isin(wanted), F.col("event_type")).alias(name))
+    source = add([4, 6], "rack", F.col("user_id").alias("file"), F.col("n").alias("line"))
+    steps = F.array(F.struct(F.lit("a").alias("name")), F.struct(F.lit("b").alias("name")))
+    steps = F.when(n.isin(5, 6), F.array(F.struct(F.lit("a").alias("name"), F.lit(None).cast("string").alias("by")), F.struct(F.lit("b").alias("name"), F.lit("x").alias("by")))).otherwise(F.transform(steps, lambda x: F.struct(x["name"].alias("name"), F.lit(None).cast("string").alias("by"))))
+    text = F.to_json(add([3, 6], "extra", F.col("n").alias("id"), source.alias("source"), F.struct(steps.alias("steps")).alias("quality")))
+    text = F.when(n == 1, "").when(n == 2, F.lit("[1]")).otherwise(text)
+    schema = "id long, source struct<file:long,line:long>, quality struct<steps:array<struct<name:string>>>"
+    return telemetry.base(spark, sf_dir).select("n", ingest.json_fault(text, schema).alias("fault"))
+
+
+@query(BASE + """SELECT n, CASE n % 6 WHEN 1 THEN 'MISSING_EVENT_ID' WHEN 2 THEN 'UNSUPPORTED_EVENT_ID' WHEN 3 THEN 'MISSING_EVENT_RESULT' WHEN 4 THEN 'UNSUPPORTED_EVENT_RESULT' END AS reason FROM base""")
+def event_reasons(spark, sf_dir):
+    """Every reason why an event isn't supported; ids and results in spellings that need normalising pass."""
+    n = F.col("n") % 6
+    kind = F.when(n == 1, F.when(F.col("n") % 4 < 2, " -- ")).when(n == 2, F.concat(F.lit("l_"), F.col("event_type"))).otherwise(F.try_element_at(F.create_map(*[F.lit(x) for kv in telemetry.EVENT_OF.items() for x in kv]), F.col("event_type")))
+    result = F.when(n == 3, F.lit(None)).when(n == 4, F.concat(F.lit("success"), F.col("k").cast("string"))).when(n == 5, " ABORT\t").otherwise("")
+    return telemetry.base(spark, sf_dir).select("n", silver.event_reason(text.event_name(kind), F.when(n != 2, kind), result, text.event_outcome(result)).alias("reason"))
+
+
+@query(BASE + """SELECT n, CASE n % 7 WHEN 1 THEN 'INVALID_DIRECT_IMSI' WHEN 2 THEN 'MISSING_IMSI_AND_ALIASES' WHEN 3 THEN 'INVALID_IDENTITY_ALIASES' WHEN 4 THEN 'INVALID_IDENTITY_ALIASES' ELSE CASE WHEN n % 7 IN (5, 6) AND user_id % 3 = 0 THEN 'IDENTITY_MAPPING_NOT_FOUND' END END AS reason,
+ CASE WHEN n % 7 = 0 THEN 'DIRECT_IMSI' WHEN n % 7 = 5 AND user_id % 3 <> 0 THEN 'MSISDN_MAPPING' WHEN n % 7 = 6 AND user_id % 3 <> 0 THEN 'MTMSI_MAPPING' END AS source FROM base""")
+def identity_reasons(spark, sf_dir):
+    """Every reason why an identity isn't resolved, and every way in which it is."""
+    n, user = F.col("n") % 7, F.col("user_id")
+    imsi = F.when(n == 0, F.concat(F.lit(" 45204"), F.lpad(user.cast("string"), 10, "0"))).when(n == 1, F.concat(F.lit("45204x"), user.cast("string"))).when(n == 2, "  ")
+    msisdn = F.when(n == 3, "+84-none").when(n == 5, F.concat(F.lit("+84 "), F.lpad(user.cast("string"), 9, "0"))).when(n == 1, F.concat(F.lit("84"), F.lpad(user.cast("string"), 9, "0")))
+    mtmsi = F.when(n == 4, "0xZZ").when(n == 6, F.concat(F.lit("0x"), F.lower(F.hex(user + 4096))))
+    rows = telemetry.base(spark, sf_dir).select("n", F.col("n").cast("string").alias("raw_record_id"), imsi.alias("imsi"), msisdn.alias("msisdn"), mtmsi.alias("mtmsi"))
+    dims = _dimensions(spark, sf_dir)
+    out = silver.resolve_identity(rows, dims.by_msisdn, dims.by_mtmsi)
+    nothing = F.lit(None).cast("string")
+    return out["resolved"].select("n", nothing.alias("reason"), F.col("resolution_source").alias("source")).union(out["invalid_identity"].select("original_event.n", "reason", nothing.alias("source")))
+
+
+_BROKEN = "schema_version feature_version sequence_length stride sample_id ue_key x_cat_shape x_num_shape x_cat_range x_num_range evidence_length".split()
+
+
+@query(_WINDOWED + "SELECT " + _ISO.format("end_ms") + " AS end_time, ue_key, CASE end_ms // 1000 % 12 " + " ".join(f"WHEN {i} THEN '{b.replace('_shape', ' shape').replace('_range', ' range').replace('e_length', 'e length')}'" for i, b in enumerate(_BROKEN)).replace("sequence length", "sequence_length") + " END AS fault FROM ids")
+def contract_faults(spark, sf_dir):
+    """Gold samples, of 12 eleven broken in one way each: what the contract says of them."""
+    rows = stage(_gold(spark, sf_dir), "gold")
+    kind = (F.floor(times.epoch_millis(F.col("window_end_event_time")) / 1000) % 12).cast("int")
+    at = {b: kind == i for i, b in enumerate(_BROKEN)}
+    cat, num, events = F.col("model_input.x_cat"), F.col("model_input.x_num"), F.col("evidence.events")
+    first = lambda rows, change: F.transform(rows, lambda r, i: F.when(i == 31, change(r)).otherwise(r))
+    cat = F.when(at["x_cat_shape"], F.slice(cat, 1, 31)).when(at["x_cat_range"], first(cat, lambda r: F.transform(r, lambda v, j: F.when(j == 0, F.lit(11).cast("long")).otherwise(v)))).otherwise(cat)
+    num = F.when(at["x_num_shape"], first(num, lambda r: F.slice(r, 1, 1))).when(at["x_num_range"], first(num, lambda r: F.transform(r, lambda v: F.lit(1.5).cast("float")))).otherwise(num)
+    broken = rows.select(
+        "window_end_event_time", F.col("ue_key").alias("own"), F.when(at["schema_version"], "gold-v9").otherwise(F.col("schema_version")).alias("schema_version"), F.when(~at["feature_version"], F.col("feature_version")).alias("feature_version"),
+        F.when(at["sequence_length"], 31).otherwise(F.col("sequence_length")).alias("sequence_length"), F.when(at["stride"], 0).otherwise(F.col("stride")).alias("stride"), F.when(at["sample_id"], "").otherwise(F.col("sample_id")).alias("sample_id"),
+        F.when(~at["ue_key"], F.col("ue_key")).alias("ue_key"), F.struct(cat.alias("x_cat"), num.alias("x_num")).alias("model_input"), F.struct(F.when(at["evidence_length"], F.slice(events, 2, 31)).otherwise(events).alias("events")).alias("evidence"),
+    )
+    return broken.select(F.col("window_end_event_time").alias("end_time"), F.col("own").alias("ue_key"), sequences.contract_fault().alias("fault"))
+
+
+@query(PRED + "SELECT arrival, CASE arrival % 5 WHEN 1 THEN 'anomaly_score' WHEN 2 THEN 'anomaly_threshold' WHEN 3 THEN 'is_anomaly' WHEN 4 THEN 'anomaly_score_is_probability' END AS fault, 'legacy field' AS legacy FROM flagged")
+def prediction_faults(spark, sf_dir):
+    """Prediction records with each invariant broken in turn, and what a record with a field of an older version is told."""
+    n = F.col("arrival") % 5
+    rows = _predictions(spark, sf_dir).select(
+        "arrival", F.when(n == 1, F.col("anomaly_score") + 1.5).otherwise(F.col("anomaly_score")).alias("anomaly_score"), F.when(n == 2, -0.1).otherwise(0.8).alias("anomaly_threshold"),
+        F.when(n == 3, ~F.col("is_anomaly")).otherwise((n == 1) | (F.col("anomaly_score") >= 0.8)).alias("is_anomaly"), (n == 4).alias("anomaly_score_is_probability"),
+    )
+    return rows.select("arrival", scoring.prediction_fault(rows.columns).alias("fault"), scoring.prediction_fault([*rows.columns, "alpha"]).alias("legacy"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, _parse_datatype_string
 
 from uelumen.functions.text import sha256
 
@@ -109,17 +110,35 @@ def kafka_sink_options(servers: str) -> dict[str, str]:
     return {"kafka.bootstrap.servers": servers, "kafka.acks": "all", "kafka.enable.idempotence": "true", "kafka.retries": "2147483647", "kafka.compression.type": "lz4", "kafka.linger.ms": "10", "kafka.batch.size": "65536"}
 
 
-def strict_json(df: DataFrame, ddl: str, value: str = "value", carry: tuple[str, ...] = ()) -> DataFrame:
-    """Typed records of JSON text, with the columns ``carry`` beside; an empty value, text that is no JSON object, or an unknown field fails the job."""
-    from pyspark.sql.types import _parse_datatype_string
-
-    known = F.array(*[F.lit(f.name) for f in _parse_datatype_string(ddl).fields])
-    text = F.col(value)
-    unknown = F.array_except(F.json_object_keys(text), known)
-    fault = (
+def unknown_fields(text: Column, kind: DataType, path: str = "") -> Column:
+    """Paths of the fields of a JSON text that a schema doesn't name, at every level: within structs, arrays and the values of maps."""
+    nothing = F.array().cast("array<string>")
+    inner = lambda items, own, at: F.flatten(F.coalesce(F.transform(items, lambda x: unknown_fields(x, own, at)), F.array(nothing)))
+    nested = (StructType, ArrayType, MapType)
+    if isinstance(kind, StructType):
+        own = F.array_except(F.coalesce(F.json_object_keys(text), nothing), F.array(*[F.lit(f.name) for f in kind.fields]))
+        found = [F.transform(own, lambda k: F.concat(F.lit(path), k))]
+        found += [unknown_fields(F.get_json_object(text, f"$['{f.name}']"), f.dataType, f"{path}{f.name}.") for f in kind.fields if isinstance(f.dataType, nested)]
+        return F.concat(*found)
+    if isinstance(kind, ArrayType) and isinstance(kind.elementType, nested):
+        return inner(F.from_json(text, "array<string>"), kind.elementType, f"{path[:-1]}[].")
+    if isinstance(kind, MapType) and isinstance(kind.valueType, nested):
+        return inner(F.map_values(F.from_json(text, "map<string,string>")), kind.valueType, f"{path}*.")
+    return nothing
+
+
+def json_fault(text: Column, ddl: str) -> Column:
+    """What a strict reader rejects before it looks at types: an empty value, text that is no JSON object, an unknown field at any level; else null."""
+    unknown = unknown_fields(text, _parse_datatype_string(ddl))
+    return (
         F.when(text.isNull() | (text == ""), F.lit("empty value"))
         .when(F.json_object_keys(text).isNull(), F.lit("not a JSON object"))
         .when(F.size(unknown) > 0, F.concat(F.lit("unknown fields: "), F.array_join(unknown, ",")))
     )
-    parsed = F.from_json(text, ddl, {"mode": "FAILFAST"})
+
+
+def strict_json(df: DataFrame, ddl: str, value: str = "value", carry: tuple[str, ...] = ()) -> DataFrame:
+    """Typed records of JSON text, with the columns ``carry`` beside; what :func:`json_fault` tells of fails the job."""
+    fault = json_fault(F.col(value), ddl)
+    parsed = F.from_json(F.col(value), ddl, {"mode": "FAILFAST"})
     return df.select(F.when(fault.isNotNull(), F.raise_error(fault)).otherwise(parsed).alias("r"), *carry).select("r.*", *carry)
