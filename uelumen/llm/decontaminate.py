@@ -12,7 +12,8 @@ re-parameterised question.
 A run of k windows holds one at every k-th place, so only every k-th window of a document is looked up, k being the
 shortest run that an item asks for; a hit is then extended word by word. The windows of the benchmark (hash, item, place: 16 bytes) are broadcast in blocks
 of at most about ``BROADCAST_ROWS``, each of which passes over the documents once; the words of the items follow to the hits, broadcast up to
-``BROADCAST_WORDS`` words. Nothing of a document is shuffled before it has a hit.
+``BROADCAST_WORDS`` words. Windows carry a hash and their place alone, and only documents that have a hit are read again for their words, so the work
+is linear in a text. Nothing of a document is shuffled before it has a hit.
 
 Defined results: null text is empty; items of fewer than ``SIZE`` words have no window and match nothing; repeated
 rows of a document give one row of the result, as do items of equal id; of several alignments the longest counts, and one without a changed value makes the pair
@@ -21,7 +22,7 @@ verbatim; further columns are not read, and carried by :func:`clean_documents`,
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from uelumen.llm.common import stage_table, whole_row
@@ -31,6 +32,7 @@ PLAIN = 5
 RUN = 6
 BROADCAST_ROWS = 500_000
 BROADCAST_WORDS = 2_000_000
+HITS = 512
 # fixed values: units of measure
 UNITS = "mm cm m km in ft yd mi g mg kg lb oz t ml l s ms min h hr hrs day days week weeks month months year years usd eur gbp percent hz khz mhz ghz kb mb gb tb w kw v a c f k"
 _UNIT = "|".join(UNITS.split())
@@ -83,35 +85,55 @@ def items_of(benchmark: DataFrame) -> DataFrame:
     return items.select(F.monotonically_increasing_id().alias("ino"), "item_id", "plain", "itpl", "iraw", "places", "need")
 
 
+def _words_at(hits: DataFrame, source: DataFrame) -> DataFrame:
+    """Hits with the words of their documents that the item covers: ``tpl`` and ``raw``, and ``shift``, by how much the item begins before them (0 or less).
+
+    Only documents with a hit are read again. Some ``HITS`` hits of a document share a row, so that its words are cut out once for all of them.
+    """
+    ids = hits.select("ul_id").distinct()
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+    held = _split(source.select("ul_id", "doc_id", "ul_text").join(ids, "ul_id", "left_semi"), ["ul_id", "doc_id"])
+    held = held.select("ul_id", "doc_id", "tpl", "ptpl", _words("cleaned").alias("raw"))
+    number = F.row_number().over(Window.partitionBy("ul_id").orderBy("ino", "shift"))
+    asked = hits.withColumn("part", F.floor((number - 1) / HITS)).groupBy("ul_id", "part").agg(F.collect_list(F.struct("ino", "plain", "shift", "n")).alias("hits"))
+    cut = "slice({0}, greatest(x.shift, 0) + 1, greatest(x.n + least(x.shift, 0), 0))"
+    words = F.expr(f"transform(hits, x -> struct(x.ino, x.plain, least(x.shift, 0) AS shift, {cut.format('if(x.plain, ptpl, tpl)')} AS tpl, {cut.format('raw')} AS raw))")
+    cut_out = held.join(asked, "ul_id").select("ul_id", "doc_id", words.alias("ul_found"))
+    return cut_out.select("ul_id", "doc_id", F.inline_outer("ul_found"))
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, *, rows: bool = False) -> DataFrame:
     """doc_id, item_id, n_windows (in the longest run), verbatim; with ``rows`` keyed by the input's ul_id."""
     items = stage_table(items_of(benchmark), "items")
     total, stride, words = items.agg(F.sum(F.size("places")), F.min("need"), F.sum(F.size("itpl"))).first()
     blocks = max(1, -(-(total or 0) // BROADCAST_ROWS))
-    source = docs if rows else whole_row(docs, doc_id=F.col("doc_id"), ul_text=F.col("text")).drop("ul_row").withColumn("ul_id", F.monotonically_increasing_id())
-    own = _split(source.select("ul_id", "doc_id", "ul_text"), ["ul_id", "doc_id"])
+    # rows that agree in all that is read are one; a stray equal hash would only cost a check, which reads the text itself
+    source = docs if rows else whole_row(docs, doc_id=F.col("doc_id"), ul_text=F.col("text")).drop("ul_row").withColumn("ul_id", F.xxhash64("doc_id", "ul_text"))
+    own = _split(source.select("ul_id", "doc_id", "ul_text"), ["ul_id"])
     # a filter on the words, or one that Spark infers from an inner explode, would be pushed to the scan with a copy of all the
     # work on the text: short texts get no windows, and the outer form keeps Spark from inferring
     places = f"sequence(0, size(tpl) - {SIZE}, {stride or 1})"
     looked = [f"if(size(tpl) >= {SIZE}, transform({places}, i -> {_hash(name, 'i')}), cast(null AS array<bigint>))" for name in ("tpl", "ptpl")]
-    own = own.select("ul_id", "doc_id", "tpl", "ptpl", "cleaned", F.posexplode_outer(F.arrays_zip(F.expr(looked[0]).alias("t"), F.expr(looked[1]).alias("p"))).alias("step", "w"))
+    own = own.select("ul_id", F.arrays_zip(F.expr(looked[0]).alias("t"), F.expr(looked[1]).alias("p")).alias("ul_w"))
+    own = own.select("ul_id", F.posexplode_outer("ul_w").alias("step", "w"))  # hashes alone: a text isn't copied into its windows
     # the two are mostly one: a window without names
     both = F.when(F.col("w.t") == F.col("w.p"), F.array("w.t")).otherwise(F.array("w.t", "w.p"))
-    own = own.select("ul_id", "doc_id", "tpl", "ptpl", "cleaned", (F.col("step") * (stride or 1)).alias("step"), F.explode_outer(both).alias("h"))
+    own = own.select("ul_id", (F.col("step") * (stride or 1)).alias("step"), F.explode_outer(both).alias("h"))
     found = None
     for block in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("ino"), F.lit(blocks)) == block)
-        bench = part.select("ino", "itpl", F.explode("places").alias("ipos")).select("ino", F.col("ipos").cast("int"), F.expr(_hash("itpl", "ipos")).alias("h"))
-        hits = own.join(F.broadcast(bench), "h").withColumn("shift", F.col("step") - F.col("ipos"))
+        bench = part.select("ino", "plain", "itpl", F.explode("places").alias("ipos"))
+        bench = bench.select("ino", "plain", F.size("itpl").alias("n"), F.col("ipos").cast("int"), F.expr(_hash("itpl", "ipos")).alias("h"))
+        hits = own.join(F.broadcast(bench), "h").select("ul_id", "ino", "plain", "n", (F.col("step") - F.col("ipos")).alias("shift"))
         hits = hits.dropDuplicates(["ul_id", "ino", "shift"])
         found = hits if found is None else found.unionByName(hits)
-    found = found.drop("h", "ipos", "step").join(F.broadcast(items) if (words or 0) <= BROADCAST_WORDS else items, "ino")
-    found = found.withColumn("tpl", F.when(F.col("plain"), F.col("ptpl")).otherwise(F.col("tpl"))).drop("ptpl")
+    found = _words_at(stage_table(found, "hits"), source)
+    found = found.join(F.broadcast(items.drop("plain")) if (words or 0) <= BROADCAST_WORDS else items.drop("plain"), "ino")
     same = f"filter(places, j -> forall(sequence(j, j + {SIZE - 1}), q -> q + shift >= 0 AND get(tpl, q + shift) <=> get(itpl, q)))"
     runs = found.withColumn("at", F.expr(same)).withColumn("n_windows", F.expr(_RUN_OF.format("at")).cast("long")).filter("n_windows >= need")
     covered = f"array_distinct(flatten(transform(at, j -> sequence(j, j + {SIZE - 1}))))"
     pairs = f"array_distinct(transform(filter({covered}, q -> {_SLOT.format('itpl[q]')}), q -> struct(itpl[q] AS t, iraw[q] AS mine, get(raw, q + shift) AS theirs)))"
-    runs = runs.withColumn("raw", F.when(F.col("plain"), F.transform(_words("cleaned"), lambda w: F.translate(w, "¹", ""))).otherwise(_words("cleaned"))).withColumn("pairs", F.expr(pairs))
+    runs = runs.withColumn("raw", F.when(F.col("plain"), F.transform("raw", lambda w: F.translate(w, "¹", ""))).otherwise(F.col("raw"))).withColumn("pairs", F.expr(pairs))
     consistent = "size(pairs) = size(array_distinct(transform(pairs, x -> struct(x.t, x.mine)))) AND size(pairs) = size(array_distinct(transform(pairs, x -> struct(x.t, x.theirs))))"
     runs = runs.filter(consistent).withColumn("verbatim", F.expr("forall(pairs, x -> x.mine = x.theirs)"))
     return runs.groupBy(*(["ul_id"] if rows else ["doc_id", "item_id"])).agg(F.max("n_windows").alias("n_windows"), F.bool_or("verbatim").alias("verbatim"))
