@@ -93,11 +93,11 @@ def test_a_repeated_batch_overwrites_itself(spark, tmp_path):
     topics = transport.FileTransport(f"file://{tmp_path}/t")
     rows = spark.createDataFrame([("b", 2), ("a", 1)], "id string, n int")
     for _ in range(2):
-        assert jobs.publish(topics, {"x": (rows, "some.topic", "id")}, 7, {"x": ["n"]}) == {"x": 2}
+        assert jobs.publish(topics, "x", {"x": (rows, "some.topic", "id")}, 7, {"x": ["n"]}) == {"x": 2}
     got = topics.read(spark, "some.topic").collect()
     assert len(got) == 2 and {json.loads(r.value)["n"] for r in got} == {1, 2} and all(r.offset > 7 * transport.BATCH_OFFSETS for r in got)
     with pytest.raises(Exception, match="blank key"):
-        jobs.publish(topics, {"x": (spark.createDataFrame([(" ", 1)], "id string, n int"), "t", "id")}, 0)
+        jobs.publish(topics, "x", {"x": (spark.createDataFrame([(" ", 1)], "id string, n int"), "t", "id")}, 0)
     with pytest.raises(Exception, match="negative partition"):
         ingest.to_messages(rows, "t", "id", F.lit(-1)).collect()
     assert topics.read(spark, "never.written").count() == 0
@@ -115,7 +115,7 @@ def test_strict_records(spark):
 def test_a_broken_sequence_is_not_committed(spark, tmp_path, settings):
     topics = transport.FileTransport(f"file://{tmp_path}/topics")
     empty = spark.createDataFrame([("gold-sequence-v1", "other", "s", "u")], "schema_version string, feature_version string, sample_id string, ue_key string")
-    jobs.publish(topics, {"gold": (empty, *TOPICS["gold"])}, 0)
+    jobs.publish(topics, "gold", {"gold": (empty, *TOPICS["gold"])}, 0)
     query = jobs.scoring_job(spark, topics, config.settings(settings), [scoring.DeviationModel()])
     with pytest.raises(Exception):
         query.awaitTermination(120)
@@ -149,8 +149,49 @@ def test_configuration(spark, tmp_path):
 def test_latest_leaves_out_what_is_there(spark, tmp_path):
     topics = transport.FileTransport(f"file://{tmp_path}/topics")
     rows = spark.createDataFrame([("a", 1)], "id string, n int")
-    jobs.publish(topics, {"x": (rows, "t", "id")}, 0)
+    jobs.publish(topics, "x", {"x": (rows, "t", "id")}, 0)
     time.sleep(0.1)
     query = topics.stream(spark, "t", start="latest").writeStream.format("memory").queryName("latest").option("checkpointLocation", f"file://{tmp_path}/cp").trigger(availableNow=True).start()
     run(query)
     assert spark.table("latest").count() == 0
+
+
+def test_a_batch_is_published_whole_and_once(spark, tmp_path, monkeypatch):
+    """Killed before the commit: nothing to read, the next run brings all. Killed after it: the next run adds nothing."""
+    root = f"file://{tmp_path}/topics"
+    topics = transport.FileTransport(root, partitions=1)
+    raw = spark.createDataFrame([(str(i), i) for i in range(6)], "raw_record_id string, n int")
+    jobs.publish(topics, "producer", {"raw": (raw, *TOPICS["raw"])}, 0)
+    whole = transport.FileTransport._publish
+
+    def two_routes(batch, batch_id):
+        rows = batch.selectExpr("get_json_object(value, '$.raw_record_id') AS id", "offset")
+        sent = jobs.publish(topics, "job", {"even": (rows.filter("offset % 2 = 0"), "even", "id"), "odd": (rows.filter("offset % 2 = 1"), "odd", "id")}, batch_id)
+        assert sent == {"even": 3, "odd": 3}
+
+    def once():
+        query = topics.stream(spark, TOPICS["raw"][0]).writeStream.foreachBatch(two_routes).option("checkpointLocation", f"file://{tmp_path}/cp").trigger(availableNow=True).start()
+        try:
+            query.awaitTermination(120)
+        except Exception:  # the batch has failed
+            pass
+        return query.exception()
+
+    def held():
+        return [sorted(json.loads(r.value)["id"] for r in topics.read(spark, t).collect()) for t in ("even", "odd")]
+
+    def before(fs, staging, target):
+        raise OSError("killed before the commit")
+
+    def after(fs, staging, target):
+        whole(fs, staging, target)
+        raise OSError("killed after the commit")
+
+    monkeypatch.setattr(transport.FileTransport, "_publish", staticmethod(before))
+    assert once() is not None and held() == [[], []]
+    monkeypatch.setattr(transport.FileTransport, "_publish", staticmethod(after))
+    assert once() is not None and held() == [["1", "3", "5"], ["0", "2", "4"]]
+    monkeypatch.setattr(transport.FileTransport, "_publish", staticmethod(whole))
+    assert once() is None and held() == [["1", "3", "5"], ["0", "2", "4"]]
+    topics.clear_staging(spark)
+    assert not (tmp_path / "topics" / "_staging").exists()

@@ -283,7 +283,7 @@ def test_prediction_buffer_is_rebuilt_from_earliest(spark, tmp_path):
             rows = [(f"p{rng.randrange(60)}" if rng.random() > 0.05 else "", batch * 100 + i) for i in range(25)]
             made = spark.createDataFrame(rows, "prediction_id string, n long")
             keyed = made.selectExpr(f"'{TOPICS['predictions'][0]}' AS topic", "cast(n AS string) AS key", "to_json(struct(*)) AS value", "n AS ul_order")
-            topics.write(keyed, batch, ["ul_order"])
+            topics.commit([(keyed, ["ul_order"])], batch, "scoring")
             batches += rows
             job = jobs.Settings(checkpoints=f"file://{tmp_path}/cp-a", once=True)
             run_all(jobs.buffer_job(spark, topics, job, f"file://{tmp_path}/a", keep=20, shards=3))

@@ -1,9 +1,9 @@
 """The streaming jobs: raw records to Bronze, Silver, Gold and predictions, each from its topic to its topics.
 
 A job is one or two named queries with a checkpoint of its own, so a restart goes on where the last committed batch ended and the state keeps its
-place; names and state columns are part of what must not change between versions. A batch is committed after all its outputs are published
-(for predictions: those of all models). Outputs are written in ``foreachBatch``, each route to its topic under the batch's number, so a
-batch that is repeated after a failure overwrites itself.
+place; names and state columns are part of what must not change between versions. All outputs of a batch (for predictions: those of all models) are
+published by one commit in ``foreachBatch``, under the names of the job and the batch, before Spark notes the batch as done; a batch that is repeated after a failure
+finds what it has published.
 
 Silver needs two queries: identity and catalogue have side outputs before duplicates and lateness need state. Between them stands an internal topic.
 """
@@ -49,20 +49,16 @@ class Settings:
         ingest.check_start(self.start)
 
 
-def publish(transport, routed: dict[str, tuple[DataFrame, str, str]], batch_id: int, order: dict[str, list[str]] | None = None, partition=None) -> dict[str, int]:
-    """Each output (rows, topic, key column) to its topic; how many messages each had."""
-    sent = {}
+def publish(transport, job: str, routed: dict[str, tuple[DataFrame, str, str]], batch_id: int, order: dict[str, list[str]] | None = None, partition=None) -> dict[str, int]:
+    """Each output (rows, topic, key column) to its topic, all in one commit of the job's batch; how many messages each had."""
+    outputs = []
     for name, (rows, topic, key) in routed.items():
         order_by = (order or {}).get(name)
         carried = rows.select("*", *[F.col(c).alias(f"ul_order{i}") for i, c in enumerate(order_by or [])])
         made = ingest.to_messages(rows, topic, key, partition if name == "bronze" else None, carry=carried if order_by else None)
-        made = made.persist()
-        try:
-            sent[name] = made.count()
-            transport.write(made, batch_id, [c for c in made.columns if c.startswith("ul_order")] or None)
-        finally:
-            made.unpersist()
-    return sent
+        outputs.append((made, [c for c in made.columns if c.startswith("ul_order")] or None))
+    sent = transport.commit(outputs, batch_id, job)
+    return {name: sent.get(topic, 0) for name, (_, topic, _) in routed.items()}
 
 
 def _start(name: str, stream: DataFrame, settings: Settings, handle: Callable[[DataFrame, int], None]) -> StreamingQuery:
@@ -89,7 +85,7 @@ def bronze_job(spark: SparkSession, transport, settings: Settings, **options) ->
     def handle(batch: DataFrame, batch_id: int) -> None:
         parsed = bronze.parse(batch, **options).persist()
         try:
-            publish(transport, _routes(bronze.split(parsed), {"bronze": "bronze", "dlq": "bronze_dlq"}), batch_id, {"bronze": ["source.offset"], "dlq": ["source.offset"]}, F.col("source.partition"))
+            publish(transport, "bronze", _routes(bronze.split(parsed), {"bronze": "bronze", "dlq": "bronze_dlq"}), batch_id, {"bronze": ["source.offset"], "dlq": ["source.offset"]}, F.col("source.partition"))
         finally:
             parsed.unpersist()
 
@@ -104,7 +100,7 @@ def silver_jobs(spark: SparkSession, transport, settings: Settings, dims: Dimens
         resolved = silver.resolve_identity(events, dims.by_msisdn, dims.by_mtmsi)
         known = silver.normalise_events(resolved["resolved"], dims.catalogue)
         side = _routes(resolved, {"invalid_identity": "invalid_identity"}) | _routes(known, {"unsupported_event": "unsupported_event"})
-        publish(transport, side | {"candidate": (known["silver"], *CANDIDATES)}, batch_id, {"candidate": ["source.topic", "source.partition", "source.offset"]})
+        publish(transport, "silver-route", side | {"candidate": (known["silver"], *CANDIDATES)}, batch_id, {"candidate": ["source.topic", "source.partition", "source.offset"]})
 
     processors.use_rocksdb(spark)
     routing = _start("silver-route", transport.stream(spark, TOPICS["bronze"][0], start=settings.start), settings, route)
@@ -120,7 +116,7 @@ def silver_jobs(spark: SparkSession, transport, settings: Settings, dims: Dimens
         try:
             own = [c for c in batch.columns if not c.startswith("ul_") and c != "late"]
             outputs = Routed({"silver": batch.filter(~F.col("late")).select(own), "late": batch.filter("late").select(own)})
-            publish(transport, _routes(outputs, {"silver": "silver", "late": "silver_late"}), batch_id, {"silver": ["source.offset"], "late": ["source.offset"]})
+            publish(transport, "silver", _routes(outputs, {"silver": "silver", "late": "silver_late"}), batch_id, {"silver": ["source.offset"], "late": ["source.offset"]})
         finally:
             batch.unpersist()
 
@@ -144,7 +140,7 @@ def gold_job(spark: SparkSession, transport, settings: Settings, contract: Contr
             windows = windows.select("ue_key", "window_no", F.transform("w", lambda x: x["e"]).alias("events"))
             outputs = sequences.samples_of(windows, contract)
             late = batch.filter("route = 'too_late'").select("e.*")
-            publish(transport, _routes(outputs, {"gold": "gold", "invalid_feature": "invalid_feature"}) | {"too_late": (late, *TOPICS["too_late"])}, batch_id)
+            publish(transport, "gold", _routes(outputs, {"gold": "gold", "invalid_feature": "invalid_feature"}) | {"too_late": (late, *TOPICS["too_late"])}, batch_id)
         finally:
             batch.unpersist()
 
@@ -157,7 +153,7 @@ def scoring_job(spark: SparkSession, transport, settings: Settings, models: Sequ
     def handle(batch: DataFrame, batch_id: int) -> None:
         gold = ingest.strict_json(batch, GOLD)
         checked = gold.withColumn("sample_id", F.when(sequences.contract_fault(contract).isNull(), F.col("sample_id")).otherwise(F.raise_error(F.concat(F.lit("a gold sequence breaks the contract: "), sequences.contract_fault(contract)))))
-        publish(transport, {"predictions": (scoring.predictions(checked, models), *TOPICS["predictions"])}, batch_id)
+        publish(transport, "scoring", {"predictions": (scoring.predictions(checked, models), *TOPICS["predictions"])}, batch_id)
 
     return _start("scoring", transport.stream(spark, TOPICS["gold"][0], start=settings.start), settings, handle)
 
@@ -206,7 +202,7 @@ def produce(spark: SparkSession, transport, directory: str, batch_id: int = 0) -
     lines = ingest.read_lines(spark, directory)
     rows = ingest.envelopes(lines)
     topic, key = TOPICS["raw"]
-    sent = publish(transport, {"raw": (rows, topic, key)}, batch_id, {"raw": ["source_file", "source_line"]})["raw"]
+    sent = publish(transport, "producer", {"raw": (rows, topic, key)}, batch_id, {"raw": ["source_file", "source_line"]})["raw"]
     if sent != (read := lines.count()):
         raise RuntimeError(f"{read} lines were read and {sent} published")
     return sent
