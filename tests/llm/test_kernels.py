@@ -7,6 +7,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -300,6 +301,23 @@ def brute_guess_cost(value, ranks):
     return min(sum(price(i, j) for i, j in zip(cuts, cuts[1:])) for k in range(len(value)) for cuts in ([0, *c, len(value)] for c in itertools.combinations(range(1, len(value)), k)))
 
 
+def test_guess_cost_of_long_words_is_linear():
+    rng = random.Random(2)
+    word = "".join(rng.choice("bcdfgh") for _ in range(40_000))
+    words = secrets.Dictionary({word: 7, word[:30_000]: 9})
+    began = time.time()
+    assert math.isclose(secrets.guess_cost(word.upper(), words), math.log10(7) + 0.6)
+    assert math.isclose(secrets.guess_cost(word[:30_000], words), math.log10(9) + 0.3)
+    assert time.time() - began < 20  # every length of a word in turn took 20 s at 4,000 letters
+
+
+def test_words_of_a_text_with_many_credentials():
+    text = " ".join(f"pin: v{i}alue{i} other" for i in range(60_000))
+    began = time.time()
+    assert secrets.words_of(text) == {"pin", "other"}
+    assert time.time() - began < 5  # linear: the text isn't built anew for each
+
+
 def test_guess_cost_against_every_segmentation():
     rng = random.Random(4)
     ranks = {"house": 40, "sun": 900, "été": 7, "passage": 3000}

@@ -19,12 +19,15 @@ points, end exclusive.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 import re
 from collections import Counter
 from collections.abc import Iterator, Mapping
+from itertools import accumulate
 
+import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -71,8 +74,11 @@ def words_of(text: str) -> set[str]:
     """Different words of a text, those in credential values left out."""
     lower = text.lower()
     if len(lower) == len(text):  # else places differ; the values then are few letters among the words of the corpus
+        rest, at = [], 0
         for start, end in _values(text, lower):
-            lower = lower[:start] + " " * (end - start) + lower[end:]
+            rest.append(lower[at:start])
+            at = end
+        lower = " ".join([*rest, lower[at:]])
     return set(LETTERS.findall(" ".join(set(lower.split()))))
 
 
@@ -113,18 +119,20 @@ def _lower(value: str) -> list[str]:
     return [c if len(low := c.lower()) > 1 else low for c in value]
 
 
-def _segments(value: str, words: Mapping[str, int], longest: int) -> list[list[tuple[int, float]]]:
-    """For each end position, the (start, cost) of each word, date and keyboard segment that ends there."""
-    n, lower = len(value), "".join(_lower(value))
+def _segments(value: str, words: Dictionary) -> list[list[tuple[int, float]]]:
+    """For each end position, the (start, cost) of each word, date and keyboard segment that ends there. Words are found by one walk of an automaton, whatever their length."""
+    n, letters = len(value), _lower(value)
+    lower = "".join(letters)
     plain = lower.translate(LEET)
     out: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
+    capital = [0, *accumulate(c != c.lower() for c in value)]  # how many before a place
+    changed = [0, *accumulate(c != p for c, p in zip(lower, plain))]
+    for spelling in {lower, plain}:
+        for last, (size, cost) in words.automaton.iter(spelling):
+            start, end = last + 1 - size, last + 1
+            disguised = spelling != lower and changed[end] > changed[start]
+            out[end].append((start, cost + 0.3 * (capital[end] > capital[start]) + 0.3 * disguised))
     for i in range(n):
-        for size in range(WORD_LETTERS, min(longest, n - i) + 1):
-            raw = value[i : i + size]
-            for word in {lower[i : i + size], plain[i : i + size]}:
-                ranks = [r for r in (WORDS.get(word), words.get(word)) if r]
-                if ranks:
-                    out[i + size].append((i, math.log10(min(ranks)) + 0.3 * (raw != raw.lower()) + 0.3 * (lower[i : i + size] != word)))
         if m := DATE.match(value, i):
             out[m.end()].append((i, 2.0 if m.end() - i == 4 else 4.5))
         for row in ROWS:
@@ -178,7 +186,21 @@ class Dictionary:
     """Ranked words beside the usual passwords."""
 
     def __init__(self, ranks: Mapping[str, int]):
-        self.ranks, self.longest = ranks, max(map(len, [*ranks, *WORDS]))
+        self.ranks = ranks
+
+    @functools.cached_property
+    def automaton(self) -> ahocorasick.Automaton:
+        """Finds every word of either list that a text holds: (its length, log10 of its lower rank)."""
+        made = ahocorasick.Automaton()
+        for word in self.ranks.keys() | WORDS.keys():
+            ranks = [r for r in (WORDS.get(word), self.ranks.get(word)) if r]
+            if len(word) >= WORD_LETTERS and ranks:
+                made.add_word(word, (len(word), math.log10(min(ranks))))
+        made.make_automaton()
+        return made
+
+    def __getstate__(self) -> dict:
+        return {"ranks": self.ranks}  # each worker builds its own
 
 
 NO_WORDS = Dictionary({})
@@ -186,7 +208,7 @@ NO_WORDS = Dictionary({})
 
 def guess_cost(value: str, words: Dictionary = NO_WORDS) -> float:
     """log10 guesses of the cheapest segmentation; each further segment costs a little too."""
-    segments = _segments(value, words.ranks, words.longest)
+    segments = _segments(value, words)
     lower, rates = _lower(value), list(map(_rate, value))
     repeats = [_Repeats(period) for period in (1, 2, 3, 4)]
     best = [0.0] + [math.inf] * len(value)
