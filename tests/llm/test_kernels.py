@@ -388,6 +388,26 @@ def test_bpe():
         assert decoded == library.decode(ids, skip_special_tokens=False)
 
 
+def test_bpe_plain_texts():
+    """Plain texts are cut as whole arrays, each different word of a chunk is looked at once, and words of the chunk before aren't looked at again."""
+    import unicodedata
+
+    assert all(unicodedata.normalize("NFC", chr(i)) == chr(i) for i in np.flatnonzero(bpe.KIND != bpe.ODD).tolist())
+    coder, library, rng = bpe.Bpe(VOCAB), Tokenizer.from_file(VOCAB), random.Random(6)
+    for letters in ("aAbéÉŸ'’sStdmlrev1²½€…—ªº \n\t-\"\x85\xa0\x1c", "'stmdrevl' x1", "ab é<|> σ中"):
+        texts = [None, *("".join(rng.choices(letters, k=rng.randint(0, 40))) for _ in range(3000)), "a<|endoftext|>'s", "", "'", "'s"]
+        flat, counts = coder.encode_all(pa.array(texts, pa.string()))
+        want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])] == want
+    coder.release()
+    coder.words = 0
+    for text in ("Wort, wort; (Wort) WORT.", "wort wort! neu."):
+        coder.encode_all(pa.array([text] * 50))
+    assert coder.words == len({"wort", ",", ";", "(", ")", "."}) + len({"!", "neu"})  # "Wort," and "wort;" were entries of their own before
+    assert not coder.young  # no run is kept for plain texts
+    assert len(coder.encode_all(pa.array([], pa.string()))[0]) == 0
+
+
 def test_bpe_speculation_is_exact():
     coder, rng = bpe.Bpe(VOCAB), random.Random(8)
     parts = ["an", "er", "th", "the", "ing", "ation", "aaa", "sch", "x", "zz", "\u00e9", "1", "sh"]

@@ -11,10 +11,12 @@ is proposed, and where none is the token before is shortened, up to ``TRIES`` ti
 two pieces that then meet at the border must have no merge of their own before the one undone last. Only words that
 fail then are merged exactly, all of them in step: the pair of the lowest rank of each word at a time.
 
-The runs between ASCII white space are numbered by Arrow, each different run of a chunk is looked at once, and the ids of the texts are gathered from those
-of the runs. Words repeat, so a worker keeps the ids of the runs that it has seen lately, in two generations of at
-most ``CACHE_BYTES`` each (plus the runs of one chunk of ``CHUNK`` bytes of text). The runs are let go at
-the end of each task.
+Plain texts (Latin letters and general punctuation, no special strings) are lower-cased and cut into words as whole arrays of bytes, some ``CHUNK`` bytes of
+text at a time: a word begins where the kind of character changes, at each number and after a contraction. Arrow numbers the words, each different one
+is looked at once, and the ids of the texts are gathered from those of the words. Words repeat, so those of the chunk before are kept.
+
+Of other texts the runs between ASCII white space are numbered in the same way, and cut by the patterns. A worker keeps the ids of the runs that it has seen lately, in two generations of at
+most ``CACHE_BYTES`` each (plus the runs of one chunk). Words and runs are let go at the end of each task.
 
 Defined results: null text is empty and has no tokens; the special strings of the vocabulary become their ids as in
 the library; texts are read whole; repeated rows are each encoded; an empty table gives an empty result; only the columns
@@ -43,7 +45,7 @@ from uelumen.llm.lookup import FREE, Lookup
 
 CACHE_BYTES = 24 << 20
 ENTRY_BYTES = 200
-CHUNK = 2 << 20
+CHUNK = 4 << 20
 AT_ONCE = 40_000
 LONG = 64
 TRIES = 24
@@ -52,6 +54,8 @@ MARK = b"\xff\xff\xff\xff"  # no id: it stays the only one whose last byte isn't
 END = "</w>"
 STOP = 0xFF
 LAST = np.int32(2**31 - 1)
+PLAIN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"  # what _cut_words does
+SPACE, LETTER, NUMBER, OTHER, ODD = range(5)
 
 
 def _byte_chars() -> list[str]:
@@ -81,6 +85,7 @@ class Bpe:
         ascii_pattern = pattern.replace(r"\p{L}", "a-zA-Z").replace(r"\p{N}", "0-9")
         self.ascii_word = re.compile(ascii_pattern.encode())
         self.lines, self.ascii_lines = regex.compile(pattern + "|\n"), re.compile((ascii_pattern + "|\n").encode())
+        self.plain = pattern == PLAIN_PATTERN
         self.stand_in = _byte_chars()
         self.byte_of = {c: i for i, c in enumerate(self.stand_in)}
         self.base = np.array([vocab[c] for c in self.stand_in], np.int32)
@@ -106,6 +111,7 @@ class Bpe:
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         self.held = 0
+        self.known: tuple[pa.Array, np.ndarray, np.ndarray] | None = None  # the words of the chunk before, their ids and how many each has
         self.words = self.settled = self.at_first = 0
 
     @property
@@ -295,17 +301,18 @@ class Bpe:
             self.verdict_keys[slot[new]], self.verdicts[slot[new]] = keys[new], found
         return out
 
-    def speculate(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of the words whose cut holds, one word after the other, how many each has, and the words that are left."""
-        stop = bytes([STOP])
-        flat = np.frombuffer(stop.join(words) + stop + stop, np.uint8)
+    def speculate(self, raw: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the words whose cut holds, one word after the other, how many each has, and the words that are left; ``raw`` has the bytes of all words."""
+        n = len(sizes)
+        flat = np.full(len(raw) + n + 1, STOP, np.uint8)
+        flat[np.arange(len(raw)) + np.repeat(np.arange(n), sizes)] = raw
         best = self._longest(flat)
-        sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        sizes = sizes + 1
         pos = np.cumsum(sizes) - sizes
-        cut = np.full((int(sizes.max()) + 1, len(words)), -1, np.int32)  # after row 0, the tokens of each word so far
-        depth, tries = np.zeros(len(words), np.int64), np.zeros(len(words), np.int32)
+        cut = np.full((int(sizes.max()) + 1, n), -1, np.int32)  # after row 0, the tokens of each word so far
+        depth, tries = np.zeros(n, np.int64), np.zeros(n, np.int32)
         shut = np.zeros(len(flat), bool)  # places where no token fits: the cut up to a place is always the same
-        going, token, left = np.arange(len(words)), best[pos], []
+        going, token, left = np.arange(n), best[pos], []
         while len(going):
             at, before = pos[going], cut[depth[going], going]
             after = at + self.length[token]
@@ -338,31 +345,44 @@ class Bpe:
             going, token = np.concatenate([on, back]), np.concatenate([best[pos[on]], shorter])
         failed = np.sort(np.concatenate(left)) if left else np.zeros(0, np.int64)
         depth[failed] = 0
-        self.words += len(words)
-        self.settled += len(words) - len(failed)
+        self.words += n
+        self.settled += n - len(failed)
         self.at_first += int((tries == 0).sum())
         taken = np.arange(1, len(cut))[:, None] <= depth
         return cut[1:].T[taken.T], depth, failed
 
-    def encode_words(self, words: list[bytes]) -> list[bytes]:
-        """The ids of each word, little-endian u32."""
-        out: list[bytes] = [b""] * len(words)
-        short = [i for i, w in enumerate(words) if len(w) <= LONG]
+    def encode_array(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words (binary, none of them empty), one word after the other, and how many each has."""
+        raw, ends = _buffers(words)
+        sizes = np.diff(ends)
+        short = np.flatnonzero(sizes <= LONG)
+        if len(short) < len(words):
+            raw, ends = _buffers(words.take(pa.array(short)))
+        done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # numbers of words, how many ids each has, and the ids
         for k in range(0, len(short), AT_ONCE):
             part = short[k : k + AT_ONCE]
-            own = [words[i] for i in part]
-            ids, counts, left = self.speculate(own)
-            _deal(ids, counts, part, out)
+            at, own = ends[k : k + len(part) + 1], sizes[part]
+            ids, counts, left = self.speculate(raw[at[0] : at[-1]], own)
+            done.append((part, counts, ids))
             if len(left):
-                rest = [own[i] for i in left.tolist()]
-                sizes = np.fromiter(map(len, rest), np.int64, len(rest))
-                ids, counts = self.merge_all(self._symbols(np.frombuffer(b"".join(rest), np.uint8), sizes), sizes)
-                _deal(ids, counts, [part[i] for i in left.tolist()], out)
-        if len(short) < len(words):
-            for i, w in enumerate(words):
-                if len(w) > LONG:
-                    out[i] = self.merge_long(w).astype("<u4").tobytes()
-        return out
+                rest = raw[np.repeat(at[left] - (np.cumsum(own[left]) - own[left]), own[left]) + np.arange(own[left].sum())]
+                ids, counts = self.merge_all(self._symbols(rest, own[left]), own[left])
+                done.append((part[left], counts, ids))
+        for i in np.flatnonzero(sizes > LONG).tolist():
+            ids = self.merge_long(words[i].as_py())
+            done.append((np.array([i]), np.array([len(ids)]), ids))
+        if not done:
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        numbers, counts, ids = (np.concatenate(x) for x in zip(*done))
+        if (numbers[1:] < numbers[:-1]).any():
+            ids = ids[np.argsort(np.repeat(numbers, counts), kind="stable")]
+        return ids, np.bincount(numbers, counts, len(words)).astype(np.int64)
+
+    def encode_words(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word, little-endian u32."""
+        ids, counts = self.encode_array(pa.array(words, pa.large_binary()))
+        raw, ends = ids.astype("<u4").tobytes(), np.cumsum(counts * 4).tolist()
+        return [raw[i:j] for i, j in zip([0, *ends], ends)]
 
     # texts ---------------------------------------------------------------------------------------------------
 
@@ -421,10 +441,54 @@ class Bpe:
         return np.concatenate(ids) if ids else np.zeros(0, "<u4"), np.concatenate(counts) if counts else np.zeros(0, np.int64)
 
     def _encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        if not self.plain:
+            return self._encode_runs(texts)
+        flat, begins = _buffers(texts)
+        lead = np.flatnonzero(flat >= 0xC0)
+        code = _code_points(flat, lead)
+        odd = pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)
+        strange = lead[KIND.take(code) == ODD]
+        odd[np.searchsorted(begins, strange, "right") - 1] = True
+        if not odd.any():
+            return self._encode_plain(flat, begins, lead, code)
+        # each kind of text by its own way, in the order of the texts
+        counts = np.zeros(len(texts), np.int64)
+        plain = texts.filter(pa.array(~odd))
+        flat, begins = _buffers(plain)
+        lead = np.flatnonzero(flat >= 0xC0)
+        ids, counts[~odd] = self._encode_plain(flat, begins, lead, _code_points(flat, lead))
+        odd_ids, counts[odd] = self._encode_runs(texts.filter(pa.array(odd)))
+        own = np.repeat(odd, counts)
+        out = np.empty(len(own), "<u4")
+        out[own], out[~own] = odd_ids, ids
+        return out, counts
+
+    def _encode_plain(self, flat: np.ndarray, begins: np.ndarray, lead: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        words, borders = _cut_words(flat, begins, lead, code)
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary
+        counts = np.zeros(len(distinct), np.int64)
+        if self.known is not None:
+            words, store, size = self.known
+            at = pc.index_in(distinct, words)
+            fresh = at.is_null().to_numpy(zero_copy_only=False)
+            own, counts[~fresh] = _gather(store, size, at.drop_null().to_numpy())
+            ids, counts[fresh] = self.encode_array(distinct.filter(pa.array(fresh)))
+            new = np.repeat(fresh, counts)
+            store = np.empty(len(new), np.int32)
+            store[new], store[~new] = ids, own
+        else:
+            store, counts = self.encode_array(distinct)
+        self.known = distinct, store, counts
+        ids, per_word = _gather(store, counts, coded.indices.to_numpy())
+        return ids.astype("<u4", copy=False), np.diff(np.concatenate([[0], np.cumsum(per_word)])[borders])
+
+    def _encode_runs(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if self.held > CACHE_BYTES:
             self.old, self.young, self.held = self.young, {}, 0
         runs, old = self.young, self.old
-        cut = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))  # the word pattern never crosses ASCII white space
+        cut = pc.ascii_split_whitespace(texts)  # the word pattern never crosses ASCII white space
         coded = cut.flatten().dictionary_encode()
         code, distinct = coded.indices.to_numpy(), byte_list(coded.dictionary)
         found = list(map(runs.get, distinct))
@@ -439,16 +503,13 @@ class Bpe:
         # the ids of each run, from those of the distinct ones
         store = np.frombuffer(b"".join(found), "<u4")
         size = np.fromiter(map(len, found), np.int64, len(found)) >> 2
-        start = np.cumsum(size) - size
-        per_run = size.take(code)
-        ends = np.cumsum(per_run)
-        total = int(ends[-1]) if len(ends) else 0
-        place = np.repeat(start.take(code) - (ends - per_run), per_run) + np.arange(total)
-        borders = np.concatenate([[0], ends])[cut.offsets.to_numpy() - cut.offsets[0].as_py()]
-        return store.take(place), np.diff(borders)
+        flat, per_run = _gather(store, size, code)
+        borders = np.concatenate([[0], np.cumsum(per_run)])[cut.offsets.to_numpy() - cut.offsets[0].as_py()]
+        return flat, np.diff(borders)
 
     def release(self) -> None:
-        """Let the runs go."""
+        """Let words and runs go."""
+        self.known = None
         self.young, self.old, self.held = {}, {}, 0
 
     def decode_all(self, ids: np.ndarray, counts: np.ndarray) -> pa.Array:
@@ -467,18 +528,90 @@ def byte_list(texts: pa.Array) -> list[bytes]:
     return [raw[i:j] for i, j in zip(ends, ends[1:])]
 
 
-def _deal(ids: np.ndarray, counts: np.ndarray, to: list[int], out: list[bytes]) -> None:
-    raw = ids.astype("<u4").tobytes()
-    ends = np.cumsum(counts * 4).tolist()
-    at = 0
-    for i, end in zip(to, ends):
-        if end > at:
-            out[i] = raw[at:end]
-            at = end
+def _buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of large strings without nulls, one after the other, and where each begins and the last ends."""
+    _, offsets, data = texts.buffers()
+    ends = np.frombuffer(offsets, np.int64, len(texts) + 1, texts.offset * 8) if len(texts) else np.zeros(1, np.int64)
+    raw = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data is not None else np.zeros(0, np.uint8)
+    return raw, ends - ends[0]
+
+
+def _gather(store: np.ndarray, size: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of entries, one after the other, and how many each has; ``store`` has those of all entries."""
+    per = size.take(code)
+    ends = np.cumsum(per)
+    shift = (np.cumsum(size) - size).take(code) - (ends - per)
+    place = np.repeat(shift, per)
+    place += np.arange(len(place))
+    return store.take(place), per
+
+
+def _code_points(flat: np.ndarray, lead: np.ndarray) -> np.ndarray:
+    """The code points of the characters of two bytes and more that begin at ``lead``; those past the table count as its last one."""
+    first = flat.take(lead).astype(np.int32)
+    second, third = (flat.take(lead + k, mode="clip").astype(np.int32) & 63 for k in (1, 2))
+    code = np.where(first < 0xE0, (first & 31) << 6 | second, (first & 15) << 12 | second << 6 | third)
+    return np.where(first < 0xF0, np.minimum(code, len(KIND) - 1), len(KIND) - 1)
+
+
+def _cut_words(flat: np.ndarray, begins: np.ndarray, lead: np.ndarray, code: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The words of plain texts (``PLAIN_PATTERN``), lower-cased, and the first word of each text; ``lead`` and ``code`` are the characters beyond ASCII."""
+    n = len(flat)
+    kind, flat = KIND[:256].take(flat), _lowered(flat, lead, code)
+    own = KIND.take(code)
+    kind[lead] = kind[lead + 1] = own
+    three = np.flatnonzero(code >= 0x800)
+    kind[lead[three] + 2] = own[three]
+    first = np.zeros(n + 3, bool)  # where texts begin, and past the end
+    first[begins] = first[n:] = True
+    start = np.ones(n + 3, bool)
+    np.not_equal(kind[1:], kind[:-1], out=start[1:n])
+    start[:n] |= kind == NUMBER
+    start[lead[own == NUMBER] + 1] = False  # those of three bytes aren't plain
+    start |= first
+    quote = np.flatnonzero((flat == ord("'")) & start[:n])
+    if len(quote):
+        quote = quote[~first[quote + 1]]
+        one = flat.take(quote + 1)
+        short = np.isin(one, np.frombuffer(b"stmd", np.uint8))
+        two = one.astype(np.int64) << 8 | flat.take(quote + 2, mode="clip")
+        long = ~first[quote + 2] & np.isin(two, [int.from_bytes(x) for x in (b"re", b"ve", b"ll")])
+        start[quote[short | long] + 1] = False
+        start[quote[short] + 2] = start[quote[long] + 3] = True
+    shown = kind != SPACE
+    at = np.flatnonzero(start[:n] & shown)
+    flat = flat[shown]
+    place = np.cumsum(shown, dtype=np.int32 if n < 1 << 31 else np.int64).take(at).astype(np.int64) - 1
+    starts = np.append(place, len(flat))
+    words = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(starts), pa.py_buffer(flat)])
+    return words, np.searchsorted(at, begins)
+
+
+def _lowered(flat: np.ndarray, lead: np.ndarray, code: np.ndarray) -> np.ndarray:
+    flat = BYTE_LOWER.take(flat)
+    two = np.flatnonzero(code < 0x800)
+    low = LOWER.take(code[two])
+    flat[lead[two]], flat[lead[two] + 1] = 0xC0 | low >> 6, 0x80 | low & 63
+    return flat
+
+
+def _kinds() -> tuple[np.ndarray, np.ndarray]:
+    """The kind of each code point, and what it is in lower case; those after the last one are odd, and so is what the patterns must see."""
+    kind, lower = np.full(0x20C1, ODD, np.uint8), np.arange(0x20C1)
+    for i in range(len(kind) - 1):
+        c = chr(i)
+        if RARE.match(c) or len(low := c.lower()) > 1 or len(low.encode()) != len(c.encode()):
+            continue
+        space = c in " \t\n\v\f\r\x85\xa0"
+        kind[i] = SPACE if space else LETTER if regex.match(r"\p{L}", c) else NUMBER if regex.match(r"\p{N}", c) else OTHER
+        lower[i] = ord(low)
+    return kind, lower
 
 
 # beyond Latin letters and general punctuation; the capital sigma and dotted I also lower-case by context
 RARE = re.compile("[^\x00-įı-ɏ‐-‧‰-⁞₠-₿]")
+KIND, LOWER = _kinds()
+BYTE_LOWER = np.array([*range(65), *range(97, 123), *range(91, 256)], np.uint8)
 
 
 @functools.lru_cache(maxsize=2)
