@@ -408,6 +408,21 @@ def test_bpe_plain_texts():
     assert len(coder.encode_all(pa.array([], pa.string()))[0]) == 0
 
 
+def test_bpe_long_texts_in_parts(monkeypatch):
+    coder, library, rng = bpe.Bpe(VOCAB), Tokenizer.from_file(VOCAB), random.Random(7)
+    seen, encode = [], coder._encode
+    monkeypatch.setattr(bpe, "CHUNK", 40)
+    monkeypatch.setattr(coder, "_encode", lambda texts: seen.append(texts.nbytes) or encode(texts))
+    for letters in ("abcé '1\n", "ab Σσ́é\t<|é🙂", "ab"):
+        texts = ["x", None, "".join(rng.choices(letters, k=3000)), "", " <|endoftext|>" * 30, " " * 300]
+        flat, counts = coder.encode_all(pa.array(texts, pa.string()).slice(1))
+        want = [library.encode(t or "", add_special_tokens=False).ids for t in texts[1:]]
+        assert [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])] == want
+        if " " in letters:  # one word of 3,000 letters can't be cut
+            assert max(seen) < 300 and len(seen) > 60
+        seen.clear()
+
+
 def test_bpe_speculation_is_exact():
     coder, rng = bpe.Bpe(VOCAB), random.Random(8)
     parts = ["an", "er", "th", "the", "ing", "ation", "aaa", "sch", "x", "zz", "\u00e9", "1", "sh"]

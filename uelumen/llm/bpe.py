@@ -12,7 +12,7 @@ two pieces that then meet at the border must have no merge of their own before t
 fail then are merged exactly, all of them in step: the pair of the lowest rank of each word at a time.
 
 Plain texts (Latin letters and general punctuation, no special strings) are lower-cased and cut into words as whole arrays of bytes, some ``CHUNK`` bytes of
-text at a time: a word begins where the kind of character changes, at each number and after a contraction. Arrow numbers the words, each different one
+text at a time (long texts in parts): a word begins where the kind of character changes, at each number and after a contraction. Arrow numbers the words, each different one
 is looked at once, and the ids of the texts are gathered from those of the words. Words repeat, so those of the chunk before are kept.
 
 Of other texts the runs between ASCII white space are numbered in the same way, and cut by the patterns. A worker keeps the ids of the runs that it has seen lately, in two generations of at
@@ -55,6 +55,7 @@ END = "</w>"
 STOP = 0xFF
 LAST = np.int32(2**31 - 1)
 PLAIN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"  # what _cut_words does
+WHITE = [b" ", b"\t", b"\n", b"\v", b"\f", b"\r"]
 SPACE, LETTER, NUMBER, OTHER, ODD = range(5)
 
 
@@ -434,7 +435,13 @@ class Bpe:
         while at < len(texts):
             done = int(ends[at - 1]) if at else 0
             after = max(at + 1, int(np.searchsorted(ends, done + CHUNK, "right")))
-            own, count = self._encode(texts.slice(at, after - at))
+            part = texts.slice(at, after - at)
+            if int(ends[after - 1]) - done > 2 * CHUNK:  # one long text
+                parts = _parts(part)
+                own = np.concatenate([self._encode(parts.slice(i, 1))[0] for i in range(len(parts))])
+                count = np.array([len(own)])
+            else:
+                own, count = self._encode(part)
             ids.append(own)
             counts.append(count)
             at = after
@@ -528,6 +535,21 @@ def byte_list(texts: pa.Array) -> list[bytes]:
     return [raw[i:j] for i, j in zip(ends, ends[1:])]
 
 
+def _parts(text: pa.Array) -> pa.Array:
+    """One long text in parts of some ``CHUNK`` bytes, cut before ASCII white space: no word, special string or accent goes across."""
+    raw = text[0].as_buffer()
+    data, cuts = raw.to_pybytes(), [0]
+    while len(data) - cuts[-1] > CHUNK:
+        start, end = cuts[-1] + 1, cuts[-1] + CHUNK
+        at = max(data.rfind(c, start, end) for c in WHITE)
+        if at < 0:
+            at = min((i for c in WHITE if (i := data.find(c, end)) >= 0), default=len(data))
+        cuts.append(at)
+    if cuts[-1] < len(data):
+        cuts.append(len(data))
+    return pa.Array.from_buffers(pa.large_string(), len(cuts) - 1, [None, pa.py_buffer(np.array(cuts)), raw])
+
+
 def _buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of large strings without nulls, one after the other, and where each begins and the last ends."""
     _, offsets, data = texts.buffers()
